@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import common, mixing, quality, secrets, toxicity
+from chronolith.llm import bpe, chat, common, merkle, mixing, quality, secrets, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +22,24 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compared(common.table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.taken(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
+    return bpe.digests(out)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_model")
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(common.table(spark, sf_dir, "conversations"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from chronolith.llm import chat
 from chronolith.llm import queries as q
 
 
@@ -10,4 +11,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat": chat.RENDER_SQL}
