@@ -176,7 +176,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [decode_ids(ids or [], path) for ids in batch.column("ids").to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept.columns, "decoded"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return common.arrow_map(kept, f"{kept._jdf.schema().toDDL()}, decoded string", each)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, chat, common, merkle, mixing, quality, secrets, toxicity
+from chronolith.llm import bpe, chat, common, merkle, mixing, quality, secrets, toxicity, vectors
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,3 +43,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(common.table(spark, sf_dir, "conversations"))
+
+
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(common.table(spark, sf_dir, "embeddings"))
