@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, chat, common, merkle, mixing, quality, secrets, toxicity, vectors
+from chronolith.llm import bpe, chat, common, jaccard, merkle, mixing, quality, secrets, toxicity, vectors
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_model")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(common.table(spark, sf_dir, "documents"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(common.table(spark, sf_dir, "conversations"))
 
