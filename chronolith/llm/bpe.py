@@ -97,7 +97,8 @@ def _chunks(texts: list[str]):
             yield texts[at:i]
             at, size = i, 0
         size += len(t)
-    yield texts[at:]
+    if texts:
+        yield texts[at:]
 
 
 def word_table(documents: DataFrame, path: str | None = None) -> DataFrame:
@@ -147,24 +148,23 @@ def encode(documents: DataFrame, path: str | None = None, table_words: int = TAB
     def each(batches):
         common_words, rare = shared.value, {}
         written = [str(i) for i in range(len(pieces(path)))]
+        types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = []
+            at = 0
             for texts in _chunks(common.texts_of(batch)):
                 split = [words(t, path) for t in texts]
                 if len(rare) > REMEMBERED:
                     rare.clear()
                 missing = [w for w in set(itertools.chain.from_iterable(split)) if w not in common_words and w not in rare]
                 rare.update(zip(missing, encode_words(missing, path), strict=True))
-                # The batch's own table, by word; its rows are joined to the positions.
                 ids_of = lambda w: common_words.get(w) or rare[w]
-                for found in split:
+                rows = []
+                for found in split:  # ids are joined back by position
                     ids = list(itertools.chain.from_iterable(map(ids_of, found)))
                     rows.append((len(ids), *([ids] if keep_ids else []), ",".join(map(written.__getitem__, ids)), decode_ids(ids, path)))
-            types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(texts)).columns, *columns], names=names)
+                at += len(texts)
 
     more = "n_tokens long, " + "ids array<int>, " * keep_ids + "id_list string, decoded string"
     return kept.mapInArrow(each, f"{kept._jdf.schema().toDDL()}, {more}")
