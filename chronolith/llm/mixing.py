@@ -93,7 +93,8 @@ def plan(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) ->
 
 
 def slots(spark, p: Plan) -> DataFrame:
-    """One row a slot of the output: shard, slot, source_id, pass, block."""
+    """One row a slot of the output: shard, slot, source_id, pass, block. Spark takes this table for a tiny one (its input
+    is a range of shard groups), so whoever joins it says how: it grows with the corpus and must not be broadcast."""
     groups, seed = p.groups, p.seed
     totals, blocks = np.array([r[5] for r in p.rows], np.int64), [r[4] for r in p.rows]
 
@@ -155,7 +156,7 @@ def taken(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -
     placed = packed(rows, p, ["doc_id"])
     drawn = slots(documents.sparkSession, p).groupBy("source_id", "block").agg(F.count("*").alias("times"))
     key = ["source_id", "at", "doc_id", "source", "size", "source_size", "target"]
-    some = segments(placed, p).join(drawn, ["source_id", "block"], "left").groupBy(*key).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
+    some = segments(placed, p).join(drawn.hint("merge"), ["source_id", "block"], "left").groupBy(*key).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     none = placed.where("size = 0").select(*key, F.lit(0).cast("long").alias("taken"))
     return some.unionByName(none).drop("source_id", "at")
 
@@ -169,7 +170,7 @@ def mixed(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -
     p = plan(slim.select("source", "size"), block_words, seed)
     placed = packed(slim, p, ["doc_id", "hash"])
     drawn = slots(documents.sparkSession, p).groupBy("source_id", "block", "pass").agg(F.count("*").alias("times"))
-    pieces = segments(placed, p).join(drawn, ["source_id", "block"]).groupBy("doc_id", "hash", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("pieces"))
+    pieces = segments(placed, p).join(drawn.hint("merge"), ["source_id", "block"]).groupBy("doc_id", "hash", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("pieces"))
     pieces = pieces.groupBy("doc_id", "hash").agg(F.collect_list("pieces").alias("passes"))
     texts = documents.select("doc_id", "text", "lang", "source", F.xxhash64("text").alias("hash")).dropDuplicates(["doc_id", "hash"])
     words = F.filter(F.split("text", rf"[{common.BLANK}]+"), lambda w: w != "")
