@@ -128,8 +128,15 @@ def encoded_words(table: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def _frequent(documents: DataFrame, path: str | None, size: int) -> dict[str, tuple[int, ...]]:
-    top = word_table(documents, path).orderBy(F.desc("n"), "word").limit(size)
-    return {r.word: tuple(r.ids) for r in encoded_words(top, path).select("word", "ids").collect()}
+    """The most frequent words with their ids, at most size: all from the lowest step of frequency on that still fits."""
+    step = F.floor(F.log2("n") * 8)
+    table = common.cut(word_table(documents, path))
+    steps = sorted(((r.step, r["count"]) for r in table.groupBy(step.alias("step")).count().collect()), reverse=True)  # 8 * 64 rows at most
+    fits = [s for (s, _), total in zip(steps, itertools.accumulate(n for _, n in steps), strict=True) if total <= size]
+    if not fits:
+        return {}
+    top = encoded_words(table.where(step >= fits[-1]), path)
+    return {r.word: tuple(r.ids) for r in top.select("word", "ids").collect()}
 
 
 def encode(documents: DataFrame, path: str | None = None, table_words: int = TABLE_WORDS, keep_ids: bool = True) -> DataFrame:
