@@ -18,9 +18,11 @@ from chronolith.llm import common
 BLOCK = 1024
 
 
-def dealt(rows: DataFrame, key: str, item: str, block: int = BLOCK) -> DataFrame:
-    """rows (key and item, slim) with cell and side: in a cell of two blocks, the block (0 or 1) of the row, else -1."""
-    sizes = common.cut(rows.groupBy(key).agg(F.count("*").alias("members")).where("members > 1"))
+def dealt(rows: DataFrame, key: str, item: str, block: int | None = None, useful: str = "true") -> DataFrame:
+    """rows (key and item, slim) with cell and side: in a cell of two blocks, the block (0 or 1) of the row, else -1.
+    Groups for which the aggregate useful isn't true are left out."""
+    block = block or BLOCK
+    sizes = common.cut(rows.groupBy(key).agg(F.count("*").alias("members"), F.expr(useful).alias("useful")).where("members > 1 AND useful").drop("useful"))
     out = rows.join(sizes, key)
     n = F.ceil(F.col("members") / block).cast("int")
     out = out.withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64(F.lit(29), item), F.col("blocks")).cast("int"))

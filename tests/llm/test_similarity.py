@@ -128,7 +128,7 @@ def test_join_against_all_pairs(spark, monkeypatch):
 
 
 def test_join_of_a_large_group_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(cells.dealt, "__defaults__", (8,))
+    monkeypatch.setattr(cells, "BLOCK", 8)
     w = sentence(80, 77)
     rows = [(i, " ".join([*w[: 10 + i % 60], f"c{i}", *w[11 + i % 60 :]])) for i in range(40)] + [(100 + i, " ".join(sentence(30, 500 + i))) for i in range(5)]
     check_join(rows, jaccard.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect())
@@ -172,7 +172,7 @@ def test_odd_vectors(spark):
 
 
 def test_a_dense_group_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(cells.dealt, "__defaults__", (16,))
+    monkeypatch.setattr(cells, "BLOCK", 16)
     rng = np.random.default_rng(1)
     centre = rng.normal(size=16)
     rows = [(i, [float(x) for x in centre + rng.normal(size=16) * 0.05], 0) for i in range(120)] + [(200 + i, [float(x) for x in rng.normal(size=16)], 0) for i in range(30)]
