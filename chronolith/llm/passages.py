@@ -138,43 +138,49 @@ def _similar_paragraphs(documents: DataFrame, items: DataFrame, tenths: int, has
 
 def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, recall: float = RECALL, anchor: int = ANCHOR_WORDS, passage: int = PASSAGE_WORDS, paragraph: int = PARAGRAPH_WORDS) -> DataFrame:
     """One row for each span of a passage that repeats across documents: cluster_id, doc_id, start, end (code points, end
-    exclusive), kept_doc_id (the smallest doc_id of the cluster, where the passage stays) and removed.
+    exclusive), kept_doc_id (a document in which it stays) and removed.
 
     A passage repeats if a run of at least passage words is the same in several documents (runs from anchor words on may be
     found too), or if a paragraph's Jaccard similarity to another document's is at least tenths / 10; case is folded.
-    What repeats inside one document alone is left. Null and short texts give no rows, rows with a null doc_id are not
-    compared, rows that repeat a doc_id count as one document. Spans of a document may touch or overlap. An empty table
-    gives no rows. Other columns are not read.
+    Of each run its first document, by doc_id, keeps it, of similar paragraphs the first of their component; spans that
+    overlap in a document or share a window are one cluster. What repeats inside one document alone is left. Null and
+    short texts give no rows, rows with a null doc_id are not compared, rows that repeat a doc_id count as one document.
+    An empty table gives no rows. Other columns are not read.
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     anchors = common.cut(_anchors(texts, anchor, passage))
-    shared = common.cut(anchors.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("window"))
-    hits = anchors.join(shared, "window")
+    shared = common.cut(anchors.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"))
+    hits = anchors.join(shared, "window").withColumn("removed", F.col("doc_id") > F.col("least"))
+    # Anchors that follow each other and share their fate are a run.
     order = Window.partitionBy("doc_id").orderBy("place", "window")
-    starts = (F.col("place") - F.lag("place").over(order)).cast("int")
-    hits = hits.withColumn("new", F.when(starts <= 1, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
-    hits = common.cut(hits.select("window", "doc_id", "start", "end", F.xxhash64(F.lit(1), "doc_id", "run").alias("node")))
-    runs = hits.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"))
+    goes_on = (F.col("place") - F.lag("place").over(order) <= 1) & (F.col("removed") == F.lag("removed").over(order))
+    hits = hits.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+    hits = common.cut(hits.select("window", "doc_id", "start", "end", "least", "removed", F.xxhash64(F.lit(1), "doc_id", "run").alias("node")))
+    runs = hits.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("least").alias("kept_doc_id"), F.first("removed").alias("removed"))
     hub = common.cut(hits.groupBy("window").agg(F.min("node").alias("a")))
     edges = hits.select("window", F.col("node").alias("b")).join(hub, "window").select("a", "b").where("a <> b")
 
     lines = common.cut(_paragraphs(texts, paragraph, hashes))
     one = F.min(F.struct("doc_id", "start", "end")).alias("one")
-    items = common.cut(lines.groupBy("item").agg(one, F.max("sig").alias("sig")).select("item", "one.doc_id", "one.start", "one.end", "sig"))
-    similar = common.cut(_similar_paragraphs(texts, items, tenths, hashes, recall))
-    node = F.xxhash64(F.lit(2), "item")
-    repeated = lines.groupBy("item").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("item")
-    used = common.cut(repeated.union(similar.select("a")).union(similar.select("b")).distinct())
-    spans = lines.drop("sig").join(used, "item").select("doc_id", "start", "end", node.alias("node"))
-    edges = edges.unionByName(similar.select(F.xxhash64(F.lit(2), "a").alias("a"), F.xxhash64(F.lit(2), "b").alias("b")))
-
-    parts = components(edges)
-    nodes = common.cut(runs.unionByName(spans.select("node", "doc_id", "start", "end")))
-    placed = nodes.join(common.cut(parts.withColumnRenamed("id", "node")), "node", "left").select("doc_id", "start", "end", F.coalesce("root", "node").alias("cluster_id"))
-    placed = common.cut(placed.distinct())
-    first = common.cut(placed.groupBy("cluster_id").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("most")).where("kept_doc_id < most").drop("most"))
-    out = placed.join(first, "cluster_id")
-    return out.select("cluster_id", "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kept_doc_id", (F.col("doc_id") != F.col("kept_doc_id")).alias("removed"))
+    items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("sig").alias("sig")).select("item", "one.doc_id", "one.start", "one.end", "most", "sig"))
+    similar = common.cut(_similar_paragraphs(texts, items.drop("most"), tenths, hashes, recall))
+    parts = components(similar).withColumnRenamed("id", "item")
+    grouped = common.cut(items.select("item", "doc_id", "most").join(parts, "item", "left").withColumn("part", F.coalesce("root", "item")).drop("root"))
+    first = common.cut(grouped.groupBy("part").agg(F.min("doc_id").alias("kept_doc_id"), F.max("most").alias("most")).where("kept_doc_id < most").drop("most"))
+    used = common.cut(grouped.select("item", "part").join(first, "part"))
+    node = F.xxhash64(F.lit(2), "doc_id", "start")
+    spans = lines.select("item", "doc_id", "start", "end").join(used, "item").select(node.alias("node"), "doc_id", "start", "end", "kept_doc_id", (F.col("doc_id") > F.col("kept_doc_id")).alias("removed"), "part")
+    edges = edges.unionByName(spans.select(F.xxhash64(F.lit(3), "part").alias("a"), F.col("node").alias("b")))
+
+    nodes = common.cut(runs.unionByName(spans.drop("part")))
+    # Spans that overlap in a document are linked to the first of their island.
+    by_doc = Window.partitionBy("doc_id").orderBy("start", "node")
+    islands = nodes.select("doc_id", "start", "end", "node").withColumn("reach", F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1)))
+    islands = islands.withColumn("island", F.sum(F.when(F.col("start") < F.col("reach"), 0).otherwise(1)).over(by_doc))
+    edges = edges.unionByName(islands.select(F.xxhash64(F.lit(4), "doc_id", "island").alias("a"), F.col("node").alias("b")))
+    clusters = common.cut(components(edges).withColumnRenamed("id", "node").withColumnRenamed("root", "cluster_id"))
+    out = nodes.join(clusters, "node")
+    return out.select("cluster_id", "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kept_doc_id", "removed")
 
 
 def without_repeats(documents: DataFrame, **options) -> DataFrame:
