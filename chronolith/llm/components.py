@@ -39,7 +39,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if (state.n, state.s) == before or not state.n:
             break
         before = (state.n, state.s)
-        if state.n == state.d and e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+        if state.n == state.d and e.select("a").distinct().join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
             break  # every node hangs on one root, and no root hangs on another
         e = cut(_star(_star(e, True), False))
     return e.select(F.col("b").alias("id"), F.col("a").alias("root")).unionByName(e.select(F.col("a").alias("id"), F.col("a").alias("root")).distinct())
