@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chronolith.functions import text as words
 from chronolith.functions import time
 from chronolith.operators import api, asof, generate, ingest, intervals, opportunities, pairs, ranking, sampling, themes, validate
-from chronolith.operators.order import numbered, positions
+from chronolith.operators.order import positions
 from chronolith.plans import inputs
 from chronolith.streaming import incremental
 
