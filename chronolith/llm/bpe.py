@@ -10,7 +10,6 @@ table of pieces, which has as many rows as the vocabulary.
 from __future__ import annotations
 
 import itertools
-import json
 import os
 from collections import Counter
 from functools import lru_cache

@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolith.llm import cells, common, shingles
@@ -185,8 +185,12 @@ def classes(signed: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, **options) -> DataFrame:
-    """documents without those whose class has a smaller doc_id: one row of each class stays. Rows with a null doc_id stay
-    if they are their own class. Of rows that repeat a doc_id one stays (the one with the smallest hash of its text)."""
-    found = joined(documents, **options).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    gone = common.cut(found.where("doc_id <> class_id").select("doc_id"))
-    return documents.join(gone, "doc_id", "left_anti")
+    """documents without those whose class has a smaller doc_id: one row of each class stays. Rows that repeat a doc_id are
+    taken for one document, of which the row with the smallest hash of its text may stay. Rows with a null doc_id stay."""
+    found = joined(documents, **options).groupBy("doc_id").agg(F.min("class_id").alias("_class"))
+    gone = common.cut(found.where("doc_id <> _class"))
+    rows = documents.where("doc_id IS NOT NULL")
+    # The window sorts what the join has dealt out by doc_id; nothing is shuffled again.
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *(c for c in documents.columns if c not in ("doc_id", "text")))
+    rows = rows.join(gone, "doc_id", "left").withColumn("_row", F.row_number().over(order)).where("_row = 1 AND _class IS NULL").drop("_row", "_class")
+    return rows.select(*documents.columns).unionByName(documents.where("doc_id IS NULL"))

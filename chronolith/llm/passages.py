@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolith.llm import cells, common, jaccard, shingles
+from chronolith.llm import common, jaccard, shingles
 from chronolith.llm.components import components
 
 PARAGRAPH_WORDS = 40
