@@ -513,6 +513,59 @@ def theme_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.theme_list(nested).drop("o_orderdate")
 
 
+@query("""SELECT o_orderkey, strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS utc FROM orders""")
+def mail_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.table(spark, sf_dir, "orders")
+    sent = F.concat(F.date_format("o_orderdate", "EEE, d MMM yyyy HH:mm:ss"), F.lit(" -0700 (PDT)"))
+    return rows.select("o_orderkey", time.parse_mail_date(sent).alias("utc"))
+
+
+@query(f"""WITH {_EV} SELECT seq, us, {_utc_iso('us')} AS ts_iso, 'notifications' AS channel, props AS text, json_extract_string(props, '$.k') AS k FROM ev""")
+def channel_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.events(spark, sf_dir).withColumn("source", F.try_parse_json("props"))
+    made = ingest.normalised(rows.select("us", F.concat_ws("|", F.col("seq").cast("string"), F.col("text")).alias("text"), "source"), "notifications")
+    number = F.substring_index("text", "|", 1)
+    k = F.try_variant_get(F.element_at("source", "k"), "$", "string")
+    return made.select(number.cast("long").alias("seq"), "us", "ts_iso", "channel", F.expr("substr(text, length(substring_index(text, '|', 1)) + 2)").alias("text"), k.alias("k"))
+
+
+@query(f"WITH {_PAIRS} SELECT DISTINCT CAST(conv_id AS VARCHAR) AS doc_key, CASE WHEN conv_id % 5 <> 0 THEN 'type' || (conv_id % 3) END AS qa_type FROM q WHERE conv_id IN (SELECT l_orderkey FROM lineitem)")
+def consolidated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = inputs.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc_key"))
+    return pairs.consolidated(inputs.documents(spark, sf_dir), wanted=wanted).select("doc_key", "qa_type")
+
+
+@query("SELECT batch, count(*) AS size, min(doc_id) AS first_id FROM (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 7 AS batch FROM documents) GROUP BY 1")
+def batch_nests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = opportunities.batched(inputs.table(spark, sf_dir, "documents").select("doc_id", "lang"), 7, "doc_id")
+    nested = opportunities.nested_batches(rows, order="doc_id")
+    return nested.select("batch", F.size("items").cast("long").alias("size"), F.element_at("items", 1)["doc_id"].alias("first_id"))
+
+
+@query("""SELECT o_custkey || '_' || o_orderkey || '_0' AS question_id, o_custkey AS input_index, o_orderkey AS goal_index, CAST(0 AS BIGINT) AS opportunity_index,
+  CASE WHEN o_orderstatus = 'O' THEN o_orderpriority ELSE o_orderstatus END AS title FROM orders""")
+def question_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.table(spark, sf_dir, "orders").select(words.triple_id(F.col("o_custkey"), F.col("o_orderkey"), F.lit(0)).alias("question_id"), F.when(F.col("o_orderstatus") == "O", "").otherwise(F.col("o_orderstatus")).alias("suggestion_title"), F.lit(None).cast("string").alias("suggestion"), F.col("o_orderpriority").alias("action"), F.lit("x").alias("goal"))
+    return api.question_list(rows)
+
+
+@query(f"""WITH {_OPP}, s AS (SELECT row_number() OVER (ORDER BY us NULLS LAST, input_index, goal_index, opportunity_index) AS n, * FROM p)
+SELECT n AS sequence_index, '## ' || n || '. ' || coalesce(strftime({_LOCAL.format('us')}, '%a %b %-d, %-I:%M %p'), 'Missing timestamp') || ' - Untitled' || chr(10) || chr(10)
+  || '- Source: `' || input_index || '_' || goal_index || '_' || opportunity_index || '`' || chr(10) || '- Goal: ' || goal || chr(10) || '- Suggestion: ' || suggestion || chr(10)
+  || '- Why now: ' || chr(10) || '- Action: ' || chr(10) || '- Expected artifact: ' || chr(10) AS lines FROM s""")
+def opportunity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = opportunities.sequenced(opportunities.flattened(inputs.opportunities(spark, sf_dir)))
+    none = F.lit(None).cast("string")
+    return opportunities.report(rows.withColumns({c: none for c in ("title", "why_now", "action", "expected_artifact")}))
+
+
+@query()
+def generated_batches_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One call for each batch of five rows, answered by the deterministic stand-in: no SQL form."""
+    rows = opportunities.batched(inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), 5, "o_orderkey")
+    return generate.run_batches(rows, generate.stub, "Rows: {rows}", "batch", "o_orderkey")
+
+
 @query()
 def generated_pairs_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts from interval rows answered by the deterministic stand-in: no SQL form."""
