@@ -48,13 +48,13 @@ def bucket_of(column: Column, modulus: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % modulus
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most per_class labelled rows of each class, those with the smallest hash of their id; in an
+def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, most: tuple[int, int]) -> tuple[list[str], list[int]]:
+    """Texts and labels of at most so many labelled rows of classes 0 and 1, those with the smallest hash of their id; in an
     order without pattern. Labels other than 0 and 1 and labels without a document are left out."""
     chosen = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().dropDuplicates()
     order = [F.xxhash64(F.lit(17), "doc_id"), "doc_id"]
-    parts = [chosen.where(F.col("label") == v).orderBy(*order).limit(per_class) for v in (0, 1)]
-    few = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * per_class rows at most
+    parts = [chosen.where(F.col("label") == v).orderBy(*order).limit(n) for v, n in enumerate(most)]
+    few = F.broadcast(parts[0].unionByName(parts[1]))  # most[0] + most[1] rows at most
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(few, "doc_id").collect()
     rows.sort(key=lambda r: (str(r.doc_id)[::-1], r.text, r.label))
     return [r.text for r in rows], [r.label for r in rows]

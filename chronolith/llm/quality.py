@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 
 from chronolith.llm import common
 
-#: Labelled rows of each class that are used, at most: a documented bound on what reaches the driver.
-PER_CLASS = 2500
+#: Labelled rows of the bad and of the good class that are used, at most: a documented bound on what reaches the driver.
+MOST = (2500, 2500)
 DICTIONARY_BYTES = 64 * 1024
 #: Texts are compressed in blocks of so many bytes, each on its own.
 BLOCK = 4096
@@ -100,14 +100,14 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     return model
 
 
-def score(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
+def score(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST, threshold: float = THRESHOLD) -> DataFrame:
     """documents with score (0 to 1, higher: likelier good) and predicted (1 from the threshold on).
 
-    labels holds doc_id and quality of the rows to learn from; at most per_class of each class are used. Null and
+    labels holds doc_id and quality of the rows to learn from; at most most[class] of each class are used. Null and
     empty texts get the score of no evidence. Rows with a null label are ignored. With no model to fit (a class is
     missing) every score is 0. Columns of documents named score or predicted are replaced; others pass through.
     """
-    model = fit(*common.labelled_texts(documents, labels, "quality", per_class))
+    model = fit(*common.labelled_texts(documents, labels, "quality", most))
     shared = documents.sparkSession.sparkContext.broadcast(model)
     kept = documents.drop("score", "predicted")
     names = kept.columns
