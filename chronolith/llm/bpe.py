@@ -152,21 +152,21 @@ def encode(documents: DataFrame, path: str | None = None, table_words: int = TAB
     names = [*kept.columns, *added]
 
     def each(batches):
-        common_words, rare = shared.value, {}
+        table = dict(shared.value)  # the frequent words, and behind them the rarer ones that this task has met
+        frequent = len(table)
         written = [str(i) for i in range(len(pieces(path)))]
         types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
         for batch in batches:
             at = 0
             for texts in _chunks(common.texts_of(batch)):
                 split = [words(t, path) for t in texts]
-                if len(rare) > REMEMBERED:
-                    rare.clear()
-                missing = [w for w in set(itertools.chain.from_iterable(split)) if w not in common_words and w not in rare]
-                rare.update(zip(missing, encode_words(missing, path), strict=True))
-                ids_of = lambda w: common_words.get(w) or rare[w]
+                if len(table) - frequent > REMEMBERED:
+                    table = dict(shared.value)
+                missing = [w for w in set(itertools.chain.from_iterable(split)) if w not in table]
+                table.update(zip(missing, encode_words(missing, path), strict=True))
                 rows = []
                 for found in split:  # ids are joined back by position
-                    ids = list(itertools.chain.from_iterable(map(ids_of, found)))
+                    ids = list(itertools.chain.from_iterable(map(table.__getitem__, found)))
                     rows.append((len(ids), *([ids] if keep_ids else []), ",".join(map(written.__getitem__, ids)), decode_ids(ids, path)))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, len(texts)).columns, *columns], names=names)
