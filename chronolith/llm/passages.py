@@ -142,10 +142,10 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
 
     A passage repeats if a run of at least passage words is the same in several documents (runs from anchor words on may be
     found too), or if a paragraph's Jaccard similarity to another document's is at least tenths / 10; case is folded.
-    Of each run its first document, by doc_id, keeps it, of similar paragraphs the first of their component; spans that
-    overlap in a document or share a window are one cluster. What repeats inside one document alone is left. Null and
-    short texts give no rows, rows with a null doc_id are not compared, rows that repeat a doc_id count as one document.
-    An empty table gives no rows. Other columns are not read.
+    Of each run its first document, by doc_id, keeps it, of similar paragraphs the first of their component. Runs that
+    share a window are one cluster, similar paragraphs another (equal paragraphs are runs). What repeats inside one
+    document alone is left. Null and short texts give no rows, rows with a null doc_id are not compared, rows that repeat
+    a doc_id count as one document. An empty table gives no rows. Other columns are not read.
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     anchors = common.cut(_anchors(texts, anchor, passage))
@@ -164,23 +164,17 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     one = F.min(F.struct("doc_id", "start", "end")).alias("one")
     items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("sig").alias("sig")).select("item", "one.doc_id", "one.start", "one.end", "most", "sig"))
     similar = common.cut(_similar_paragraphs(texts, items.drop("most"), tenths, hashes, recall))
-    parts = components(similar).withColumnRenamed("id", "item")
-    grouped = common.cut(items.select("item", "doc_id", "most").join(parts, "item", "left").withColumn("part", F.coalesce("root", "item")).drop("root"))
-    first = common.cut(grouped.groupBy("part").agg(F.min("doc_id").alias("kept_doc_id"), F.max("most").alias("most")).where("kept_doc_id < most").drop("most"))
-    used = common.cut(grouped.select("item", "part").join(first, "part"))
-    node = F.xxhash64(F.lit(2), "doc_id", "start")
-    spans = lines.select("item", "doc_id", "start", "end").join(used, "item").select(node.alias("node"), "doc_id", "start", "end", "kept_doc_id", (F.col("doc_id") > F.col("kept_doc_id")).alias("removed"), "part")
-    edges = edges.unionByName(spans.select(F.xxhash64(F.lit(3), "part").alias("a"), F.col("node").alias("b")))
-
-    nodes = common.cut(runs.unionByName(spans.drop("part")))
-    # Spans that overlap in a document are linked to the first of their island.
-    by_doc = Window.partitionBy("doc_id").orderBy("start", "node")
-    islands = nodes.select("doc_id", "start", "end", "node").withColumn("reach", F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1)))
-    islands = islands.withColumn("island", F.sum(F.when(F.col("start") < F.col("reach"), 0).otherwise(1)).over(by_doc))
-    edges = edges.unionByName(islands.select(F.xxhash64(F.lit(4), "doc_id", "island").alias("a"), F.col("node").alias("b")))
-    clusters = common.cut(components(edges).withColumnRenamed("id", "node").withColumnRenamed("root", "cluster_id"))
-    out = nodes.join(clusters, "node")
-    return out.select("cluster_id", "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kept_doc_id", "removed")
+    node = lambda c: F.xxhash64(F.lit(2), c)
+    # Runs and paragraphs are apart in this graph: one search for components serves both.
+    parts = common.cut(components(edges.unionByName(similar.select(node("a").alias("a"), node("b").alias("b")))).withColumnRenamed("id", "node").withColumnRenamed("root", "cluster_id"))
+    alike = items.select(node("item").alias("node"), "item", "doc_id", "most").join(similar.select(F.col("a").alias("item")).union(similar.select("b")).distinct(), "item").join(parts, "node")
+    alike = common.cut(alike.select("item", "cluster_id", "doc_id", "most"))
+    first = common.cut(alike.groupBy("cluster_id").agg(F.min("doc_id").alias("kept_doc_id"), F.max("most").alias("most")).where("kept_doc_id < most").drop("most"))
+    used = common.cut(alike.select("item", "cluster_id").join(first, "cluster_id"))
+    spans = lines.select("item", "doc_id", "start", "end").join(used, "item").withColumn("removed", F.col("doc_id") > F.col("kept_doc_id"))
+    found = runs.join(parts, "node", "left").withColumn("cluster_id", F.coalesce("cluster_id", "node"))
+    columns = ["cluster_id", "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kept_doc_id", "removed"]
+    return found.select(*columns).unionByName(spans.select(*columns))
 
 
 def without_repeats(documents: DataFrame, **options) -> DataFrame:
