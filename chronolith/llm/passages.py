@@ -82,7 +82,7 @@ def _anchors(documents: DataFrame, anchor: int, passage: int) -> DataFrame:
 
 
 def _paragraphs(documents: DataFrame, least: int, hashes: int) -> DataFrame:
-    """doc_id, start, end, item (hash of the words) and sig of every paragraph with so many words."""
+    """doc_id, start, end, words, item (hash of the words) and sig of every paragraph with so many words."""
 
     def each(batches):
         for batch in batches:
@@ -97,13 +97,13 @@ def _paragraphs(documents: DataFrame, least: int, hashes: int) -> DataFrame:
             for some in jaccard._chunks([f[2] for f in found]):
                 words = shingles.words_of(some)
                 sig = shingles.minhash(*shingles.shingles(words), hashes)
-                rows = [(found[done + k][0], found[done + k][1], found[done + k][1] + len(t), jaccard.item_of(words.hashes[s:e]), sig[k].tobytes()) for k, (t, s, e) in enumerate(zip(some, words.bounds[:-1], words.bounds[1:], strict=True)) if e - s >= least]
+                rows = [(found[done + k][0], found[done + k][1], found[done + k][1] + len(t), int(e - s), jaccard.item_of(words.hashes[s:e]), sig[k].tobytes()) for k, (t, s, e) in enumerate(zip(some, words.bounds[:-1], words.bounds[1:], strict=True)) if e - s >= least]
                 done += len(some)
                 if rows:
                     columns = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "start", "end", "item", "sig"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "start", "end", "words", "item", "sig"])
 
-    return documents.mapInArrow(each, "doc_id long, start int, end int, item long, sig binary")
+    return documents.mapInArrow(each, "doc_id long, start int, end int, words int, item long, sig binary")
 
 
 def _similar_paragraphs(documents: DataFrame, items: DataFrame, tenths: int, hashes: int, recall: float) -> DataFrame:
@@ -143,7 +143,7 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     A passage repeats if a run of at least passage words is the same in several documents (runs from anchor words on may be
     found too), or if a paragraph's Jaccard similarity to another document's is at least tenths / 10; case is folded.
     Of each run its first document, by doc_id, keeps it, of similar paragraphs the first of their component. Runs that
-    share a window are one cluster, similar paragraphs another (equal paragraphs are runs). What repeats inside one
+    share a window are one cluster, similar paragraphs another (equal paragraphs of passage words or more are runs). What repeats inside one
     document alone is left. Null and short texts give no rows, rows with a null doc_id are not compared, rows that repeat
     a doc_id count as one document. An empty table gives no rows. Other columns are not read.
     """
@@ -162,12 +162,15 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
 
     lines = common.cut(_paragraphs(texts, paragraph, hashes))
     one = F.min(F.struct("doc_id", "start", "end")).alias("one")
-    items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("sig").alias("sig")).select("item", "one.doc_id", "one.start", "one.end", "most", "sig"))
-    similar = common.cut(_similar_paragraphs(texts, items.drop("most"), tenths, hashes, recall))
+    items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("words").alias("words"), F.max("sig").alias("sig")).select("item", "one.doc_id", "one.start", "one.end", "most", "words", "sig"))
+    similar = common.cut(_similar_paragraphs(texts, items.drop("most", "words"), tenths, hashes, recall))
     node = lambda c: F.xxhash64(F.lit(2), c)
     # Runs and paragraphs are apart in this graph: one search for components serves both.
     parts = common.cut(components(edges.unionByName(similar.select(node("a").alias("a"), node("b").alias("b")))).withColumnRenamed("id", "node").withColumnRenamed("root", "cluster_id"))
-    alike = items.select(node("item").alias("node"), "item", "doc_id", "most").join(similar.select(F.col("a").alias("item")).union(similar.select("b")).distinct(), "item").join(parts, "node")
+    # Equal paragraphs of fewer words than a passage may share no anchor: they are a cluster even if nothing else is like them.
+    alone = (F.col("doc_id") < F.col("most")) & (F.col("words") < passage)
+    alike = items.select(node("item").alias("node"), "item", "doc_id", "most", alone.alias("alone")).join(parts, "node", "left")
+    alike = alike.where("cluster_id IS NOT NULL OR alone").withColumn("cluster_id", F.coalesce("cluster_id", "node"))
     alike = common.cut(alike.select("item", "cluster_id", "doc_id", "most"))
     first = common.cut(alike.groupBy("cluster_id").agg(F.min("doc_id").alias("kept_doc_id"), F.max("most").alias("most")).where("kept_doc_id < most").drop("most"))
     used = common.cut(alike.select("item", "cluster_id").join(first, "cluster_id"))

@@ -238,6 +238,19 @@ def test_two_passages_side_by_side_keep_a_copy_of_each(spark):
         assert left.count(" ".join(p[25:45])) == 1
 
 
+def test_equal_paragraphs_shorter_than_a_passage_are_found(spark):
+    same = {n: [" ".join(sentence(n, 7000 + 10 * n + k)) for k in range(5)] for n in (40, 42, 45, 49)}
+    rows, wanted = [], {}
+    for n, lines in same.items():
+        for line in lines:
+            for copy in range(2):
+                i = len(rows)
+                rows.append((i, "\n".join([" ".join(sentence(60, 8000 + i)), line, " ".join(sentence(60, 9000 + i))])))
+                wanted[i] = (line, bool(copy))
+    left = {r.doc_id: r.text for r in passages.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, (line, gone) in wanted.items() if (line in left[i]) == gone] == []
+
+
 def test_every_shared_run_holds_a_common_anchor():
     r = random.Random(5)
     for trial in range(30):
