@@ -4,8 +4,9 @@ Paragraphs (lines of PARAGRAPH_WORDS words or more) with the same words are one
 number of rows a band holds chosen for the recall; what collides is verified on exact Jaccard similarity of its
 five-word shingles. Passages also stand in the middle of paragraphs that are otherwise unlike; for these each text is
 cut at windows of ANCHOR_WORDS words whose hash is the least around, so any run of PASSAGE_WORDS words that two texts
-share holds a window that both select, and equal windows collide by hash, whatever surrounds them. Spans that collide
-are the nodes of a graph; its components are the passages, of which the first occurrence stays and the others go.
+share holds a window that both select, and equal windows collide by hash, whatever surrounds them. From its first and
+last window each run is extended word by word, as far as another text agrees. Spans that collide are the nodes of a
+graph; its components are the passages, of which the first occurrence stays and the others go.
 """
 
 from __future__ import annotations
@@ -81,6 +82,66 @@ def _anchors(documents: DataFrame, anchor: int, passage: int) -> DataFrame:
     return documents.mapInArrow(each, "window long, doc_id long, place int, start int, end int")
 
 
+def _beside(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> DataFrame:
+    """node, doc_id, removed, left and right (whether the anchor is the node's end on that side), sides: for the left and the
+    right of each anchor of ends, for as many as 1, 2 ... most words beside it, a key of anchor and words, and how far in
+    code points they reach. Beyond a shared anchor two texts that agree on more words share another anchor."""
+    pieces = ends.groupBy("doc_id").agg(F.collect_list(F.struct(*(c for c in ends.columns if c != "doc_id"))).alias("pieces"))
+    texts = documents.join(pieces, "doc_id").select("doc_id", "pieces", "text")
+    side = "array<struct<key:bigint,place:int>>"
+
+    def each(batches):
+        for batch in batches:
+            pieces, docs, done = batch.column("pieces"), batch.column("doc_id"), 0
+            for some in jaccard._chunks(common.texts_of(batch)):
+                words = shingles.words_of(some, places=True)
+                found, at = shingles.windows(words, anchor)
+                part = pieces.slice(done, len(some))
+                p, owner = part.flatten(), np.repeat(np.arange(len(some)), part.value_lengths().to_numpy())
+                ids = docs.slice(done, len(some)).take(pa.array(owner))
+                done += len(some)
+                # Where each anchor stands among the words; ids may repeat with other texts, which have other windows.
+                wide = np.int64(max(map(len, some)) + 1)
+                starts = words.owner() * wide + words.start
+                index = np.searchsorted(starts, owner * wide + p.field("start").to_numpy())
+                index = np.minimum(index, max(len(starts) - 1, 0))
+                window = at[owner] + index - words.bounds[owner]
+                ok = (at[owner] <= window) & (window < at[owner + 1])
+                ok[ok] = found[window[ok]].view(np.int64) == p.field("window").to_numpy()[ok]
+                keep = pa.array(np.flatnonzero(ok))
+                p, ids, owner, index = p.take(keep), ids.take(keep), owner[ok], index[ok]
+                columns = []
+                for name, step, first, places in (("lefts", -1, index - 1, words.start), ("rights", 1, index + anchor, words.end)):
+                    wanted = p.field(name).to_numpy(zero_copy_only=False)
+                    key = common.mix64(p.field("window").to_numpy().view(np.uint64) + np.uint64(step + 2))
+                    keys, reach, there = [], [], []
+                    for k in range(most):
+                        i = first + step * k
+                        inside = wanted & (words.bounds[owner] <= i) & (i < words.bounds[owner + 1])
+                        i = np.where(inside, i, 0)
+                        key = common.mix64(key * np.uint64(0x9E3779B97F4A7C15) + words.hashes[i])
+                        keys.append(key), reach.append(places[i]), there.append(inside)
+                    there = np.array(there).T
+                    offsets = np.concatenate([[0], np.cumsum(there.sum(1))])
+                    values = pa.StructArray.from_arrays([pa.array(np.array(keys).T[there].view(np.int64)), pa.array(np.array(reach).T[there].astype(np.int32))], names=["key", "place"])
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values))
+                if len(index):
+                    yield pa.RecordBatch.from_arrays([p.field("node"), ids, p.field("removed"), p.field("left"), p.field("right"), *columns], names=["node", "doc_id", "removed", "left", "right", "to_left", "to_right"])
+
+    return texts.mapInArrow(each, f"node long, doc_id long, removed boolean, left boolean, right boolean, to_left {side}, to_right {side}")
+
+
+def _extended(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> DataFrame:
+    """node, first and last: how far the runs go on beyond their anchors. A run that goes is extended by what an earlier
+    document has, one that stays by what any other has."""
+    beside = common.cut(_beside(documents, ends, anchor, most))
+    one = lambda side: beside.select("node", "doc_id", "removed", F.lit(side).alias("side"), F.col(side).alias("end"), F.explode(f"to_{side}").alias("x")).select("node", "doc_id", "removed", "side", "end", "x.key", "x.place")
+    every = one("left").unionByName(one("right"))
+    agreed = every.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("key", "least")
+    reached = every.where("end").join(agreed, "key").where("NOT removed OR least < doc_id")
+    return reached.groupBy("node").agg(F.min(F.when(F.col("side") == "left", F.col("place"))).alias("first"), F.max(F.when(F.col("side") == "right", F.col("place"))).alias("last"))
+
+
 def _paragraphs(documents: DataFrame, least: int, hashes: int) -> DataFrame:
     """doc_id, start, end, words, item (hash of the words) and sig of every paragraph with so many words."""
 
@@ -141,7 +202,7 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     exclusive), kept_doc_id (a document in which it stays) and removed.
 
     A passage repeats if a run of at least passage words is the same in several documents (runs from anchor words on may be
-    found too), or if a paragraph's Jaccard similarity to another document's is at least tenths / 10; case is folded.
+    found too; a span is all that agrees), or if a paragraph's Jaccard similarity to another document's is at least tenths / 10; case is folded.
     Of each run its first document, by doc_id, keeps it, of similar paragraphs the first of their component. Runs that
     share a window are one cluster, similar paragraphs another (equal paragraphs of passage words or more are runs). What repeats inside one
     document alone is left. Null and short texts give no rows, rows with a null doc_id are not compared, rows that repeat
@@ -155,10 +216,14 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     order = Window.partitionBy("doc_id").orderBy("place", "window")
     goes_on = (F.col("place") - F.lag("place").over(order) <= 1) & (F.col("removed") == F.lag("removed").over(order))
     hits = hits.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
-    hits = common.cut(hits.select("window", "doc_id", "start", "end", "least", "removed", F.xxhash64(F.lit(1), "doc_id", "run").alias("node")))
+    hits = hits.withColumn("left", F.col("new") == 1).withColumn("right", F.coalesce(F.lead("new").over(order), F.lit(1)) == 1)
+    hits = common.cut(hits.select("window", "doc_id", "start", "end", "least", "removed", "left", "right", F.xxhash64(F.lit(1), "doc_id", "run").alias("node")))
     runs = hits.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("least").alias("kept_doc_id"), F.first("removed").alias("removed"))
-    hub = common.cut(hits.groupBy("window").agg(F.min("node").alias("a")))
+    hub = common.cut(hits.groupBy("window").agg(F.min("node").alias("a"), F.max("left").alias("lefts"), F.max("right").alias("rights")))
     edges = hits.select("window", F.col("node").alias("b")).join(hub, "window").select("a", "b").where("a <> b")
+    ends = hits.join(hub.where("lefts OR rights").drop("a"), "window").select("window", "doc_id", "start", "removed", "left", "right", "lefts", "rights", "node")
+    runs = runs.join(_extended(texts, ends, anchor, passage - anchor), "node", "left")
+    runs = common.cut(runs.withColumn("start", F.least("start", "first")).withColumn("end", F.greatest("end", "last")).drop("first", "last"))
 
     lines = common.cut(_paragraphs(texts, paragraph, hashes))
     one = F.min(F.struct("doc_id", "start", "end")).alias("one")

@@ -238,6 +238,29 @@ def test_two_passages_side_by_side_keep_a_copy_of_each(spark):
         assert left.count(" ".join(p[25:45])) == 1
 
 
+def test_runs_are_covered_to_their_ends(spark):
+    r = random.Random(8)
+    rows, runs = [], []
+    for trial, n in enumerate((50, 50, 55, 60, 70, 90)):
+        run = sentence(n, 3000 + trial)
+        runs.append(" ".join(run))
+        for copy in range(2):
+            around = [sentence(r.randint(20, 60), 4000 + 10 * trial + 2 * copy + k) for k in range(2)]
+            rows.append((len(rows), " ".join(around[0] + ["a%d" % len(rows)] + run + ["b%d" % len(rows)] + around[1])))
+    # Of the words before the third run a later pair has 15, which the first document lacks.
+    longer = sentence(15, 3999) + runs[2].split()
+    rows += [(100 + k, " ".join(sentence(30, 4100 + k) + [f"c{k}"] + longer + [f"d{k}"] + sentence(30, 4200 + k))) for k in range(2)]
+    text = dict(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.repeats(df).collect()
+    for i, t in rows[:-2]:
+        run = runs[i // 2]
+        at = t.index(run)
+        assert [(x.start, x.end) for x in got if x.doc_id == i] == [(at, at + len(run))]
+    left = {x.doc_id: x.text for x in passages.without_repeats(df).collect()}
+    assert " ".join(longer[:15]) in left[100] and longer[0] not in left[101].split() and " ".join(longer) in text[101]
+
+
 def test_equal_paragraphs_shorter_than_a_passage_are_found(spark):
     same = {n: [" ".join(sentence(n, 7000 + 10 * n + k)) for k in range(5)] for n in (40, 42, 45, 49)}
     rows, wanted = [], {}
