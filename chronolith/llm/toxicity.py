@@ -2,26 +2,38 @@
 
 Two bigram models, one of the toxic and one of the ordinary labelled texts, interpolate down to class unigrams and from
 there to continuation counts that both classes share, so an expression that is rare in both has the same likelihood in
-both. A text's evidence is the difference of its two length-normalised log-likelihoods; beside it stand the same
-difference over its most telling words (a few slurs in a long text) and its length. A logistic fit on labelled texts
-that the counts have not seen turns the evidence into a probability.
+both. All labelled texts but those of the calibration are counted for their class, and the shared counts are of all
+documents; Spark counts both. A text's evidence is the difference of its two length-normalised log-likelihoods; beside
+it stand the same difference over its most telling words (a few slurs in a long text) and its length. A logistic fit on
+labelled texts that the counts have not seen turns the evidence into a probability.
+
+Words and pairs are known by 64-bit hashes, whatever their number. What reaches the driver and the tasks are the words
+and pairs that a class counts more often than the discount; what is below it is smoothed by the backoff.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chronolith.llm import common
 
 WORD = re.compile(r"\w+")
-#: Labelled rows of the ordinary and of the toxic class that the model is fitted on, at most: a documented bound on what
-#: reaches the driver. Several ordinary texts for each toxic one tell rare words from telling ones.
+#: Labelled rows of the ordinary and of the toxic class, a quarter of which at most is held back for the calibration and
+#: the choice of the discount: a documented bound on the texts that reach the driver.
 MOST = (4500, 1500)
+#: Words and pairs above the least discount that reach the driver, at most. With more of them the discounts double; as
+#: the counts above a discount are no more than their sum divided by it, that comes to an end.
+MOST_STRONG = 1_500_000
+#: Words that a task counts before it hands on what is distinct among them.
+AT_ONCE = 4_000_000
 #: Counts taken from each expression for the shared backoff; the one that predicts held-back labels best is used.
 DISCOUNTS = (2.0, 5.0, 12.0, 25.0)
 THRESHOLD = 0.3
@@ -29,29 +41,25 @@ THRESHOLD = 0.3
 
 @dataclass
 class Model:
-    """unigram: the log-likelihood ratio of each word after an unseen context; pairs: keys of known word pairs, sorted,
-    with their ratios; tail: the ratio of backoff weights of each context word; weights: of the calibration."""
+    """Sorted hashes of the words, contexts and pairs that a class counts above the discount, with the log-likelihood
+    ratios of word, of backoff weight and of pair. First come the word that stands for all others, and the context of a
+    text's start. weights: of the calibration."""
 
-    index: dict[str, int]
+    words: np.ndarray
     unigram: np.ndarray
+    contexts: np.ndarray
     tail: np.ndarray
     pairs: np.ndarray
     ratios: np.ndarray
     weights: np.ndarray | None = None
 
     def word_ratios(self, text: str) -> np.ndarray:
-        get = self.index.get
-        ids = np.array([get(w, 0) for w in WORD.findall(text.lower())], dtype=np.int64)
+        ids = hashes(WORD.findall(text.lower()))
         if not len(ids):
             return np.zeros(0)
-        before = np.concatenate([[0], ids[:-1]])
-        out = self.unigram[ids] + self.tail[before]
-        keys = before * len(self.unigram) + ids
-        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        if len(self.pairs):
-            known = self.pairs[at] == keys
-            out[known] = self.ratios[at[known]]
-        return out
+        before = np.concatenate([[np.uint64(0)], ids[:-1]])
+        out = _looked_up(self.words, self.unigram, ids, self.unigram[0]) + _looked_up(self.contexts, self.tail, before, 0.0)
+        return _looked_up(self.pairs, self.ratios, pair_of(before, ids), out)
 
     def evidence(self, text: str) -> tuple[float, float, float, float]:
         r = self.word_ratios(text)
@@ -65,63 +73,100 @@ class Model:
         return common.logistic_apply(self.weights, np.array([self.evidence(t) for t in texts]).reshape(-1, 4))
 
 
-def _keys(texts: list[str], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct word pairs of the texts as keys, and for each the number of distinct words it follows. Numbers of
-    contexts, not of occurrences, are what Kneser-Ney counts below its highest order; copies of a text add nothing."""
-    size = len(index) + 1
-    found = []
-    for t in texts:
-        ids = np.array([0, 0, *(index[w] for w in WORD.findall(t.lower()))], dtype=np.int64)
-        if len(ids) > 2:
-            found.append((ids[:-2] * size + ids[1:-1]) * size + ids[2:] if size < 2_000_000 else ids[1:-1] * size + ids[2:])
-    triples = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]))
-    return np.unique(triples % (size * size), return_counts=True)
-
-
-def count_model(by_class: list[tuple[np.ndarray, np.ndarray]], index: dict[str, int], discount: float) -> Model:
-    """The two Kneser-Ney models as tables of log-likelihood ratios. by_class: keys and counts of pairs."""
-    size = len(index) + 1
-    every = np.unique(np.concatenate([k for k, _ in by_class]))
-    # Shared backoff: after how many words of either class a word stands, with room for an unseen one.
-    shared = (np.bincount(every % size, minlength=size) + 1.0) / (len(every) + size)
-    log_uni, log_tail, log_pair, strong = [], [], [], np.zeros(len(every), bool)
-    for keys, n in by_class:
-        word = np.bincount(keys % size, minlength=size).astype(float)
-        kept = np.maximum(word - discount, 0)
-        total = max(word.sum(), 1.0)
-        p = kept / total + (1 - kept.sum() / total) * shared
-        mine = np.zeros(len(every))
-        mine[np.searchsorted(every, keys)] = n
-        v, w = every // size, every % size
-        over = np.maximum(mine - discount, 0)
-        context = np.bincount(v, weights=mine, minlength=size)
-        tail = np.where(context > 0, 1 - np.bincount(v, weights=over, minlength=size) / np.maximum(context, 1), 1.0)
+_known: dict[str, int] = {}
+
+
+def hashes(words: list[str]) -> np.ndarray:
+    if len(_known) > 500_000:
+        _known.clear()
+    for w in set(words).difference(_known):
+        _known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+
+
+def pair_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return common.mix64(before * np.uint64(0x9E3779B97F4A7C15) + common.mix64(word))
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, other) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(wanted)) + other
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], other)
+
+
+def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of these columns; they are told apart in full, not packed into one number."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return [c[new] for c in columns]
+
+
+def _contexts(texts: list[str]) -> list[np.ndarray]:
+    """Distinct (before, word, the word before both) of the texts. Numbers of contexts, not of occurrences, are what
+    Kneser-Ney counts below its highest order; copies of a text add nothing."""
+    found = [np.concatenate([np.zeros(2, np.uint64), hashes(WORD.findall(t.lower()))]) for t in texts]
+    join = lambda first, until: np.concatenate([np.zeros(0, np.uint64), *(f[first : len(f) + until] for f in found)])
+    return _distinct(join(1, -1), join(2, 0), join(0, -2))
+
+
+@dataclass
+class Counts:
+    """Of the pairs that are strong, or whose word or context is: before, word and counts by class (n by 2); of the strong
+    words: hash, counts by class and shared (numbers of words that they follow); of the contexts: hash and counts by
+    class; sums by class; pairs and size: how many pairs and words are shared."""
+
+    before: np.ndarray
+    word: np.ndarray
+    n: np.ndarray
+    words: np.ndarray
+    of_word: np.ndarray
+    shared: np.ndarray
+    contexts: np.ndarray
+    of_context: np.ndarray
+    sums: np.ndarray
+    kept: dict[float, np.ndarray]
+    pairs: int
+    size: int
+
+
+def count_model(c: Counts, discount: float) -> Model:
+    """The two Kneser-Ney models as tables of log-likelihood ratios."""
+    # Shared backoff: after how many words a word stands, with room for an unseen one.
+    shared = (c.shared + 1.0) / (c.pairs + c.size)
+    at = lambda keys, wanted: np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    w, v = at(c.words, c.word), at(c.contexts, c.before)
+    log_uni, log_tail, log_pair, log_other, strong = [], [], [], [], np.zeros(len(c.n), bool)
+    for k in (0, 1):
+        total = max(float(c.sums[k]), 1.0)
+        weight = max(1 - c.kept[discount][k] / total, 1e-9)
+        p = np.maximum(c.of_word[:, k] - discount, 0) / total + weight * shared
+        over = np.maximum(c.n[:, k] - discount, 0)
+        context = c.of_context[:, k]
+        tail = np.where(context > 0, 1 - np.bincount(v, weights=over, minlength=len(c.contexts)) / np.maximum(context, 1), 1.0)
         tail = np.maximum(tail, 1e-9)
         strong |= over > 0
         log_uni.append(np.log(p))
         log_tail.append(np.log(tail))
         log_pair.append(np.log(over / np.maximum(context[v], 1) + tail[v] * p[w]))
-    ratios = (log_pair[1] - log_pair[0])[strong]
-    return Model(index, log_uni[1] - log_uni[0], log_tail[1] - log_tail[0], every[strong], ratios)
+        log_other.append(np.log(weight))
+    keys = pair_of(c.before, c.word)[strong]
+    order = np.argsort(keys)
+    first = np.zeros(1, np.uint64)
+    contexts, tail = c.contexts, log_tail[1] - log_tail[0]
+    if not len(contexts) or contexts[0]:
+        contexts, tail = np.concatenate([first, contexts]), np.concatenate([[0.0], tail])
+    unigram = np.concatenate([[log_other[1] - log_other[0]], log_uni[1] - log_uni[0]])
+    return Model(np.concatenate([first, c.words]), unigram, contexts, tail, keys[order], (log_pair[1] - log_pair[0])[strong][order])
 
 
-def fit(texts: list[str], labels: list[int]) -> Model | None:
-    """Three quarters of the labelled texts give the counts, the rest the calibration and the discount; without both
-    classes in both there is no model."""
-    y = np.array(labels)
-    for_counts = np.arange(len(y)) % 4 != 3
-    if len({*y[for_counts]}) < 2 or len({*y[~for_counts]}) < 2:
-        return None
-    counted = [t for t, c in zip(texts, for_counts, strict=True) if c]
-    index: dict[str, int] = {}
-    for t in counted:
-        for w in WORD.findall(t.lower()):
-            index.setdefault(w, len(index) + 1)
-    by_class = [_keys([t for t, v in zip(counted, y[for_counts], strict=True) if v == c], index) for c in (0, 1)]
-    rest, truth = [t for t, c in zip(texts, for_counts, strict=True) if not c], y[~for_counts]
+def _best(counts: Counts, discounts: tuple[float, ...], rest: list[str], truth: np.ndarray) -> Model:
     best, least = None, np.inf
-    for discount in DISCOUNTS:
-        model = count_model(by_class, index, discount)
+    for discount in discounts:
+        model = count_model(counts, discount)
         x = np.array([model.evidence(t) for t in rest])
         model.weights = common.logistic_fit(x, truth)
         p = common.logistic_apply(model.weights, x)
@@ -131,14 +176,130 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     return best
 
 
+def fit(texts: list[str], labels: list[int]) -> Model | None:
+    """A model of texts that are at hand: three quarters give the counts, shared ones too, the rest the calibration and
+    the discount; without both classes in both there is no model."""
+    y = np.array(labels)
+    for_counts = np.arange(len(y)) % 4 != 3
+    if len({*y[for_counts]}) < 2 or len({*y[~for_counts]}) < 2:
+        return None
+    rows = [_contexts([t for t, c, v in zip(texts, for_counts, y, strict=True) if c and v == k]) for k in (0, 1)]
+    before, word = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+    label = np.repeat([0, 1], [len(r[0]) for r in rows])
+    b, w = _distinct(before, word)
+    key = pair_of(b, w)
+    order = np.argsort(key)
+    b, w, key = b[order], w[order], key[order]
+    n = np.zeros((len(b), 2), np.int64)
+    np.add.at(n, (np.searchsorted(key, pair_of(before, word)), label), 1)
+
+    def by(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        some, at, times = np.unique(keys, return_inverse=True, return_counts=True)
+        out = np.zeros((len(some), 2), np.int64)
+        np.add.at(out, at, n)
+        return some, out, times
+
+    words, of_word, shared = by(w)
+    contexts, of_context, _ = by(b)
+    counts = Counts(b, w, n, words, of_word, shared, contexts, of_context, n.sum(0), {d: np.maximum(of_word - d, 0).sum(0) for d in DISCOUNTS}, len(b), len(words) + 1)
+    return _best(counts, DISCOUNTS, [t for t, c in zip(texts, for_counts, strict=True) if not c], y[~for_counts])
+
+
+def _counted(rows: DataFrame, schema: str, distinct) -> DataFrame:
+    """What distinct makes of the texts (and labels) of so many words at a time, as columns of longs."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed():
+            columns = distinct(held)
+            for i in range(0, len(columns[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000].astype(np.uint64).view(np.int64)) for c in columns], names=names)
+
+        held, size = [], 0
+        for batch in batches:
+            labels = batch.column("label").to_pylist() if "label" in batch.schema.names else [None] * batch.num_rows
+            for t, v in zip(common.texts_of(batch), labels, strict=True):
+                held.append((t, v))
+                size += len(t)
+                if size >= 5 * AT_ONCE:
+                    yield from handed()
+                    held, size = [], 0
+        if held:
+            yield from handed()
+
+    return rows.mapInArrow(each, schema)
+
+
+def _of_labels(held: list[tuple]) -> list[np.ndarray]:
+    parts = [(_contexts([t for t, v in held if v == k]), k) for k in (0, 1)]
+    return [np.concatenate([np.full(len(p[0]), k, np.uint64) for p, k in parts]), *(np.concatenate([p[i] for p, _ in parts]) for i in range(3))]
+
+
+def _of_all(held: list[tuple]) -> list[np.ndarray]:
+    found = [np.concatenate([np.zeros(1, np.uint64), hashes(WORD.findall(t.lower()))]) for t, _ in held]
+    return _distinct(np.concatenate([f[1:] for f in found]), np.concatenate([f[:-1] for f in found]))
+
+
+def counted(documents: DataFrame, labelled: DataFrame) -> tuple[Counts, tuple[float, ...]]:
+    """Counts over all of labelled (text, label 0 or 1), shared ones over all documents (text), and the discounts to try."""
+    both = lambda c: [F.sum(F.when(F.col("label") == k, F.col(c)).otherwise(0)).alias(f"n{k}") for k in (0, 1)]
+    triples = _counted(labelled.select("text", "label"), "label long, before long, word long, first long", _of_labels).distinct()
+    pairs = common.cut(triples.groupBy("before", "word").agg(*(F.sum((F.col("label") == k).cast("long")).alias(f"n{k}") for k in (0, 1))))
+    sums = lambda c: common.cut(pairs.groupBy(c).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    words, contexts = sums("word"), sums("before")
+    follows = _counted(documents.select("text"), "word long, before long", _of_all).distinct()
+    shared = common.cut(follows.groupBy("word").agg(F.count("*").alias("shared")))
+    whole = shared.agg(F.count("*").alias("size"), F.sum("shared").alias("pairs")).first()
+    most = F.greatest("n0", "n1")
+    discounts = DISCOUNTS
+    while True:
+        strong = pairs.where(most > discounts[0])
+        if strong.count() + words.where(most > discounts[0]).count() <= MOST_STRONG:
+            break
+        discounts = tuple(2 * d for d in discounts)
+    over = words.agg(*(F.sum(F.greatest(F.col(f"n{k}") - d, F.lit(0.0))) for d in discounts for k in (0, 1)), F.sum("n0"), F.sum("n1")).first()
+    kept = {d: np.array([over[2 * i], over[2 * i + 1]], float) for i, d in enumerate(discounts)}
+    # A strong pair's word is strong, for a word's count is the sum of its pairs'.
+    some = words.where(most > discounts[0]).join(shared, "word").orderBy("word").toArrow()
+    near = contexts.join(strong.select("before").distinct(), "before").orderBy("before").toArrow()
+    strong = strong.toArrow()
+    number = lambda t, c: t.column(c).to_numpy().astype(np.int64)
+    two = lambda t: np.column_stack([number(t, "n0"), number(t, "n1")])
+
+    def sorted_by(t: pa.Table, c: str) -> tuple[np.ndarray, np.ndarray]:
+        keys = number(t, c).view(np.uint64)
+        order = np.argsort(keys)
+        return keys[order], order
+
+    w, of_w = sorted_by(some, "word")
+    v, of_v = sorted_by(near, "before")
+    return Counts(number(strong, "before").view(np.uint64), number(strong, "word").view(np.uint64), two(strong), w, two(some)[of_w], number(some, "shared")[of_w], v, two(near)[of_v], np.array([over[-2] or 0, over[-1] or 0], float), kept, whole.pairs or 0, whole.size + 1), discounts
+
+
+def fitted(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> Model | None:
+    """A model whose counts cover all documents and all labelled rows but those that are held back for the calibration:
+    of a quarter by hash, at most most[class] / 4. Without both classes in both there is no model."""
+    chosen = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL").dropDuplicates()
+    quarter = chosen.where(F.pmod(F.xxhash64(F.lit(19), "doc_id"), F.lit(4)) == 3)
+    back = common.cut(quarter.where("label = 0").orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(-(-most[0] // 4)).unionByName(quarter.where("label = 1").orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(-(-most[1] // 4))))
+    rest, truth = common.labelled_texts(documents, back.withColumnRenamed("label", "toxic"), "toxic", most)
+    learnt = chosen.join(F.broadcast(back.select("doc_id").distinct()), "doc_id", "left_anti")
+    if len({*truth}) < 2 or learnt.select("label").distinct().count() < 2:
+        return None
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counts, discounts = counted(texts, texts.join(learnt, "doc_id"))
+    return _best(counts, discounts, rest, np.array(truth)) if counts.sums.all() else None
+
+
 def score(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST, threshold: float = THRESHOLD) -> DataFrame:
     """documents with score (0 to 1, higher: likelier toxic) and predicted (1 from the threshold on).
 
-    labels holds doc_id and toxic of the rows to learn from; at most most[class] of each class are used. Null and
+    labels holds doc_id and toxic of the rows to learn from; all are counted but at most most[class] / 4 of each class,
+    which calibrate. Null and
     empty texts get the score of no evidence. Rows with a null label are ignored. With no model to fit (a class is
     missing) every score is 0. Columns of documents named score or predicted are replaced; others pass through.
     """
-    model = fit(*common.labelled_texts(documents, labels, "toxic", most))
+    model = fitted(documents, labels, most)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     kept = documents.drop("score", "predicted")
     names = kept.columns

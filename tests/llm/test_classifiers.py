@@ -85,3 +85,25 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     other = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     run = lambda x: sorted((r.doc_id, r.text, r.score) for r in toxicity.score(docs, x.where(~held)).where("doc_id is not null and text is not null").collect())
     assert run(labels) == run(other)
+
+
+def test_counts_cover_all_labelled_rows_and_all_documents(spark):
+    docs, labels = frames(spark)
+    docs = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    small = toxicity.fitted(docs, labels, (8, 8))
+    assert small is not None
+    texts_of = {r.doc_id: r.text or "" for r in docs.collect()}
+    label_of = {r.doc_id: r.toxic for r in labels.where("toxic IS NOT NULL").collect() if r.doc_id in texts_of}
+    labelled = spark.createDataFrame([(texts_of[i], v) for i, v in label_of.items()], "text string, label int")
+    got, _ = toxicity.counted(docs, labelled)
+    triples, follows = {0: set(), 1: set()}, set()
+    for i, t in texts_of.items():
+        w = ["", "", *toxicity.WORD.findall(t.lower())]
+        follows |= set(zip(w[1:], w[2:], strict=False))
+        if i in label_of:
+            triples[label_of[i]] |= set(zip(w, w[1:], w[2:], strict=False))
+    assert got.sums.tolist() == [len(triples[0]), len(triples[1])] and got.pairs == len(follows)
+    for word in RUDE:
+        at = np.searchsorted(got.words, toxicity.hashes([word])[0])
+        assert got.of_word[at].tolist() == [sum(x[2] == word for x in triples[k]) for k in (0, 1)]
+        assert got.shared[at] == sum(x[1] == word for x in follows)
