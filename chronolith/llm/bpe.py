@@ -1,35 +1,38 @@
 """BPE encoding and decoding over a table of distinct words.
 
-Words are split off as the byte-level tokenizer itself splits them, their numbers of occurrences summed over the whole
-corpus, and each word of the resulting table encoded once; the table of the most frequent words, of bounded size, goes
-to every task, where ids are joined back by position. Words beyond it are encoded once in each batch of texts: to join
-every position of every word in a shuffle would move several times the corpus. Decoding looks each id up in the
-table of pieces, which has as many rows as the vocabulary.
+Words are split off as the byte-level tokenizer itself splits them. Texts are taken in chunks; a text becomes the
+positions of its words in its chunk's list of distinct words, and the chunks' lists meet, dealt by the words' hashes, in
+one table in which each distinct word of the corpus is encoded once. The ids go back to the chunks and are joined to the
+texts by position; decoding looks each id up in the table of pieces, which has as many rows as the vocabulary.
+
+What moves is packed: a chunk's words by range of hash, its ids in the same order, and positions instead of texts.
 """
 
 from __future__ import annotations
 
 import itertools
 import os
-from collections import Counter
+import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from chronolith.llm import common
+from chronolith.llm import cells, common
 
 #: The byte-level tokenizer's own splitting; white space as Unicode's property has it.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Beyond these characters two libraries may differ in Unicode's version: such texts are split by the tokenizer.
 SURE = regex.compile(r"[\x00-ɏ‐-‧‰-⁞€]*")
-#: Rows of the word table that are sent to tasks, and words that a task remembers beside it.
-TABLE_WORDS = 100_000
-REMEMBERED = 150_000
-#: Texts are taken in batches of about so many characters.
-BATCH_CHARS = 2_000_000
+#: A chunk ends with the text that brings it to so many characters or distinct words.
+CHUNK_CHARS, CHUNK_WORDS = 12_000_000, 250_000
 
 
 def default_path() -> str:
@@ -89,102 +92,169 @@ def decode_ids(ids: list[int], path: str | None = None) -> str:
     return b"".join(map(pieces(path).__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _chunks(texts: list[str]):
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_CHARS:
-            yield texts[at:i]
-            at, size = i, 0
-        size += len(t)
-    if texts:
-        yield texts[at:]
+def _shut(a: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(a if isinstance(a, bytes) else a.tobytes())
 
 
-def word_table(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """word and n, how often it occurs in all texts, one row for each distinct word. Null texts count as empty."""
+def _opened(b: bytes, dtype: str = "<i4") -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
 
-    def each(batches):
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in common.texts_of(batch):
-                seen.update(words(t, path))
-            if len(seen) > 400_000:
-                yield pa.RecordBatch.from_pydict({"word": list(seen.keys()), "n": list(seen.values())})
-                seen.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
-    return documents.select("text").mapInArrow(each, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def packed_words(found: list[bytes]) -> bytes:
+    sizes = np.array([len(w) for w in found], "<i4")
+    return _shut(np.array([len(found)], "<i4").tobytes() + sizes.tobytes() + b"".join(found))
+
+
+def unpacked_words(b: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(b)
+    n = int.from_bytes(raw[:4], "little")
+    ends = 4 * (n + 1) + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<i4", n, 4))])
+    return [raw[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def packed_ids(found: list[tuple[int, ...]]) -> bytes:
+    return _shut(np.concatenate([np.array([len(found)]), [len(x) for x in found], np.fromiter(itertools.chain.from_iterable(found), np.int64)]).astype("<i4"))
+
+
+def unpacked_ids(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each word has, and the ids."""
+    a = _opened(b)
+    return a[1 : a[0] + 1], a[a[0] + 1 :]
+
 
+#: Rows of the split corpus: of each chunk its words, a row for each range of hashes (part), and its texts (part null).
+SPLIT = "chunk string, part int, at long, packed binary"
 
-def encoded_words(table: DataFrame, path: str | None = None) -> DataFrame:
-    """The word table with ids, each word encoded once."""
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = encode_words(batch.column("word").to_pylist(), path)
-        return pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array([list(x) for x in ids], pa.list_(pa.int32()))], names=["word", "n", "ids"])
+def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
+    """documents but for text as chunks: SPLIT, then their columns. packed holds words, or for a text the positions of its
+    words among the chunk's, which stand by part and within it by their bytes."""
+    kept = documents.drop("text")
+    names, schema = kept.columns, StructType([*StructType.fromDDL(SPLIT).fields, *kept.schema.fields])
 
-    return common.arrow_map(table.select("word", "n"), "word string, n long, ids array<int>", each)
+    def made(index: dict[str, int], texts: list[np.ndarray], rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = [w.encode("utf-8", "surrogatepass") for w in index]
+        part = np.array([zlib.crc32(w) for w in raw], np.int64) % parts
+        order = sorted(range(len(raw)), key=lambda i: (part[i], raw[i]))
+        place = np.empty(len(raw), np.int32)
+        place[order] = np.arange(len(raw), dtype=np.int32)
+        chunk = f"{TaskContext.get().partitionId()}-{len(ended)}"
+        ended.append(chunk)
+        starts = cells.bounds(part[order]) if order else []
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            yield batch_of([chunk], [int(part[order[s]])], [0], [packed_words([raw[i] for i in order[s:e]])], None)
+        columns = pa.Table.from_batches(rows).combine_chunks() if names else None
+        size = 512
+        for k in range(0, len(texts), size):
+            some = texts[k : k + size]
+            yield batch_of([chunk] * len(some), [None] * len(some), range(k, k + len(some)), [_shut(place[p]) for p in some], columns.slice(k, size) if names else None)
 
+    def batch_of(chunk, part, at, packed, columns) -> pa.RecordBatch:
+        found = [pa.array(chunk, pa.string()), pa.array(part, pa.int32()), pa.array(at, pa.int64()), pa.array(packed, pa.binary())]
+        if columns is None:
+            found += [pa.nulls(len(found[0]), t) for t in types[0]]
+        else:
+            found += [c.combine_chunks() for c in columns.columns]
+        return pa.RecordBatch.from_arrays(found, names=schema.names)
 
-def _frequent(documents: DataFrame, path: str | None, size: int) -> dict[str, tuple[int, ...]]:
-    """The most frequent words with their ids, at most size: all from the lowest step of frequency on that still fits."""
-    step = F.floor(F.log2("n") * 8)
-    table = common.cut(word_table(documents, path))
-    steps = sorted(((r.step, r["count"]) for r in table.groupBy(step.alias("step")).count().collect()), reverse=True)  # 8 * 64 rows at most
-    fits = [s for (s, _), total in zip(steps, itertools.accumulate(n for _, n in steps), strict=True) if total <= size]
-    if not fits:
-        return {}
-    top = encoded_words(table.where(step >= fits[-1]), path)
-    return {r.word: tuple(r.ids) for r in top.select("word", "ids").collect()}
+    types: list = [None]
+    ended: list[str] = []  # chunks of this task
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, texts, rows, size = {}, [], [], 0
+        ended.clear()
+        for batch in batches:
+            other = batch.select(names) if names else batch
+            types[0], first = [f.type for f in other.schema] if names else [], 0
+            for k, t in enumerate(common.texts_of(batch)):
+                texts.append(np.fromiter((index.setdefault(w, len(index)) for w in words(t, path)), np.int32))
+                size += len(t)
+                if size >= CHUNK_CHARS or len(index) >= CHUNK_WORDS:
+                    yield from made(index, texts, [*rows, other.slice(first, k + 1 - first)])
+                    index, texts, rows, size, first = {}, [], [], 0, k + 1
+            if first < batch.num_rows:
+                rows.append(other.slice(first))
+        if texts:
+            yield from made(index, texts, rows)
+
+    return common.arrow_batches(documents.select("text", *names), schema, each)
+
+
+def encoded_words(table: DataFrame, path: str | None, parts: int) -> DataFrame:
+    """chunk, part and packed ids for rows of words (chunk, part, packed): each distinct word is encoded once."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        lists = [unpacked_words(b) for b in rows.column("packed").to_pylist()]
+        distinct = sorted(set(itertools.chain.from_iterable(lists)))
+        of = dict(zip(distinct, encode_words([w.decode("utf-8", "surrogatepass") for w in distinct], path), strict=True))
+        packed = [packed_ids([of[w] for w in some]) for some in lists]
+        return pa.RecordBatch.from_arrays([rows.column("chunk").combine_chunks(), rows.column("part").combine_chunks(), pa.array(packed, pa.binary())], names=["chunk", "part", "packed"])
 
-def encode(documents: DataFrame, path: str | None = None, table_words: int = TABLE_WORDS, keep_ids: bool = True) -> DataFrame:
-    """documents with n_tokens (long), ids (array of int, left out without keep_ids), id_list (the ids in decimal, joined by
-    commas) and decoded (the ids turned back into text).
+    dealt = table.repartition(parts, "part").sortWithinPartitions("part")
+    return common.arrow_batches(dealt, "chunk string, part int, packed binary", lambda batches: cells.each_group(batches, work, "part", 1))
+
+
+def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True) -> DataFrame:
+    """documents without text, with n_tokens (long), ids (array of int, left out without keep_ids), id_list (the ids in
+    decimal, joined by commas) and decoded (the ids turned back into text).
 
     As the tokenizer with add_special_tokens=False: special tokens that occur in a text become their ids. Null and empty
-    texts have no ids. Columns of these names are replaced; others pass through.
+    texts have no ids; very long ones are a chunk of their own. Repeated rows each give a row, an empty table none.
+    Columns of these names, and those of SPLIT, are replaced; others pass through.
     """
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(_frequent(documents, path, table_words))
-    added = ["n_tokens", *(["ids"] if keep_ids else []), "id_list", "decoded"]
-    kept = documents.drop("n_tokens", "ids", "id_list", "decoded")
-    names = [*kept.columns, *added]
-
-    def each(batches):
-        table = dict(shared.value)  # the frequent words, and behind them the rarer ones that this task has met
-        frequent = len(table)
-        written = [str(i) for i in range(len(pieces(path)))]
-        types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
+    added = StructType.fromDDL("n_tokens long, " + "ids array<int>, " * keep_ids + "id_list string, decoded string")
+    kept = documents.drop("n_tokens", "ids", "id_list", "decoded", *StructType.fromDDL(SPLIT).names)
+    parts = common.partitions(spark)
+    corpus = common.written(split(kept, path, parts), "bpe-split")
+    ids = encoded_words(corpus.where("part IS NOT NULL").select("chunk", "part", "packed"), path, parts)
+    names = [c for c in kept.columns if c != "text"]
+    both = corpus.where("part IS NULL").unionByName(ids, allowMissingColumns=True)
+    both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last(), "at")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, written = pieces(path), [str(i) for i in range(len(pieces(path)))]
+        now, held, texts, raw, many, flat = None, [], [], [], None, None
         for batch in batches:
-            at = 0
-            for texts in _chunks(common.texts_of(batch)):
-                split = [words(t, path) for t in texts]
-                if len(table) - frequent > REMEMBERED:
-                    table = dict(shared.value)
-                missing = [w for w in set(itertools.chain.from_iterable(split)) if w not in table]
-                table.update(zip(missing, encode_words(missing, path), strict=True))
-                rows = []
-                for found in split:  # ids are joined back by position
-                    ids = list(itertools.chain.from_iterable(map(table.__getitem__, found)))
-                    rows.append((len(ids), *([ids] if keep_ids else []), ",".join(map(written.__getitem__, ids)), decode_ids(ids, path)))
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(texts)).columns, *columns], names=names)
-                at += len(texts)
-
-    more = "n_tokens long, " + "ids array<int>, " * keep_ids + "id_list string, decoded string"
-    return kept.mapInArrow(each, f"{kept._jdf.schema().toDDL()}, {more}")
+            columns = {c: batch.column(c).to_pylist() for c in ("chunk", "part", "packed")}
+            rows, keep = [], []
+            for k, (chunk, part, packed) in enumerate(zip(*columns.values(), strict=True)):
+                if chunk != now:
+                    now, held, many = chunk, [], None
+                if part is not None:
+                    held.append(unpacked_ids(packed))
+                    continue
+                if many is None:  # the chunk's words are complete: what each stands for is written and looked up once
+                    many, flat = (np.concatenate([np.zeros(0, np.int32), *(h[i] for h in held)]) for i in (0, 1))
+                    ends = np.concatenate([[0], np.cumsum(many)])
+                    of = flat.tolist()
+                    spans = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                    texts = [",".join([written[i] for i in of[s:e]]) for s, e in spans]
+                    raw = [b"".join([piece[i] for i in of[s:e]]) for s, e in spans]
+                    held = []
+                at = _opened(packed)
+                place = at.tolist()
+                size = many[at]
+                row = [int(size.sum())]
+                if keep_ids:
+                    shift = np.repeat(ends[:-1][at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) if len(at) else np.zeros(0, np.int64)
+                    row.append(flat[shift + np.arange(len(shift))])
+                rows.append((*row, ",".join([texts[i] for i in place]), b"".join([raw[i] for i in place]).decode("utf-8", "replace")))
+                keep.append(k)
+            if rows:
+                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                some = batch.select(names).take(pa.array(keep)) if names else None
+                yield pa.RecordBatch.from_arrays([*(some.columns if names else []), *made], names=[*names, *added.names])
+
+    types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
+    schema = StructType([*(f for f in kept.schema.fields if f.name != "text"), *added.fields])
+    return common.arrow_batches(both, schema, each)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """encoded (with ids) with decoded: the pieces of the ids, looked up by id and read as UTF-8. Null ids give ''."""
-    kept = encoded.drop("decoded")
-
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [decode_ids(ids or [], path) for ids in batch.column("ids").to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
-
-    return common.arrow_map(kept, f"{kept._jdf.schema().toDDL()}, decoded string", each)
+    """encoded (with ids) with decoded: the pieces of the ids, looked up by id and read as UTF-8. Null ids give ''. A column
+    of that name is replaced, others pass through."""
+    return common.with_columns(encoded.drop("decoded"), "decoded string", lambda batch, _: [pa.array([decode_ids(ids or [], path) for ids in batch.column("ids").to_pylist()], pa.string())])
 
 
 def digests(encoded: DataFrame) -> DataFrame:

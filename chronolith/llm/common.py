@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space that separates words, as one character class of Java and Python patterns.
 BLANK = r"\x20\x09-\x0D"
@@ -20,9 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see: the one the cluster names, or in tests one of our own."""
+    """A folder that the driver and all executors see: the one the cluster names. In local mode, where there is but one
+    machine, one of our own will do; elsewhere it must be named."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -48,19 +53,34 @@ def bucket_of(column: Column, modulus: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % modulus
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, most: tuple[int, int]) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most so many labelled rows of classes 0 and 1, those with the smallest hash of their id; in an
-    order without pattern. Labels other than 0 and 1 and labels without a document are left out."""
-    chosen = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().dropDuplicates()
+def least_by_hash(rows: DataFrame, most: tuple[int, int]) -> DataFrame:
+    """Of rows (doc_id, label) with label 0 and 1 at most so many each, those with the smallest hash of their id."""
     order = [F.xxhash64(F.lit(17), "doc_id"), "doc_id"]
-    parts = [chosen.where(F.col("label") == v).orderBy(*order).limit(n) for v, n in enumerate(most)]
-    few = F.broadcast(parts[0].unionByName(parts[1]))  # most[0] + most[1] rows at most
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(few, "doc_id").collect()
-    rows.sort(key=lambda r: (str(r.doc_id)[::-1], r.text, r.label))
-    return [r.text for r in rows], [r.label for r in rows]
+    parts = [rows.where(F.col("label") == v).orderBy(*order).limit(n) for v, n in enumerate(most)]
+    return parts[0].unionByName(parts[1])
 
 
-def arrow_map(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+def labelled_texts(documents: DataFrame, chosen: DataFrame) -> tuple[list[str], list[int]]:
+    """Texts and labels of chosen (doc_id and label of a bounded number of rows), in an order without pattern; a text for
+    each id, of rows that repeat it the one with the smallest hash. Ids without a document are left out."""
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
+    found.sort(key=lambda r: (str(r.doc_id)[::-1], r.label))
+    return [r.text for r in found], [r.label for r in found]
+
+
+#: Bytes of a batch of rows on its way between Spark and Python, and rows: what a worker holds at once follows from these.
+BATCH_BYTES, BATCH_ROWS = 4 * 1024 * 1024, 4096
+
+
+def arrow_batches(df: DataFrame, schema: str | StructType, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """function on the Arrow batches of each task, which are held small for this session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
+def arrow_map(df: DataFrame, schema: str | StructType, function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """function on each Arrow batch."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +88,15 @@ def arrow_map(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], p
             if batch.num_rows:
                 yield function(batch)
 
-    return df.mapInArrow(each, schema)
+    return arrow_batches(df, schema, each)
+
+
+def with_columns(df: DataFrame, more: str, function: Callable[[pa.RecordBatch, object], list[pa.Array]], model: object = None) -> DataFrame:
+    """df with columns more (as DDL), which function makes of each Arrow batch and of the model, sent to every task."""
+    added = StructType.fromDDL(more)
+    names = [*df.columns, *added.names]
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return arrow_map(df, StructType([*df.schema.fields, *added.fields]), lambda batch: pa.RecordBatch.from_arrays([*batch.columns, *function(batch, shared.value)], names=names))
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
@@ -89,12 +117,16 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge * max(1, len(x)))
     penalty[-1] = 1e-9
+    loss = lambda w: np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ w)).sum() + (penalty * w * w).sum() / 2
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (p - y) + penalty * w
         h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(h, g)
-        w -= step
+        now = loss(w)
+        while np.abs(step).max() > 1e-12 and loss(w - step) > now:  # a full step may go too far
+            step = step / 2
+        w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return w

@@ -1,9 +1,11 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
-A text that one dictionary compresses better resembles the texts that dictionary was built from. Its evidence is the
-difference of the two compressed sizes over its own size, how far each dictionary shrinks it, and the same for its first
-and later blocks taken alone (a long text teaches the compressor itself, so its later blocks are compressed afresh);
-a logistic fit on labelled texts outside the dictionaries calibrates it.
+A text that one dictionary compresses better resembles the texts that dictionary was built from. Its evidence are
+differences of compressed sizes, normalised by its own size and by what it shrinks to without a dictionary, beside these
+two sizes' ratio and its length; a logistic fit, quadratic as short texts bend the boundary, on labelled texts outside
+the dictionaries calibrates it. The difference alone finds about three quarters of what this finds among bad texts. A
+text is compressed in blocks, each on its own: else a long one would teach the compressor itself, and the dictionaries
+would no longer matter.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chronolith.llm import common
 
@@ -58,32 +61,34 @@ class Model:
         n = len(raw)
         if not n:
             return 0.0, 0.0, 0.0, 0.0, 0.0
-        plain, good, bad = self.compressors()
-        blocks = [raw[i : i + BLOCK] for i in range(0, n, BLOCK)]
-        if len(blocks) > 1 and len(blocks[-1]) < BLOCK // 4:
-            blocks[-2:] = [blocks[-2] + blocks[-1]]
-        g = sum(len(good(b)) for b in blocks) / n
-        b = sum(len(bad(x)) for x in blocks) / n
-        p = sum(len(plain(x)) for x in blocks) / n
-        return g - b, (g - b) / p, g, p, float(np.log1p(n))
+        plain, good, bad = (sum(len(compress(b)) for b in blocks(raw)) / n for compress in self.compressors())
+        return good - bad, (good - bad) / plain, good, plain, float(np.log1p(n))
 
     def score(self, texts: list[str]) -> np.ndarray:
         return common.logistic_apply(self.weights, _squared(np.array([self.evidence(t) for t in texts]).reshape(-1, 5)))
 
 
 def _squared(x: np.ndarray) -> np.ndarray:
-    """The evidence, its squares and products with the first: the boundary is curved where texts are short."""
+    """The evidence, its squares and products with the first."""
     x = x * np.array([10, 10, 5, 5, 0.3])
     return np.column_stack([x, x**2, x[:, :1] * x[:, 2:], x[:, 2:3] * x[:, 3:4]])
 
 
+def blocks(raw: bytes) -> list[bytes]:
+    """All of raw in pieces of BLOCK bytes; a short rest joins the piece before it."""
+    found = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
+    if len(found) > 1 and len(found[-1]) < BLOCK // 4:
+        found[-2:] = [found[-2] + found[-1]]
+    return found
+
+
 def _dictionary(texts: list[str]) -> bytes:
-    """A trained dictionary; with too little text to train on, the text itself."""
-    samples = [t.encode("utf-8", "replace")[i : i + BLOCK] for t in texts for i in range(0, max(1, len(t)), 3 * BLOCK)]
+    """A dictionary trained on every block; of too few blocks to train on, the blocks themselves."""
+    samples = [b for t in texts for b in blocks(t.encode("utf-8", "replace"))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(samples)[-DICTIONARY_BYTES:] or b"\n"
+        return b"".join(samples) or b"\n"
 
 
 def fit(texts: list[str], labels: list[int]) -> Model | None:
@@ -100,22 +105,29 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     return model
 
 
+def fitted(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> Model | None:
+    """A model of at most most[class] labelled texts of each class, those with the smallest hash of their id."""
+    chosen = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
+    # A row that has both labels has none.
+    chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("also")).where("label = also").drop("also")
+    return fit(*common.labelled_texts(documents, common.least_by_hash(chosen, most)))
+
+
 def score(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST, threshold: float = THRESHOLD) -> DataFrame:
     """documents with score (0 to 1, higher: likelier good) and predicted (1 from the threshold on).
 
     labels holds doc_id and quality of the rows to learn from; at most most[class] of each class are used. Null and
-    empty texts get the score of no evidence. Rows with a null label are ignored. With no model to fit (a class is
-    missing) every score is 0. Columns of documents named score or predicted are replaced; others pass through.
+    empty texts get the score of no evidence. Rows with a null label or id are ignored, a row that is labelled both 0
+    and 1 has no label, repeated labels count once. Ties of the hash that chooses the sample go by doc_id. With no model
+    to fit (a class is missing, no documents) every score is 0. An empty table gives no rows. Columns of documents named
+    score or predicted are replaced; others pass through.
     """
-    model = fit(*common.labelled_texts(documents, labels, "quality", most))
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    model = fitted(documents, labels, most)
     kept = documents.drop("score", "predicted")
-    names = kept.columns
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = shared.value
+    def each(batch: pa.RecordBatch, model: Model | None) -> list[pa.Array]:
         texts = common.texts_of(batch)
         s = model.score(texts) if model else np.zeros(len(texts))
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*names, "score", "predicted"])
+        return [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
 
-    return common.arrow_map(kept, f"{kept._jdf.schema().toDDL()}, score double, predicted int", each)
+    return common.with_columns(kept, "score double, predicted int", each, model)

@@ -1,14 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney word models.
 
-Two bigram models, one of the toxic and one of the ordinary labelled texts, interpolate down to class unigrams and from
-there to continuation counts that both classes share, so an expression that is rare in both has the same likelihood in
-both. All labelled texts but those of the calibration are counted for their class, and the shared counts are of all
-documents; Spark counts both. A text's evidence is the difference of its two length-normalised log-likelihoods; beside
-it stand the same difference over its most telling words (a few slurs in a long text) and its length. A logistic fit on
-labelled texts that the counts have not seen turns the evidence into a probability.
-
-Words and pairs are known by 64-bit hashes, whatever their number. What reaches the driver and the tasks are the words
-and pairs that a class counts more often than the discount; what is below it is smoothed by the backoff.
+Two bigram models, one of the toxic and one of the ordinary labelled texts. A pair's occurrences, less a discount that
+follows from the class's counts of counts (modified Kneser-Ney), back off to the class's continuation counts (after how
+many words a word stands), and these to continuation counts that both classes share and that cover all documents.
+What neither class has often enough is rare: it is left to the shared backoff, so it says the same under both models.
+A text's evidence is the difference of its two length-normalised log-likelihoods, taken over its most toxic passage (the
+whole text where it is shorter): a slur must not be diluted by the length of what surrounds it. A logistic fit of this
+one number, on labelled texts that the counts have not seen, turns it into a probability.
+
+Words are known by 64-bit hashes. One pass over the documents counts pairs in each task and hands them on packed, by
+range of the word's hash; a second step merges the ranges.
 """
 
 from __future__ import annotations
@@ -23,30 +24,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolith.llm import common
+from chronolith.llm import cells, common
 
 WORD = re.compile(r"\w+")
-#: Labelled rows of the ordinary and of the toxic class, a quarter of which at most is held back for the calibration and
-#: the choice of the discount: a documented bound on the texts that reach the driver.
-MOST = (4500, 1500)
-#: Words and pairs above the least discount that reach the driver, at most. With more of them the discounts double; as
-#: the counts above a discount are no more than their sum divided by it, that comes to an end.
-MOST_STRONG = 1_500_000
-#: Words that a task counts before it hands on what is distinct among them.
-AT_ONCE = 4_000_000
-#: Counts taken from each expression for the shared backoff; the one that predicts held-back labels best is used.
-DISCOUNTS = (2.0, 5.0, 12.0, 25.0)
+#: Labelled rows of the ordinary and of the toxic class that are held back from the counts for the calibration, at most: a
+#: documented bound on the texts that reach the driver. A quarter of the labelled rows is held back where that is fewer.
+MOST = (1125, 375)
+#: An expression is rare if in neither class it stands in this share of the texts; the share that predicts held-back labels
+#: best is used.
+SHARES = (0.002, 0.005, 0.01, 0.015, 0.02, 0.03, 0.05)
+#: It is also rare in fewer texts than this, and with a smaller share of all that its class has: no class has more than
+#: 1 / MASS expressions that aren't rare, whatever its size, which bounds what reaches the driver and the tasks.
+LEAST, MASS = 2, 5e-6
+#: Words of a passage; 0: the whole text.
+PASSAGES = (0, 32, 8, 3, 1)
+#: Labels are sent to every task up to this number of rows, beyond it texts and labels meet in a shuffle.
+LABELS_SENT = 2_000_000
+#: Words that a task counts before it hands on what they hold.
+AT_ONCE = 2_000_000
 THRESHOLD = 0.3
+CONTEXT = np.uint64((1 << 40) - 1)
+_DISCOUNT = 0.75
 
 
 @dataclass
 class Model:
-    """Sorted hashes of the words, contexts and pairs that a class counts above the discount, with the log-likelihood
-    ratios of word, of backoff weight and of pair. First come the word that stands for all others, and the context of a
-    text's start. weights: of the calibration."""
+    """Sorted hashes of the words, contexts (40 bits) and pairs that aren't rare, with the log-likelihood ratios of word, of
+    backoff weight and of pair; other: of a rare word. passage: its number of words; weights: of the calibration."""
 
     words: np.ndarray
     unigram: np.ndarray
+    other: float
     contexts: np.ndarray
     tail: np.ndarray
     pairs: np.ndarray
@@ -54,30 +62,39 @@ class Model:
     weights: np.ndarray | None = None
 
     def word_ratios(self, text: str) -> np.ndarray:
+        """Of each word the logarithm of its toxic likelihood over its ordinary one."""
         ids = hashes(WORD.findall(text.lower()))
         if not len(ids):
             return np.zeros(0)
-        before = np.concatenate([[np.uint64(0)], ids[:-1]])
-        out = _looked_up(self.words, self.unigram, ids, self.unigram[0]) + _looked_up(self.contexts, self.tail, before, 0.0)
+        before = np.concatenate([[np.uint64(0)], ids[:-1]]) & CONTEXT
+        out = _looked_up(self.words, self.unigram, ids, self.other) + _looked_up(self.contexts, self.tail, before, 0.0)
         return _looked_up(self.pairs, self.ratios, pair_of(before, ids), out)
 
-    def evidence(self, text: str) -> tuple[float, float, float, float]:
-        r = self.word_ratios(text)
-        n = len(r)
-        if not n:
-            return 0.0, 0.0, 0.0, 0.0
-        top = np.sort(r)[-3:] if n <= 3 else np.partition(r, n - 3)[-3:]
-        return float(r.mean()) * 10, float(top.max()), float(top.sum()) / 3, float(np.log1p(n))
-
     def score(self, texts: list[str]) -> np.ndarray:
-        return common.logistic_apply(self.weights, np.array([self.evidence(t) for t in texts]).reshape(-1, 4))
+        x = np.array([evidence(self.word_ratios(t)) for t in texts])
+        return common.logistic_apply(self.weights, x.reshape(-1, len(PASSAGES)))
+
+
+def highest(ratios: np.ndarray, passage: int) -> float:
+    """The highest mean over so many neighbouring words; the mean of all where there are no more. No words: 0."""
+    n = len(ratios)
+    if not n:
+        return 0.0
+    if not passage or n <= passage:
+        return float(ratios.mean())
+    total = np.concatenate([[0.0], np.cumsum(ratios)])
+    return float((total[passage:] - total[:-passage]).max()) / passage
+
+
+def evidence(ratios: np.ndarray) -> list[float]:
+    return [highest(ratios, p) for p in PASSAGES]
 
 
 _known: dict[str, int] = {}
 
 
 def hashes(words: list[str]) -> np.ndarray:
-    if len(_known) > 500_000:
+    if len(_known) > 300_000:
         _known.clear()
     for w in set(words).difference(_known):
         _known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
@@ -95,80 +112,173 @@ def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, other)
     return np.where(keys[at] == wanted, values[at], other)
 
 
-def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
-    """The distinct rows of these columns; they are told apart in full, not packed into one number."""
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return [c[new] for c in columns]
+@dataclass
+class Tally:
+    """Counts of labelled texts by class; an expression counts once in a text, as texts repeat their own words.
 
+    words: sorted hashes; texts: in how many a word stands; followed: how many pairs start with it, a text's pairs
+    counted once; pairs: how many different contexts a word has, which stand in before (40 bits, sorted within their
+    word), n: in how many texts such a pair stands. Texts without a label add contexts alone. Hash 0 is the start of a
+    text, which only precedes.
+    """
 
-def _contexts(texts: list[str]) -> list[np.ndarray]:
-    """Distinct (before, word, the word before both) of the texts. Numbers of contexts, not of occurrences, are what
-    Kneser-Ney counts below its highest order; copies of a text add nothing."""
-    found = [np.concatenate([np.zeros(2, np.uint64), hashes(WORD.findall(t.lower()))]) for t in texts]
-    join = lambda first, until: np.concatenate([np.zeros(0, np.uint64), *(f[first : len(f) + until] for f in found)])
-    return _distinct(join(1, -1), join(2, 0), join(0, -2))
+    words: np.ndarray
+    texts: np.ndarray
+    followed: np.ndarray
+    pairs: np.ndarray
+    before: np.ndarray
+    n: np.ndarray
+
+    def slices(self, parts: int) -> Iterator[tuple[int, Tally]]:
+        """The words of each of so many ranges of hashes that has any."""
+        part = (self.words >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        starts = cells.bounds(part) if len(part) else []
+        at = np.concatenate([[0], np.cumsum(self.pairs)])
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            yield int(part[s]), Tally(self.words[s:e], self.texts[s:e], self.followed[s:e], self.pairs[s:e], self.before[at[s] : at[e]], self.n[at[s] : at[e]])
+
+    def packed(self) -> tuple[bytes, ...]:
+        before = np.ascontiguousarray(self.before.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+        return self.words.tobytes(), self.texts.tobytes(), self.followed.tobytes(), self.pairs.tobytes(), before.tobytes(), self.n.tobytes()
+
+    @staticmethod
+    def unpacked(words: bytes, texts: bytes, followed: bytes, pairs: bytes, before: bytes, n: bytes) -> Tally:
+        wide = np.zeros((len(before) // 5, 8), np.uint8)
+        wide[:, :5] = np.frombuffer(before, np.uint8).reshape(-1, 5)
+        two = lambda b: np.frombuffer(b, np.int64).reshape(-1, 2)
+        return Tally(np.frombuffer(words, np.uint64), two(texts), two(followed), np.frombuffer(pairs, np.int64), wide.view("<u8").ravel().astype(np.uint64), two(n))
+
+
+def _tallied(word: np.ndarray, before: np.ndarray, n: np.ndarray, of: np.ndarray, sums: np.ndarray) -> Tally:
+    """Sums of equal pairs (word, before, n by class), and of equal words (of: the words; sums: texts and followed)."""
+    words, index = np.unique(np.concatenate([of, word]), return_inverse=True)
+    both = np.zeros((len(words), 4), np.int64)
+    np.add.at(both, index[: len(of)], sums)
+    index = index[len(of) :].astype(np.uint64)
+    order = np.argsort((index << np.uint64(40)) | before, kind="stable")
+    index, before, n = index[order], before[order], n[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (index[1:] != index[:-1]) | (before[1:] != before[:-1])
+    starts = np.flatnonzero(new)
+    n = np.add.reduceat(n, starts, axis=0) if len(starts) else n
+    return Tally(words, both[:, :2], both[:, 2:], np.bincount(index[starts].astype(np.int64), minlength=len(words)), before[starts], n)
+
+
+def tally(texts: list[str], labels: list[int | None]) -> Tally:
+    """Counts of these texts; a label that isn't 0 or 1 is none."""
+    word, before, sums, of, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros((0, 4), np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
+    unit = {v: np.array([[v == 0, v == 1]], np.int64) for v in (0, 1)}
+    for t, v in zip(texts, labels, strict=True):
+        ids = hashes(WORD.findall(t.lower()))
+        first = np.concatenate([np.zeros(min(1, len(ids)), np.uint64), ids[:-1]])
+        once = np.unique(pair_of(first & CONTEXT, ids), return_index=True)[1]
+        ids, first = ids[once], first[once]
+        word.append(ids)
+        before.append(first & CONTEXT)
+        n.append(np.repeat(unit[v] if v in unit else np.zeros((1, 2), np.int64), len(ids), axis=0))
+        if v in unit:
+            some, many = np.unique(first, return_counts=True)
+            own = np.unique(ids)
+            of += [own, some]
+            sums += [np.repeat(np.concatenate([unit[v], 0 * unit[v]], axis=1), len(own), axis=0), many[:, None] * np.concatenate([0 * unit[v], unit[v]], axis=1)]
+    join = np.concatenate
+    return _tallied(join(word), join(before), join(n), join(of), join(sums))
+
+
+def merged(parts: list[Tally]) -> Tally:
+    join = lambda name: np.concatenate([getattr(p, name) for p in parts])
+    return _tallied(np.concatenate([np.repeat(p.words, p.pairs) for p in parts]), join("before"), join("n"), join("words"), np.column_stack([join("texts"), join("followed")]))
 
 
 @dataclass
 class Counts:
-    """Of the pairs that are strong, or whose word or context is: before, word and counts by class (n by 2); of the strong
-    words: hash, counts by class and shared (numbers of words that they follow); of the contexts: hash and counts by
-    class; sums by class; pairs and size: how many pairs and words are shared."""
+    """Of what isn't rare: words with numbers of texts and continuation counts by class, and continuation counts shared;
+    contexts (40 bits) with their pairs by class, pairs (before, word) with numbers of texts by class. totals: sums over
+    everything, by name. learnt: numbers of texts by class."""
 
-    before: np.ndarray
-    word: np.ndarray
-    n: np.ndarray
     words: np.ndarray
+    texts: np.ndarray
     of_word: np.ndarray
     shared: np.ndarray
     contexts: np.ndarray
     of_context: np.ndarray
-    sums: np.ndarray
-    kept: dict[float, np.ndarray]
-    pairs: int
-    size: int
+    before: np.ndarray
+    word: np.ndarray
+    n: np.ndarray
+    totals: dict[str, float]
+    learnt: tuple[int, int]
+
 
+#: Names of what is summed over all words and pairs, for both classes: pairs of texts, words of texts, continuation counts, and how
+#: many pairs and words have a count of 1 to 4; then the shared contexts and words.
+TOTALS = (*(f"{name}{k}" for name in ("pairs", "texts", "continuations", *(f"pairs_of_{r}_" for r in (1, 2, 3, 4)), *(f"words_of_{r}_" for r in (1, 2, 3, 4))) for k in (0, 1)), "contexts", "words")
 
-def count_model(c: Counts, discount: float) -> Model:
-    """The two Kneser-Ney models as tables of log-likelihood ratios."""
-    # Shared backoff: after how many words a word stands, with room for an unseen one.
-    shared = (c.shared + 1.0) / (c.pairs + c.size)
+
+def _summary(t: Tally) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """TOTALS of t, and of each word its continuation counts by class and shared."""
+    has = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(t.n > 0, axis=0)])
+    ends = np.cumsum(t.pairs)
+    of_word = has[ends] - has[ends - t.pairs]
+    many = lambda c: [int((c[:, k] == r).sum()) for r in (1, 2, 3, 4) for k in (0, 1)]
+    return [*map(int, t.n.sum(0)), *map(int, t.texts.sum(0)), *map(int, of_word.sum(0)), *many(t.n), *many(of_word), int(t.pairs.sum()), int((t.pairs > 0).sum())], of_word, t.pairs
+
+
+def discounts(counts_of_counts: list[float]) -> np.ndarray:
+    """What modified Kneser-Ney takes from a count of 1, of 2 and of 3 or more, by how many have a count of 1 to 4."""
+    n = np.array(counts_of_counts, float)
+    out = np.full(4, _DISCOUNT)
+    out[0] = 0.0
+    if (n > 0).all():
+        y = n[0] / (n[0] + 2 * n[1])
+        out[1:] = [r + 1 - (r + 2) * y * n[r + 1] / n[r] for r in range(3)]
+        out[1:] = np.clip(out[1:], 0.05, np.arange(1, 4) - 0.05)
+    return out
+
+
+def _over(counts: np.ndarray, cut: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Counts less their discount; nothing of what is rare."""
+    return np.where(rare | (counts <= 0), 0.0, counts - cut[np.clip(counts, 0, 3)])
+
+
+def count_model(c: Counts, share: float) -> Model:
+    """The two models as tables of log-likelihood ratios, with what stands in less than this share of the texts as rare."""
+    t = c.totals
+    rare = lambda n, name: (n < [max(LEAST, share * c.learnt[k], MASS * t[f"{name}{k}"]) for k in (0, 1)]).all(1)
+    rare_pair, rare_word = rare(c.n, "pairs"), rare(c.texts, "texts")
+    shared = (c.shared + 1.0) / (t["contexts"] + t["words"] + 1)
     at = lambda keys, wanted: np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-    w, v = at(c.words, c.word), at(c.contexts, c.before)
-    log_uni, log_tail, log_pair, log_other, strong = [], [], [], [], np.zeros(len(c.n), bool)
+    v = at(c.contexts, c.before)
+    w = at(c.words, c.word)
+    over_word, over_pair = (
+        np.column_stack([_over(n[:, k], discounts([t[f"{name}_of_{r}_{k}"] for r in (1, 2, 3, 4)]), rare) for k in (0, 1)])
+        for n, name, rare in ((c.of_word, "words", rare_word), (c.n, "pairs", rare_pair))
+    )
+    # What the discounts and rare expressions leave is the backoff's weight, of both classes together: else the smaller
+    # class, which leaves more, would have every rare expression on its side.
+    weight = max(1 - over_word.sum() / max(t["continuations0"] + t["continuations1"], 1.0), 1e-9)
+    of_context = np.column_stack([np.bincount(v, weights=over_pair[:, k], minlength=len(c.contexts)) for k in (0, 1)]) if len(v) else np.zeros((len(c.contexts), 2))
+    left = np.maximum(1 - of_context.sum(1) / np.maximum(c.of_context.sum(1), 1), 1e-9)
+    uni, tail, pair = [], [], []
     for k in (0, 1):
-        total = max(float(c.sums[k]), 1.0)
-        weight = max(1 - c.kept[discount][k] / total, 1e-9)
-        p = np.maximum(c.of_word[:, k] - discount, 0) / total + weight * shared
-        over = np.maximum(c.n[:, k] - discount, 0)
-        context = c.of_context[:, k]
-        tail = np.where(context > 0, 1 - np.bincount(v, weights=over, minlength=len(c.contexts)) / np.maximum(context, 1), 1.0)
-        tail = np.maximum(tail, 1e-9)
-        strong |= over > 0
-        log_uni.append(np.log(p))
-        log_tail.append(np.log(tail))
-        log_pair.append(np.log(over / np.maximum(context[v], 1) + tail[v] * p[w]))
-        log_other.append(np.log(weight))
-    keys = pair_of(c.before, c.word)[strong]
+        p = (1 - weight) * over_word[:, k] / max(over_word[:, k].sum(), 1e-9) + weight * shared
+        # A class that knows no pair of a context has its words there as anywhere.
+        known = of_context[:, k] > 0
+        rest = np.where(known, left, 1.0)
+        uni.append(np.log(p))
+        tail.append(np.log(rest))
+        pair.append(np.log((1 - rest[v]) * over_pair[:, k] / np.maximum(of_context[v, k], 1e-9) + rest[v] * p[w]) if len(v) else np.zeros(0))
+    kept = ~rare_pair
+    keys = pair_of(c.before, c.word)[kept]
     order = np.argsort(keys)
-    first = np.zeros(1, np.uint64)
-    contexts, tail = c.contexts, log_tail[1] - log_tail[0]
-    if not len(contexts) or contexts[0]:
-        contexts, tail = np.concatenate([first, contexts]), np.concatenate([[0.0], tail])
-    unigram = np.concatenate([[log_other[1] - log_other[0]], log_uni[1] - log_uni[0]])
-    return Model(np.concatenate([first, c.words]), unigram, contexts, tail, keys[order], (log_pair[1] - log_pair[0])[strong][order])
+    return Model(c.words[~rare_word], (uni[1] - uni[0])[~rare_word], 0.0, c.contexts, tail[1] - tail[0], keys[order], (pair[1] - pair[0])[kept][order])
 
 
-def _best(counts: Counts, discounts: tuple[float, ...], rest: list[str], truth: np.ndarray) -> Model:
+def _best(counts: Counts, rest: list[str], truth: np.ndarray) -> Model:
     best, least = None, np.inf
-    for discount in discounts:
-        model = count_model(counts, discount)
-        x = np.array([model.evidence(t) for t in rest])
-        model.weights = common.logistic_fit(x, truth)
+    for share in SHARES:
+        model = count_model(counts, share)
+        x = np.array([evidence(model.word_ratios(t)) for t in rest])
+        model.weights = common.logistic_fit(x, truth, ridge=1e-3)
         p = common.logistic_apply(model.weights, x)
         loss = -np.log(np.where(truth == 1, p, 1 - p) + 1e-9).mean()
         if loss < least:
@@ -176,138 +286,122 @@ def _best(counts: Counts, discounts: tuple[float, ...], rest: list[str], truth:
     return best
 
 
-def fit(texts: list[str], labels: list[int]) -> Model | None:
-    """A model of texts that are at hand: three quarters give the counts, shared ones too, the rest the calibration and
-    the discount; without both classes in both there is no model."""
-    y = np.array(labels)
-    for_counts = np.arange(len(y)) % 4 != 3
-    if len({*y[for_counts]}) < 2 or len({*y[~for_counts]}) < 2:
-        return None
-    rows = [_contexts([t for t, c, v in zip(texts, for_counts, y, strict=True) if c and v == k]) for k in (0, 1)]
-    before, word = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
-    label = np.repeat([0, 1], [len(r[0]) for r in rows])
-    b, w = _distinct(before, word)
-    key = pair_of(b, w)
-    order = np.argsort(key)
-    b, w, key = b[order], w[order], key[order]
-    n = np.zeros((len(b), 2), np.int64)
-    np.add.at(n, (np.searchsorted(key, pair_of(before, word)), label), 1)
-
-    def by(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        some, at, times = np.unique(keys, return_inverse=True, return_counts=True)
-        out = np.zeros((len(some), 2), np.int64)
-        np.add.at(out, at, n)
-        return some, out, times
-
-    words, of_word, shared = by(w)
-    contexts, of_context, _ = by(b)
-    counts = Counts(b, w, n, words, of_word, shared, contexts, of_context, n.sum(0), {d: np.maximum(of_word - d, 0).sum(0) for d in DISCOUNTS}, len(b), len(words) + 1)
-    return _best(counts, DISCOUNTS, [t for t, c in zip(texts, for_counts, strict=True) if not c], y[~for_counts])
-
-
-def _counted(rows: DataFrame, schema: str, distinct) -> DataFrame:
-    """What distinct makes of the texts (and labels) of so many words at a time, as columns of longs."""
-    names = [c.split()[0] for c in schema.split(", ")]
+_COLUMNS = ("words", "texts", "followed", "pairs", "before", "n")
+_FOUND = "kind int, word long, before long, " + ", ".join(f"{c} long" for c in "abcdefg")
+
+
+def _packed_counts(rows: DataFrame, parts: int) -> DataFrame:
+    """part and packed tallies of rows (text, label)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def handed():
-            columns = distinct(held)
-            for i in range(0, len(columns[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000].astype(np.uint64).view(np.int64)) for c in columns], names=names)
+        def handed() -> Iterator[pa.RecordBatch]:
+            for part, t in tally(texts, labels).slices(parts):
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([b], pa.binary()) for b in t.packed())], names=["part", *_COLUMNS])
 
-        held, size = [], 0
+        texts, labels, size = [], [], 0
         for batch in batches:
-            labels = batch.column("label").to_pylist() if "label" in batch.schema.names else [None] * batch.num_rows
-            for t, v in zip(common.texts_of(batch), labels, strict=True):
-                held.append((t, v))
+            for t, v in zip(common.texts_of(batch), batch.column("label").to_pylist(), strict=True):
+                texts.append(t)
+                labels.append(v)
                 size += len(t)
-                if size >= 5 * AT_ONCE:
+                if size >= 6 * AT_ONCE:
                     yield from handed()
-                    held, size = [], 0
-        if held:
+                    texts, labels, size = [], [], 0
+        if texts:
             yield from handed()
 
-    return rows.mapInArrow(each, schema)
-
-
-def _of_labels(held: list[tuple]) -> list[np.ndarray]:
-    parts = [(_contexts([t for t, v in held if v == k]), k) for k in (0, 1)]
-    return [np.concatenate([np.full(len(p[0]), k, np.uint64) for p, k in parts]), *(np.concatenate([p[i] for p, _ in parts]) for i in range(3))]
-
-
-def _of_all(held: list[tuple]) -> list[np.ndarray]:
-    found = [np.concatenate([np.zeros(1, np.uint64), hashes(WORD.findall(t.lower()))]) for t, _ in held]
-    return _distinct(np.concatenate([f[1:] for f in found]), np.concatenate([f[:-1] for f in found]))
-
-
-def counted(documents: DataFrame, labelled: DataFrame) -> tuple[Counts, tuple[float, ...]]:
-    """Counts over all of labelled (text, label 0 or 1), shared ones over all documents (text), and the discounts to try."""
-    both = lambda c: [F.sum(F.when(F.col("label") == k, F.col(c)).otherwise(0)).alias(f"n{k}") for k in (0, 1)]
-    triples = _counted(labelled.select("text", "label"), "label long, before long, word long, first long", _of_labels).distinct()
-    pairs = common.cut(triples.groupBy("before", "word").agg(*(F.sum((F.col("label") == k).cast("long")).alias(f"n{k}") for k in (0, 1))))
-    sums = lambda c: common.cut(pairs.groupBy(c).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    words, contexts = sums("word"), sums("before")
-    follows = _counted(documents.select("text"), "word long, before long", _of_all).distinct()
-    shared = common.cut(follows.groupBy("word").agg(F.count("*").alias("shared")))
-    whole = shared.agg(F.count("*").alias("size"), F.sum("shared").alias("pairs")).first()
-    most = F.greatest("n0", "n1")
-    discounts = DISCOUNTS
-    while True:
-        strong = pairs.where(most > discounts[0])
-        if strong.count() + words.where(most > discounts[0]).count() <= MOST_STRONG:
-            break
-        discounts = tuple(2 * d for d in discounts)
-    over = words.agg(*(F.sum(F.greatest(F.col(f"n{k}") - d, F.lit(0.0))) for d in discounts for k in (0, 1)), F.sum("n0"), F.sum("n1")).first()
-    kept = {d: np.array([over[2 * i], over[2 * i + 1]], float) for i, d in enumerate(discounts)}
-    # A strong pair's word is strong, for a word's count is the sum of its pairs'.
-    some = words.where(most > discounts[0]).join(shared, "word").orderBy("word").toArrow()
-    near = contexts.join(strong.select("before").distinct(), "before").orderBy("before").toArrow()
-    strong = strong.toArrow()
-    number = lambda t, c: t.column(c).to_numpy().astype(np.int64)
-    two = lambda t: np.column_stack([number(t, "n0"), number(t, "n1")])
-
-    def sorted_by(t: pa.Table, c: str) -> tuple[np.ndarray, np.ndarray]:
-        keys = number(t, c).view(np.uint64)
-        order = np.argsort(keys)
-        return keys[order], order
-
-    w, of_w = sorted_by(some, "word")
-    v, of_v = sorted_by(near, "before")
-    return Counts(number(strong, "before").view(np.uint64), number(strong, "word").view(np.uint64), two(strong), w, two(some)[of_w], number(some, "shared")[of_w], v, two(near)[of_v], np.array([over[-2] or 0, over[-1] or 0], float), kept, whole.pairs or 0, whole.size + 1), discounts
+    return common.arrow_batches(rows.select("text", "label"), "part int, " + ", ".join(f"{c} binary" for c in _COLUMNS), each)
+
+
+def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
+    """Counts over all rows (text, label; null: shared only), of which so many have label 0 and 1."""
+    spark = rows.sparkSession
+    parts = common.partitions(spark)
+
+    def merge(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = merged([Tally.unpacked(*(x.as_py() for x in row)) for row in zip(*(table.column(c) for c in _COLUMNS), strict=True)])
+        totals, of_word, shared = _summary(t)
+        null = lambda n: np.zeros(n, np.int64)
+        made = [[np.full(len(totals), 0), np.arange(len(totals)), null(len(totals)), np.array(totals), *[null(len(totals))] * 6]]
+        some = np.flatnonzero((t.texts >= LEAST).any(1) | (t.followed >= LEAST).any(1))
+        made.append([np.full(len(some), 1), t.words[some].view(np.int64), null(len(some)), *(x[some, k] for x in (t.texts, of_word, t.followed) for k in (0, 1)), shared[some]])
+        some = np.flatnonzero((t.n >= LEAST).any(1))
+        word = np.repeat(t.words, t.pairs)[some]
+        made.append([np.full(len(some), 2), word.view(np.int64), t.before[some].view(np.int64), t.n[some, 0], t.n[some, 1], *[null(len(some))] * 5])
+        columns = [np.concatenate(c) for c in zip(*made, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in columns[1:])], names=[c.split()[0] for c in _FOUND.split(", ")])
+
+    packed = _packed_counts(rows, parts).repartition(parts, "part").sortWithinPartitions("part")
+    found = common.written(common.arrow_batches(packed, _FOUND, lambda batches: cells.each_group(batches, merge, "part", 1)), "toxicity-counts")
+    sums = {r.word: r.s for r in found.where("kind = 0").groupBy("word").agg(F.sum("a").alias("s")).collect()}  # one row a name
+    totals = {name: float(sums.get(i, 0)) for i, name in enumerate(TOTALS)}
+    # Each of these has a share of what its class has: 4 / MASS rows at most.
+    enough = lambda a, b, name: (F.col(a) >= MASS * totals[f"{name}0"]) | (F.col(b) >= MASS * totals[f"{name}1"])
+    pairs = found.where(F.col("kind") == 2).where(enough("a", "b", "pairs")).select("before", "word", "a", "b").toArrow()
+    words = found.where(F.col("kind") == 1).where(enough("a", "b", "texts") | enough("e", "f", "pairs")).select("word", *"abcdefg").toArrow()
+    number = lambda t, *names: np.column_stack([t.column(c).to_numpy().astype(np.int64) for c in names])
+    of = lambda t, c: number(t, c)[:, 0].view(np.uint64)
+    return chosen(of(words, "word"), number(words, "a", "b"), number(words, "c", "d"), number(words, "g")[:, 0], number(words, "e", "f"), of(pairs, "before"), of(pairs, "word"), number(pairs, "a", "b"), totals, learnt)
+
+
+def chosen(words: np.ndarray, texts: np.ndarray, of_word: np.ndarray, shared: np.ndarray, followed: np.ndarray, before: np.ndarray, word: np.ndarray, n: np.ndarray, totals: dict[str, float], learnt: tuple[int, int]) -> Counts:
+    """Counts with tables sorted, of the pairs whose word and context are in the table of words."""
+    order = np.argsort(words)
+    words, texts, of_word, shared, followed = words[order], texts[order], of_word[order], shared[order], followed[order]
+    order = np.argsort(words & CONTEXT, kind="stable")
+    contexts, of_context = (words & CONTEXT)[order], followed[order]
+    ok = np.isin(word, words) & np.isin(before, contexts)
+    return Counts(words, texts, of_word, shared, contexts, of_context, before[ok], word[ok], n[ok], totals, learnt)
+
+
+def fit(texts: list[str], labels: list[int]) -> Model | None:
+    """A model of texts that are at hand: three quarters give the counts, shared ones too, the rest the calibration;
+    without both classes in both there is no model."""
+    y = np.array(labels)
+    for_counts = np.arange(len(y)) % 4 != 3
+    if len({*y[for_counts]}) < 2 or len({*y[~for_counts]}) < 2:
+        return None
+    t = tally([t for t, c in zip(texts, for_counts, strict=True) if c], [int(v) for v in y[for_counts]])
+    totals, of_word, shared = _summary(t)
+    learnt = tuple(int((y[for_counts] == k).sum()) for k in (0, 1))
+    counts = chosen(t.words, t.texts, of_word, shared, t.followed, t.before, np.repeat(t.words, t.pairs), t.n, dict(zip(TOTALS, map(float, totals), strict=True)), learnt)
+    return _best(counts, [t for t, c in zip(texts, for_counts, strict=True) if not c], y[~for_counts])
 
 
 def fitted(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> Model | None:
-    """A model whose counts cover all documents and all labelled rows but those that are held back for the calibration:
-    of a quarter by hash, at most most[class] / 4. Without both classes in both there is no model."""
-    chosen = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL").dropDuplicates()
-    quarter = chosen.where(F.pmod(F.xxhash64(F.lit(19), "doc_id"), F.lit(4)) == 3)
-    back = common.cut(quarter.where("label = 0").orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(-(-most[0] // 4)).unionByName(quarter.where("label = 1").orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(-(-most[1] // 4))))
-    rest, truth = common.labelled_texts(documents, back.withColumnRenamed("label", "toxic"), "toxic", most)
-    learnt = chosen.join(F.broadcast(back.select("doc_id").distinct()), "doc_id", "left_anti")
-    if len({*truth}) < 2 or learnt.select("label").distinct().count() < 2:
+    """A model whose counts cover all documents, with the labels of all labelled rows but those held back for the
+    calibration: by hash a quarter of each class, at most most[class]. Without both classes in both there is no model."""
+    chosen = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
+    # A row that has both labels has none.
+    chosen = common.cut(chosen.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("also")).where("label = also").drop("also"))
+    quarter = F.pmod(F.xxhash64(F.lit(19), "doc_id"), F.lit(4)) == 3
+    back = common.cut(common.least_by_hash(chosen.where(quarter), most))
+    rest, truth = common.labelled_texts(documents, back)
+    learnt = common.cut(chosen.join(F.broadcast(back), "doc_id", "left_anti"))  # as many rows as most at most
+    sizes = {r.label: r["count"] for r in learnt.groupBy("label").count().collect()}
+    if len({*truth}) < 2 or len(sizes) < 2:
         return None
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts, discounts = counted(texts, texts.join(learnt, "doc_id"))
-    return _best(counts, discounts, rest, np.array(truth)) if counts.sums.all() else None
+    rows = texts.join(F.broadcast(learnt) if sum(sizes.values()) <= LABELS_SENT else learnt, "doc_id", "left")
+    counts = counted(rows, (sizes[0], sizes[1]))
+    return _best(counts, rest, np.array(truth)) if counts.totals["pairs0"] and counts.totals["pairs1"] else None
 
 
 def score(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST, threshold: float = THRESHOLD) -> DataFrame:
     """documents with score (0 to 1, higher: likelier toxic) and predicted (1 from the threshold on).
 
-    labels holds doc_id and toxic of the rows to learn from; all are counted but at most most[class] / 4 of each class,
-    which calibrate. Null and
-    empty texts get the score of no evidence. Rows with a null label are ignored. With no model to fit (a class is
-    missing) every score is 0. Columns of documents named score or predicted are replaced; others pass through.
+    labels holds doc_id and toxic of the rows to learn from; all are counted but at most most[class] of each class, which
+    calibrate. Null and empty texts get the score of no evidence. Rows with a null label or id are ignored, a row that is
+    labelled both 0 and 1 has no label, repeated labels count once, repeated documents each. Ties of the hash that
+    chooses the calibration go by doc_id. With no model to fit (a class is missing, no documents) every score is 0. An
+    empty table gives no rows. Columns of documents named score or predicted are replaced; others pass through.
     """
     model = fitted(documents, labels, most)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
     kept = documents.drop("score", "predicted")
-    names = kept.columns
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = shared.value
+    def each(batch: pa.RecordBatch, model: Model | None) -> list[pa.Array]:
         texts = common.texts_of(batch)
         s = model.score(texts) if model else np.zeros(len(texts))
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*names, "score", "predicted"])
+        return [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
 
-    return common.arrow_map(kept, f"{kept._jdf.schema().toDDL()}, score double, predicted int", each)
+    return common.with_columns(kept, "score double, predicted int", each, model)

@@ -3,12 +3,13 @@ import itertools
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, chat, merkle, mixing, queries
+from chronolith.llm import bpe, cells, chat, common, merkle, mixing, queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -140,22 +141,58 @@ def test_words_are_those_of_the_library(library):
         assert list(itertools.chain.from_iterable(bpe.encode_words(found))) == library.encode(text, add_special_tokens=False).ids
 
 
-def test_texts_encode_and_decode_as_with_the_library(spark, library):
-    rows = [(i, t, "x") for i, t in enumerate([*SAMPLES, None, SAMPLES[0]])]
-    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
-    for size in (0, 40, 100_000):
-        for r in bpe.encode(df, table_words=size).collect():
-            want = library.encode(r.text or "", add_special_tokens=False).ids
-            assert r.ids == want and r.n_tokens == len(want) and r.id_list == ",".join(map(str, want))
-            assert r.decoded == library.decode(want, skip_special_tokens=False)
-    again = bpe.decode(bpe.encode(df).drop("decoded")).collect()
-    assert all(r.decoded == (r.text or "") for r in again)
+def check_encoding(df, library, **options):
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.doc_id, []).append(r.text or "")
+    rows = bpe.encode(df, **options).collect()
+    assert len(rows) == sum(map(len, want.values()))
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append((r.n_tokens, r.ids, r.id_list, r.decoded))
+    for i, texts in want.items():
+        ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sorted(got[i], key=str) == sorted(((len(x), x, ",".join(map(str, x)), library.decode(x, skip_special_tokens=False)) for x in ids), key=str)
+    return rows
+
+
+def test_texts_encode_and_decode_as_with_the_library(spark, library, monkeypatch):
+    rows = [(i, t, "x", 7) for i, t in enumerate([*SAMPLES, None, SAMPLES[0]])] + [(0, SAMPLES[1], "x", 7)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, part int").repartition(3)
+    for chars, words in ((1, 10), (60, 20), (10**7, 10**6)):
+        monkeypatch.setattr(bpe, "CHUNK_CHARS", chars)
+        monkeypatch.setattr(bpe, "CHUNK_WORDS", words)
+        out = check_encoding(df, library)
+        assert "part" not in out[0] and "text" not in out[0]
+    again = bpe.decode(bpe.encode(df).withColumnRenamed("decoded", "first")).collect()
+    assert all(r.decoded == r.first for r in again)
     assert bpe.encode(df.limit(0)).count() == 0
+    assert bpe.encode(df.select("text"), keep_ids=False).columns == ["n_tokens", "id_list", "decoded"]
+
+
+def test_a_very_long_text_and_columns_of_any_type(spark, library):
+    df = spark.createDataFrame([(1, "words and more words, " * 60_000, [1, 2], {"a": 1.0}), (2, None, None, None)], "doc_id long, text string, list array<int>, map map<string,double>")
+    rows = {r.doc_id: r for r in check_encoding(df, library)}
+    assert rows[1].list == [1, 2] and rows[1].map == {"a": 1.0} and rows[2].list is None
+
+
+def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
+    """Texts in many chunks: their lists of words meet in one table."""
+    df = spark.createDataFrame([(i, f"shared words {i % 3}") for i in range(30)], "doc_id long, text string").repartition(5)
+    corpus = bpe.split(df, None, 4).where("part IS NOT NULL").collect()
+    words = [w for r in corpus for w in bpe.unpacked_words(r.packed)]
+    assert len({r.chunk for r in corpus}) == 5 and 5 < len(words) <= 5 * 5 and set(words) == {b"shared", b" words", b" 0", b" 1", b" 2"}
+    asked = []
+    monkeypatch.setattr(cells, "each_group", lambda batches, work, *_: (work(pa.Table.from_batches(batches)),))
+    monkeypatch.setattr(bpe, "encode_words", lambda found, path: asked.extend(found) or [(1,)] * len(found))
+    monkeypatch.setattr(common, "arrow_batches", lambda rows, schema, f: list(f([pa.RecordBatch.from_pylist([{"chunk": r.chunk, "part": r.part, "packed": bytes(r.packed)} for r in corpus])])))
 
+    class Rows:
+        repartition = sortWithinPartitions = lambda self, *_: self
 
-def test_the_word_table_counts_every_occurrence(spark):
-    df = spark.createDataFrame([(1, "a b a"), (2, " a"), (3, None)], "doc_id long, text string")
-    assert {r.word: r.n for r in bpe.word_table(df).collect()} == {"a": 1, " b": 1, " a": 2}
+    bpe.encoded_words(Rows(), None, 4)
+    assert sorted(asked) == sorted({w.decode() for w in words})
+    assert bpe.unpacked_words(bpe.packed_words([])) == [] and bpe.unpacked_words(bpe.packed_words([b"", b"x"])) == [b"", b"x"]
 
 
 # Mixing
