@@ -23,7 +23,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from chronolith.llm import cells, common
 
@@ -93,7 +93,7 @@ def decode_ids(ids: list[int], path: str | None = None) -> str:
 
 
 def _shut(a: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a if isinstance(a, bytes) else a.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(a if isinstance(a, bytes) else a.tobytes())
 
 
 def _opened(b: bytes, dtype: str = "<i4") -> np.ndarray:
@@ -122,42 +122,59 @@ def unpacked_ids(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     return a[1 : a[0] + 1], a[a[0] + 1 :]
 
 
-#: Rows of the split corpus: of each chunk its words, a row for each range of hashes (part), and its texts (part null).
+def packed_places(texts: list[np.ndarray], known: int) -> bytes:
+    """Places of the words of some texts among their chunk's, which are numbered as they first occur and of which so many
+    have occurred before: a new word is 0, others their place + 1, byte by byte so that like bytes stand together."""
+    place = np.concatenate([np.zeros(0, np.int32), *texts])
+    highest = np.maximum.accumulate(np.concatenate([[known - 1], place]))[:-1] if len(place) else place
+    code = np.where(place > highest, 0, place + 1).astype("<u4")
+    sizes = np.array([known, len(texts), *map(len, texts)], "<i4")
+    return _shut(sizes.tobytes() + code.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked_places(b: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    known, many = raw[:8].view("<i4")
+    ends = np.cumsum(raw[8 : 8 + 4 * many].view("<i4"))
+    code = np.ascontiguousarray(raw[8 + 4 * many :].reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.split(np.where(code == 0, known + np.cumsum(code == 0), code) - 1, ends[:-1])
+
+
+#: Rows of the split corpus: of each chunk the part of each of its words (part -1), its words, a row for each range of
+#: hashes (part from 0), and its texts (part null), of which the first of so many holds the places of their words.
 SPLIT = "chunk string, part int, at long, packed binary"
+TOGETHER = 256
 
 
 def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
-    """documents but for text as chunks: SPLIT, then their columns. packed holds words, or for a text the positions of its
-    words among the chunk's, which stand by part and within it by their bytes."""
+    """documents but for text as chunks: SPLIT, then their columns."""
     kept = documents.drop("text")
-    names, schema = kept.columns, StructType([*StructType.fromDDL(SPLIT).fields, *kept.schema.fields])
+    names, schema = kept.columns, StructType([*StructType.fromDDL(SPLIT).fields, *(StructField(f.name, f.dataType) for f in kept.schema.fields)])  # null where a row is no text
 
     def made(index: dict[str, int], texts: list[np.ndarray], rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = [w.encode("utf-8", "surrogatepass") for w in index]
-        part = np.array([zlib.crc32(w) for w in raw], np.int64) % parts
-        order = sorted(range(len(raw)), key=lambda i: (part[i], raw[i]))
-        place = np.empty(len(raw), np.int32)
-        place[order] = np.arange(len(raw), dtype=np.int32)
+        part = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % parts
         chunk = f"{TaskContext.get().partitionId()}-{len(ended)}"
         ended.append(chunk)
-        starts = cells.bounds(part[order]) if order else []
+        yield batch_of([chunk], [-1], [0], [_shut(part.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())], None)
+        order = np.argsort(part, kind="stable")
+        starts = cells.bounds(part[order]) if len(order) else []
         for s, e in zip(starts[:-1], starts[1:], strict=True):
             yield batch_of([chunk], [int(part[order[s]])], [0], [packed_words([raw[i] for i in order[s:e]])], None)
         columns = pa.Table.from_batches(rows).combine_chunks() if names else None
-        size = 512
-        for k in range(0, len(texts), size):
-            some = texts[k : k + size]
-            yield batch_of([chunk] * len(some), [None] * len(some), range(k, k + len(some)), [_shut(place[p]) for p in some], columns.slice(k, size) if names else None)
+        known = 0
+        for k in range(0, len(texts), TOGETHER):
+            some = texts[k : k + TOGETHER]
+            packed = [packed_places(some, known), *[None] * (len(some) - 1)]
+            known = max([known, *(int(p.max()) + 1 for p in some if len(p))])
+            yield batch_of([chunk] * len(some), [None] * len(some), range(k, k + len(some)), packed, columns.slice(k, TOGETHER) if names else None)
 
     def batch_of(chunk, part, at, packed, columns) -> pa.RecordBatch:
         found = [pa.array(chunk, pa.string()), pa.array(part, pa.int32()), pa.array(at, pa.int64()), pa.array(packed, pa.binary())]
-        if columns is None:
-            found += [pa.nulls(len(found[0]), t) for t in types[0]]
-        else:
-            found += [c.combine_chunks() for c in columns.columns]
+        found += [pa.nulls(len(chunk), t) for t in types[0]] if columns is None else [c.combine_chunks() for c in columns.columns]
         return pa.RecordBatch.from_arrays(found, names=schema.names)
 
-    types: list = [None]
+    types: list = [[]]
     ended: list[str] = []  # chunks of this task
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,38 +224,43 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
     kept = documents.drop("n_tokens", "ids", "id_list", "decoded", *StructType.fromDDL(SPLIT).names)
     parts = common.partitions(spark)
     corpus = common.written(split(kept, path, parts), "bpe-split")
-    ids = encoded_words(corpus.where("part IS NOT NULL").select("chunk", "part", "packed"), path, parts)
+    ids = encoded_words(corpus.where("part >= 0").select("chunk", "part", "packed"), path, parts)
     names = [c for c in kept.columns if c != "text"]
-    both = corpus.where("part IS NULL").unionByName(ids, allowMissingColumns=True)
+    both = corpus.where("part IS NULL OR part < 0").unionByName(ids, allowMissingColumns=True)
     both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last(), "at")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, written = pieces(path), [str(i) for i in range(len(pieces(path)))]
-        now, held, texts, raw, many, flat = None, [], [], [], None, None
+        now, of_words, held, places, texts, raw, many, flat, starts = None, None, [], [], [], [], None, None, None
         for batch in batches:
-            columns = {c: batch.column(c).to_pylist() for c in ("chunk", "part", "packed")}
             rows, keep = [], []
-            for k, (chunk, part, packed) in enumerate(zip(*columns.values(), strict=True)):
+            for k, (chunk, part, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("chunk", "part", "packed")), strict=True)):
                 if chunk != now:
                     now, held, many = chunk, [], None
                 if part is not None:
-                    held.append(unpacked_ids(packed))
+                    if part < 0:
+                        of_words = np.ascontiguousarray(_opened(packed, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+                    else:
+                        held.append(unpacked_ids(packed))
                     continue
                 if many is None:  # the chunk's words are complete: what each stands for is written and looked up once
-                    many, flat = (np.concatenate([np.zeros(0, np.int32), *(h[i] for h in held)]) for i in (0, 1))
-                    ends = np.concatenate([[0], np.cumsum(many)])
+                    some, flat = (np.concatenate([np.zeros(0, np.int32), *(h[i] for h in held)]).astype(np.int64) for i in (0, 1))
+                    order = np.argsort(of_words, kind="stable")  # the words by part, as they were sent
+                    many, starts = np.empty_like(some), np.empty_like(some)
+                    many[order], starts[order] = some, np.cumsum(some) - some
                     of = flat.tolist()
-                    spans = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                    spans = list(zip(starts.tolist(), (starts + many).tolist(), strict=True))
                     texts = [",".join([written[i] for i in of[s:e]]) for s, e in spans]
                     raw = [b"".join([piece[i] for i in of[s:e]]) for s, e in spans]
                     held = []
-                at = _opened(packed)
+                if packed is not None:
+                    places = unpacked_places(packed)[::-1]
+                at = places.pop()
                 place = at.tolist()
                 size = many[at]
                 row = [int(size.sum())]
                 if keep_ids:
-                    shift = np.repeat(ends[:-1][at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) if len(at) else np.zeros(0, np.int64)
-                    row.append(flat[shift + np.arange(len(shift))])
+                    row.append(flat[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(row[0])])
                 rows.append((*row, ",".join([texts[i] for i in place]), b"".join([raw[i] for i in place]).decode("utf-8", "replace")))
                 keep.append(k)
             if rows:
@@ -247,7 +269,7 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
                 yield pa.RecordBatch.from_arrays([*(some.columns if names else []), *made], names=[*names, *added.names])
 
     types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
-    schema = StructType([*(f for f in kept.schema.fields if f.name != "text"), *added.fields])
+    schema = StructType([*(StructField(f.name, f.dataType) for f in kept.schema.fields if f.name != "text"), *added.fields])
     return common.arrow_batches(both, schema, each)
 
 

@@ -33,7 +33,8 @@ def dealt(rows: DataFrame, key: str, item: str, block: int | None = None, useful
 
 
 def each_group(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.RecordBatch | None], column: str = "cell", rows: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """work on runs of whole cells, of about so many rows, from batches that are sorted by cell."""
+    """work on runs of whole cells, of about so many rows, from batches that are sorted by cell. With rows 1 it is done for
+    each cell by itself."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -51,7 +52,11 @@ def each_group(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.
             keys = table.column(column).to_numpy()
             others = np.flatnonzero(keys != keys[-1])
             last = int(others[-1]) + 1 if len(others) else 0
-            if last:
+            if rows == 1:
+                starts = bounds(keys[:last]) if last else []
+                for s, e in zip(starts[:-1], starts[1:], strict=True):
+                    yield from out(table.slice(s, e - s))
+            elif last:
                 yield from out(table.slice(0, last))
             held = table.slice(last).to_batches()
             size = table.num_rows - last
@@ -62,7 +67,7 @@ def each_group(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.
 def compared(rows: DataFrame, work: Callable[[pa.Table], pa.RecordBatch | None], schema: str, column: str = "cell", at_once: int = 20_000) -> DataFrame:
     """rows dealt out by cell, and work done on runs of whole cells."""
     spread = rows.repartition(common.partitions(rows.sparkSession) * 2, column).sortWithinPartitions(column)
-    return spread.mapInArrow(lambda batches: each_group(batches, work, column, at_once), schema)
+    return common.arrow_batches(spread, schema, lambda batches: each_group(batches, work, column, at_once))
 
 
 def bounds(cells: np.ndarray) -> np.ndarray:

@@ -2,9 +2,10 @@
 
 A paragraph is a line; a section is a run of paragraphs that ends where a paragraph's hash says so, so an edit moves no
 boundary but its own. The root hashes the sections, a section its paragraphs, a paragraph its text: equal roots mean
-equal texts, and where roots differ the first differing section and paragraph locate the edit. Below the paragraphs lie
-leaves, pieces of at most PIECE characters that end with a sentence; a fingerprint is the root and the set of leaves,
-each of which holds its length, so the likeness of two fingerprints is the share of text that they have in common.
+equal texts, and where roots differ the first differing section, and in it the first differing paragraph, locate the
+edit. Below the paragraphs lie leaves, pieces of at most PIECE characters and what ends their sentence; a leaf holds its
+length and which of its equals it is, so the likeness of two trees is the share of text that their leaves have in common.
+A fingerprint is the whole tree: root, sections, paragraphs, leaves.
 """
 
 from __future__ import annotations
@@ -40,16 +41,29 @@ def root(section_hashes: Column) -> Column:
     return F.sha2(F.array_join(section_hashes, "").cast("binary"), 256)
 
 
-def leaves(text: Column) -> Column:
-    """The text's distinct pieces as numbers: 44 bits of hash, 16 of length."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{1,{PIECE}}}[.!?\n]*|[.!?\n]+"), F.lit(0))
-    number = lambda p: F.conv(F.substring(F.md5(p.cast("binary")), 1, 11), 16, 10).cast("long") * 65536 + F.least(F.length(p), F.lit(65535))
-    return F.array_distinct(F.transform(pieces, number))
+def pieces(text: Column) -> Column:
+    """The text's pieces as numbers: 44 bits of hash, 16 of length (2 * PIECE at most), sorted."""
+    found = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{1,{PIECE}}}[.!?\n]{{0,{PIECE}}}|[.!?\n]{{1,{PIECE}}}"), F.lit(0))
+    return F.array_sort(F.transform(found, lambda p: F.conv(F.substring(F.md5(p.cast("binary")), 1, 11), 16, 10).cast("long") * 65536 + F.length(p)))
 
 
-def fingerprint(root_hash: Column, leaf_set: Column) -> Column:
-    digits = F.array_join(F.transform(leaf_set, lambda x: F.lpad(F.hex(x), 16, "0")), "")
-    return F.concat(root_hash, F.lit(":"), F.base64(F.unhex(digits)))
+def leaves(sorted_pieces: Column) -> Column:
+    """Of sorted pieces the leaves: the first of equal pieces is itself, further ones hash their number too. All differ."""
+    last = F.size(sorted_pieces)
+    ends = F.filter(F.sequence(F.lit(1), last), lambda i: (i == last) | (F.get(sorted_pieces, i - 1) != F.get(sorted_pieces, i)))
+    ends = F.when(last > 0, ends).otherwise(F.expr("cast(array() as array<int>)"))
+    starts = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.greatest(F.size(ends) - 1, F.lit(0))))
+    other = lambda x, k: F.shiftrightunsigned(F.xxhash64(x, k), 20) * 65536 + x % 65536
+    run = lambda r: F.transform(F.slice(sorted_pieces, r["a"] + 1, r["b"] - r["a"]), lambda x, k: F.when(k == 0, x).otherwise(other(x, k)))
+    runs = F.filter(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda r: r["b"].isNotNull())
+    return F.flatten(F.transform(runs, run))
+
+
+def fingerprint(root_hash: Column, section_hashes: Column, paragraph_hashes: Column, leaf_set: Column) -> Column:
+    """root:sections:paragraphs:leaves, the first in hexadecimal, the others as base 64 of 8 bytes each."""
+    digits = lambda hashes: F.array_join(F.transform(hashes, lambda h: F.substring(h, 1, 16)), "")
+    low = F.array_join(F.transform(leaf_set, lambda x: F.lpad(F.hex(x), 16, "0")), "")
+    return F.concat_ws(":", root_hash, *(F.base64(F.unhex(d)) for d in (digits(section_hashes), digits(paragraph_hashes), low)))
 
 
 def _weight(leaf_set: Column) -> Column:
@@ -62,13 +76,20 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * _weight(F.array_intersect(a, b)) / total)
 
 
+def grown(rows: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """rows with the tree of a column of texts: paragraphs, sections (hashes in order), root and leaves, under the prefix."""
+    name = lambda c: f"{prefix}{c}"
+    # Each level is a column of its own before the next one reads it: in one expression it would be made again for each read.
+    rows = rows.withColumn(name("paragraphs"), paragraphs(F.col(text))).withColumn(name("pieces"), pieces(F.col(text)))
+    rows = rows.withColumn(name("sections"), sections(F.col(name("paragraphs")))).withColumn(name("leaves"), leaves(F.col(name("pieces")))).drop(name("pieces"))
+    return rows.withColumn(name("root"), root(F.col(name("sections"))))
+
+
 def tree(documents: DataFrame) -> DataFrame:
     """doc_id with root, sections and paragraphs (hashes in order) and leaves. Null texts count as empty; an empty text
     is one empty paragraph."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", paragraphs(F.col("text")).alias("paragraphs"), leaves(F.col("text")).alias("leaves"))
-    rows = rows.withColumn("sections", sections(F.col("paragraphs")))
-    return rows.withColumn("root", root(F.col("sections")))
+    return grown(rows, "text").drop("text")
 
 
 def first_difference(a: Column, b: Column) -> Column:
@@ -113,27 +134,30 @@ def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def compared(documents: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of each row.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of each row, with section
+    and paragraph: the first, from 0, in which the trees of the text and the edited text differ (null: nowhere).
 
     The edited text is the row's own with its last floor(n_chars / 2) code points replaced by the first as many (or all)
-    of the next row's, by descending doc_id. Null texts count as empty; a single row is its own next. Repeated rows
-    each give a row. Other columns are not read.
+    of the next row's, by descending doc_id; null ids come last, rows that share an id (or have none) follow the hash of
+    their text and are sorted by one task. Null texts count as empty, long ones are taken whole; a single row is its own
+    next. Repeated rows each give a row, an empty table gives none. Other columns are not read.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("leaves", leaves(F.col("text")))
-    # The root is made here too, once for each text: what is sent on is the text, its leaves and its root.
-    rows = rows.withColumn("paragraphs", paragraphs(F.col("text"))).withColumn("root", root(sections(F.col("paragraphs")))).drop("paragraphs")
-    out = with_next(rows, ["text", "leaves"])
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    # The tree is made here, once for each text: what is sent on is the text and its tree, and to the next row text and leaves.
+    out = with_next(grown(rows, "text"), ["text", "leaves"])
     half = (F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next.text"), F.lit(1), half))
-    out = out.select("doc_id", "n_chars", "leaves", "root", F.col("next.leaves").alias("next_leaves"), edited.alias("edited"))
-    out = out.withColumn("edited_leaves", leaves(F.col("edited"))).withColumn("paragraphs", paragraphs(F.col("edited")))
+    out = out.withColumn("next_leaves", F.col("next.leaves")).withColumn("edited", edited).drop("text", "next")
+    out = grown(out, "edited", "edited_")
     return out.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("root"), F.col("leaves")).alias("fingerprint"),
-        fingerprint(root(sections(F.col("paragraphs"))), F.col("edited_leaves")).alias("edited_fingerprint"),
+        fingerprint(F.col("root"), F.col("sections"), F.col("paragraphs"), F.col("leaves")).alias("fingerprint"),
+        fingerprint(F.col("edited_root"), F.col("edited_sections"), F.col("edited_paragraphs"), F.col("edited_leaves")).alias("edited_fingerprint"),
         likeness(F.col("leaves"), F.col("edited_leaves")).alias("near_edited"),
         likeness(F.col("leaves"), F.col("next_leaves")).alias("near_next"),
+        first_difference(F.col("sections"), F.col("edited_sections")).alias("section"),
+        first_difference(F.col("paragraphs"), F.col("edited_paragraphs")).alias("paragraph"),
     )

@@ -24,7 +24,7 @@ SHARD_SLOTS = 2048
 GROUP_SHARDS = 32
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
-#: One row for each source reaches the driver; more sources than this are refused.
+#: One row for each source reaches the driver and every task; more sources than this are an error, never dropped.
 MOST_SOURCES = 200_000
 
 
@@ -151,7 +151,7 @@ def taken(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -
     Null texts have size 0; a null source is a source of its own, last in order. Repeated rows count one by one. An
     empty table gives no rows. Other columns are not read.
     """
-    rows = documents.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    rows = common.cut(documents.select("doc_id", "source", size_of(F.col("text")).alias("size")))  # words are counted once
     p = plan(rows, block_words, seed)
     placed = packed(rows, p, ["doc_id"])
     drawn = slots(documents.sparkSession, p).groupBy("source_id", "block").agg(F.count("*").alias("times"))
@@ -162,18 +162,28 @@ def taken(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -
 
 
 def mixed(documents: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -> DataFrame:
-    """The mix as documents: for each row and each pass over its source, the words that the pass takes of it, joined by
-    blanks, with n_chars of that text. Rows of which nothing is taken go. Rows that repeat both id and text count once;
-    null texts and other columns than those of documents are handled as taken() does.
+    """The mix as documents (doc_id, text, lang, source, n_chars): for each row and each pass over its source the words that
+    the pass takes of it, with the white space that stood between them; a line break parts what wasn't adjacent.
+
+    Rows of which nothing is taken go, so do null and empty texts and texts of white space: they have no words to take.
+    Rows that repeat both id and text count once, other rows that share an id (or have none) are rows of their own. Long
+    texts are cut into as many blocks as they need. Null sources and empty tables are handled as taken() does.
     """
-    slim = documents.select("doc_id", "source", "lang", F.xxhash64("text").alias("hash"), size_of(F.col("text")).alias("size")).dropDuplicates(["doc_id", "hash"])
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+    slim = documents.select(key.alias("key"), "source", size_of(F.col("text")).alias("size"))
+    slim = common.cut(slim.groupBy("key").agg(F.min("source").alias("source"), F.max("size").alias("size")))  # words are counted once
     p = plan(slim.select("source", "size"), block_words, seed)
-    placed = packed(slim, p, ["doc_id", "hash"])
+    placed = packed(slim, p, ["key"])
     drawn = slots(documents.sparkSession, p).groupBy("source_id", "block", "pass").agg(F.count("*").alias("times"))
-    pieces = segments(placed, p).join(drawn.hint("merge"), ["source_id", "block"]).groupBy("doc_id", "hash", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("pieces"))
-    pieces = pieces.groupBy("doc_id", "hash").agg(F.collect_list("pieces").alias("passes"))
-    texts = documents.select("doc_id", "text", "lang", "source", F.xxhash64("text").alias("hash")).dropDuplicates(["doc_id", "hash"])
-    words = F.filter(F.split("text", rf"[{common.BLANK}]+"), lambda w: w != "")
-    out = texts.join(pieces, (texts.doc_id.eqNullSafe(pieces.doc_id)) & (texts.hash == pieces.hash)).select(texts.doc_id, words.alias("words"), "lang", "source", F.explode("passes").alias("pieces"))
-    text = F.array_join(F.flatten(F.transform("pieces", lambda x: F.slice("words", (x["first"] + 1).cast("int"), x["words"].cast("int")))), " ")
+    pieces = segments(placed, p).join(drawn.hint("merge"), ["source_id", "block"]).groupBy("key", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("pieces"))
+    pieces = pieces.groupBy("key").agg(F.collect_list("pieces").alias("passes"))
+    texts = documents.select(key.alias("key"), "doc_id", "text", "lang", "source").join(pieces.hint("merge"), "key")
+    # The join has dealt out and sorted by key: of rows that repeat id and text the window takes one without another shuffle.
+    first = F.row_number().over(Window.partitionBy("key").orderBy("source", "lang"))
+    texts = texts.withColumn("row", first).where("row = 1")
+    words = F.regexp_extract_all("text", F.lit(rf"[{common.BLANK}]*[^{common.BLANK}]+[{common.BLANK}]*"), F.lit(0))
+    out = texts.select("doc_id", words.alias("words"), "lang", "source", F.explode("passes").alias("pieces"))
+    text_of = lambda x: F.array_join(F.slice("words", (x["first"] + 1).cast("int"), x["words"].cast("int")), "")
+    goes_on = lambda x, i: (i == 0) | (F.get("pieces", i - 1)["first"] + F.get("pieces", i - 1)["words"] == x["first"])
+    text = F.array_join(F.transform("pieces", lambda x, i: F.concat(F.when(goes_on(x, i), "").otherwise("\n"), text_of(x))), "")
     return out.select("doc_id", text.alias("text"), "lang", "source").select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))

@@ -28,6 +28,28 @@ RECALL = 0.995
 ERRORS = 5.0
 
 
+#: What tells texts apart.
+TEXT = ["doc_id", "text_no"]
+
+
+def _with_number(documents: DataFrame) -> DataFrame:
+    """documents with text_no: 0 but where an id has several texts, which are numbered by their hashes."""
+    named = documents.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash")).where("_id IS NOT NULL")
+    several = named.groupBy("_id").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a <> b").select("_id")
+    texts = common.cut(named.join(several, "_id").distinct().withColumn("_no", F.row_number().over(Window.partitionBy("_id").orderBy("_hash")) - 1))
+    documents = documents.drop("text_no")
+    if texts.isEmpty():
+        return documents.withColumn("text_no", F.lit(0))
+    rows = documents.withColumn("_own", F.xxhash64("text"))
+    rows = rows.join(texts, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_own") == F.col("_hash")), "left")
+    return rows.select(*documents.columns, F.coalesce("_no", F.lit(0)).alias("text_no"))
+
+
+def _numbered(documents: DataFrame) -> DataFrame:
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    return _with_number(texts)
+
+
 def band_rows(similarity: float, recall: float = RECALL, hashes: int = HASHES) -> int:
     """The most rows a band can hold so that a pair of this similarity collides in some band with the recall."""
     for rows in range(hashes, 1, -1):
@@ -63,11 +85,11 @@ def selected(found: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
 
 
 def _anchors(documents: DataFrame, anchor: int, passage: int) -> DataFrame:
-    """window (hash), doc_id, place (which of the text's anchors), start and end in code points, of every anchor."""
+    """window (hash), doc_id, text_no, place (which of the text's anchors), start and end in code points, of every anchor."""
 
     def each(batches):
         for batch in batches:
-            ids, at_row = batch.column("doc_id"), 0
+            ids, numbers, at_row = batch.column("doc_id"), batch.column("text_no"), 0
             for some in jaccard._chunks(common.texts_of(batch)):
                 words = shingles.words_of(some, places=True)
                 found, at = shingles.windows(words, anchor)
@@ -75,19 +97,19 @@ def _anchors(documents: DataFrame, anchor: int, passage: int) -> DataFrame:
                 owner = np.searchsorted(at, chosen, "right") - 1
                 first = words.bounds[owner] + chosen - at[owner]
                 place = np.arange(len(chosen)) - np.searchsorted(owner, owner)
-                rows = ids.take(pa.array(owner + at_row))
-                yield pa.RecordBatch.from_arrays([pa.array(found[chosen].view(np.int64)), rows, pa.array(place.astype(np.int32)), pa.array(words.start[first].astype(np.int32)), pa.array(words.end[first + anchor - 1].astype(np.int32))], names=["window", "doc_id", "place", "start", "end"])
+                rows = pa.array(owner + at_row)
+                yield pa.RecordBatch.from_arrays([pa.array(found[chosen].view(np.int64)), ids.take(rows), numbers.take(rows), pa.array(place.astype(np.int32)), pa.array(words.start[first].astype(np.int32)), pa.array(words.end[first + anchor - 1].astype(np.int32))], names=["window", "doc_id", "text_no", "place", "start", "end"])
                 at_row += len(some)
 
-    return documents.mapInArrow(each, "window long, doc_id long, place int, start int, end int")
+    return common.arrow_batches(documents, "window long, doc_id long, text_no int, place int, start int, end int", each)
 
 
 def _beside(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> DataFrame:
     """node, doc_id, removed, left and right (whether the anchor is the node's end on that side), sides: for the left and the
     right of each anchor of ends, for as many as 1, 2 ... most words beside it, a key of anchor and words, and how far in
     code points they reach. Beyond a shared anchor two texts that agree on more words share another anchor."""
-    pieces = ends.groupBy("doc_id").agg(F.collect_list(F.struct(*(c for c in ends.columns if c != "doc_id"))).alias("pieces"))
-    texts = documents.join(pieces, "doc_id").select("doc_id", "pieces", "text")
+    pieces = ends.groupBy(*TEXT).agg(F.collect_list(F.struct(*(c for c in ends.columns if c not in TEXT))).alias("pieces"))
+    texts = documents.join(pieces, TEXT).select("doc_id", "pieces", "text")
     side = "array<struct<key:bigint,place:int>>"
 
     def each(batches):
@@ -95,21 +117,15 @@ def _beside(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> Da
             pieces, docs, done = batch.column("pieces"), batch.column("doc_id"), 0
             for some in jaccard._chunks(common.texts_of(batch)):
                 words = shingles.words_of(some, places=True)
-                found, at = shingles.windows(words, anchor)
                 part = pieces.slice(done, len(some))
                 p, owner = part.flatten(), np.repeat(np.arange(len(some)), part.value_lengths().to_numpy())
                 ids = docs.slice(done, len(some)).take(pa.array(owner))
                 done += len(some)
-                # Where each anchor stands among the words; ids may repeat with other texts, which have other windows.
+                # Where each anchor stands among the words.
                 wide = np.int64(max(map(len, some)) + 1)
                 starts = words.owner() * wide + words.start
                 index = np.searchsorted(starts, owner * wide + p.field("start").to_numpy())
                 index = np.minimum(index, max(len(starts) - 1, 0))
-                window = at[owner] + index - words.bounds[owner]
-                ok = (at[owner] <= window) & (window < at[owner + 1])
-                ok[ok] = found[window[ok]].view(np.int64) == p.field("window").to_numpy()[ok]
-                keep = pa.array(np.flatnonzero(ok))
-                p, ids, owner, index = p.take(keep), ids.take(keep), owner[ok], index[ok]
                 columns = []
                 for name, step, first, places in (("lefts", -1, index - 1, words.start), ("rights", 1, index + anchor, words.end)):
                     wanted = p.field(name).to_numpy(zero_copy_only=False)
@@ -128,7 +144,7 @@ def _beside(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> Da
                 if len(index):
                     yield pa.RecordBatch.from_arrays([p.field("node"), ids, p.field("removed"), p.field("left"), p.field("right"), *columns], names=["node", "doc_id", "removed", "left", "right", "to_left", "to_right"])
 
-    return texts.mapInArrow(each, f"node long, doc_id long, removed boolean, left boolean, right boolean, to_left {side}, to_right {side}")
+    return common.arrow_batches(texts, f"node long, doc_id long, removed boolean, left boolean, right boolean, to_left {side}, to_right {side}", each)
 
 
 def _extended(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> DataFrame:
@@ -143,39 +159,40 @@ def _extended(documents: DataFrame, ends: DataFrame, anchor: int, most: int) ->
 
 
 def _paragraphs(documents: DataFrame, least: int, hashes: int) -> DataFrame:
-    """doc_id, start, end, words, item (hash of the words) and sig of every paragraph with so many words."""
+    """doc_id, text_no, start, end, words, item (hash of the words) and sig of every paragraph with so many words."""
 
     def each(batches):
         for batch in batches:
             found = []
-            for doc, t in zip(batch.column("doc_id").to_pylist(), common.texts_of(batch), strict=True):
+            for doc, number, t in zip(batch.column("doc_id").to_pylist(), batch.column("text_no").to_pylist(), common.texts_of(batch), strict=True):
                 at = 0
                 for line in t.split("\n"):
                     if len(line) >= 2 * least - 1:
-                        found.append((doc, at, line))
+                        found.append(((doc, number), at, line))
                     at += len(line) + 1
             done = 0
             for some in jaccard._chunks([f[2] for f in found]):
                 words = shingles.words_of(some)
                 sig = shingles.minhash(*shingles.shingles(words), hashes)
-                rows = [(found[done + k][0], found[done + k][1], found[done + k][1] + len(t), int(e - s), jaccard.item_of(words.hashes[s:e]), sig[k].tobytes()) for k, (t, s, e) in enumerate(zip(some, words.bounds[:-1], words.bounds[1:], strict=True)) if e - s >= least]
+                rows = [(*found[done + k][0], found[done + k][1], found[done + k][1] + len(t), int(e - s), jaccard.item_of(words.hashes[s:e]), sig[k].tobytes()) for k, (t, s, e) in enumerate(zip(some, words.bounds[:-1], words.bounds[1:], strict=True)) if e - s >= least]
                 done += len(some)
                 if rows:
                     columns = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "start", "end", "words", "item", "sig"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "text_no", "start", "end", "words", "item", "sig"])
 
-    return documents.mapInArrow(each, "doc_id long, start int, end int, words int, item long, sig binary")
+    return common.arrow_batches(documents, "doc_id long, text_no int, start int, end int, words int, item long, sig binary", each)
 
 
 def _similar_paragraphs(documents: DataFrame, items: DataFrame, tenths: int, hashes: int, recall: float) -> DataFrame:
-    """a and b: edges between similar items (item, doc_id, start, end of one occurrence, sig)."""
+    """a and b: edges between similar items (item, doc_id, text_no, start, end of one occurrence, sig)."""
     similarity = tenths / 10
     rows = band_rows(similarity, recall, hashes)
-    slim = jaccard.prefix_rows(items, hashes // rows, rows, rows)
-    groups = jaccard.candidate_groups(items, slim, similarity - ERRORS * (similarity * (1 - similarity) / hashes) ** 0.5)
+    least = similarity - ERRORS * (similarity * (1 - similarity) / hashes) ** 0.5
+    groups = jaccard.candidate_groups(items.withColumn("depth", F.lit(rows).cast("byte")), least, hashes // rows, rows, rows)
     wanted = common.cut(groups.withColumnRenamed("id", "item").join(items.drop("sig"), "item"))
-    pieces = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item", "root", "start", "end")).alias("pieces"))
-    texts = documents.join(pieces, "doc_id").select("pieces", "text")
+    pieces = wanted.groupBy(*TEXT).agg(F.collect_list(F.struct("item", "root", "start", "end")).alias("pieces"))
+    # Rows that repeat both id and text stand for their paragraphs once.
+    texts = documents.join(pieces, TEXT).dropDuplicates(TEXT).select("pieces", "text")
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, some, out = [], [], []
@@ -187,8 +204,7 @@ def _similar_paragraphs(documents: DataFrame, items: DataFrame, tenths: int, has
         for part in jaccard._chunks(some):
             words = shingles.words_of(part)
             for k, s in enumerate(shingles.distinct(*shingles.shingles(words))):
-                if jaccard.item_of(words.hashes[words.bounds[k] : words.bounds[k + 1]]) == keys[done + k]["item"]:  # ids may repeat with other texts
-                    out.append((keys[done + k]["item"], 1, keys[done + k]["root"], s.tobytes()))
+                out.append((keys[done + k]["item"], 1, keys[done + k]["root"], s.tobytes()))
             done += len(part)
         columns = list(zip(*out, strict=True)) if out else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["item", "n", "group", "shingles"])
@@ -198,36 +214,37 @@ def _similar_paragraphs(documents: DataFrame, items: DataFrame, tenths: int, has
 
 
 def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, recall: float = RECALL, anchor: int = ANCHOR_WORDS, passage: int = PASSAGE_WORDS, paragraph: int = PARAGRAPH_WORDS) -> DataFrame:
-    """One row for each span of a passage that repeats across documents: cluster_id, doc_id, start, end (code points, end
-    exclusive), kept_doc_id (a document in which it stays) and removed.
+    """One row for each span of a passage that repeats across documents: cluster_id, doc_id, text_no, start, end (code
+    points, end exclusive), kept_doc_id (a document in which it stays) and removed.
 
     A passage repeats if a run of at least passage words is the same in several documents (runs from anchor words on may be
     found too; a span is all that agrees), or if a paragraph's Jaccard similarity to another document's is at least tenths / 10; case is folded.
     Of each run its first document, by doc_id, keeps it, of similar paragraphs the first of their component. Runs that
     share a window are one cluster, similar paragraphs another (equal paragraphs of passage words or more are runs). What repeats inside one
-    document alone is left. Null and short texts give no rows, rows with a null doc_id are not compared, rows that repeat
-    a doc_id count as one document. An empty table gives no rows. Other columns are not read.
+    document alone is left. Null, empty and short texts give no rows, long ones are taken whole. Rows with a null doc_id are not
+    compared. Rows that share a doc_id are one document; where their texts differ, text_no tells which of them a span
+    is of (from 0, by the texts' hashes; else 0). An empty table gives no rows. Other columns are not read.
     """
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    texts = _numbered(documents)
     anchors = common.cut(_anchors(texts, anchor, passage))
     shared = common.cut(anchors.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"))
     hits = anchors.join(shared, "window").withColumn("removed", F.col("doc_id") > F.col("least"))
     # Anchors that follow each other and share their fate are a run.
-    order = Window.partitionBy("doc_id").orderBy("place", "window")
+    order = Window.partitionBy(*TEXT).orderBy("place", "window")
     goes_on = (F.col("place") - F.lag("place").over(order) <= 1) & (F.col("removed") == F.lag("removed").over(order))
     hits = hits.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
     hits = hits.withColumn("left", F.col("new") == 1).withColumn("right", F.coalesce(F.lead("new").over(order), F.lit(1)) == 1)
-    hits = common.cut(hits.select("window", "doc_id", "start", "end", "least", "removed", "left", "right", F.xxhash64(F.lit(1), "doc_id", "run").alias("node")))
-    runs = hits.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("least").alias("kept_doc_id"), F.first("removed").alias("removed"))
+    hits = common.cut(hits.select("window", *TEXT, "start", "end", "least", "removed", "left", "right", F.xxhash64(F.lit(1), *TEXT, "run").alias("node")))
+    runs = hits.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text_no").alias("text_no"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("least").alias("kept_doc_id"), F.first("removed").alias("removed"))
     hub = common.cut(hits.groupBy("window").agg(F.min("node").alias("a"), F.max("left").alias("lefts"), F.max("right").alias("rights")))
     edges = hits.select("window", F.col("node").alias("b")).join(hub, "window").select("a", "b").where("a <> b")
-    ends = hits.join(hub.where("lefts OR rights").drop("a"), "window").select("window", "doc_id", "start", "removed", "left", "right", "lefts", "rights", "node")
+    ends = hits.join(hub.where("lefts OR rights").drop("a"), "window").select("window", *TEXT, "start", "removed", "left", "right", "lefts", "rights", "node")
     runs = runs.join(_extended(texts, ends, anchor, passage - anchor), "node", "left")
     runs = common.cut(runs.withColumn("start", F.least("start", "first")).withColumn("end", F.greatest("end", "last")).drop("first", "last"))
 
     lines = common.cut(_paragraphs(texts, paragraph, hashes))
-    one = F.min(F.struct("doc_id", "start", "end")).alias("one")
-    items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("words").alias("words"), F.max("sig").alias("sig")).select("item", "one.doc_id", "one.start", "one.end", "most", "words", "sig"))
+    one = F.min(F.struct(*TEXT, "start", "end")).alias("one")
+    items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("words").alias("words"), F.max("sig").alias("sig")).select("item", "one.*", "most", "words", "sig"))
     similar = common.cut(_similar_paragraphs(texts, items.drop("most", "words"), tenths, hashes, recall))
     node = lambda c: F.xxhash64(F.lit(2), c)
     # Runs and paragraphs are apart in this graph: one search for components serves both.
@@ -239,16 +256,18 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     alike = common.cut(alike.select("item", "cluster_id", "doc_id", "most"))
     first = common.cut(alike.groupBy("cluster_id").agg(F.min("doc_id").alias("kept_doc_id"), F.max("most").alias("most")).where("kept_doc_id < most").drop("most"))
     used = common.cut(alike.select("item", "cluster_id").join(first, "cluster_id"))
-    spans = lines.select("item", "doc_id", "start", "end").join(used, "item").withColumn("removed", F.col("doc_id") > F.col("kept_doc_id"))
+    spans = lines.select("item", *TEXT, "start", "end").join(used, "item").withColumn("removed", F.col("doc_id") > F.col("kept_doc_id"))
     found = runs.join(parts, "node", "left").withColumn("cluster_id", F.coalesce("cluster_id", "node"))
-    columns = ["cluster_id", "doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kept_doc_id", "removed"]
+    columns = ["cluster_id", "doc_id", F.col("text_no").cast("long").alias("text_no"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kept_doc_id", "removed"]
     return found.select(*columns).unionByName(spans.select(*columns))
 
 
 def without_repeats(documents: DataFrame, **options) -> DataFrame:
     """documents with the removed spans cut out of text. Rows without any stay as they are."""
-    gone = repeats(documents, **options).where("removed").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
-    rows = documents.join(gone, "doc_id", "left")
+    gone = repeats(documents, **options).where("removed").groupBy(*TEXT).agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_no").alias("_no"), "cuts")
+    numbered = _with_number(documents)
+    rows = numbered.join(gone, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("text_no") == F.col("_no")), "left").drop("_id", "_no", "text_no")
     kept = rows.drop("cuts").columns
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -261,4 +280,4 @@ def without_repeats(documents: DataFrame, **options) -> DataFrame:
             out.append("".join([*parts, t[at:]]) if parts else t)
         return pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in kept], names=kept)
 
-    return common.arrow_map(rows, rows.drop("cuts")._jdf.schema().toDDL(), each)
+    return common.arrow_map(rows, documents.schema, each)

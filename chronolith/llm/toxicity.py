@@ -273,12 +273,25 @@ def count_model(c: Counts, share: float) -> Model:
     return Model(c.words[~rare_word], (uni[1] - uni[0])[~rare_word], 0.0, c.contexts, tail[1] - tail[0], keys[order], (pair[1] - pair[0])[kept][order])
 
 
+def _calibrated(x: np.ndarray, truth: np.ndarray) -> np.ndarray:
+    """Weights of a logistic fit in which no evidence of toxicity speaks against it."""
+    used = list(range(x.shape[1]))
+    while True:
+        w = common.logistic_fit(x[:, used], truth)
+        if not used or w[:-1].min() >= 0:
+            break
+        del used[int(np.argmin(w[:-1]))]
+    out = np.zeros(x.shape[1] + 1)
+    out[[*used, -1]] = w
+    return out
+
+
 def _best(counts: Counts, rest: list[str], truth: np.ndarray) -> Model:
     best, least = None, np.inf
     for share in SHARES:
         model = count_model(counts, share)
         x = np.array([evidence(model.word_ratios(t)) for t in rest])
-        model.weights = common.logistic_fit(x, truth, ridge=1e-3)
+        model.weights = _calibrated(x, truth)
         p = common.logistic_apply(model.weights, x)
         loss = -np.log(np.where(truth == 1, p, 1 - p) + 1e-9).mean()
         if loss < least:
@@ -370,12 +383,13 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
 
 def fitted(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST) -> Model | None:
     """A model whose counts cover all documents, with the labels of all labelled rows but those held back for the
-    calibration: by hash a quarter of each class, at most most[class]. Without both classes in both there is no model."""
+    calibration: a quarter of each class, at most most[class], those with the smallest hash of their id. Without both
+    classes in both there is no model."""
     chosen = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
     # A row that has both labels has none.
     chosen = common.cut(chosen.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("also")).where("label = also").drop("also"))
-    quarter = F.pmod(F.xxhash64(F.lit(19), "doc_id"), F.lit(4)) == 3
-    back = common.cut(common.least_by_hash(chosen.where(quarter), most))
+    there = {r.label: r["count"] for r in chosen.groupBy("label").count().collect()}
+    back = common.cut(common.least_by_hash(chosen, tuple(min(m, -(-there.get(k, 0) // 4)) for k, m in enumerate(most))))
     rest, truth = common.labelled_texts(documents, back)
     learnt = common.cut(chosen.join(F.broadcast(back), "doc_id", "left_anti"))  # as many rows as most at most
     sizes = {r.label: r["count"] for r in learnt.groupBy("label").count().collect()}

@@ -3,6 +3,7 @@ import itertools
 import os
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -179,7 +180,7 @@ def test_a_very_long_text_and_columns_of_any_type(spark, library):
 def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
     """Texts in many chunks: their lists of words meet in one table."""
     df = spark.createDataFrame([(i, f"shared words {i % 3}") for i in range(30)], "doc_id long, text string").repartition(5)
-    corpus = bpe.split(df, None, 4).where("part IS NOT NULL").collect()
+    corpus = bpe.split(df, None, 4).where("part >= 0").collect()
     words = [w for r in corpus for w in bpe.unpacked_words(r.packed)]
     assert len({r.chunk for r in corpus}) == 5 and 5 < len(words) <= 5 * 5 and set(words) == {b"shared", b" words", b" 0", b" 1", b" 2"}
     asked = []
@@ -192,6 +193,9 @@ def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
 
     bpe.encoded_words(Rows(), None, 4)
     assert sorted(asked) == sorted({w.decode() for w in words})
+    texts = [np.array([0, 1, 0, 2, 3, 2]), np.zeros(0, np.int64), np.array([1, 4, 4])]
+    assert [p.tolist() for p in bpe.unpacked_places(bpe.packed_places(texts, 0))] == [t.tolist() for t in texts]
+    assert [p.tolist() for p in bpe.unpacked_places(bpe.packed_places(texts[1:], 4))] == [[], [1, 4, 4]]
     assert bpe.unpacked_words(bpe.packed_words([])) == [] and bpe.unpacked_words(bpe.packed_words([b"", b"x"])) == [b"", b"x"]
 
 
