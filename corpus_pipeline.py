@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, with the digests of the ids and of the text decoded from them."""
-    out = bpe.encode(docs)
+    out = bpe.encode(docs.select("doc_id", "source", "text"))
     sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
     return out.select("doc_id", "source", "n_tokens", "ids", sha("id_list").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
 
