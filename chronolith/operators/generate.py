@@ -12,8 +12,10 @@ from datetime import datetime, timezone
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chronolith.functions import text as words
+from chronolith.sources.sinks import stored
 
 Generator = Callable[[str], str]
 RESULT = "output string, status string, error string"
@@ -52,8 +54,9 @@ def todo(items: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
 
 def run(rows: DataFrame, generator: Generator, jobs: int | None = None, name: str = "prompt") -> DataFrame:
     """rows with output, status (ok or failed) and error, each prompt given to the generator once a row. jobs spreads the
-    calls over so many tasks."""
-    schema = f"{rows.drop(*[c for c in ('output', 'status', 'error') if c in rows.columns])._jdf.schema().toDDL()}, {RESULT}"
+    calls over so many tasks. Whoever reads the result twice should read it stored."""
+    kept = rows.drop("output", "status", "error")
+    schema = StructType([*kept.schema.fields, *StructType.fromDDL(RESULT).fields])
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -65,7 +68,7 @@ def run(rows: DataFrame, generator: Generator, jobs: int | None = None, name: st
                     out.append((None, "failed", f"{type(e).__name__}: {e}"))
             yield frame.assign(**{k: pd.Series([o[i] for o in out], index=frame.index, dtype=object) for i, k in enumerate(("output", "status", "error"))})
 
-    return (rows.repartition(jobs) if jobs else rows).mapInPandas(each, schema)
+    return (kept.repartition(jobs) if jobs else kept).mapInPandas(each, schema)
 
 
 def run_batches(rows: DataFrame, generator: Generator, text: str, key: str, order: str) -> DataFrame:
@@ -77,14 +80,24 @@ def run_batches(rows: DataFrame, generator: Generator, text: str, key: str, orde
 
 
 def published(results: DataFrame, keep_going: bool = False) -> DataFrame:
-    """The results if none failed; with keep_going those that didn't."""
+    """The results if none failed; with keep_going those that didn't. They are stored first: each call is made once, and
+    what is returned is what was looked at."""
+    results = stored(results, "generated")
     if not keep_going and (bad := results.where("status <> 'ok'").select("error").first()):
         raise RuntimeError(f"a call failed: {bad.error}")
     return results.where("status = 'ok'")
 
 
+def ranked_at_once(rows: DataFrame, generator: Generator, text: str, order: str, most: int = 5000) -> DataFrame:
+    """One call for the whole set, which must not be larger than most: all rows, in order, as JSON in the template's
+    {rows}; output, status and error."""
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows for one call")
+    return run_batches(rows.withColumn("_all", F.lit(0)), generator, text, "_all", order).drop("_all")
+
+
 def ledger(results: DataFrame, *keys: str) -> DataFrame:
-    """A record for each call, to be appended to a log of them."""
+    """A record for each call, to be appended to a log of them; results should be stored, else the calls are made again."""
     return results.select(*keys, "status", "error", F.length("output").cast("long").alias("output_chars"), F.current_timestamp().alias("at"))
 
 

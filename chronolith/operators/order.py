@@ -2,37 +2,70 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_US = 86_400_000_000
+from chronolith.sources.sinks import stored
+
+#: Ranges for each shuffle partition.
+SPREAD = 4
+
+
+def bounds(rows: DataFrame, us: str) -> list[int]:
+    """Instants that divide rows into ranges of about equal size, as many as the session's shuffle partitions ask for: a
+    log that holds a day or a century is dealt out alike."""
+    count = SPREAD * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = "array(" + ",".join(f"{(i + 1) / count:.9f}D" for i in range(count - 1)) + ")" if count > 1 else "array(0.5D)"
+    found = rows.agg(F.expr(f"percentile_approx({us}, {shares}, {max(10_000, 20 * count)}) q")).first().q
+    return sorted({*(found or [])})
+
+
+def range_of(us: Column, ends: list[int]) -> Column:
+    """The number of the range that an instant is in: of the ends below it. Two steps of comparisons, not one for each end."""
+    if not ends:
+        return F.lit(0)
+    step = math.isqrt(len(ends)) + 1
+    array = lambda values: F.expr(f"array({','.join(f'{v}L' for v in values)})")
+    below = lambda values: F.size(F.filter(values, lambda b: b < us))
+    coarse = ends[step - 1 :: step]
+    first = below(array(coarse)) * step if coarse else F.lit(0)
+    return first + below(F.slice(array(ends), first + 1, step))
+
+
+def _bases(sizes: DataFrame) -> DataFrame:
+    """_range and _base, how many rows the ranges before it hold; sizes has one row a range."""
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
 
 
-def positions(rows: DataFrame, us: str, ties: list[str], name: str = "pos", width_us: int = DAY_US) -> DataFrame:
-    """rows with their position, from 0, in the order of us and ties: counts of days are summed, and rows numbered
-    within their day. Rows without an instant have no position and are left out."""
-    day = F.floor(F.col(us) / width_us)
-    rows = rows.where(F.col(us).isNotNull()).withColumn("_day", day)
-    sizes = rows.groupBy("_day").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
-    sizes = sizes.select("_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_day").orderBy(us, *ties)
-    rows = rows.withColumn("_rank", F.row_number().over(within))
-    return rows.join(sizes, "_day").withColumn(name, (F.col("_base") + F.col("_rank") - 1).cast("long")).drop("_day", "_base", "_rank")
+def positions(rows: DataFrame, us: str, ties: list[str], name: str = "pos", ends: list[int] | None = None) -> DataFrame:
+    """rows with their position, from 0, in the order of us and ties: counts of ranges are summed, and rows numbered within
+    their range. Rows without an instant have no position and are left out; rows of one instant are in one range."""
+    rows = rows.where(F.col(us).isNotNull())
+    rows = rows.withColumn("_range", range_of(F.col(us), bounds(rows, us) if ends is None else ends))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    rows = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy(us, *ties)))
+    return rows.join(_bases(sizes), "_range").withColumn(name, (F.col("_base") + F.col("_rank") - 1).cast("long")).drop("_range", "_base", "_rank")
 
 
-def counts_until(events: DataFrame, anchors: DataFrame, us: str, key: str, width_us: int = DAY_US) -> DataFrame:
+def counts_until(events: DataFrame, anchors: DataFrame, us: str, key: str, ends: list[int] | None = None) -> DataFrame:
     """anchors (key, us) with n_le: how many events are at or before each."""
+    events = events.where(F.col(us).isNotNull())
+    ends = bounds(events, us) if ends is None else ends
     kind = lambda df, k: df.select(F.col(us), F.lit(k).alias("_k"), *([F.col(key)] if k else [F.lit(None).cast(anchors.schema[key].dataType).alias(key)]))
-    both = kind(events.where(F.col(us).isNotNull()), 0).unionByName(kind(anchors, 1)).withColumn("_day", F.floor(F.col(us) / width_us))
-    sizes = both.groupBy("_day").agg(F.sum(1 - F.col("_k")).alias("_n"))
-    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    upto = Window.partitionBy("_day").orderBy(us, "_k").rowsBetween(Window.unboundedPreceding, 0)
+    both = kind(events, 0).unionByName(kind(anchors.where(F.col(us).isNotNull()), 1)).withColumn("_range", range_of(F.col(us), ends))
+    sizes = both.groupBy("_range").agg(F.sum(1 - F.col("_k")).alias("_n"))
+    upto = Window.partitionBy("_range").orderBy(us, "_k").rowsBetween(Window.unboundedPreceding, 0)
     both = both.withColumn("_seen", F.sum(1 - F.col("_k")).over(upto)).where("_k = 1")
-    return both.join(sizes, "_day").select(key, us, (F.col("_base") + F.col("_seen")).cast("long").alias("n_le"))
+    return both.join(_bases(sizes), "_range").select(key, us, (F.col("_base") + F.col("_seen")).cast("long").alias("n_le"))
 
 
 def numbered(rows: DataFrame, name: str, *order: Column | str) -> DataFrame:
-    """rows with a number from 1 in the given order; for tables of results, not for logs."""
-    return rows.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    """rows with a number from 1 in the given order: they are sorted in ranges, numbered within each, and the sizes of the
+    ranges before are added. The sorted rows are stored between the two steps."""
+    sorted_rows = rows.orderBy(*order).withColumn("_range", F.spark_partition_id()).withColumn("_rank", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    kept = stored(sorted_rows, "numbered")
+    sizes = kept.groupBy("_range").agg(F.count("*").alias("_n"))
+    return kept.join(_bases(sizes), "_range").withColumn(name, (F.col("_base") + F.col("_rank") + 1).cast("long")).select(*rows.columns, name)

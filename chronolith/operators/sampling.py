@@ -47,17 +47,19 @@ def _key(seed: str, *columns: Column | str) -> Column:
 def uniform(rows: DataFrame, fraction: float, seed: str, key: str) -> DataFrame:
     """An exact share of rows, the ones whose seeded hash of key is least."""
     size_of(1, fraction)
-    k = F.greatest(F.lit(1), F.floor(F.count("*").over(Window.partitionBy()) * F.lit(fraction)))
-    order = Window.orderBy(_key(seed, key), key)
-    return rows.withColumn("_k", k).withColumn("_n", F.row_number().over(order)).where("_n <= _k").drop("_k", "_n")
+    out = numbered(rows, "_n", _key(seed, key), key)
+    return out.where(F.col("_n") <= _share(out, fraction)).drop("_n")
+
+
+def _share(rows: DataFrame, fraction: float) -> Column:
+    return F.greatest(F.lit(1), F.floor(F.lit(rows.count()) * F.lit(fraction)))
 
 
 def by_run(rows: DataFrame, fraction: float, seed: str, key: str, *order: Column | str) -> DataFrame:
     """One row of each of k equal runs of the order, the one whose seeded hash of key is least; with run."""
     size_of(1, fraction)
     out = numbered(rows, "_position", *order)
-    out = out.withColumn("_n", F.count("*").over(Window.partitionBy()))
-    out = out.withColumn("_k", F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(fraction))))
+    out = out.withColumn("_n", F.lit(out.count()).cast("long")).withColumn("_k", _share(out, fraction))
     # Position p (from 0) lies in run i where floor(i n / k) <= p < floor((i + 1) n / k).
     out = out.withColumn("run", F.expr("(_position * _k + _n - 1) div _n - 1"))
     first = F.row_number().over(Window.partitionBy("run").orderBy(_key(seed, key), key))
@@ -66,5 +68,6 @@ def by_run(rows: DataFrame, fraction: float, seed: str, key: str, *order: Column
 
 def staged(rows: DataFrame, start: int, fraction: float, seed: str, key: str, limit: int | None, *order: Column | str) -> DataFrame:
     """Offset, then sample, then limit, in this order."""
-    out = uniform(rows.orderBy(*order).offset(start), fraction, seed, key)
+    rest = numbered(rows, "_at", *order).where(F.col("_at") > start).drop("_at")
+    out = uniform(rest, fraction, seed, key)
     return out if limit is None else out.orderBy(*order).limit(limit)

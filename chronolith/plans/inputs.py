@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
+from chronolith.operators.order import numbered
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +58,7 @@ def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents ranked by length."""
     d = table(spark, sf_dir, "documents")
-    rank = F.row_number().over(W.orderBy(F.desc("n_chars"), "doc_id")).cast("long")
-    return d.select("doc_id", "lang", "source", rank.alias("rank"))
+    return numbered(d.select("doc_id", "lang", "source", "n_chars"), "rank", F.desc("n_chars"), "doc_id").drop("n_chars")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

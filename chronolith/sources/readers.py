@@ -2,28 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolith.functions import text as words
 from chronolith.functions import time
 
-#: What ends a line: fixed.
-LINE = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
+#: What ends a line beside line feeds and carriage returns: fixed.
+LINE = "[\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+
+
+def raw_lines(spark: SparkSession, path: str, pattern: str, recursive: bool = False) -> DataFrame:
+    """path, name, line_no (from 1) and value of every line. A large file is read in splits: lines are numbered within a
+    split, and the counts of a file's earlier splits are added, so no file needs to fit in a task."""
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
+    meta = ("file_path", "file_name", "file_block_start")
+    rows = reader.text(path).select(*(F.col(f"_metadata.{m}").alias(m) for m in meta), F.split("value", LINE).alias("parts"))
+    sizes = rows.groupBy("file_path", "file_block_start").agg(F.sum(F.size("parts")).alias("n"))
+    before = Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
+    sizes = sizes.select(F.col("file_path").alias("_path"), F.col("file_block_start").alias("_start"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # Within a task ids follow the order of reading.
+    rows = rows.withColumn("id", F.monotonically_increasing_id())
+    earlier = Window.partitionBy("file_path", "file_block_start").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("within", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0)))
+    rows = rows.join(sizes, (F.col("file_path") == F.col("_path")) & (F.col("file_block_start") == F.col("_start")))
+    return rows.select(F.col("file_path").alias("path"), F.col("file_name").alias("name"), "base", "within", F.posexplode("parts").alias("pos", "value")).select("path", "name", (F.col("base") + F.col("within") + F.col("pos") + 1).cast("long").alias("line_no"), "value")
 
 
 def lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", recursive: bool = False) -> DataFrame:
-    """path, line_no (from 1) and value of every line that isn't blank. A file is one row until it is split; for logs in
-    many files of bounded size, as day shards are."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
-    rows = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", LINE)).alias("line_no", "value"))
-    return rows.where(F.trim("value") != "").select("path", (F.col("line_no") + 1).cast("long").alias("line_no"), F.trim("value").alias("value"))
+    """path, line_no (from 1) and value of every line that isn't blank."""
+    rows = raw_lines(spark, path, pattern, recursive)
+    return rows.where(F.trim("value") != "").select("path", "line_no", F.trim("value").alias("value"))
+
+
+def parsed(value: Column, where: Column) -> Column:
+    """JSON as a variant; what is malformed is an error that names the place."""
+    doc = F.try_parse_json(value)
+    return F.when(doc.isNull(), F.raise_error(F.concat(F.lit("malformed JSON in "), where)).cast("variant")).otherwise(doc)
 
 
 def json_lines(spark: SparkSession, path: str, fail: bool = True, **options) -> DataFrame:
     """Lines as variants; a malformed one is an error, or with fail=False its row is kept with doc null."""
-    parse = F.parse_json if fail else F.try_parse_json
-    return lines(spark, path, **options).withColumn("doc", parse("value"))
+    where = F.concat(F.col("path"), F.lit(", line "), F.col("line_no").cast("string"))
+    return lines(spark, path, **options).withColumn("doc", parsed(F.col("value"), where) if fail else F.try_parse_json("value"))
 
 
 def is_object(doc: Column) -> Column:
@@ -83,8 +104,9 @@ def skipped(spark: SparkSession, path: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, path: str, pattern: str = "*.json", kind: str | None = None) -> DataFrame:
-    """path, name and doc of whole-file JSON; with kind (ARRAY or OBJECT) anything else is an error."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.parse_json("value").alias("doc"))
+    """path, name and doc of whole-file JSON; malformed files, and with kind (ARRAY or OBJECT) any other value, are errors."""
+    rows = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), "value")
+    rows = rows.select("path", "name", parsed(F.col("value"), F.col("path")).alias("doc"))
     if kind:
         rows = rows.where(F.when(F.schema_of_variant("doc").startswith(kind), F.lit(True)).otherwise(F.raise_error(f"expected {kind}").cast("boolean")))
     return rows
@@ -106,6 +128,11 @@ def named(rows: DataFrame, pattern: str, *names: str) -> DataFrame:
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """name, line_no (from 0) and value of every line of transcript files with a date in their name."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(path).select(F.col("_metadata.file_name").alias("name"), "value")
-    rows = rows.where(F.col("name").rlike(r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}\.md$"))
-    return rows.select("name", F.posexplode(F.split("value", LINE)).alias("line_no", "value"))
+    rows = raw_lines(spark, path, "*.md").where(F.col("name").rlike(r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}\.md$"))
+    return rows.select("name", (F.col("line_no") - 1).alias("line_no"), "value")
+
+
+def dated(rows: DataFrame, stamp: Column, name: str = "us") -> DataFrame:
+    """rows whose missing instants are filled in from a text that holds one."""
+    own = F.col(name) if name in rows.columns else F.lit(None).cast("long")
+    return rows.withColumn(name, F.coalesce(own, time.parse_first(stamp)))

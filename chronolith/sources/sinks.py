@@ -1,8 +1,11 @@
-"""Writers: day shards, JSON lines with sorted keys, single documents, reports."""
+"""Writers: day shards, JSON lines with sorted keys, single documents, reports; and results that are kept while a job runs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
@@ -33,3 +36,21 @@ def text_lines(rows: DataFrame, column: str, path: str, *order: str) -> None:
 def table(rows: DataFrame, path: str) -> None:
     """rows in place of what was there, nothing if there are none: a stale result never stays."""
     rows.write.mode("overwrite").parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: the one that spark.checkpoint.dir names. In local mode, where there
+    is but one machine, one of our own will do."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def stored(rows: DataFrame, name: str = "rows") -> DataFrame:
+    """rows, computed once, as a Parquet table in the shared folder: what reads them later sees the same rows."""
+    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
