@@ -32,7 +32,7 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Sp
 #: Beyond these characters two libraries may differ in Unicode's version: such texts are split by the tokenizer.
 SURE = regex.compile(r"[\x00-ɏ‐-‧‰-⁞€]*")
 #: A chunk ends with the text that brings it to so many characters or distinct words.
-CHUNK_CHARS, CHUNK_WORDS = 12_000_000, 250_000
+CHUNK_CHARS, CHUNK_WORDS = 24_000_000, 400_000
 
 
 def default_path() -> str:
@@ -92,51 +92,62 @@ def decode_ids(ids: list[int], path: str | None = None) -> str:
     return b"".join(map(pieces(path).__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _shut(a: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(a if isinstance(a, bytes) else a.tobytes())
+def _shut(b: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=5).compress(b)
 
 
-def _opened(b: bytes, dtype: str = "<i4") -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
+def _open(b: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(b)
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """Numbers byte by byte, so that like bytes stand together."""
+    return np.ascontiguousarray(a.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def packed_words(found: list[bytes]) -> bytes:
-    sizes = np.array([len(w) for w in found], "<i4")
-    return _shut(np.array([len(found)], "<i4").tobytes() + sizes.tobytes() + b"".join(found))
+    sizes = [len(found), *map(len, found)]
+    return _shut(np.array([len(found)], "<u4").tobytes() + _planes(np.array(sizes)) + b"".join(found))
 
 
 def unpacked_words(b: bytes) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(b)
-    n = int.from_bytes(raw[:4], "little")
-    ends = 4 * (n + 1) + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<i4", n, 4))])
-    return [raw[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    raw = _open(b)
+    start = 4 + 4 * (int.from_bytes(raw[:4], "little") + 1)
+    ends = np.cumsum(np.concatenate([[start], _numbers(raw[4:start])[1:]])).tolist()
+    return [raw[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def packed_ids(found: list[tuple[int, ...]]) -> bytes:
-    return _shut(np.concatenate([np.array([len(found)]), [len(x) for x in found], np.fromiter(itertools.chain.from_iterable(found), np.int64)]).astype("<i4"))
+    many = np.array([len(x) for x in found], np.int64)
+    ids = np.fromiter(itertools.chain.from_iterable(found), np.int64)
+    return _shut(np.array([len(found)], "<u4").tobytes() + _planes(many) + _planes(ids))
 
 
 def unpacked_ids(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     """How many ids each word has, and the ids."""
-    a = _opened(b)
-    return a[1 : a[0] + 1], a[a[0] + 1 :]
+    raw = _open(b)
+    end = 4 + 4 * int.from_bytes(raw[:4], "little")
+    return _numbers(raw[4:end]), _numbers(raw[end:])
 
 
 def packed_places(texts: list[np.ndarray], known: int) -> bytes:
     """Places of the words of some texts among their chunk's, which are numbered as they first occur and of which so many
-    have occurred before: a new word is 0, others their place + 1, byte by byte so that like bytes stand together."""
+    have occurred before: a new word is 0, others their place + 1."""
     place = np.concatenate([np.zeros(0, np.int32), *texts])
     highest = np.maximum.accumulate(np.concatenate([[known - 1], place]))[:-1] if len(place) else place
-    code = np.where(place > highest, 0, place + 1).astype("<u4")
-    sizes = np.array([known, len(texts), *map(len, texts)], "<i4")
-    return _shut(sizes.tobytes() + code.view(np.uint8).reshape(-1, 4).T.tobytes())
+    sizes = np.array([known, len(texts), *map(len, texts)], "<u4")
+    return _shut(sizes.tobytes() + _planes(np.where(place > highest, 0, place + 1)))
 
 
 def unpacked_places(b: bytes) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    known, many = raw[:8].view("<i4")
-    ends = np.cumsum(raw[8 : 8 + 4 * many].view("<i4"))
-    code = np.ascontiguousarray(raw[8 + 4 * many :].reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    raw = _open(b)
+    known, many = np.frombuffer(raw, "<u4", 2).tolist()
+    ends = np.cumsum(np.frombuffer(raw, "<u4", many, 8).astype(np.int64))
+    code = _numbers(raw[8 + 4 * many :])
     return np.split(np.where(code == 0, known + np.cumsum(code == 0), code) - 1, ends[:-1])
 
 
@@ -156,7 +167,7 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
         part = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % parts
         chunk = f"{TaskContext.get().partitionId()}-{len(ended)}"
         ended.append(chunk)
-        yield batch_of([chunk], [-1], [0], [_shut(part.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())], None)
+        yield batch_of([chunk], [-1], [0], [_shut(_planes(part))], None)
         order = np.argsort(part, kind="stable")
         starts = cells.bounds(part[order]) if len(order) else []
         for s, e in zip(starts[:-1], starts[1:], strict=True):
@@ -239,12 +250,12 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
                     now, held, many = chunk, [], None
                 if part is not None:
                     if part < 0:
-                        of_words = np.ascontiguousarray(_opened(packed, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+                        of_words = _numbers(_open(packed))
                     else:
                         held.append(unpacked_ids(packed))
                     continue
                 if many is None:  # the chunk's words are complete: what each stands for is written and looked up once
-                    some, flat = (np.concatenate([np.zeros(0, np.int32), *(h[i] for h in held)]).astype(np.int64) for i in (0, 1))
+                    some, flat = (np.concatenate([np.zeros(0, np.int64), *(h[i] for h in held)]) for i in (0, 1))
                     order = np.argsort(of_words, kind="stable")  # the words by part, as they were sent
                     many, starts = np.empty_like(some), np.empty_like(some)
                     many[order], starts[order] = some, np.cumsum(some) - some
