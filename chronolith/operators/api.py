@@ -11,9 +11,10 @@ from chronolith.functions import text as words
 from chronolith.operators import asof, pairs
 from chronolith.operators.order import numbered
 
+#: What the read queries take for a scope, a type and a seed: fixed.
 SCOPE = re.compile(r"^(?:global|(?:days|intervals)_[A-Za-z0-9_\-]+)$")
-TYPE = re.compile(r"^[A-Za-z0-9_]+$")
-SEED = re.compile(r"^\d+_\d+_\d+$")
+TYPE = re.compile(r"^[a-z][a-z0-9_]*$")
+SEED = re.compile(r"^[A-Za-z0-9_]+$")
 
 
 def checked(pattern: re.Pattern, value: str) -> str:
@@ -58,6 +59,22 @@ def manifest(combined: DataFrame, opportunities: DataFrame, questions: DataFrame
     return rows.select("position", "name", F.coalesce(F.size("sources"), F.lit(0)).cast("long").alias("source_count"), F.coalesce("_has", F.lit(False)).alias("has_opportunities"), F.coalesce("question_ids", none).alias("question_ids"))
 
 
+def first_existing(*layouts: DataFrame, key: str = "run") -> DataFrame:
+    """Of each key the rows of the first layout that has any."""
+    out, seen = layouts[0], layouts[0].select(key).distinct()
+    for rows in layouts[1:]:
+        out = out.unionByName(rows.join(seen, key, "left_anti"))
+        seen = seen.union(rows.select(key)).distinct()
+    return out
+
+
+def run_name(value: str) -> str:
+    """A run's name, which is one segment of a path with the runs' prefix: fixed."""
+    if not re.fullmatch(r"discovery_[^/\\]+", value or "") or ".." in value:
+        raise ValueError(f"not a run: {value!r}")
+    return value
+
+
 def batch_of(ranges: DataFrame, index: int) -> DataFrame:
     """The files (first, last, ...) whose range holds the index."""
     return ranges.where(F.lit(index).between(F.col("first"), F.col("last")))

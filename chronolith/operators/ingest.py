@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from chronolith.functions import text as words
 from chronolith.functions import time
+from chronolith.operators.order import numbered
 from chronolith.sources.readers import number, string
 
 #: Fixed names, in merge order.
 CHANNELS = ("screen", "calendar", "email", "notifications", "filesys", "audio")
+#: The transcripts' header and offset lines: fixed.
 HEADER = r"^##\s+(\d{2}):(\d{2}):(\d{2})\s*[–—\-]\s*(\d{2}):(\d{2}):(\d{2})\s*$"
 OFFSET = r"^\[(\d{2}):(\d{2})(?::(\d{3}))?\]\s*(.*)$"
 
@@ -38,7 +40,10 @@ def normalised(rows: DataFrame, channel: str) -> DataFrame:
         fields = F.when(date.isNotNull(), F.map_concat(F.map_filter(fields, lambda k, _: k != "date_utc_iso"), more)).otherwise(fields)
     elif channel == "notifications":
         stamp = number(F.col("source"), "$.timestamp")
-        more = F.map_from_arrays(F.array(F.lit("timestamp")), F.array(wrap(stamp + time.EPOCH_2001)))
+        # A whole number stays one.
+        whole = F.schema_of_variant(F.try_variant_get("source", "$.timestamp", "variant")) == "BIGINT"
+        shifted = F.when(whole, wrap(F.try_variant_get("source", "$.timestamp", "bigint") + time.EPOCH_2001)).otherwise(wrap(stamp + time.EPOCH_2001))
+        more = F.map_from_arrays(F.array(F.lit("timestamp")), F.array(shifted))
         fields = F.when(stamp.isNotNull(), F.map_concat(F.map_filter(fields, lambda k, _: k != "timestamp"), more)).otherwise(fields)
     return rows.select("us", time.iso_millis(F.col("us")).alias("ts_iso"), F.lit(channel).alias("channel"), F.coalesce("text", F.lit("")).alias("text"), fields.alias("source"))
 
@@ -52,10 +57,18 @@ def since(rows: DataFrame, cutover_us: int = time.CUTOVER_US) -> DataFrame:
     return rows.where(F.col("us") >= cutover_us)
 
 
+def _merge_order() -> Column:
+    return F.coalesce(F.nullif(F.array_position(F.lit(list(CHANNELS)), F.col("channel")), F.lit(0)), F.lit(len(CHANNELS) + 1))
+
+
 def merged(*streams: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
     """All streams in the order of time; at equal instants in the order of CHANNELS."""
-    order = F.coalesce(F.nullif(F.array_position(F.lit(list(CHANNELS)), F.col("channel")), F.lit(0)), F.lit(len(CHANNELS) + 1))
-    return reduce(DataFrame.unionByName, streams).orderBy("us", order, *ties)
+    return reduce(DataFrame.unionByName, streams).orderBy("us", _merge_order(), *ties)
+
+
+def merged_positions(*streams: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of merged() with their position from 1."""
+    return numbered(reduce(DataFrame.unionByName, streams), "position", "us", _merge_order(), *ties)
 
 
 def chunks(lines: DataFrame, zone: str = time.LOCAL_ZONE) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolith.functions import text as words
 from chronolith.functions import time
 
 QUARTER_US = 15 * 60 * 1_000_000
@@ -106,5 +107,11 @@ def selected(rows: DataFrame, range_text: str | None = None, start: int = 0, lim
     return rows if limit is None else rows.limit(limit)
 
 
-def duplicate_indexes(rows: DataFrame, key: str = "interval_index") -> DataFrame:
-    return rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+def duplicate_indexes(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once, and how often."""
+    return rows.groupBy(*(keys or ("interval_index",))).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def cutoff(end_us: Column, end_utc: Column, end_local: Column) -> Column:
+    """The instant at which an interval ends: the number, else the first text that is given, UTC before local."""
+    return F.coalesce(end_us, time.parse_event(F.lit(None).cast("double"), words.first_text(end_utc, end_local)))

@@ -45,10 +45,20 @@ def nested_batches(rows: DataFrame, key: str = "batch", order: str = "input_inde
     return rows.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
-def title(rows: Column | None = None) -> Column:
+def title() -> Column:
     return words.first_text(*(F.col(c) for c in ("title", "suggestion", "action", "expected_artifact", "goal")), default=F.col("opportunity_id"))
 
 
+def suggestion(own: Column, nested: Column) -> Column:
+    """A seed's suggestion, else that of the opportunity that it holds."""
+    return words.first_text(own, nested["suggestion"])
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """How many opportunities there are, how many without an instant, of how many inputs."""
+    return rows.agg(F.count("*").alias("seeds"), F.count_if(F.col("us").isNull()).alias("missing_instants"), F.countDistinct("input_index").alias("inputs"))
+
+
 def report(rows: DataFrame, zone: str = time.LOCAL_ZONE) -> DataFrame:
     """sequence_index and lines, the Markdown section of each opportunity."""
     field = lambda label, c: F.concat(F.lit(f"- {label}: "), F.coalesce(F.col(c), F.lit("")))

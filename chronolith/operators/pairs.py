@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EVENT = "struct<index:bigint,ts:double,ts_iso:string,channel:string,text:string>"
@@ -65,6 +65,24 @@ def counts(documents: DataFrame) -> DataFrame:
     return documents.select("doc_key", "qa_type", F.coalesce(F.size(pairs), F.lit(0)).cast("long").alias("pair_count"), first.alias("sample_question"))
 
 
+def first_of_each(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """Of the rows of each key the first in the given order."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+
+
+def in_selection_order(documents: DataFrame, selection: DataFrame, key: str = "doc_key") -> DataFrame:
+    """The documents of a selection (key, position) with their position, in its order; a selected key without a document
+    gives no row."""
+    return documents.join(selection.select(key, "position"), key).orderBy("position", "qa_type")
+
+
+def changed(before: DataFrame, after: DataFrame, *keys: str) -> DataFrame:
+    """Rows of after that differ from before's row of the same keys, or have none there: what has to be written again.
+    Columns of maps and variants are compared as JSON."""
+    plain = lambda df: df.select(*keys, F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("_json"))
+    return after.join(plain(after).join(plain(before), [*keys, "_json"], "left_anti").select(*keys), list(keys), "left_semi")
+
+
 def consolidated(documents: DataFrame, key: str = "doc_key", wanted: DataFrame | None = None) -> DataFrame:
     """The documents of all types as one ordered table, only those of wanted keys if given."""
     rows = documents if wanted is None else documents.join(wanted.select(key).distinct(), key, "left_semi")

@@ -33,6 +33,11 @@ def strict(rows: DataFrame, column: str = "violations") -> DataFrame:
     return rows.where(F.when(F.size(column) > 0, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
 
 
+def pair_budget(kind: Column, asked: Column) -> Column:
+    """Pairs that are asked for of a type: of the threaded type the largest number, of others what is asked for within bounds."""
+    return F.when(kind == "threaded", F.lit(MOST)).otherwise(F.greatest(F.lit(LEAST), F.least(asked, F.lit(MOST)))).cast("long")
+
+
 def parse_types(raw: str | None, known: tuple[str, ...]) -> list[str]:
     """Types of a comma list in its order, without repeats; none or all means every type."""
     names = list(dict.fromkeys(filter(None, (p.strip() for p in (raw or "").split(",")))))

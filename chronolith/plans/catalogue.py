@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronolith.functions import text as words
@@ -13,30 +10,10 @@ from chronolith.functions import time
 from chronolith.operators import api, asof, generate, ingest, intervals, opportunities, pairs, ranking, sampling, themes, validate
 from chronolith.operators.order import positions
 from chronolith.plans import inputs
+from chronolith.plans.registered import oracle_sql, queries, query
 from chronolith.streaming import incremental
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
+__all__ = ["oracle_sql", "queries"]
 
 WIDTH = 900_000_000
 _EV = "ev AS (SELECT epoch_us(ts) AS us, event_type AS channel, event_id AS seq, props, user_id, value FROM events)"
@@ -101,8 +78,7 @@ def index_list_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.table(spark, sf_dir, "lineitem")
-    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
+    return intervals.duplicate_indexes(inputs.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
 
 # Instants
@@ -317,8 +293,7 @@ def sequence_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_OPP} SELECT count(*) AS seeds, count(*) FILTER (us IS NULL) AS missing_instants, count(DISTINCT input_index) AS inputs FROM p")
 def opportunity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = opportunities.flattened(inputs.opportunities(spark, sf_dir))
-    return rows.agg(F.count("*").alias("seeds"), F.count_if(F.col("us").isNull()).alias("missing_instants"), F.countDistinct("input_index").alias("inputs"))
+    return opportunities.counted(opportunities.flattened(inputs.opportunities(spark, sf_dir)))
 
 
 @query("SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 5 AS batch, doc_id FROM documents")
@@ -497,8 +472,7 @@ def natural_sort_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EV} SELECT user_id, seq, channel FROM (SELECT *, row_number() OVER (PARTITION BY user_id, channel ORDER BY us, seq) AS r FROM ev) WHERE r = 1")
 def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.row_number().over(W.partitionBy("user_id", "channel").orderBy("us", "seq"))
-    return inputs.events(spark, sf_dir).withColumn("r", first).where("r = 1").select("user_id", "seq", "channel")
+    return pairs.first_of_each(inputs.events(spark, sf_dir), ["user_id", "channel"], "us", "seq").select("user_id", "seq", "channel")
 
 
 @query("SELECT c_custkey AS index, r.first, r.last FROM customer JOIN (SELECT p_partkey * 5 AS first, p_partkey * 5 + 4 AS last FROM part) r ON c_custkey BETWEEN r.first AND r.last")
@@ -559,16 +533,28 @@ def opportunity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opportunities.report(rows.withColumns({c: none for c in ("title", "why_now", "action", "expected_artifact")}))
 
 
-@query()
+def _stubbed(size: str) -> str:
+    """What the stand-in answers to a prompt of so many characters."""
+    one = lambda i: f"""'{{"answer": "Answer ' || ({size} + {i}) || '.", "q_id": {i}, "question": "Question {i} of ' || {size} || ' characters?"}}'"""
+    return f"""'{{"qa_pairs": [' || {one(0)} || ', ' || {one(1)} || ', ' || {one(2)} || ']}}'"""
+
+
+@query(f"""WITH b AS (SELECT o_orderkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 5 AS batch FROM orders),
+s AS (SELECT batch, length('Rows: [' || string_agg('{{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}}', ',' ORDER BY o_orderkey) || ']') AS n FROM b GROUP BY 1)
+SELECT batch, {_stubbed('n')} AS output, 'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM s""")
 def generated_batches_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One call for each batch of five rows, answered by the deterministic stand-in: no SQL form."""
+    """One call for each batch of five rows, answered by the deterministic stand-in."""
     rows = opportunities.batched(inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), 5, "o_orderkey")
     return generate.run_batches(rows, generate.stub, "Rows: {rows}", "batch", "o_orderkey")
 
 
-@query()
+@query(f"""WITH {_EV}, {_BK}, {_INTERVALS}, p AS (SELECT interval_index, 'Interval ' || interval_index || ': ' || {_utc_iso('start_us')} || ' to ' || {_utc_iso('end_us')} || ', ' || event_count || ' events.' AS prompt FROM iv)
+SELECT interval_index, prompt, {_stubbed('length(prompt)')} AS output, 'ok' AS status FROM p""")
 def generated_pairs_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts from interval rows answered by the deterministic stand-in: no SQL form."""
+    """Prompts from interval rows answered by the deterministic stand-in."""
     rows = intervals.activity(inputs.events(spark, sf_dir)).select("interval_index", "start_utc", "end_utc", "event_count")
     asked = generate.prompts(rows, "Interval {i}: {a} to {b}, {n} events.", i="interval_index", a="start_utc", b="end_utc", n="event_count")
     return generate.published(generate.run(asked, generate.stub)).select("interval_index", "prompt", "output", "status")
+
+
+from chronolith.plans import checks  # noqa: E402, F401  its queries join these

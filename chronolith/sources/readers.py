@@ -62,29 +62,29 @@ def string(doc: Column, path: str) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(doc, path, "string"))
 
 
-def channel_logs(spark: SparkSession, path: str, cutover_us: int = time.CUTOVER_US) -> DataFrame:
+def channel_logs(spark: SparkSession, path: str, cutover_us: int = time.CUTOVER_US, **options) -> DataFrame:
     """Raw channel logs: us, text and source of each line whose timestamp is a number not before the cut-over."""
-    rows = json_lines(spark, path)
+    rows = json_lines(spark, path, **options)
     us = time.seconds_to_micros(number(F.col("doc"), "$.timestamp"))
     rows = rows.select("path", "line_no", us.alias("us"), F.coalesce(string(F.col("doc"), "$.text"), F.lit("")).alias("text"), F.try_variant_get("doc", "$.source", "variant").alias("source"))
     return rows.where(F.col("us") >= cutover_us)
 
 
-def rows_with_index(spark: SparkSession, path: str) -> DataFrame:
+def rows_with_index(spark: SparkSession, path: str, **options) -> DataFrame:
     """Objects with interval_index, the line's number where they have none. Anything but an object is an error."""
-    rows = json_lines(spark, path)
+    rows = json_lines(spark, path, **options)
     rows = rows.where(F.when(is_object(F.col("doc")), F.lit(True)).otherwise(F.raise_error("expected one object a line").cast("boolean")))
     return rows.withColumn("interval_index", F.coalesce(F.try_variant_get("doc", "$.interval_index", "bigint"), F.col("line_no")))
 
 
-def event_log(spark: SparkSession, path: str, recursive: bool = False, text_stamps: bool = True) -> DataFrame:
+def event_log(spark: SparkSession, path: str, recursive: bool = False, text_stamps: bool = True, pattern: str = "*.jsonl") -> DataFrame:
     """The sharded event log: us, ts_iso, channel, text, path, line_no and seq-free total order (us, path, line_no).
 
     Two levels deep, or at any depth with recursive. Hidden folders, malformed lines, other values than objects and rows
     without an instant are skipped. channel falls back to the folder's name, text to a text of the payload.
     """
-    where = path if recursive else f"{path}/*/*.jsonl"
-    rows = json_lines(spark, where, fail=False, recursive=recursive).where(F.col("doc").isNotNull() & is_object(F.col("doc")))
+    where = path if recursive else f"{path}/*/{pattern}"
+    rows = json_lines(spark, where, fail=False, recursive=recursive, pattern=pattern).where(F.col("doc").isNotNull() & is_object(F.col("doc")))
     rows = rows.where(~F.col("path").rlike(r"/\.[^/]+/"))
     folder = F.element_at(F.split("path", "/"), -2)
     stamp = string(F.col("doc"), "$.ts_iso" if recursive else "$.ts")
@@ -95,9 +95,9 @@ def event_log(spark: SparkSession, path: str, recursive: bool = False, text_stam
     return rows.withColumn("ts_iso", words.first_text(F.col("ts_iso"), default=time.iso_short(F.col("us"))))
 
 
-def skipped(spark: SparkSession, path: str) -> DataFrame:
+def skipped(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """path, line_no and reason of the lines that event_log(recursive=True) skips."""
-    rows = json_lines(spark, path, fail=False, recursive=True)
+    rows = json_lines(spark, path, fail=False, recursive=True, pattern=pattern)
     us = time.parse_event(number(F.col("doc"), "$.ts"), string(F.col("doc"), "$.ts_iso"))
     reason = F.when(F.col("doc").isNull(), "malformed").when(~is_object(F.col("doc")), "not an object").when(us.isNull(), "no instant")
     return rows.select("path", "line_no", reason.alias("reason")).where("reason IS NOT NULL")
