@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -77,7 +78,29 @@ def arrow_batches(df: DataFrame, schema: str | StructType, function: Callable[[I
     """function on the Arrow batches of each task, which are held small for this session."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(function, schema)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            tidy()
+
+    return df.mapInArrow(each, schema)
+
+
+#: What a worker remembers between calls, by name; it is forgotten when a task ends.
+MEMORY: dict[str, dict] = {}
+
+
+def tidy() -> None:
+    """Workers serve many tasks: what one of them has used goes back to the system before the next."""
+    for remembered in MEMORY.values():
+        remembered.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def arrow_map(df: DataFrame, schema: str | StructType, function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
@@ -99,6 +122,18 @@ def with_columns(df: DataFrame, more: str, function: Callable[[pa.RecordBatch, o
     return arrow_map(df, StructType([*df.schema.fields, *added.fields]), lambda batch: pa.RecordBatch.from_arrays([*batch.columns, *function(batch, shared.value)], names=names))
 
 
+def runs_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours, as start and end, whose sizes sum to most or little more; a larger one is a run of its own."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column's texts; null is empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,40 +62,51 @@ class Model:
     ratios: np.ndarray
     weights: np.ndarray | None = None
 
-    def word_ratios(self, text: str) -> np.ndarray:
-        """Of each word the logarithm of its toxic likelihood over its ordinary one."""
-        ids = hashes(WORD.findall(text.lower()))
-        if not len(ids):
-            return np.zeros(0)
-        before = np.concatenate([[np.uint64(0)], ids[:-1]]) & CONTEXT
+    def ratios_of(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Of each word (by hash; a text's words from one of bounds to the next) the logarithm of its toxic likelihood over
+        its ordinary one."""
+        before = np.concatenate([np.zeros(1, np.uint64), ids[:-1]])[: len(ids)] & CONTEXT
+        before[bounds[:-1][np.diff(bounds) > 0]] = 0
         out = _looked_up(self.words, self.unigram, ids, self.other) + _looked_up(self.contexts, self.tail, before, 0.0)
         return _looked_up(self.pairs, self.ratios, pair_of(before, ids), out)
 
+    def word_ratios(self, text: str) -> np.ndarray:
+        ids = hashes(WORD.findall(text.lower()))
+        return self.ratios_of(ids, np.array([0, len(ids)]))
+
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """For each text and length of a passage the highest mean ratio of a passage."""
+        out = np.zeros((len(texts), len(PASSAGES)))
+        for s, e in common.runs_of([len(t) for t in texts], 1_000_000):
+            ids = [hashes(WORD.findall(t.lower())) for t in texts[s:e]]
+            bounds = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+            ratios = self.ratios_of(np.concatenate(ids), bounds)
+            out[s:e] = np.column_stack([highest(ratios, bounds, p) for p in PASSAGES])
+        return out
+
     def score(self, texts: list[str]) -> np.ndarray:
-        x = np.array([evidence(self.word_ratios(t)) for t in texts])
-        return common.logistic_apply(self.weights, x.reshape(-1, len(PASSAGES)))
+        return common.logistic_apply(self.weights, self.evidence(texts))
 
 
-def highest(ratios: np.ndarray, passage: int) -> float:
-    """The highest mean over so many neighbouring words; the mean of all where there are no more. No words: 0."""
-    n = len(ratios)
-    if not n:
-        return 0.0
-    if not passage or n <= passage:
-        return float(ratios.mean())
+def highest(ratios: np.ndarray, bounds: np.ndarray, passage: int) -> np.ndarray:
+    """Of each text (from one of bounds to the next) the highest mean over so many neighbouring words; the mean of all where
+    there are no more. No words: 0."""
+    many = np.diff(bounds)
     total = np.concatenate([[0.0], np.cumsum(ratios)])
-    return float((total[passage:] - total[:-passage]).max()) / passage
-
-
-def evidence(ratios: np.ndarray) -> list[float]:
-    return [highest(ratios, p) for p in PASSAGES]
+    out = (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(many, 1)
+    if passage and (long := np.flatnonzero(many > passage)).size:
+        means = np.append((total[passage:] - total[:-passage]) / passage, -np.inf)
+        # A text's passages start at its first word, and at the last one from which there are so many words.
+        ends = np.column_stack([bounds[:-1][long], bounds[1:][long] - passage + 1]).ravel()
+        out[long] = np.maximum.reduceat(means, ends)[::2]
+    return out
 
 
-_known: dict[str, int] = {}
+_known: dict[str, int] = common.MEMORY.setdefault("word hashes", {})
 
 
 def hashes(words: list[str]) -> np.ndarray:
-    if len(_known) > 300_000:
+    if len(_known) > 200_000:
         _known.clear()
     for w in set(words).difference(_known):
         _known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
@@ -137,52 +149,72 @@ class Tally:
         for s, e in zip(starts[:-1], starts[1:], strict=True):
             yield int(part[s]), Tally(self.words[s:e], self.texts[s:e], self.followed[s:e], self.pairs[s:e], self.before[at[s] : at[e]], self.n[at[s] : at[e]])
 
-    def packed(self) -> tuple[bytes, ...]:
-        before = np.ascontiguousarray(self.before.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
-        return self.words.tobytes(), self.texts.tobytes(), self.followed.tobytes(), self.pairs.tobytes(), before.tobytes(), self.n.tobytes()
+    def packed(self) -> bytes:
+        """Byte by byte, so that like bytes stand together: differences of words, contexts, and counts."""
+        parts = [_planes(np.diff(self.words, prepend=np.uint64(0)), 8), _planes(self.texts.ravel(), 4), _planes(self.followed.ravel(), 4), _planes(self.pairs, 4), _planes(self.before, 5), _planes(self.n.ravel(), 4)]
+        return zstandard.ZstdCompressor(level=1).compress(np.array([len(self.words), len(self.before)], "<u8").tobytes() + b"".join(parts))
 
     @staticmethod
-    def unpacked(words: bytes, texts: bytes, followed: bytes, pairs: bytes, before: bytes, n: bytes) -> Tally:
-        wide = np.zeros((len(before) // 5, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(before, np.uint8).reshape(-1, 5)
-        two = lambda b: np.frombuffer(b, np.int64).reshape(-1, 2)
-        return Tally(np.frombuffer(words, np.uint64), two(texts), two(followed), np.frombuffer(pairs, np.int64), wide.view("<u8").ravel().astype(np.uint64), two(n))
+    def unpacked(b: bytes) -> Tally:
+        raw = zstandard.ZstdDecompressor().decompress(b)
+        words, pairs = np.frombuffer(raw, "<u8", 2).tolist()
+        out, at = [], 16
+        for size, width in ((words, 8), (2 * words, 4), (2 * words, 4), (words, 4), (pairs, 5), (2 * pairs, 4)):
+            out.append(_numbers(raw[at : at + size * width], width))
+            at += size * width
+        count = lambda a: a.astype(np.int64).reshape(-1, 2)
+        return Tally(np.cumsum(out[0], dtype=np.uint64), count(out[1]), count(out[2]), out[3].astype(np.int64), out[4], count(out[5]))
+
+
+def _planes(a: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(a.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _numbers(b: bytes, width: int) -> np.ndarray:
+    wide = np.zeros((len(b) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(b, np.uint8).reshape(width, -1).T
+    return wide.view("<u8").ravel()
 
 
 def _tallied(word: np.ndarray, before: np.ndarray, n: np.ndarray, of: np.ndarray, sums: np.ndarray) -> Tally:
     """Sums of equal pairs (word, before, n by class), and of equal words (of: the words; sums: texts and followed)."""
     words, index = np.unique(np.concatenate([of, word]), return_inverse=True)
-    both = np.zeros((len(words), 4), np.int64)
-    np.add.at(both, index[: len(of)], sums)
-    index = index[len(of) :].astype(np.uint64)
-    order = np.argsort((index << np.uint64(40)) | before, kind="stable")
-    index, before, n = index[order], before[order], n[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (index[1:] != index[:-1]) | (before[1:] != before[:-1])
+    both = np.column_stack([np.bincount(index[: len(of)], weights=sums[:, k], minlength=len(words)) for k in range(4)]).astype(np.int64)
+    key = (index[len(of) :].astype(np.uint64) << np.uint64(40)) | before
+    del index
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    del order
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     starts = np.flatnonzero(new)
-    n = np.add.reduceat(n, starts, axis=0) if len(starts) else n
-    return Tally(words, both[:, :2], both[:, 2:], np.bincount(index[starts].astype(np.int64), minlength=len(words)), before[starts], n)
+    n = np.add.reduceat(n, starts, axis=0, dtype=np.int64) if len(starts) else n.astype(np.int64)
+    key = key[starts]
+    return Tally(words, both[:, :2], both[:, 2:], np.bincount((key >> np.uint64(40)).astype(np.int64), minlength=len(words)), key & CONTEXT, n)
 
 
 def tally(texts: list[str], labels: list[int | None]) -> Tally:
     """Counts of these texts; a label that isn't 0 or 1 is none."""
-    word, before, sums, of, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros((0, 4), np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
-    unit = {v: np.array([[v == 0, v == 1]], np.int64) for v in (0, 1)}
-    for t, v in zip(texts, labels, strict=True):
+    code = np.array([v if v in (0, 1) else 2 for v in labels], np.int8)
+    word, before, of, sums = [], [], [], []
+    for t, k in zip(texts, code, strict=True):
         ids = hashes(WORD.findall(t.lower()))
         first = np.concatenate([np.zeros(min(1, len(ids)), np.uint64), ids[:-1]])
         once = np.unique(pair_of(first & CONTEXT, ids), return_index=True)[1]
         ids, first = ids[once], first[once]
         word.append(ids)
         before.append(first & CONTEXT)
-        n.append(np.repeat(unit[v] if v in unit else np.zeros((1, 2), np.int64), len(ids), axis=0))
-        if v in unit:
+        if k < 2:
             some, many = np.unique(first, return_counts=True)
             own = np.unique(ids)
+            counts = np.zeros((len(own) + len(some), 4), np.int32)
+            counts[: len(own), k] = 1
+            counts[len(own) :, 2 + k] = many
             of += [own, some]
-            sums += [np.repeat(np.concatenate([unit[v], 0 * unit[v]], axis=1), len(own), axis=0), many[:, None] * np.concatenate([0 * unit[v], unit[v]], axis=1)]
-    join = np.concatenate
-    return _tallied(join(word), join(before), join(n), join(of), join(sums))
+            sums.append(counts)
+    join = lambda parts: np.concatenate([np.zeros(0, np.uint64), *parts])
+    label = np.repeat(code, [len(w) for w in word])
+    return _tallied(join(word), join(before), np.column_stack([label == k for k in (0, 1)]).astype(np.int8), join(of), np.concatenate([np.zeros((0, 4), np.int32), *sums]))
 
 
 def merged(parts: list[Tally]) -> Tally:
@@ -290,7 +322,7 @@ def _best(counts: Counts, rest: list[str], truth: np.ndarray) -> Model:
     best, least = None, np.inf
     for share in SHARES:
         model = count_model(counts, share)
-        x = np.array([evidence(model.word_ratios(t)) for t in rest])
+        x = model.evidence(rest)
         model.weights = _calibrated(x, truth)
         p = common.logistic_apply(model.weights, x)
         loss = -np.log(np.where(truth == 1, p, 1 - p) + 1e-9).mean()
@@ -299,7 +331,6 @@ def _best(counts: Counts, rest: list[str], truth: np.ndarray) -> Model:
     return best
 
 
-_COLUMNS = ("words", "texts", "followed", "pairs", "before", "n")
 _FOUND = "kind int, word long, before long, " + ", ".join(f"{c} long" for c in "abcdefg")
 
 
@@ -309,7 +340,7 @@ def _packed_counts(rows: DataFrame, parts: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def handed() -> Iterator[pa.RecordBatch]:
             for part, t in tally(texts, labels).slices(parts):
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([b], pa.binary()) for b in t.packed())], names=["part", *_COLUMNS])
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([t.packed()], pa.binary())], names=["part", "packed"])
 
         texts, labels, size = [], [], 0
         for batch in batches:
@@ -323,7 +354,7 @@ def _packed_counts(rows: DataFrame, parts: int) -> DataFrame:
         if texts:
             yield from handed()
 
-    return common.arrow_batches(rows.select("text", "label"), "part int, " + ", ".join(f"{c} binary" for c in _COLUMNS), each)
+    return common.arrow_batches(rows.select("text", "label"), "part int, packed binary", each)
 
 
 def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
@@ -332,7 +363,7 @@ def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
     parts = common.partitions(spark)
 
     def merge(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        t = merged([Tally.unpacked(*(x.as_py() for x in row)) for row in zip(*(table.column(c) for c in _COLUMNS), strict=True)])
+        t = merged([Tally.unpacked(x.as_py()) for x in table.column("packed")])
         totals, of_word, shared = _summary(t)
         null = lambda n: np.zeros(n, np.int64)
         made = [[np.full(len(totals), 0), np.arange(len(totals)), null(len(totals)), np.array(totals), *[null(len(totals))] * 6]]

@@ -170,9 +170,20 @@ def test_ratios_are_those_of_a_plain_model(spark):
 
 
 def test_the_most_toxic_passage_counts():
-    r = np.array([0.0, 0.0, 3.0, 1.0, -1.0, 0.0])
-    assert toxicity.highest(r, 2) == 2.0 and toxicity.highest(r, 1) == 3.0 and toxicity.highest(r, 0) == 0.5 and toxicity.highest(r, 9) == 0.5
-    assert toxicity.highest(np.zeros(0), 3) == 0.0
+    texts = [np.array([0.0, 0.0, 3.0, 1.0, -1.0, 0.0]), np.zeros(0), np.array([-2.0]), np.array([1.0, -1.0, 5.0])]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    for passage in (0, 1, 2, 3, 9):
+        want = [0.0 if not len(t) else t.mean() if not passage or len(t) <= passage else max(t[i : i + passage].mean() for i in range(len(t) - passage + 1)) for t in texts]
+        assert np.allclose(toxicity.highest(np.concatenate(texts), bounds, passage), want)
+
+
+def test_tallies_survive_packing_and_merging():
+    rows = [(t, k) for k, rude in ((0, False), (1, True), (None, False)) for t in texts(20, rude, 9)] + [("", 1), ("one", None)]
+    whole = toxicity.tally([t for t, _ in rows], [v for _, v in rows])
+    parts = [toxicity.tally([t for t, _ in rows[i::3]], [v for _, v in rows[i::3]]) for i in range(3)]
+    again = [toxicity.merged([toxicity.Tally.unpacked(s.packed()) for p in parts for n, s in p.slices(7) if n == k]) for k in range(7)]
+    for name in ("words", "texts", "followed", "pairs", "before", "n"):
+        assert np.array_equal(getattr(whole, name), np.concatenate([getattr(a, name) for a in again]))
 
 
 def test_held_out_rows_of_the_table(spark):
