@@ -7,7 +7,7 @@ anti-join, and of equal conversations the one with the smallest id stays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -19,31 +19,36 @@ def _turns(conversations: DataFrame) -> DataFrame:
 
 
 def prefixes(conversations: DataFrame) -> DataFrame:
-    """conv_id, n_turns and names: the rolling hash after each turn. Turns stand in the order of turn (null first), then
-    role and text; null roles and texts count as empty."""
+    """A row for each turn: conv_id, number (from 1), the rolling hash of the turns up to it (one and two, sums of hashes of
+    each turn and its number, together with number the prefix's name) and whether it is the last. Turns stand in the
+    order of turn (null first), then role and text; null roles and texts count as empty. Sums run along the sorted turns:
+    no conversation is held as a list."""
     own = F.md5(F.concat("role", F.lit("\x01"), "text").cast("binary"))
-    rows = _turns(conversations).select("conv_id", F.struct("turn", "role", own.alias("own")).alias("t"))
-    rows = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    roll = lambda names, t: F.array_append(names, F.md5(F.concat(F.coalesce(F.get(names, F.size(names) - 1), F.lit("")), t["own"]).cast("binary")))
-    names = F.aggregate("turns", F.expr("cast(array() as array<string>)"), roll)
-    return rows.select("conv_id", F.size("turns").cast("long").alias("n_turns"), names.alias("names"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "own")
+    rows = _turns(conversations).select("conv_id", "turn", "role", own.alias("own"))
+    rows = rows.withColumn("number", F.row_number().over(order)).withColumn("last", F.lead("own").over(order).isNull())
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    roll = lambda seed: F.sum(F.xxhash64(F.lit(seed), "number", "own").cast("decimal(20,0)")).over(so_far)
+    return rows.select("conv_id", F.col("number").cast("long").alias("number"), roll(1).alias("one"), roll(2).alias("two"), "last")
 
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns and n_copies (equal conversations, itself included) of the conversations that no longer one
     starts with."""
-    named = prefixes(conversations).select("conv_id", "n_turns", F.element_at("names", -1).alias("name"), "names")
-    inner = named.select(F.explode(F.slice("names", 1, F.size("names") - 1)).alias("name")).distinct()
+    name = ["number", "one", "two"]
+    named = prefixes(conversations)
+    inner = named.where("NOT last").select(*name).distinct()
     least = F.min(F.struct(F.col("conv_id").isNull().alias("none"), "conv_id"))
-    whole = named.groupBy("name", "n_turns").agg(least.alias("first"), F.count("*").alias("n_copies"))
-    return whole.join(inner, "name", "left_anti").select(F.col("first.conv_id").alias("conv_id"), "n_turns", "n_copies")
+    whole = named.where("last").groupBy(*name).agg(least.alias("first"), F.count("*").alias("n_copies"))
+    return whole.join(inner, name, "left_anti").select(F.col("first.conv_id").alias("conv_id"), F.col("number").alias("n_turns"), "n_copies")
 
 
 def render(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies and text, the conversation with its role markers, for each maximal conversation.
 
-    Markers that occur in a turn lose their bar, so a text can't forge a turn. A null conv_id is one conversation; an
-    empty table gives no rows; repeated rows are repeated turns. Other columns are not read.
+    Markers that occur in a turn lose their bar, so a text can't forge a turn. Null and empty roles and texts are empty,
+    long ones are whole. A null conv_id is one conversation; an empty table gives no rows; repeated rows, and turns that
+    tie, are turns of their own, in the order of role and text. Other columns are not read.
     """
     safe = lambda c: F.replace(F.replace(c, F.lit(START), F.lit("<im_start>")), F.lit(END), F.lit("<im_end>"))
     kept = maximal(conversations)
