@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,19 +38,26 @@ def pending(events: DataFrame, cursor: DataFrame, default_us: int = time.CUTOVER
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.schema(schema).parquet(path) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)) else spark.createDataFrame([], schema)
+    """The table at path, empty where there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def index_batch(events: DataFrame, shards: str, state: str, batch_id: int, late: str | None = None, default_us: int = time.CUTOVER_US, limit: int | None = None) -> None:
     """Appends what is new to the day shards and moves the cursor on.
 
-    Cursors are kept by batch, and a batch is compared with those of earlier batches only: replaying one appends to the
-    same folder of the shards again, in place of what its first try wrote. limit keeps the first events in time.
+    Cursors are kept by batch, each with all channels, and a batch is compared with those of the batch before it only:
+    replaying one appends to the same folder of the shards again, in place of what its first try wrote. limit keeps the
+    first events in time.
     """
     spark = events.sparkSession
     known = _stored(spark, state, "channel string, us bigint, seq bigint, batch int").where(F.col("batch") < batch_id)
-    cursor = cursors(known)
+    before = known.agg(F.max("batch").alias("batch")).first().batch
+    cursor = known.where(F.col("batch") == F.lit(before)).select("channel", "us", "seq")
     fresh, behind = split(events, cursor, default_us)
     if limit is not None:
         fresh = fresh.orderBy("us", "channel", "seq").limit(limit)
