@@ -20,9 +20,11 @@ from chronolith.llm import cells, common
 from chronolith.llm.components import components
 
 COSINE = 0.93
-#: 5 tables of 4 buckets find 99.8 % of pairs exactly at the bound in 64 dimensions (tests/llm/test_similarity.py).
-TABLES = 5
 PROBES = 4
+#: Tables by the largest width that they are for: with 4 buckets each they find 99.8 % of the pairs that are exactly at the
+#: bound, or more (tests/llm/test_similarity.py).
+TABLES = {64: 6, 128: 8, 256: 9}
+WIDER = 12
 TURNS = 2
 
 
@@ -37,7 +39,11 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def codes(x: np.ndarray, tables: int = TABLES, probes: int = PROBES, seed: int = 23) -> np.ndarray:
+def tables_for(width: int) -> int:
+    return next((n for most, n in TABLES.items() if width <= most), WIDER)
+
+
+def codes(x: np.ndarray, tables: int, probes: int = PROBES, seed: int = 23) -> np.ndarray:
     """For each row (of unit length) and table its bucket, then the next likely ones: tables * probes numbers."""
     width = 1 << max(1, (x.shape[1] - 1).bit_length())
     padded = np.zeros((len(x), width))
@@ -114,14 +120,16 @@ def _rows(vectors: DataFrame, dtype: str) -> DataFrame:
     return common.arrow_map(chosen, "vec_id long, key long, group string, unit binary", each)
 
 
-def linked(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def linked(vectors: DataFrame, cosine: float = COSINE, tables: int | None = None, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of vectors (vec_id, embedding, label).
 
     Rows link when labels and lengths are equal and the cosine, in double precision, is at least the bound. Null labels
     and vectors that are null, empty, zero or hold null or non-finite components link with nothing and are their own
     component. Each row counts: rows that repeat a vector link with each other. A row with a null vec_id is counted by
-    others, and its component is the least id among the rest. An empty table gives no rows.
+    others, and its component is the least id among the rest. An empty table gives no rows. Other columns are not read.
+    tables: as many as the widest vector needs, if not given.
     """
+    tables = tables or tables_for(vectors.agg(F.max(F.size("embedding"))).first()[0] or 1)
     dtype = "f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "f8"
     rows = common.cut(_rows(vectors, dtype))
     classes = rows.where("key IS NOT NULL").groupBy("key", "group").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.max("unit").alias("unit"))

@@ -63,6 +63,32 @@ def test_prefixes_shorten_until_the_recall():
     assert passages.band_rows(0.8, 0.99) >= passages.band_rows(0.8, 0.9999)
 
 
+def test_the_least_similarity_that_a_size_allows():
+    for size in range(1, 40):
+        every = [k / (size + m) for k in range(size + 1) for m in range(80) if 10 * k >= 8 * (size + m)]
+        assert jaccard.least_similarity(size, 8) == min(every)
+    need = jaccard.depths(8, jaccard.RECALL, jaccard.TREES)
+    assert need[1] == need[2] == jaccard.LEVELS and need[-1] == jaccard.depth(0.8) and min(need) == need[-1]
+
+
+def test_tries_link_what_shares_a_prefix():
+    """Against all pairs: rows of a cell meet if the shorter of their prefixes is long enough for both; all that is linked is
+    alike, and all that meets and is alike is linked, directly or not."""
+    rng = np.random.default_rng(4)
+    for n, small in ((30, 24), (60, 2), (200, 24)):
+        jaccard.SMALL, before = small, jaccard.SMALL
+        label = rng.integers(0, 2, (n, 8)).astype(np.uint8)
+        cell, need, item = rng.integers(0, 3, n), rng.integers(2, 9, n).astype(np.int8), rng.permutation(n)
+        alike = rng.random((n, n)) < 0.5
+        alike |= alike.T
+        i, j = jaccard.walked(cell, label, need, item, lambda a, b: alike[a, b] | (a == b))
+        jaccard.SMALL = before
+        assert all(alike[a, b] or a == b for a, b in zip(i, j, strict=True))
+        meet = [(a, b) for a in range(n) for b in range(a) if cell[a] == cell[b] and alike[a, b] and (label[a, : max(need[a], need[b])] == label[b, : max(need[a], need[b])]).all()]
+        got, want = union_find(n, [(int(a), int(b)) for a, b in zip(i, j, strict=True)]), union_find(n, meet)
+        assert got == want
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components_of_any_graph(spark, pairs):
@@ -127,6 +153,30 @@ def test_join_against_all_pairs(spark, monkeypatch):
     assert kept == {r.doc_id for r in jaccard.joined(df).collect() if r.doc_id == r.class_id}
 
 
+def test_rows_that_repeat_beside_a_near_copy(spark):
+    t = sentence(40, 61)
+    near = " ".join([*t[:-1], "other"])
+    t = " ".join(t)
+    df = spark.createDataFrame([(1, t), (1, t), (2, near)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.joined(df).collect()) == [(1, 1, 2), (1, 1, 2), (2, 1, 2)]
+    assert [(r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()] == [(1, t)]
+    df = spark.createDataFrame([(None, t), (2, near), (None, t), (7, None), (7, None), (None, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard.joined(df).collect()), key=str)
+    assert got == sorted([(None, 2, 2), (None, 2, 2), (2, 2, 2), (7, 7, 0), (7, 7, 0), (None, None, 0)], key=str)
+    assert sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()), key=str) == sorted([(2, near), (7, None), (None, None)], key=str)
+
+
+def test_different_texts_under_one_id_both_stay(spark):
+    a, b = " ".join(sentence(40, 62)), " ".join(sentence(40, 63))
+    df = spark.createDataFrame([(1, a, 1), (1, b, 2), (2, a, 3), (1, a, 4)], "doc_id long, text string, item int")
+    assert sorted((r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()) == sorted([(1, a), (1, b)])
+
+
+def test_components_that_do_not_end_are_an_error(spark):
+    with pytest.raises(RuntimeError):
+        components.components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long"), rounds=1)
+
+
 def test_join_of_a_large_group_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(cells, "BLOCK", 8)
     w = sentence(80, 77)
@@ -179,16 +229,18 @@ def test_a_dense_group_in_blocks(spark, monkeypatch):
     check_links(rows, vectors.linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
 
 
-def test_recall_of_the_hashing():
+@pytest.mark.parametrize(("width", "count"), [(16, 3000), (64, 3000), (256, 1500), (768, 500), (1024, 500)])
+def test_recall_of_the_hashing(width, count):
     rng = np.random.default_rng(2)
-    x = rng.normal(size=(3000, 64))
+    x = rng.normal(size=(count, width))
     x /= np.linalg.norm(x, axis=1)[:, None]
     noise = rng.normal(size=x.shape)
     noise -= (noise * x).sum(1)[:, None] * x
     noise /= np.linalg.norm(noise, axis=1)[:, None]
     y = 0.93 * x + np.sqrt(1 - 0.93**2) * noise  # pairs exactly at the bound
-    a, b = vectors.codes(x), vectors.codes(y)
-    assert (vectors._first_meeting(a, b, vectors.TABLES, vectors.PROBES) >= 0).mean() > 0.97
+    tables = vectors.tables_for(width)
+    a, b = vectors.codes(x, tables), vectors.codes(y, tables)
+    assert (vectors._first_meeting(a, b, tables, vectors.PROBES) >= 0).mean() > 0.995
 
 
 @pytest.fixture(scope="module")
@@ -287,3 +339,13 @@ def test_every_shared_run_holds_a_common_anchor():
 
 def test_passages_of_an_empty_table(spark):
     assert passages.repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_spans_belong_to_the_text_of_an_id(spark):
+    passage, other = sentence(60, 950), " ".join(sentence(200, 951))
+    rows = [(1, " ".join(sentence(30, 952) + passage)), (2, " ".join(passage + sentence(30, 953))), (2, other), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.repeats(df).collect()
+    assert {(r.doc_id, r.removed) for r in got} == {(1, False), (2, True)} and len(got) == 2
+    left = sorted(passages.without_repeats(df).collect(), key=str)
+    assert {(r.doc_id, r.text) for r in left} == {rows[0], (2, rows[1][1][len(" ".join(passage)) :]), (2, other), (2, None)}

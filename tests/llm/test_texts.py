@@ -2,6 +2,8 @@ import hashlib
 import itertools
 import os
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,34 @@ def test_likeness_follows_the_edit(spark):
         assert 0.4 < row.near_edited < 0.6 and row.near_next < 0.05
 
 
+def plain_likeness(a, b):
+    """Twice the length of the common pieces over that of both, pieces counted as often as they occur."""
+    cut = lambda t: Counter(re.findall(rf"[^.!?\n]{{1,{merkle.PIECE}}}[.!?\n]{{0,{merkle.PIECE}}}|[.!?\n]{{1,{merkle.PIECE}}}", t))
+    x, y = cut(a), cut(b)
+    return 2 * sum(len(p) * n for p, n in (x & y).items()) / (len(a) + len(b)) if a or b else 1.0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_likeness_is_the_share_of_common_pieces(spark, seed):
+    r = random.Random(seed)
+    some = ["One.", "Two!\n", "three three\n", "\n", "...", "a" * 200, "é?"]
+    rows = {i: "".join(r.choice(some) for _ in range(r.randint(0, 30))) for i in range(25)} | {100: "line\n" * 3, 99: "line\n" * 50, 98: "." * 1000}
+    want, order = edited(rows), sorted(rows, reverse=True)
+    after = {i: rows[order[(k + 1) % len(order)]] for k, i in enumerate(order)}
+    for i, row in compared(spark, rows).items():
+        assert abs(row.near_edited - plain_likeness(rows[i], want[i])) < 1e-9 and abs(row.near_next - plain_likeness(rows[i], after[i])) < 1e-9
+        a, b = rows[i].split("\n"), want[i].split("\n")
+        first = next((k for k in range(max(len(a), len(b))) if a[k : k + 1] != b[k : k + 1]), None)
+        assert row.paragraph == first and (row.section is None) == (first is None)
+        assert (row.fingerprint == row.edited_fingerprint) == (rows[i] == want[i])
+
+
+def test_a_very_long_text_has_a_fingerprint(spark):
+    rows = {1: "word and word. " * 100_000 + "\n" * 70_000, 0: "short"}
+    got = compared(spark, rows)
+    assert got[1].n_chars == len(rows[1]) and got[1].edited_sha256 == hashlib.sha256(edited(rows)[1].encode()).hexdigest()
+
+
 def test_differing_branches_locate_an_edit(spark):
     lines = [f"line number {i}" for i in range(100)]
     df = spark.createDataFrame([(0, "\n".join(lines)), (1, "\n".join([*lines[:57], "changed", *lines[58:]]))], "doc_id long, text string")
