@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from chronolith.sources.sinks import shared_folder
+from chronolith.sources.sinks import stored as written  # noqa: F401  a table in the shared folder
+
 #: White space that separates words, as one character class of Java and Python patterns.
 BLANK = r"\x20\x09-\x0D"
 
@@ -21,30 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see: the one the cluster names. In local mode, where there is but one
-    machine, one of our own will do; elsewhere it must be named."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df, computed once and held in the shared checkpoint folder: a lost executor loses nothing of it."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,7 @@ def sha(text):
 
 
 def test_names():
-    assert sorted(registry.queries(), key=lambda n: int(n[2:].split("_")[0])) == [n for n in registry.queries()] or len(registry.queries()) == 10
+    assert len(registry.queries()) == 10
     assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
     assert [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "bpe"]
 

@@ -289,6 +289,38 @@ def test_mixed_documents_hold_what_was_taken(spark):
         assert m(df.limit(0)).count() == 0
 
 
+def test_taken_words_by_brute_force(spark):
+    """Slots and offsets are taken as rows, and the words of each document are counted one by one."""
+    rows = [(i, " ".join(f"w{k}" for k in range((i * 37) % 90)), f"s{i % 3}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = df.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size"))
+    p = mixing.plan(sized, 16, 1)
+    drawn = Counter((r.source_id, r.block) for r in mixing.slots(spark, p).collect())
+    placed = mixing.packed(sized, p, ["doc_id"]).collect()
+    words = {}
+    for r in placed:
+        for k in range(r["size"]):
+            assert words.setdefault((r.source_id, r.at + k), r.doc_id) == r.doc_id
+    for s in {r.source_id for r in placed}:
+        assert sorted(k for t, k in words if t == s) == list(range(sum(r["size"] for r in placed if r.source_id == s)))
+    want = Counter()
+    for (s, at), i in words.items():
+        want[i] += drawn[s, at // 16]
+    assert {r.doc_id: r.taken for r in mixing.taken(df, block_words=16).collect()} == {i: want[i] for i, _, _ in rows}
+
+
+def test_the_mix_keeps_white_space(spark):
+    texts = [" lead  two\n\nthree\tfour ", "a b c d e f g h\ni j k l m n o p q r s t u v w x y z"]
+    df = spark.createDataFrame([(i, t, "s", "en", 0) for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string, n_chars long")
+    out = mixing.mixed(df, block_words=8).collect()
+    assert out
+    for r in out:
+        for piece in ([r.text] if r.text in texts[r.doc_id] else r.text.split("\n")):
+            assert piece.strip() in texts[r.doc_id]
+    whole = [r for r in out if r.doc_id == 0 and len(r.text.split()) == 4]
+    assert all(r.text == texts[0] for r in whole)
+
+
 # Registered queries
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables aren't here")
