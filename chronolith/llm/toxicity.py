@@ -42,7 +42,9 @@ PASSAGES = (0, 32, 8, 3, 1)
 #: Labels are sent to every task up to this number of rows, beyond it texts and labels meet in a shuffle.
 LABELS_SENT = 2_000_000
 #: Words that a task counts before it hands on what they hold.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
+#: Ranges of hashes that are merged one by one, for each shuffle partition.
+RANGES = 4
 THRESHOLD = 0.3
 CONTEXT = np.uint64((1 << 40) - 1)
 _DISCOUNT = 0.75
@@ -212,9 +214,15 @@ def tally(texts: list[str], labels: list[int | None]) -> Tally:
             counts[len(own) :, 2 + k] = many
             of += [own, some]
             sums.append(counts)
-    join = lambda parts: np.concatenate([np.zeros(0, np.uint64), *parts])
     label = np.repeat(code, [len(w) for w in word])
-    return _tallied(join(word), join(before), np.column_stack([label == k for k in (0, 1)]).astype(np.int8), join(of), np.concatenate([np.zeros((0, 4), np.int32), *sums]))
+
+    def joined(parts: list[np.ndarray], empty: np.ndarray) -> np.ndarray:
+        out = np.concatenate([empty, *parts])
+        parts.clear()
+        return out
+
+    none = np.zeros(0, np.uint64)
+    return _tallied(joined(word, none), joined(before, none), np.column_stack([label == k for k in (0, 1)]).astype(np.int8), joined(of, none), joined(sums, np.zeros((0, 4), np.int32)))
 
 
 def merged(parts: list[Tally]) -> Tally:
@@ -360,7 +368,7 @@ def _packed_counts(rows: DataFrame, parts: int) -> DataFrame:
 def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
     """Counts over all rows (text, label; null: shared only), of which so many have label 0 and 1."""
     spark = rows.sparkSession
-    parts = common.partitions(spark)
+    parts = RANGES * common.partitions(spark)
 
     def merge(table: pa.Table) -> Iterator[pa.RecordBatch]:
         t = merged([Tally.unpacked(x.as_py()) for x in table.column("packed")])
@@ -375,7 +383,7 @@ def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
         columns = [np.concatenate(c) for c in zip(*made, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in columns[1:])], names=[c.split()[0] for c in _FOUND.split(", ")])
 
-    packed = _packed_counts(rows, parts).repartition(parts, "part").sortWithinPartitions("part")
+    packed = _packed_counts(rows, parts).repartition(common.partitions(spark), "part").sortWithinPartitions("part")
     found = common.written(common.arrow_batches(packed, _FOUND, lambda batches: cells.each_group(batches, merge, "part", 1)), "toxicity-counts")
     sums = {r.word: r.s for r in found.where("kind = 0").groupBy("word").agg(F.sum("a").alias("s")).collect()}  # one row a name
     totals = {name: float(sums.get(i, 0)) for i, name in enumerate(TOTALS)}
