@@ -405,3 +405,45 @@ def ranked_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     out = generate.ranked_at_once(rows, generate.stub, "Rank: {rows}", "n_nationkey")
     return out.select("status", F.regexp_extract("output", "of ([0-9]+) characters", 1).cast("long").alias("asked"))
+
+
+# Calls
+
+def _refusing(prompt: str) -> str:
+    """A stand-in that refuses one prompt in ten."""
+    if prompt.endswith("7"):
+        raise ValueError(f"refused {prompt}")
+    return prompt.upper()
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = inputs.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("prompt"))
+    return generate.run(o, _refusing)
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 7 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 10 = 7 THEN 'ValueError: refused order ' || o_orderkey END AS error,
+  CASE WHEN o_orderkey % 10 <> 7 THEN length('order ' || o_orderkey) END AS output_chars FROM orders""")
+def call_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record of each call, appended as JSON lines and read back."""
+    path = _folder(spark, "calls")
+    sinks.sorted_json(generate.ledger(sinks.stored(_calls(spark, sf_dir)), "o_orderkey"), path, mode="append")
+    return spark.read.schema("o_orderkey long, status string, error string, output_chars long").json(path)
+
+
+@query("SELECT o_orderkey, 'ORDER ' || o_orderkey AS output FROM orders WHERE o_orderkey % 10 <> 7")
+def published_despite_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generate.published(_calls(spark, sf_dir), keep_going=True).select("o_orderkey", "output")
+
+
+@query("""SELECT o_custkey, '{"ROWS":[' || string_agg('{"O_ORDERKEY":' || o_orderkey || '}', ',' ORDER BY o_orderkey) || ']} OK' AS output, 'ok' AS status FROM orders GROUP BY 1""")
+def combined_by_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One call for all rows of an owner: many rows become one result."""
+    o = inputs.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    return generate.run_batches(o, _refusing, '{"rows":{rows}} ok', "o_custkey", "o_orderkey").select("o_custkey", "output", "status")
+
+
+@query("SELECT o_orderkey, substr('order ' || o_orderkey, 1, 8) AS prompt FROM orders")
+def previewed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What would be asked, without a call."""
+    o = inputs.table(spark, sf_dir, "orders")
+    return generate.preview(generate.prompts(o, "order {k}", k="o_orderkey"), size=8).select("o_orderkey", "prompt")
