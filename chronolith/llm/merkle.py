@@ -10,7 +10,10 @@ A fingerprint is the whole tree: root, sections, paragraphs, leaves.
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,38 +102,81 @@ def first_difference(a: Column, b: Column) -> Column:
     return F.get(at, F.lit(0)) - 1
 
 
-def _bounds(documents: DataFrame, buckets: int) -> list[int]:
-    """Existing ids, ascending, that close so many ranges of about equal size; the last is the largest."""
-    shares = "array(" + ",".join(f"{(i + 1) / buckets:.9f}D" for i in range(buckets)) + ")"
-    r = documents.agg(F.expr(f"percentile_approx(doc_id, {shares}, {max(10_000, 20 * buckets)}) q"), F.max("doc_id").alias("m")).first()
-    return sorted({*(r.q or []), *([] if r.m is None else [r.m])})
+@dataclass
+class Ranges:
+    """Ranges of the order (descending id, null last, then ascending hash of the text) of about equal size, each of which
+    starts with rows that exist. ids: bounds, ascending; a range holds the ids up to its bound, from it downwards. starts:
+    for an id (None: null) that fills several ranges, the hashes at which these start. Ids and hashes are without their
+    lowest bits where these would get lost in a double, as which percentiles are computed; drop: how many of the ids."""
+
+    ids: list[int]
+    starts: dict[int | None, list[int]]
+    drop: int = 0
+
+    def counts(self) -> list[int]:
+        """Of each bound, how many ranges its ids fill."""
+        return [len(self.starts.get(i, [0])) for i in self.ids]
+
+    def size(self) -> int:
+        return sum(self.counts()) + len(self.starts.get(None, []))
+
+
+#: Bits of a hash that a double can't hold.
+LOW = 12
+
+
+def _ranges(rows: DataFrame, buckets: int) -> Ranges:
+    """rows: doc_id and hash."""
+    shares = lambda n: "array(" + ",".join(f"{(i + 1) / n:.9f}D" for i in range(n)) + ")"
+    accuracy = max(10_000, 20 * buckets)
+    all_rows = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), F.count("doc_id").alias("known")).first()
+    drop = 0 if all_rows.low is None or max(abs(all_rows.low), abs(all_rows.high)) < 2**53 else LOW
+    rows = rows.select(F.shiftright("doc_id", drop).alias("id"), F.shiftright("hash", LOW).alias("hash"))
+    often = Counter(rows.agg(F.expr(f"percentile_approx(id, {shares(buckets)}, {accuracy}) q")).first().q or [])
+    parts = {i: k for i, k in often.items() if k > 1 and not drop}  # without its low bits an id stands for several
+    if all_rows.n > all_rows.known:
+        parts[None] = -(-(all_rows.n - all_rows.known) * buckets // all_rows.n)
+    starts = {}
+    if parts:
+        most = max(parts.values())
+        some = rows.where(F.col("id").isNull() | F.col("id").isin([i for i in parts if i is not None]))
+        for x in some.groupBy("id").agg(F.min("hash").alias("least"), F.expr(f"percentile_approx(hash, {shares(most)}, {accuracy}) q")).collect():  # as many rows as buckets at most
+            k = parts[x.id]
+            starts[x.id] = sorted({x.least, *(x.q[i * most // k - 1] for i in range(1, k))})
+    return Ranges(sorted({*often, *([] if all_rows.high is None else [all_rows.high >> drop])}), starts, drop)
 
 
 def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
     """documents with a struct next of columns: those of the next row by descending doc_id, after the last of the first.
 
-    Null ids come last, equal ids in the order of their texts' hashes. Rows are dealt into ranges of ids whose bounds
-    are ids of rows; the row that opens a range is also sent to the range before it, so no task needs all rows.
+    Null ids come last, equal ids in the order of their texts' hashes. Rows are dealt into ranges that start with rows that
+    exist, an id with many rows (or none) into several; the rows that open a range are also sent to the range before it,
+    so no task needs all rows.
     """
-    bounds = _bounds(documents, SPREAD * common.partitions(documents.sparkSession))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    if not bounds:
-        w = Window.orderBy(*order)
-        both = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        kept = F.struct(*columns)
-        return documents.withColumn("next", F.coalesce(F.lead(kept).over(w), F.first(kept).over(both)))
-    step = math.isqrt(len(bounds)) + 1
-    fine = F.expr(f"array({','.join(f'{b}L' for b in bounds)})")
-    coarse = F.expr(f"array({','.join(f'{b}L' for b in bounds[step - 1 :: step])})")
-    below = lambda values: F.size(F.filter(values, lambda b: b < F.col("doc_id")))
-    rows = documents.withColumn("range", below(coarse) * step if len(bounds) >= step else F.lit(0))
-    rows = rows.withColumn("range", F.col("range") + below(F.slice(fine, F.col("range") + 1, step)))
+    rows = documents.withColumn("hash", F.xxhash64("text"))
+    order = [F.col("doc_id").desc_nulls_last(), "hash"]
+    found = _ranges(rows.select("doc_id", "hash"), SPREAD * common.partitions(documents.sparkSession))
+    rows = rows.withColumn("id", F.shiftright("doc_id", found.drop)).withColumn("high", F.shiftright("hash", LOW))
+    longs = lambda values: F.expr(f"array({','.join(f'{v}L' for v in values)})") if values else F.expr("cast(array() as array<bigint>)")
+    counts = found.counts()
+    larger = list(itertools.accumulate(reversed(counts), initial=0))[-2::-1]  # of each bound, the ranges of larger ones
+    step = math.isqrt(len(found.ids)) + 1
+    below = lambda values: F.size(F.filter(values, lambda b: b < F.col("id")))
+    rows = rows.withColumn("bound", below(longs(found.ids[step - 1 :: step])) * step)
+    rows = rows.withColumn("bound", F.col("bound") + below(F.slice(longs(found.ids), F.col("bound") + 1, step)))
+    base, many = F.get(longs(larger), F.col("bound")), F.get(longs(counts), F.col("bound"))
+    number, opens = base + many - 1, F.get(longs(found.ids), F.col("bound")) == F.col("id")
+    for i, starts in found.starts.items():
+        own = F.col("id").isNull() if i is None else F.col("id") == i
+        within = F.size(F.filter(longs(starts), lambda b: b <= F.col("high"))) - 1
+        number = F.when(own, (F.lit(sum(counts)) if i is None else base) + within).otherwise(number)
+        opens = F.when(own, F.array_contains(longs(starts), F.col("high"))).otherwise(opens)
+    rows = rows.withColumn("range", number.cast("int")).withColumn("opens", opens).drop("bound", "id", "high")
     own = F.struct(F.col("range"), F.lit(False).alias("guest"))
-    opens = F.get(fine, F.col("range")) == F.col("doc_id")
-    also = F.struct(((F.col("range") + 1) % len(bounds)).alias("range"), F.lit(True).alias("guest"))
-    rows = rows.withColumn("to", F.explode(F.when(opens, F.array(own, also)).otherwise(F.array(own)))).drop("range")
+    also = F.struct(F.pmod(F.col("range") - 1, F.lit(max(1, found.size()))).alias("range"), F.lit(True).alias("guest"))
+    rows = rows.withColumn("to", F.explode(F.when(F.col("opens"), F.array(own, also)).otherwise(F.array(own)))).drop("range", "opens")
     w = Window.partitionBy("to.range").orderBy("to.guest", *order)
-    return rows.withColumn("next", F.lead(F.struct(*columns)).over(w)).where("NOT to.guest").drop("to")
+    return rows.withColumn("next", F.lead(F.struct(*columns)).over(w)).where("NOT to.guest").drop("to", "hash")
 
 
 def compared(documents: DataFrame) -> DataFrame:
@@ -139,7 +185,7 @@ def compared(documents: DataFrame) -> DataFrame:
 
     The edited text is the row's own with its last floor(n_chars / 2) code points replaced by the first as many (or all)
     of the next row's, by descending doc_id; null ids come last, rows that share an id (or have none) follow the hash of
-    their text and are sorted by one task. Null texts count as empty, long ones are taken whole; a single row is its own
+    their text. Null texts count as empty, long ones are taken whole; a single row is its own
     next. Repeated rows each give a row, an empty table gives none. Other columns are not read.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

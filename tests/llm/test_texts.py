@@ -101,6 +101,20 @@ def test_differing_branches_locate_an_edit(spark):
     assert row[0] == 57 and not row[1] and row[2] - 2 <= row[3] < row[2] and row[4] is None
 
 
+@pytest.mark.parametrize("ids", [[None] * 60, [7] * 60, [*range(20), *[5] * 30, *[None] * 25, 5, 3, 3], [None, 1], [4, 4], [2**62 + 3 * i for i in range(60)], [*[2**60 + 1] * 30, *range(-30, 30)]])
+def test_hot_and_null_ids_are_dealt_into_ranges(spark, ids):
+    texts = [f"text {i}. " * (1 + i % 3) for i in range(len(ids))]
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(4)
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = {t: order[(k + 1) % len(order)][1] for k, (_, t) in enumerate(order)}
+    got = merkle.with_next(df, ["text"]).collect()
+    assert {r.text: r.next.text for r in got} == want and len(got) == len(ids)
+    ranges = merkle._ranges(df.withColumn("hash", F.xxhash64("text")), 16)
+    if len(ids) > 50 and not ranges.drop:
+        assert ranges.size() > 8
+
+
 def test_repeated_and_null_ids_and_empty_tables(spark):
     schema = "doc_id long, text string"
     assert merkle.compared(spark.createDataFrame([], schema)).count() == 0
