@@ -136,18 +136,22 @@ def unpacked_ids(b: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def packed_places(texts: list[np.ndarray], known: int) -> bytes:
     """Places of the words of some texts among their chunk's, which are numbered as they first occur and of which so many
-    have occurred before: a new word is 0, others their place + 1."""
+    have occurred before: a new word is 0, others their place + 1. Early places, those of frequent words, are a byte each;
+    later ones are marked there and follow."""
     place = np.concatenate([np.zeros(0, np.int32), *texts])
     highest = np.maximum.accumulate(np.concatenate([[known - 1], place]))[:-1] if len(place) else place
+    code = np.where(place > highest, 0, place + 1)
     sizes = np.array([known, len(texts), *map(len, texts)], "<u4")
-    return _shut(sizes.tobytes() + _planes(np.where(place > highest, 0, place + 1)))
+    return _shut(sizes.tobytes() + np.minimum(code, 255).astype(np.uint8).tobytes() + _planes(code[code >= 255]))
 
 
 def unpacked_places(b: bytes) -> list[np.ndarray]:
     raw = _open(b)
     known, many = np.frombuffer(raw, "<u4", 2).tolist()
     ends = np.cumsum(np.frombuffer(raw, "<u4", many, 8).astype(np.int64))
-    code = _numbers(raw[8 + 4 * many :])
+    start, total = 8 + 4 * many, int(ends[-1]) if many else 0
+    code = np.frombuffer(raw, np.uint8, total, start).astype(np.int64)
+    code[code == 255] = _numbers(raw[start + total :])
     return np.split(np.where(code == 0, known + np.cumsum(code == 0), code) - 1, ends[:-1])
 
 

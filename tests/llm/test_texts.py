@@ -240,6 +240,8 @@ def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
     texts = [np.array([0, 1, 0, 2, 3, 2]), np.zeros(0, np.int64), np.array([1, 4, 4])]
     assert [p.tolist() for p in bpe.unpacked_places(bpe.packed_places(texts, 0))] == [t.tolist() for t in texts]
     assert [p.tolist() for p in bpe.unpacked_places(bpe.packed_places(texts[1:], 4))] == [[], [1, 4, 4]]
+    many = [np.array([*range(600), 253, 254, 255, 256, 599, 70_000 - 1, 3])]
+    assert bpe.unpacked_places(bpe.packed_places([*many, many[0][:0]], 0))[0].tolist() == [*range(600), 253, 254, 255, 256, 599, 600, 3]
     assert bpe.unpacked_words(bpe.packed_words([])) == [] and bpe.unpacked_words(bpe.packed_words([b"", b"x"])) == [b"", b"x"]
 
 
