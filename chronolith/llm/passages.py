@@ -104,58 +104,83 @@ def _anchors(documents: DataFrame, anchor: int, passage: int) -> DataFrame:
     return common.arrow_batches(documents, "window long, doc_id long, text_no int, place int, start int, end int", each)
 
 
+#: Bytes of a word's hash beside an anchor, and distinct surroundings that a task gathers before it hands them on.
+WORD_BYTES, GATHERED = 6, 100_000
+_LEFT, _RIGHT = 0, 1
+
+
 def _beside(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> DataFrame:
-    """node, doc_id, removed, left and right (whether the anchor is the node's end on that side), sides: for the left and the
-    right of each anchor of ends, for as many as 1, 2 ... most words beside it, a key of anchor and words, and how far in
-    code points they reach. Beyond a shared anchor two texts that agree on more words share another anchor."""
+    """Words beside the anchors of ends, most of them at most, from the anchor outwards: window, side, words (WORD_BYTES of
+    hash each); for a run's end node, doc_id, removed and places (how far so many words reach, in code points), and for
+    all anchors that are an end of any run the least and the largest doc_id with these words, gathered in each task, as
+    most anchors in copies of a passage stand beside the same words. Beyond a shared anchor two texts that agree on more
+    words share another anchor."""
     pieces = ends.groupBy(*TEXT).agg(F.collect_list(F.struct(*(c for c in ends.columns if c not in TEXT))).alias("pieces"))
     texts = documents.join(pieces, TEXT).select("doc_id", "pieces", "text")
-    side = "array<struct<key:bigint,place:int>>"
+    schema = "window long, side int, words binary, node long, removed boolean, places array<int>, doc_id long, last long"
 
     def each(batches):
+        def gathered():
+            rows = [*at_ends, *((int.from_bytes(k[1:9], "little", signed=True), k[0], k[9:], None, None, None, least, last) for k, (least, last) in seen.items())]
+            seen.clear(), at_ends.clear()
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        names = [c.split()[0] for c in schema.split(", ")]
+        types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
+        seen: dict[bytes, tuple[int, int]] = {}
+        at_ends: list[tuple] = []
         for batch in batches:
             pieces, docs, done = batch.column("pieces"), batch.column("doc_id"), 0
             for some in jaccard._chunks(common.texts_of(batch)):
                 words = shingles.words_of(some, places=True)
                 part = pieces.slice(done, len(some))
                 p, owner = part.flatten(), np.repeat(np.arange(len(some)), part.value_lengths().to_numpy())
-                ids = docs.slice(done, len(some)).take(pa.array(owner))
+                ids = docs.slice(done, len(some)).take(pa.array(owner)).to_pylist()
                 done += len(some)
                 # Where each anchor stands among the words.
                 wide = np.int64(max(map(len, some)) + 1)
                 starts = words.owner() * wide + words.start
                 index = np.searchsorted(starts, owner * wide + p.field("start").to_numpy())
-                index = np.minimum(index, max(len(starts) - 1, 0))
-                columns = []
-                for name, step, first, places in (("lefts", -1, index - 1, words.start), ("rights", 1, index + anchor, words.end)):
-                    wanted = p.field(name).to_numpy(zero_copy_only=False)
-                    key = common.mix64(p.field("window").to_numpy().view(np.uint64) + np.uint64(step + 2))
-                    keys, reach, there = [], [], []
-                    for k in range(most):
-                        i = first + step * k
-                        inside = wanted & (words.bounds[owner] <= i) & (i < words.bounds[owner + 1])
-                        i = np.where(inside, i, 0)
-                        key = common.mix64(key * np.uint64(0x9E3779B97F4A7C15) + words.hashes[i])
-                        keys.append(key), reach.append(places[i]), there.append(inside)
-                    there = np.array(there).T
-                    offsets = np.concatenate([[0], np.cumsum(there.sum(1))])
-                    values = pa.StructArray.from_arrays([pa.array(np.array(keys).T[there].view(np.int64)), pa.array(np.array(reach).T[there].astype(np.int32))], names=["key", "place"])
-                    columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values))
-                if len(index):
-                    yield pa.RecordBatch.from_arrays([p.field("node"), ids, p.field("removed"), p.field("left"), p.field("right"), *columns], names=["node", "doc_id", "removed", "left", "right", "to_left", "to_right"])
-
-    return common.arrow_batches(texts, f"node long, doc_id long, removed boolean, left boolean, right boolean, to_left {side}, to_right {side}", each)
+                hashes = np.ascontiguousarray(words.hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
+                window = p.field("window").to_numpy().astype("<i8")
+                node, removed = p.field("node").to_pylist(), p.field("removed").to_pylist()
+                for side, wanted, own in ((_LEFT, "lefts", "left"), (_RIGHT, "rights", "right")):
+                    step, first = (-1, index - 1) if side == _LEFT else (1, index + anchor)
+                    reach = words.start if side == _LEFT else words.end
+                    is_end = p.field(own).to_numpy(zero_copy_only=False)
+                    for k in np.flatnonzero(p.field(wanted).to_numpy(zero_copy_only=False)):
+                        low, high = words.bounds[owner[k]], words.bounds[owner[k] + 1]
+                        at = np.arange(first[k], max(first[k] - most, low - 1) if step < 0 else min(first[k] + most, high), step)
+                        found = hashes[at].tobytes()
+                        key = bytes((side,)) + window[k].tobytes() + found
+                        least, last = seen.get(key, (ids[k], ids[k]))
+                        seen[key] = (min(least, ids[k]), max(last, ids[k]))
+                        if is_end[k]:
+                            at_ends.append((int(window[k]), side, found, node[k], removed[k], reach[at].tolist(), ids[k], None))
+                if len(seen) + len(at_ends) >= GATHERED:
+                    yield gathered()
+        if seen:
+            yield gathered()
+
+    return common.arrow_batches(texts, schema, each)
 
 
 def _extended(documents: DataFrame, ends: DataFrame, anchor: int, most: int) -> DataFrame:
     """node, first and last: how far the runs go on beyond their anchors. A run that goes is extended by what an earlier
     document has, one that stays by what any other has."""
-    beside = common.cut(_beside(documents, ends, anchor, most))
-    one = lambda side: beside.select("node", "doc_id", "removed", F.lit(side).alias("side"), F.col(side).alias("end"), F.explode(f"to_{side}").alias("x")).select("node", "doc_id", "removed", "side", "end", "x.key", "x.place")
-    every = one("left").unionByName(one("right"))
-    agreed = every.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("key", "least")
-    reached = every.where("end").join(agreed, "key").where("NOT removed OR least < doc_id")
-    return reached.groupBy("node").agg(F.min(F.when(F.col("side") == "left", F.col("place"))).alias("first"), F.max(F.when(F.col("side") == "right", F.col("place"))).alias("last"))
+    beside = common.written(_beside(documents, ends, anchor, most), "beside")
+    key = lambda: F.xxhash64("window", "side", F.expr(f"substring(words, 1, n * {WORD_BYTES})")).alias("key")
+
+    def by_length(rows: DataFrame) -> DataFrame:
+        rows = rows.where("length(words) > 0")
+        return rows.withColumn("n", F.explode(F.sequence(F.lit(1), F.expr(f"length(words) div {WORD_BYTES}").cast("int"))))
+
+    known = beside.where("node IS NULL").groupBy("window", "side", "words").agg(F.min("doc_id").alias("least"), F.max("last").alias("last"))
+    agreed = by_length(known).select(key(), "least", "last").groupBy("key").agg(F.min("least").alias("least"), F.max("last").alias("last")).where("least < last").select("key", "least")
+    own = by_length(beside.where("node IS NOT NULL")).select("node", "doc_id", "removed", "side", F.get("places", F.col("n") - 1).alias("place"), key())
+    reached = own.join(agreed, "key").where("NOT removed OR least < doc_id")
+    return reached.groupBy("node").agg(F.min(F.when(F.col("side") == _LEFT, F.col("place"))).alias("first"), F.max(F.when(F.col("side") == _RIGHT, F.col("place"))).alias("last"))
 
 
 def _paragraphs(documents: DataFrame, least: int, hashes: int) -> DataFrame:
@@ -226,7 +251,7 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     is of (from 0, by the texts' hashes; else 0). An empty table gives no rows. Other columns are not read.
     """
     texts = _numbered(documents)
-    anchors = common.cut(_anchors(texts, anchor, passage))
+    anchors = common.written(_anchors(texts, anchor, passage), "anchors")
     shared = common.cut(anchors.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"))
     hits = anchors.join(shared, "window").withColumn("removed", F.col("doc_id") > F.col("least"))
     # Anchors that follow each other and share their fate are a run.
@@ -234,7 +259,7 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     goes_on = (F.col("place") - F.lag("place").over(order) <= 1) & (F.col("removed") == F.lag("removed").over(order))
     hits = hits.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
     hits = hits.withColumn("left", F.col("new") == 1).withColumn("right", F.coalesce(F.lead("new").over(order), F.lit(1)) == 1)
-    hits = common.cut(hits.select("window", *TEXT, "start", "end", "least", "removed", "left", "right", F.xxhash64(F.lit(1), *TEXT, "run").alias("node")))
+    hits = common.written(hits.select("window", *TEXT, "start", "end", "least", "removed", "left", "right", F.xxhash64(F.lit(1), *TEXT, "run").alias("node")), "hits")
     runs = hits.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text_no").alias("text_no"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("least").alias("kept_doc_id"), F.first("removed").alias("removed"))
     hub = common.cut(hits.groupBy("window").agg(F.min("node").alias("a"), F.max("left").alias("lefts"), F.max("right").alias("rights")))
     edges = hits.select("window", F.col("node").alias("b")).join(hub, "window").select("a", "b").where("a <> b")
@@ -242,7 +267,7 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
     runs = runs.join(_extended(texts, ends, anchor, passage - anchor), "node", "left")
     runs = common.cut(runs.withColumn("start", F.least("start", "first")).withColumn("end", F.greatest("end", "last")).drop("first", "last"))
 
-    lines = common.cut(_paragraphs(texts, paragraph, hashes))
+    lines = common.written(_paragraphs(texts, paragraph, hashes), "paragraphs")
     one = F.min(F.struct(*TEXT, "start", "end")).alias("one")
     items = common.cut(lines.groupBy("item").agg(one, F.max("doc_id").alias("most"), F.max("words").alias("words"), F.max("sig").alias("sig")).select("item", "one.*", "most", "words", "sig"))
     similar = common.cut(_similar_paragraphs(texts, items.drop("most", "words"), tenths, hashes, recall))
