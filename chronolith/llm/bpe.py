@@ -93,7 +93,7 @@ def decode_ids(ids: list[int], path: str | None = None) -> str:
 
 
 def _shut(b: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=5).compress(b)
+    return zstandard.ZstdCompressor(level=7).compress(b)
 
 
 def _open(b: bytes) -> bytes:
@@ -134,13 +134,22 @@ def unpacked_ids(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _numbers(raw[4:end]), _numbers(raw[end:])
 
 
-def packed_places(texts: list[np.ndarray], known: int) -> bytes:
-    """Places of the words of some texts among their chunk's, which are numbered as they first occur and of which so many
-    have occurred before: a new word is 0, others their place + 1. Early places, those of frequent words, are a byte each;
-    later ones are marked there and follow."""
+def ranked(texts: list[np.ndarray], words: int) -> tuple[np.ndarray, int]:
+    """New numbers for the words that texts hold places of: words that occur more than once come first, the most frequent
+    ahead, then those that occur once, in their order. And how many occur more than once."""
+    many = np.bincount(np.concatenate([np.zeros(0, np.int64), *texts]), minlength=words)
+    order = np.argsort(np.where(many > 1, -many, 0), kind="stable")
+    number = np.empty(words, np.int32)
+    number[order] = np.arange(words, dtype=np.int32)
+    return number, int((many > 1).sum())
+
+
+def packed_places(texts: list[np.ndarray], known: int, often: int) -> bytes:
+    """Places of the words of some texts, as ranked() numbers them: a word that occurs once is 0, as it follows the known
+    ones and those before it here, others their place + 1. Those of frequent words are a byte each; the rest is marked
+    there and follows."""
     place = np.concatenate([np.zeros(0, np.int32), *texts])
-    highest = np.maximum.accumulate(np.concatenate([[known - 1], place]))[:-1] if len(place) else place
-    code = np.where(place > highest, 0, place + 1)
+    code = np.where(place >= often, 0, place + 1)
     sizes = np.array([known, len(texts), *map(len, texts)], "<u4")
     return _shut(sizes.tobytes() + np.minimum(code, 255).astype(np.uint8).tobytes() + _planes(code[code >= 255]))
 
@@ -167,7 +176,9 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
     names, schema = kept.columns, StructType([*StructType.fromDDL(SPLIT).fields, *(StructField(f.name, f.dataType) for f in kept.schema.fields)])  # null where a row is no text
 
     def made(index: dict[str, int], texts: list[np.ndarray], rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = [w.encode("utf-8", "surrogatepass") for w in index]
+        number, often = ranked(texts, len(index))
+        found = list(index)
+        raw = [found[i].encode("utf-8", "surrogatepass") for i in np.argsort(number)]
         part = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % parts
         chunk = f"{TaskContext.get().partitionId()}-{len(ended)}"
         ended.append(chunk)
@@ -177,11 +188,11 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
         for s, e in zip(starts[:-1], starts[1:], strict=True):
             yield batch_of([chunk], [int(part[order[s]])], [0], [packed_words([raw[i] for i in order[s:e]])], None)
         columns = pa.Table.from_batches(rows).combine_chunks() if names else None
-        known = 0
+        known = often
         for k in range(0, len(texts), TOGETHER):
-            some = texts[k : k + TOGETHER]
-            packed = [packed_places(some, known), *[None] * (len(some) - 1)]
-            known = max([known, *(int(p.max()) + 1 for p in some if len(p))])
+            some = [number[p] for p in texts[k : k + TOGETHER]]
+            packed = [packed_places(some, known, often), *[None] * (len(some) - 1)]
+            known += sum(int((p >= often).sum()) for p in some)
             yield batch_of([chunk] * len(some), [None] * len(some), range(k, k + len(some)), packed, columns.slice(k, TOGETHER) if names else None)
 
     def batch_of(chunk, part, at, packed, columns) -> pa.RecordBatch:

@@ -79,20 +79,25 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * _weight(F.array_intersect(a, b)) / total)
 
 
-def grown(rows: DataFrame, text: str, prefix: str = "") -> DataFrame:
-    """rows with the tree of a column of texts: paragraphs, sections (hashes in order), root and leaves, under the prefix."""
+def _low(rows: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """rows with paragraphs (hashes in order) and leaves of a column of texts, under the prefix."""
     name = lambda c: f"{prefix}{c}"
     # Each level is a column of its own before the next one reads it: in one expression it would be made again for each read.
     rows = rows.withColumn(name("paragraphs"), paragraphs(F.col(text))).withColumn(name("pieces"), pieces(F.col(text)))
-    rows = rows.withColumn(name("sections"), sections(F.col(name("paragraphs")))).withColumn(name("leaves"), leaves(F.col(name("pieces")))).drop(name("pieces"))
-    return rows.withColumn(name("root"), root(F.col(name("sections"))))
+    return rows.withColumn(name("leaves"), leaves(F.col(name("pieces")))).drop(name("pieces"))
+
+
+def _high(rows: DataFrame, prefix: str = "") -> DataFrame:
+    """rows with sections (hashes in order) and root of paragraphs, under the prefix."""
+    name = lambda c: f"{prefix}{c}"
+    return rows.withColumn(name("sections"), sections(F.col(name("paragraphs")))).withColumn(name("root"), root(F.col(name("sections"))))
 
 
 def tree(documents: DataFrame) -> DataFrame:
     """doc_id with root, sections and paragraphs (hashes in order) and leaves. Null texts count as empty; an empty text
     is one empty paragraph."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return grown(rows, "text").drop("text")
+    return _high(_low(rows, "text")).drop("text")
 
 
 def first_difference(a: Column, b: Column) -> Column:
@@ -190,12 +195,13 @@ def compared(documents: DataFrame) -> DataFrame:
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    # The tree is made here, once for each text: what is sent on is the text and its tree, and to the next row text and leaves.
-    out = with_next(grown(rows, "text"), ["text", "leaves"])
+    # Paragraphs and leaves are made once for each text and sent on with it, to the next row text and leaves; the levels above
+    # follow from the paragraphs.
+    out = _high(with_next(_low(rows, "text"), ["text", "leaves"]))
     half = (F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next.text"), F.lit(1), half))
     out = out.withColumn("next_leaves", F.col("next.leaves")).withColumn("edited", edited).drop("text", "next")
-    out = grown(out, "edited", "edited_")
+    out = _high(_low(out, "edited", "edited_"), "edited_")
     return out.select(
         "doc_id",
         "n_chars",

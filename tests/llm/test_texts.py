@@ -237,11 +237,16 @@ def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
 
     bpe.encoded_words(Rows(), None, 4)
     assert sorted(asked) == sorted({w.decode() for w in words})
-    texts = [np.array([0, 1, 0, 2, 3, 2]), np.zeros(0, np.int64), np.array([1, 4, 4])]
-    assert [p.tolist() for p in bpe.unpacked_places(bpe.packed_places(texts, 0))] == [t.tolist() for t in texts]
-    assert [p.tolist() for p in bpe.unpacked_places(bpe.packed_places(texts[1:], 4))] == [[], [1, 4, 4]]
-    many = [np.array([*range(600), 253, 254, 255, 256, 599, 70_000 - 1, 3])]
-    assert bpe.unpacked_places(bpe.packed_places([*many, many[0][:0]], 0))[0].tolist() == [*range(600), 253, 254, 255, 256, 599, 600, 3]
+    r = np.random.default_rng(1)
+    for size, words in ((0, 0), (50, 30), (3000, 1500)):
+        first: dict[int, int] = {}
+        texts = [np.array([first.setdefault(int(w), len(first)) for w in r.integers(0, words, size)], np.int32) for _ in range(3)] if words else [np.zeros(0, np.int32)] * 3
+        number, often = bpe.ranked(texts, len(first))
+        assert sorted(number.tolist()) == list(range(len(first)))
+        want = [number[t].tolist() for t in texts]
+        known = often + sum(int((number[t] >= often).sum()) for t in texts[:1])
+        got = bpe.unpacked_places(bpe.packed_places([number[t] for t in texts[:1]], often, often)) + bpe.unpacked_places(bpe.packed_places([number[t] for t in texts[1:]], known, often))
+        assert [p.tolist() for p in got] == want
     assert bpe.unpacked_words(bpe.packed_words([])) == [] and bpe.unpacked_words(bpe.packed_words([b"", b"x"])) == [b"", b"x"]
 
 
