@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.functions import text as words
 from chronolith.functions import time
 from chronolith.operators import api, generate, ingest, intervals, opportunities, pairs, themes, validate
 from chronolith.operators.pairs import EVENT, PAIR, THREAD
