@@ -4,7 +4,7 @@ import pytest
 
 from chronolith.operators import api, generate, ingest, pairs
 from chronolith.plans import phases
-from chronolith.sources import readers
+from chronolith.sources import readers, sinks
 
 T0 = 1775600000.5
 
@@ -99,3 +99,24 @@ def test_names_of_runs_and_layouts(spark):
     new, old = spark.createDataFrame([("r1", 1)], "run string, v int"), spark.createDataFrame([("r1", 2), ("r2", 3)], "run string, v int")
     assert sorted(map(tuple, api.first_existing(new, old).collect())) == [("r1", 1), ("r2", 3)]
     assert sorted(map(tuple, pairs.changed(old, new.union(old.where("v = 3")), "run").collect())) == [("r1", 1)]
+
+
+def test_off_local_mode_the_shared_folder_must_be_named():
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, named=None):
+            self.sparkContext, self.conf = Context(master), {"spark.checkpoint.dir": named}
+
+    with pytest.raises(ValueError):
+        sinks.shared_folder(Session("spark://host:7077"))
+    assert sinks.shared_folder(Session("spark://host:7077", "hdfs://x/y")) == "hdfs://x/y"
+    assert sinks.shared_folder(Session("local[2]"))
