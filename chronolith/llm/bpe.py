@@ -59,7 +59,7 @@ def pieces(path: str | None) -> tuple[bytes, ...]:
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
+    vocabulary = tokenizer.__wrapped__(path).get_vocab(with_added_tokens=True)  # who only decodes keeps no tokenizer
     out = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         out[i] = bytes(of[c] for c in token)
@@ -178,7 +178,9 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
     def made(index: dict[str, int], texts: list[np.ndarray], rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, often = ranked(texts, len(index))
         found = list(index)
+        index.clear()
         raw = [found[i].encode("utf-8", "surrogatepass") for i in np.argsort(number)]
+        found.clear()
         part = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % parts
         chunk = f"{TaskContext.get().partitionId()}-{len(ended)}"
         ended.append(chunk)
@@ -256,10 +258,28 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
     both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last(), "at")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, written = pieces(path), [str(i) for i in range(len(pieces(path)))]
-        now, of_words, held, places, texts, raw, many, flat, starts = None, None, [], [], [], [], None, None, None
+        piece, written = pieces(path), [f"{i}," for i in range(len(pieces(path)))]
+        piece_size, written_size = (np.array([len(x) for x in y], np.int64) for y in (piece, written))
+        now, of_words, held, places, many, flat, starts = None, None, [], [], None, None, None
+        raw, raw_at, raw_end, text, text_at, text_end = b"", None, None, "", None, None
+
+        def each_word(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Where each word of the chunk starts and ends in what its ids make when they are strung together."""
+            at = np.concatenate([[0], np.cumsum(size[flat])])
+            return at[starts], at[starts + many]
+
+        def strung(parts: list, empty):
+            """What the ids make, in the order of flat; some at a time, as a list of numbers is large."""
+            return empty.join(empty.join([parts[i] for i in flat[k : k + 50_000].tolist()]) for k in range(0, len(flat), 50_000))
+
+        def made(batch: pa.RecordBatch, rows: list[tuple], keep: list[int]) -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+            some = batch.select(names).take(pa.array(keep)).columns if names else []
+            rows.clear(), keep.clear()
+            return pa.RecordBatch.from_arrays([*some, *columns], names=[*names, *added.names])
+
         for batch in batches:
-            rows, keep = [], []
+            rows, keep, room = [], [], common.BATCH_BYTES
             for k, (chunk, part, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("chunk", "part", "packed")), strict=True)):
                 if chunk != now:
                     now, held, many = chunk, [], None
@@ -274,25 +294,25 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
                     order = np.argsort(of_words, kind="stable")  # the words by part, as they were sent
                     many, starts = np.empty_like(some), np.empty_like(some)
                     many[order], starts[order] = some, np.cumsum(some) - some
-                    of = flat.tolist()
-                    spans = list(zip(starts.tolist(), (starts + many).tolist(), strict=True))
-                    texts = [",".join([written[i] for i in of[s:e]]) for s, e in spans]
-                    raw = [b"".join([piece[i] for i in of[s:e]]) for s, e in spans]
+                    raw, (raw_at, raw_end) = strung(piece, b""), each_word(piece_size)
+                    text, (text_at, text_end) = strung(written, ""), each_word(written_size)
                     held = []
                 if packed is not None:
                     places = unpacked_places(packed)[::-1]
                 at = places.pop()
-                place = at.tolist()
                 size = many[at]
                 row = [int(size.sum())]
                 if keep_ids:
                     row.append(flat[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(row[0])])
-                rows.append((*row, ",".join([texts[i] for i in place]), b"".join([raw[i] for i in place]).decode("utf-8", "replace")))
+                cut = lambda whole, s, e, empty: empty.join([whole[i:j] for i, j in zip(s[at].tolist(), e[at].tolist(), strict=True)])  # noqa: B023, E731
+                rows.append((*row, cut(text, text_at, text_end, "")[:-1], cut(raw, raw_at, raw_end, b"").decode("utf-8", "replace")))
                 keep.append(k)
+                room -= len(rows[-1][-1]) + len(rows[-1][-2]) + 8 * row[0]
+                if room < 0:
+                    yield made(batch, rows, keep)
+                    room = common.BATCH_BYTES
             if rows:
-                made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                some = batch.select(names).take(pa.array(keep)) if names else None
-                yield pa.RecordBatch.from_arrays([*(some.columns if names else []), *made], names=[*names, *added.names])
+                yield made(batch, rows, keep)
 
     types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
     schema = StructType([*(StructField(f.name, f.dataType) for f in kept.schema.fields if f.name != "text"), *added.fields])
