@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, chat, common, jaccard, merkle, mixing, passages, quality, secrets, toxicity, vectors
+from chronolith.llm import bpe, chat, collocations, common, jaccard, merkle, mixing, passages, quality, secrets, toxicity, vectors
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,3 +55,7 @@ def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats(common.table(spark, sf_dir, "documents"))
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(common.table(spark, sf_dir, "documents"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronolith.llm import chat
+from chronolith.llm import chat, collocations
 from chronolith.llm import queries as q
 
 
@@ -11,4 +11,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": chat.RENDER_SQL}
+    return {"op8_chat": chat.RENDER_SQL, "op11_collocations": collocations.MINED_SQL}
