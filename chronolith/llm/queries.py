@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, chat, collocations, common, jaccard, merkle, mixing, passages, quality, secrets, toxicity, vectors
+from chronolith.llm import alignment, bpe, chat, collocations, common, jaccard, language, merkle, mixing, passages, quality, secrets, toxicity, vectors
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,3 +59,14 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mined(common.table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.compared(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(common.bucket_of(F.col("doc_id"), 7) == 2, F.lit(False))
+    out = language.scored(common.table(spark, sf_dir, "documents").select("doc_id", "text"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
