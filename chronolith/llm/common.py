@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -152,3 +153,12 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
 
 def logistic_apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ w, -30, 30)))
+
+
+def ascii_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts (null: empty), A-Z in lower case, and the text of each, by place. White space is \\x20 and \\x09 to
+    \\x0D."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = pc.list_flatten(lists)
+    some = pc.not_equal(pc.binary_length(flat), 0)
+    return flat.filter(some), pc.list_parent_indices(lists).filter(some).to_numpy()

@@ -18,12 +18,12 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +32,18 @@ from pyspark.sql.types import StructType
 from chronolith.llm import cells, common
 
 #: Symbols of the network, classes that these are dealt into by frequency, width of the embeddings and of the state.
-HEAD, CLASSES, EMBEDDING, STATE = 2048, 32, 16, 24
+HEAD, CLASSES, EMBEDDING, STATE = 1024, 20, 16, 16
 #: Classes of spellings: hashed last letters, with and without punctuation behind them.
-SPELLINGS = 64
+SPELLINGS = 32
 #: Words that go to every task with their counts, at most: the most frequent ones.
 DICTIONARY = 131_072
 #: Rounds of training; each takes its share of the texts.
 ROUNDS = 4
-#: Words of a window, lanes in training and in scoring, and the learning rate.
-WINDOW, TRAINED_LANES, SCORED_LANES, RATE = 16, 256, 1024, 0.1
+#: Words of a window of training, its lanes, and its learning rate. There are fewer lanes where a chunk would have less than
+#: so many windows. Texts are trained on in stretches of so many words.
+WINDOW, TRAINED_LANES, RATE, WINDOWS, STRETCH = 32, 256, 0.1, 100, 2048
+#: Lanes in scoring, and places of a window there: the fewer lanes are left, the longer it is.
+SCORED_LANES, PLACES = 1024, 16_384
 #: Characters of the texts that a task holds at once, a longer text excepted.
 CHUNK_CHARS = 24_000_000
 #: Numbers of a block in which models are averaged.
@@ -48,26 +51,31 @@ BLOCK = 8192
 #: Counts are binned by their logarithm, so many bins to a factor of two.
 BINS = 16
 
-_MARKS = b".,;:!?\"')]}|"
+_MARKS = ".,;:!?\"')]}|"
 
 
-def words_of(text: str) -> list[bytes]:
-    """The text's words, A-Z in lower case. White space is \\x20 and \\x09 to \\x0D."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def spellings(words: pa.Array) -> np.ndarray:
+    """The class of each word, as spelling() has it."""
+    bare = pc.utf8_rtrim(words, characters=_MARKS)
+    last = pc.utf8_slice_codeunits(bare, start=-2).dictionary_encode()
+    code = np.fromiter((zlib.crc32(x.encode()) for x in last.dictionary.to_pylist()), np.int64) % (SPELLINGS // 2)
+    return code[last.indices.to_numpy()] + SPELLINGS // 2 * pc.not_equal(bare, words).to_numpy(zero_copy_only=False)
 
 
-def spelling(word: bytes) -> int:
-    bare = word.rstrip(_MARKS)
-    return zlib.crc32(bare[-2:]) % (SPELLINGS // 2) + SPELLINGS // 2 * (bare != word)
+def spelling(word: Column) -> Column:
+    bare = F.rtrim(word, F.lit(_MARKS))
+    return (F.crc32(F.right(bare, F.lit(2)).cast("binary")) % (SPELLINGS // 2) + F.when(bare != word, SPELLINGS // 2).otherwise(0)).cast("int")
 
 
 @dataclass
 class Words:
-    """What tasks know of words: numbers by word (the end is b"", 0), their counts, and how many of them are symbols of the
-    network; the ends of its classes, n and types of the training tokens; total, discount and types by spelling."""
+    """What tasks know of words: the words (the first is the end, ""), their counts and spellings, and how many of them are
+    symbols of the network; the ends of its classes, n and types of the training tokens; total, discount and types by
+    spelling."""
 
-    index: dict[bytes, int]
+    words: pa.Array
     counts: np.ndarray
+    spellings: np.ndarray
     head: int
     ends: np.ndarray
     n: int
@@ -121,9 +129,9 @@ class Net:
         """States by step and lane, from h on; table has the inputs' gates. What backpropagation needs is put into keep."""
         steps, lanes, s = *before.shape, STATE
         out = np.empty((steps, lanes, s), np.float32)
-        x = table[before]
+        x, begins = table[before], starts.any(1).tolist()
         for t in range(steps):
-            if starts[t].any():
+            if begins[t]:
                 h = h * ~starts[t][:, None]
             a = h @ self.u
             gate = a[:, : 2 * s] + x[t, :, : 2 * s]
@@ -144,77 +152,95 @@ class Net:
     def output(self, h: np.ndarray, symbol: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each symbol given its state, and with grad, to which it adds, the loss's slope in h."""
         kind = self.class_of[symbol]
-        rows = np.arange(len(h))
-        p, out = self.softmax(h @ self.c + self.cb, rows, kind)
+        every = rows = np.arange(len(h))
+        logits = h @ self.c
+        logits += self.cb
+        p, out = self.softmax(logits, rows, kind)
         dh = None
         if grad is not None:
             p[rows, kind] -= 1
             grad["c"] += h.T @ p
-            grad["cb"] += p.sum(0)
+            grad["cb"] += _ONES[: len(p), 0] @ p
             dh = p @ self.c.T
         order = np.argsort(kind, kind="stable")
-        bound = np.searchsorted(kind[order], np.arange(self.classes + 1))
+        bound = np.searchsorted(kind[order], np.arange(self.classes + 1)).tolist()
         first = 0
-        for k in range(self.classes):
-            last, at = self.ends[k], order[bound[k] : bound[k + 1]]
+        for k, last in enumerate(self.ends.tolist()):
+            at = order[bound[k] : bound[k + 1]]
             if len(at) and last - first > 1:
-                mine, some, rows = h[at], symbol[at].astype(np.int64) - first, np.arange(len(at))
-                p, logs = self.softmax(mine @ self.o[first:last].T + self.ob[first:last], rows, some)
+                mine, some, rows = h[at], symbol[at].astype(np.int64) - first, every[: len(at)]
+                logits = mine @ self.o[first:last].T
+                logits += self.ob[first:last]
+                p, logs = self.softmax(logits, rows, some)
                 out[at] += logs
                 if grad is not None:
                     p[rows, some] -= 1
                     grad["o"][first:last] += p.T @ mine
-                    grad["ob"][first:last] += p.sum(0)
+                    grad["ob"][first:last] += _ONES[: len(p), 0] @ p
                     dh[at] += p @ self.o[first:last]
             first = last
         return out, dh
 
     @staticmethod
     def softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        logits -= logits.max(1, keepdims=True)
+        """The probabilities, in place of the logits, and the logarithms of the chosen ones."""
+        np.minimum(logits, np.float32(80), out=logits)  # what would overflow; states and slopes keep them far below
         own = logits[rows, chosen]
         np.exp(logits, out=logits)
-        total = logits.sum(1, keepdims=True)
+        total = logits @ _ONES[: logits.shape[1]]
         logits /= total
         return logits, own - np.log(total[:, 0])
 
 
+_ONES = np.ones((1 << 16, 1), np.float32)
+
+
 class Lanes:
-    """Texts (arrays of symbols that end with the end) one after the other in so many lanes of about one length, the longest
+    """Texts (symbols, and where each text begins, the end of all last) one after the other in so many lanes of about one length, the longest
     lane first. symbol, before (the symbol that the network sees there), start and text are by place."""
 
-    def __init__(self, texts: list[np.ndarray], lanes: int):
-        sizes = [len(t) for t in texts]
-        loads = [(0, k) for k in range(max(1, min(lanes, len(texts))))]
-        lane = np.zeros(len(texts), np.int64)
-        for i in sorted(range(len(texts)), key=lambda i: -sizes[i]):
+    def __init__(self, symbols: np.ndarray, ends: np.ndarray, lanes: int):
+        sizes = np.diff(ends)
+        loads = [(0, k) for k in range(max(1, min(lanes, len(sizes))))]
+        lane = np.zeros(len(sizes), np.int64)
+        for i in np.argsort(-sizes, kind="stable").tolist():
             load, k = loads[0]
             lane[i] = k
-            heapq.heapreplace(loads, (load + sizes[i], k))
+            heapq.heapreplace(loads, (load + int(sizes[i]), k))
         loads.sort(reverse=True)
         self.loads = np.array([n for n, _ in loads], np.int64)
         rank = np.empty(len(loads), np.int64)
         rank[[k for _, k in loads]] = np.arange(len(loads))
-        order = np.argsort(rank[lane], kind="stable").tolist()  # of a lane the texts in their order
+        order = np.argsort(rank[lane], kind="stable")  # of a lane the texts in their order
         self.offset = np.cumsum(self.loads) - self.loads
-        self.symbol = np.concatenate([np.zeros(0, np.uint16), *(texts[i] for i in order)])
-        self.text = np.repeat(np.array(order, np.int32), [sizes[i] for i in order])
+        self.text = np.repeat(order, sizes[order])
+        self.symbol = symbols[np.arange(len(symbols)) + np.repeat(ends[order] - (np.cumsum(sizes[order]) - sizes[order]), sizes[order])]
         self.start = np.diff(self.text, prepend=-1) != 0
-        self.before = np.where(self.start, 0, np.roll(self.symbol, 1)).astype(np.uint16)
+        self.before = np.where(self.start, 0, np.roll(self.symbol, 1)).astype(np.uint16)  # at first as behind an end
 
-    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places by step and lane, of the lanes that there are still, and which of them hold a word."""
-        longest = int(self.loads[0])
-        for s in range(0, longest, WINDOW):
+    def windows(self, places: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places by step and lane, of the lanes that there are still, and which of them hold a word. A window has WINDOW
+        steps, or as many as make so many places."""
+        longest, s = int(self.loads[0]), 0
+        while s < longest:
             alive = int(np.searchsorted(-self.loads, -s, side="left"))
-            step = np.arange(s, min(s + WINDOW, longest))[:, None]
+            step = np.arange(s, min(s + max(WINDOW, places // alive), longest))[:, None]
             loads = self.loads[:alive][None]
             yield self.offset[:alive][None] + np.minimum(step, loads - 1), step < loads
+            s += len(step)
+
+
+def stretches(ends: np.ndarray) -> np.ndarray:
+    """ends, and those between the stretches of long texts."""
+    sizes = np.diff(ends)
+    parts = np.maximum(1, -(-sizes // STRETCH))
+    within = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    return np.append(np.repeat(ends[:-1], parts) + within * STRETCH, ends[-1])
 
 
-def train(net: Net, slopes: np.ndarray, texts: list[np.ndarray]) -> None:
+def train(net: Net, slopes: np.ndarray, symbols: np.ndarray, ends: np.ndarray) -> None:
     """One pass over the texts; net and slopes (sums of squared gradients) change in place."""
-    lanes = Lanes(texts, TRAINED_LANES)
+    lanes = Lanes(symbols, stretches(ends), max(8, min(TRAINED_LANES, len(symbols) // (WINDOW * WINDOWS))))
     h = np.zeros((len(lanes.loads), STATE), np.float32)
     flat = np.zeros_like(net.flat)
     grad = Net.views(net.shapes, flat, {})
@@ -236,7 +262,7 @@ def _backward(net: Net, grad: dict, keep: dict, before: np.ndarray, starts: np.n
     """Adds the slopes of the recurrent part, from those in the states of a window."""
     steps, lanes, s = dh.shape
     dx, da = np.empty((steps, lanes, 3 * s), np.float32), np.empty((steps, lanes, 3 * s), np.float32)
-    back = np.zeros((lanes, s), np.float32)
+    back, begins = np.zeros((lanes, s), np.float32), starts.any(1).tolist()
     for t in range(steps - 1, -1, -1):
         back += dh[t]
         h, gate, n = keep["before"][t], keep["gate"][t], keep["n"][t]
@@ -248,7 +274,7 @@ def _backward(net: Net, grad: dict, keep: dict, before: np.ndarray, starts: np.n
         da[t] = x
         da[t, :, 2 * s :] *= r
         back = back * z + da[t] @ net.u.T
-        if starts[t].any():
+        if begins[t]:
             back *= ~starts[t][:, None]
     dx, da = dx.reshape(-1, 3 * s), da.reshape(-1, 3 * s)
     symbols = before.ravel()
@@ -260,12 +286,12 @@ def _backward(net: Net, grad: dict, keep: dict, before: np.ndarray, starts: np.n
     grad["e"][symbols[order[starts_at]]] += np.add.reduceat((dx @ net.w.T)[order], starts_at, axis=0)
 
 
-def log_probabilities(net: Net, texts: list[np.ndarray]) -> np.ndarray:
+def log_probabilities(net: Net, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Natural log-probability of the symbols of each text."""
-    lanes = Lanes(texts, SCORED_LANES)
-    out, table = np.zeros(len(texts)), net.table()
+    lanes = Lanes(symbols, ends, SCORED_LANES)
+    out, table = np.zeros(len(ends) - 1), net.table()
     h = np.zeros((len(lanes.loads), STATE), np.float32)
-    for places, valid in lanes.windows():
+    for places, valid in lanes.windows(PLACES):
         states = net.states(table, lanes.before[places], lanes.start[places], h[: places.shape[1]])
         h, some = states[-1], places[valid]
         logs = net.output(states[valid], lanes.symbol[some])[0]
@@ -273,38 +299,33 @@ def log_probabilities(net: Net, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], pa.Table]]:
-    """The texts of some batches, about as many characters as a chunk has, and the batches."""
-    texts, held, size = [], [], 0
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of some batches, with about as many characters of text as a chunk has."""
+    held, size = [], 0
     for batch in batches:
-        some = common.texts_of(batch)
-        texts += some
-        held.append(batch.drop_columns(["text"]) if batch.num_columns > 1 else batch)
-        size += sum(map(len, some))
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
         if size >= CHUNK_CHARS:
-            yield texts, pa.Table.from_batches(held)
-            texts, held, size = [], [], 0
-    if texts:
-        yield texts, pa.Table.from_batches(held)
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def counted(texts: DataFrame) -> DataFrame:
-    """word, spelling and c: how often it occurs in all of texts (text). The end of a text is the word ''."""
+    """word, c: how often it occurs in all of texts (text), and spelling. The end of a text is the word ''."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some, _ in chunks(batches):
-            many: Counter = Counter()
-            for text in some:
-                many.update(words_of(text))
-            many[b""] = len(some)
-            found = list(many)
-            for k in range(0, len(found), 65_536):
-                part = found[k : k + 65_536]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array(list(map(spelling, part)), pa.int32()), pa.array(list(map(many.__getitem__, part)), pa.int64())], names=["word", "spelling", "c"])
-
-    rows = common.arrow_batches(texts.select("text"), "word string, spelling int, c long", each)
+        for rows in chunks(batches):
+            many = pa.chunked_array([common.ascii_words(t)[0] for t in rows.column("text").chunks], pa.string()).value_counts()
+            found = pa.table([many.field("values"), many.field("counts")], names=["word", "c"])
+            yield from found.to_batches(65_536)
+            yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([rows.num_rows], pa.int64())], names=["word", "c"])
+
+    rows = common.arrow_batches(texts.select("text"), "word string, c long", each)
     # A chunk gives a word once: adding up before the shuffle would only cost.
-    return common.written(rows.repartition("word").groupBy("word", "spelling").agg(F.sum("c").alias("c")), "word-counts")
+    sums = rows.repartition("word").groupBy("word").agg(F.sum("c").alias("c"))
+    return common.written(sums.select("word", "c", spelling(F.col("word")).alias("spelling")), "word-counts")
 
 
 def known_words(counts: DataFrame, most: int = DICTIONARY, head: int = HEAD) -> tuple[Words, Column]:
@@ -316,7 +337,8 @@ def known_words(counts: DataFrame, most: int = DICTIONARY, head: int = HEAD) ->
     inside = int(np.searchsorted(sums, most, side="right"))
     least = bins[inside - 1][0] if inside else 1 << 30
     rows = sorted(((-r.c, r.word) for r in counts.where((level >= least) & (F.col("word") != "")).select("word", "c").collect()))
-    found = [b"", *(w.encode() for _, w in rows)]
+    found = pa.array(["", *(w for _, w in rows)], pa.string())
+    kinds_of = spellings(found)
     totals = counts.agg(F.sum("c").alias("n"), F.count("*").alias("types"), F.sum(F.when(F.col("word") == "", F.col("c"))).alias("ends")).first()
     n = np.array([totals.ends or 0, *(-c for c, _ in rows)], np.int64)
     head = min(head, len(found))
@@ -329,29 +351,37 @@ def known_words(counts: DataFrame, most: int = DICTIONARY, head: int = HEAD) ->
     mine = F.col("word") != ""
     for r in counts.where(mine).groupBy("spelling").agg(F.sum("c").alias("n"), F.count("*").alias("types"), F.sum((F.col("c") == 1).cast("long")).alias("once"), F.sum((F.col("c") == 2).cast("long")).alias("twice")).collect():
         sums[:, r.spelling] = r.n, r.types, r.once, r.twice
-    for word, c in zip(found[1:head], n[1:head].tolist(), strict=True):
-        sums[:, spelling(word)] -= (c, 1, c == 1, c == 2)
+    for kind, c in zip(kinds_of[1:head].tolist(), n[1:head].tolist(), strict=True):
+        sums[:, kind] -= (c, 1, c == 1, c == 2)
     total, kinds, once, twice = sums
     discount = np.clip((once + 0.5) / (once + 2 * twice + 1), 0.05, 0.95)
-    return Words({w: i for i, w in enumerate(found)}, n, head, ends, int(totals.n or 0), int(totals.types or 0), total, discount, kinds), level >= least
+    return Words(found, n, kinds_of, head, ends, int(totals.n or 0), int(totals.types or 0), total, discount, kinds), level >= least
 
 
 class Reader:
-    """Texts as numbers of their distinct words, and what stands for each of these."""
-
-    def __init__(self, words: Words, texts: list[str]):
-        index: dict[bytes, int] = {b"": 0}
-        self.texts = [np.fromiter((index.setdefault(w, len(index)) for w in [*words_of(t), b""]), np.int32) for t in texts]
-        self.words = list(index)
-        self.known = np.fromiter((words.index.get(w, -1) for w in self.words), np.int64, len(index))
-        self.spelling = np.zeros(len(index), np.int64)
-        other = np.flatnonzero((self.known < 0) | (self.known >= words.head))
-        self.spelling[other] = [spelling(self.words[i]) for i in other.tolist()]
-        self.symbol = self.known.astype(np.uint16)
-        self.symbol[other] = words.head + self.spelling[other]
-
-    def symbols(self) -> list[np.ndarray]:
-        return [self.symbol[t] for t in self.texts]
+    """Texts as numbers of their distinct words (tokens, and in ends where each text begins, the end of all last), and what
+    is known of these words."""
+
+    def __init__(self, words: Words, texts: pa.ChunkedArray):
+        parts = [common.ascii_words(t) for t in texts.chunks]
+        encoded = pa.chunked_array([p for p, _ in parts], pa.string()).dictionary_encode()
+        own = encoded.chunk(0).dictionary if encoded.num_chunks else pa.array([], pa.string())
+        first = np.cumsum([0, *map(len, texts.chunks)])
+        text = np.concatenate([np.zeros(0, np.int64), *(at + k for (_, at), k in zip(parts, first, strict=False))])
+        sizes = np.bincount(text, minlength=len(texts)) + 1
+        self.ends = np.concatenate([[0], np.cumsum(sizes)])
+        self.tokens = np.zeros(int(self.ends[-1]), np.int32)  # 0, the end, is the last of each text
+        ids = np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in encoded.chunks)])
+        self.tokens[np.arange(len(text)) + text] = ids + 1
+        self.words = pa.concat_arrays([pa.array([""]), own])
+        known = pc.fill_null(pc.index_in(self.words, value_set=words.words), -1).to_numpy()
+        self.spelling = np.where(known >= 0, words.spellings[known], 0)
+        self.spelling[known < 0] = spellings(self.words.filter(pa.array(known < 0)))
+        self.symbol = np.where((known >= 0) & (known < words.head), known, words.head + self.spelling).astype(np.uint16)
+        self.known = known
+
+    def symbols(self) -> np.ndarray:
+        return self.symbol[self.tokens]
 
 
 def trained(texts: DataFrame, words: Words, rounds: int = ROUNDS) -> np.ndarray:
@@ -365,13 +395,13 @@ def trained(texts: DataFrame, words: Words, rounds: int = ROUNDS) -> np.ndarray:
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, slopes, tokens = None, None, 0
-            for some, _ in chunks(batches):
+            for rows in chunks(batches):
                 if own is None:
                     half = len(shared.value) // 2  # noqa: B023
                     own, slopes = Net(dictionary.value, shared.value[:half]), shared.value[half:].copy()  # noqa: B023
-                read = Reader(dictionary.value, some)
-                tokens += sum(map(len, read.texts))
-                train(own, slopes, read.symbols())
+                read = Reader(dictionary.value, rows.column("text"))
+                tokens += len(read.tokens)
+                train(own, slopes, read.symbols(), read.ends)
             if own is not None:
                 both, task = np.concatenate([own.flat, slopes]).astype(np.float64) * tokens, TaskContext.get().partitionId()
                 blocks = [both[i : i + BLOCK].tobytes() for i in range(0, len(both), BLOCK)]
@@ -420,23 +450,21 @@ def partial_scores(documents: DataFrame, words: Words, flat: np.ndarray) -> Data
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, numbers = shared.value
         net = Net(known, numbers)
-        for some, rows in chunks(batches):
-            read = Reader(known, some)
+        for rows in chunks(batches):
+            read = Reader(known, rows.column("text"))
             inside = read.known >= 0
-            c = np.where(inside, known.counts[np.maximum(read.known, 0)], 0)
+            c = np.where(inside, known.counts[read.known], 0)
             base = np.where(inside, known.base(c), 0)
             share = np.where(inside & (read.known >= known.head), known.share(c, read.spelling), 0)
-            flat = np.concatenate(read.texts)
-            starts = np.cumsum([0, *map(len, read.texts)])
-            total = lambda x: pa.array(np.add.reduceat(x[flat], starts[:-1]))  # noqa: B023, E731
-            logs = np.log10(np.e) * log_probabilities(net, read.symbols())
+            total = lambda x: np.add.reduceat(x[read.tokens], read.ends[:-1])  # noqa: B023, E731
+            logs = np.log10(np.e) * log_probabilities(net, read.symbols(), read.ends) + total(share)
             # Of each text the words that this task doesn't know, each once with its number.
-            at = np.flatnonzero(~inside[flat])
-            key, many = np.unique((np.searchsorted(starts, at, side="right") - 1) * len(read.words) + flat[at], return_counts=True)
+            at = np.flatnonzero(~inside[read.tokens])
+            key, many = np.unique((np.searchsorted(read.ends, at, side="right") - 1) * len(read.words) + read.tokens[at], return_counts=True)
             word = key % len(read.words)
-            others = pa.StructArray.from_arrays([pa.array(read.words, pa.binary()).take(pa.array(word)).cast(pa.string()), pa.array(read.spelling[word], pa.int32()), pa.array(many, pa.int64())], names=["word", "spelling", "n"])
-            ends = np.searchsorted(key, np.arange(len(some) + 1) * len(read.words)).astype(np.int32)
-            columns = [pa.array(np.diff(starts)), total((c > 0).astype(np.int64)), total(base), pa.array(logs + total(share).to_numpy()), pa.ListArray.from_arrays(pa.array(ends), others)]
+            others = pa.StructArray.from_arrays([read.words.take(pa.array(word)), pa.array(read.spelling[word], pa.int32()), pa.array(many, pa.int64())], names=["word", "spelling", "n"])
+            ends = np.searchsorted(key, np.arange(rows.num_rows + 1) * len(read.words)).astype(np.int32)
+            columns = [pa.array(np.diff(read.ends)), pa.array(total((c > 0).astype(np.int64))), pa.array(total(base)), pa.array(logs), pa.ListArray.from_arrays(pa.array(ends), others)]
             yield from pa.table([*rows.select(names).columns, *columns], names=[*names, *added.names]).to_batches(common.BATCH_ROWS)
 
     return common.arrow_batches(documents, schema, each)
