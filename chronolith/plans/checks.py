@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
@@ -12,7 +13,7 @@ from chronolith.operators import api, generate, ingest, intervals, opportunities
 from chronolith.operators.pairs import EVENT, PAIR, THREAD
 from chronolith.plans import inputs
 from chronolith.plans.registered import query
-from chronolith.sources import readers, sinks
+from chronolith.sources import readers, sinks, versions
 from chronolith.streaming import incremental
 
 _EV = "ev AS (SELECT epoch_us(ts) AS us, event_type AS channel, event_id AS seq, props, user_id, value FROM events)"
@@ -92,7 +93,7 @@ def shards_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     incremental.index_batch(e.where("us < 1705276800000000"), shards, state, 1, default_us=0)
     for _ in range(2):
         incremental.index_batch(e, shards, state, 2, default_us=0)
-    rows = spark.read.parquet(shards)
+    rows = versions.read(spark, shards)
     return rows.groupBy("channel", F.col("local_day").cast("string").alias("local_day")).agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
 
 
@@ -109,23 +110,52 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ordered text that is written in ranges and read back in the order of its files."""
     path = _folder(spark, "report")
-    sinks.text_lines(inputs.table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("line")), "line", path, "doc_id")
+    path = sinks.text_lines(inputs.table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("line")), "line", path, "doc_id")
     rows = readers.raw_lines(spark, path, "*.txt")
     sizes = rows.groupBy("name").agg(F.count("*").alias("n"))
-    from chronolith.operators.order import numbered
-
-    files = numbered(sizes, "at", "name").select(F.col("name").alias("earlier"), "at", F.col("n").alias("before"))
-    base = files.alias("a").join(files.alias("b"), F.col("b.at") < F.col("a.at"), "left").groupBy(F.col("a.earlier").alias("name")).agg(F.coalesce(F.sum("b.before"), F.lit(0)).alias("base"))  # a row a file
+    before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    base = sizes.select("name", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return rows.join(base, "name").select(F.col("value").cast("long").alias("doc_id"), (F.col("base") + F.col("line_no") - 1).alias("line"))
 
 
-@query("""WITH f AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 1e9) SELECT * FROM f""")
+@query("SELECT c_custkey, c_acctbal, 2 AS made FROM customer WHERE c_acctbal < 1000")
 def stale_result_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table that is overwritten with an empty result keeps nothing of what it held."""
+    """A table that is written anew keeps nothing of what it held: the first version has all customers, the second others."""
     rows, path = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), _folder(spark, "stale")
-    sinks.table(rows, path)
-    sinks.table(rows.where("c_acctbal > 1e9"), path)
-    return spark.read.parquet(path)
+    sinks.table(rows.withColumn("made", F.lit(1)), path)
+    return sinks.table(rows.where("c_acctbal < 1000").withColumn("made", F.lit(2)), path)
+
+
+@query("SELECT 'kept' AS found, c_custkey, c_acctbal FROM customer WHERE c_nationkey < 10 UNION ALL SELECT 'older' AS found, c_custkey, c_acctbal FROM customer")
+def table_after_a_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writers of one table, of which the last fails half-way: the second version stays, and whoever reads the first
+    one still does."""
+    rows, path = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey"), _folder(spark, "failed")
+    first = sinks.table(rows, path)
+    sinks.table(rows.where("c_nationkey < 10"), path)
+    broken = F.when(F.col("c_custkey") % 97 == 3, F.raise_error("half-way").cast("double")).otherwise(F.col("c_acctbal"))
+    try:
+        sinks.table(rows.withColumn("c_acctbal", broken), path)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the third writer should have failed")
+    found = lambda df, name: df.select(F.lit(name).alias("found"), "c_custkey", "c_acctbal")
+    return found(versions.read(spark, path), "kept").unionByName(found(first, "older"))
+
+
+@query(f"WITH {_EV} SELECT channel, strftime(make_timestamp(us) AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d') AS local_day, count(*) AS n, sum(seq) AS seqs, 1 AS folders FROM ev GROUP BY 1, 2")
+def shards_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches of the log, brought together in one part; then one of them is replayed, which changes nothing."""
+    e = inputs.events(spark, sf_dir).select("us", "channel", "seq")
+    shards, state = _folder(spark, "shards"), _folder(spark, "cursors")
+    upto = [e.where(F.col("us") < 1_704_067_200_000_000 + (k + 1) * 8 * 86_400_000_000) for k in range(3)] + [e]
+    for k, rows in enumerate(upto):
+        incremental.index_batch(rows, shards, state, k, default_us=0)
+    incremental.compact(spark, shards)
+    incremental.index_batch(upto[2], shards, state, 2, default_us=0)
+    rows = versions.read(spark, shards).groupBy("channel", F.col("local_day").cast("string").alias("local_day")).agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
+    return rows.withColumn("folders", F.lit(len(versions.folders(spark, shards))))
 
 
 # Ingestion
@@ -202,7 +232,7 @@ def capped_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that takes the first events in time only."""
     shards, state = _folder(spark, "shards"), _folder(spark, "cursors")
     incremental.index_batch(inputs.events(spark, sf_dir).select("us", "channel", "seq"), shards, state, 0, default_us=0, limit=700)
-    return spark.read.parquet(shards).groupBy("channel").agg(F.count("*").alias("n"))
+    return versions.read(spark, shards).groupBy("channel").agg(F.count("*").alias("n"))
 
 
 # Fallbacks

@@ -12,8 +12,17 @@ from chronolith.operators import generate, ingest, validate
 from chronolith.sources import readers
 from chronolith.streaming import incremental
 
-#: Phases of a run and the modes that each goes through, in order: fixed names.
-PHASES: dict[str, tuple[str, ...]] = {"setup": (), "01": ("goals",), "02": ("combine", "bridges"), "03": ("bangers",), "04": ("questions",), "05": ("generic_qa", "pre_banger_qa")}
+#: Phases of a run and what each makes, in order: setup indexes the channels and cuts the log into intervals; each interval's
+#: questions; themes, combined and linked; opportunities of these, the manifest of which themes have any, and their ranking;
+#: questions of the opportunities; seeds' questions, and all questions as training rows.
+PHASES: dict[str, tuple[str, ...]] = {
+    "setup": ("indexing", "intervals"),
+    "01": ("interval_qa",),
+    "02": ("themes", "combined", "links"),
+    "03": ("opportunities", "manifest", "ranking"),
+    "04": ("questions",),
+    "05": ("seed_qa", "training_rows"),
+}
 
 
 def chosen(phase: str) -> list[str]:

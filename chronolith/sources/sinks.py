@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
+from chronolith.sources import versions
 
 
 def day_shards(events: DataFrame, path: str, zone: str = time.LOCAL_ZONE, mode: str = "append") -> None:
@@ -22,20 +23,30 @@ def empty_shards(events: DataFrame, path: str) -> None:
     events.limit(0).withColumn("local_day", F.lit("")).drop("channel", "local_day").write.mode("ignore").parquet(f"{path}/_schema")
 
 
-def sorted_json(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One object a line, keys sorted; mode append adds to a ledger, overwrite replaces all at once on commit."""
-    rows.select(*sorted(rows.columns)).write.mode(mode).option("ignoreNullFields", False).json(path)
+def sorted_json(rows: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """One object a line, keys sorted, and the folder that holds them: mode append adds to the ledger at path, overwrite makes
+    a new version of the table there, and what was there stays until that is complete."""
+    rows = rows.select(*sorted(rows.columns))
+    write = lambda df, to: df.write.mode("append").option("ignoreNullFields", False).json(to)
+    if mode == "append":
+        write(rows, path)
+        return path
+    versions.replace(rows, path, write=write)
+    return versions.folders(rows.sparkSession, path)[0]
 
 
-def text_lines(rows: DataFrame, column: str, path: str, *order: str) -> None:
-    """The column's lines as one ordered text: reports and training rows. Ranges of the order are written in turn."""
+def text_lines(rows: DataFrame, column: str, path: str, *order: str) -> str:
+    """The column's lines as one ordered text (reports and training rows), and the folder that holds them: a new version of
+    the text at path. Ranges of the order are written in turn."""
     ordered = rows.orderBy(*order) if order else rows
-    ordered.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+    versions.replace(ordered.select(F.col(column).cast("string").alias("value")), path, write=lambda df, to: df.write.text(to))
+    return versions.folders(rows.sparkSession, path)[0]
 
 
-def table(rows: DataFrame, path: str) -> None:
-    """rows in place of what was there, nothing if there are none: a stale result never stays."""
-    rows.write.mode("overwrite").parquet(path)
+def table(rows: DataFrame, path: str) -> DataFrame:
+    """rows in place of what was there, nothing if there are none: a stale result never stays, and if the job fails what was
+    there does. The rows as they are stored now."""
+    return versions.read(rows.sparkSession, path, versions.replace(rows, path))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chronolith.functions import time
-from chronolith.sources.sinks import day_shards
+from chronolith.sources import versions
 
 
 def cursors(events: DataFrame) -> DataFrame:
@@ -37,40 +36,58 @@ def pending(events: DataFrame, cursor: DataFrame, default_us: int = time.CUTOVER
     return split(events, cursor, default_us)[0].groupBy("channel").agg(F.count("*").alias("pending"))
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at path, empty where there is none yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+#: Cursors of so many batches are kept; a batch that is replayed needs those of the one before it.
+KEPT = 3
+
+
+def _name(batch_id: int) -> str:
+    return f"{batch_id:012d}"
+
+
+def cursor_before(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
+    """The cursors (channel, us, seq) that the batch before left behind; none before the first."""
+    parts = versions.state(spark, state)["parts"]
+    if earlier := [n for n in parts if n < _name(batch_id)]:
+        return spark.read.schema(CURSOR).parquet(f"{state}/{parts[max(earlier)]['folder']}")
+    return spark.createDataFrame([], CURSOR)
+
+
+CURSOR = "channel string, us bigint, seq bigint"
 
 
 def index_batch(events: DataFrame, shards: str, state: str, batch_id: int, late: str | None = None, default_us: int = time.CUTOVER_US, limit: int | None = None) -> None:
-    """Appends what is new to the day shards and moves the cursor on.
+    """Appends what is new to the day shards (a versioned table, by batch) and moves the cursors on.
 
-    Cursors are kept by batch, each with all channels, and a batch is compared with those of the batch before it only:
-    replaying one appends to the same folder of the shards again, in place of what its first try wrote. limit keeps the
-    first events in time.
+    A batch is compared with the cursors that the one before it left. It becomes part of the shards in one step, before its
+    cursors are stored: one that fails leaves no rows behind, and one that is replayed finds its part there, by itself or
+    in a compacted one, and changes nothing. limit keeps the first events in time.
     """
     spark = events.sparkSession
-    known = _stored(spark, state, "channel string, us bigint, seq bigint, batch int").where(F.col("batch") < batch_id)
-    before = known.agg(F.max("batch").alias("batch")).first().batch
-    cursor = known.where(F.col("batch") == F.lit(before)).select("channel", "us", "seq")
+    cursor = cursor_before(spark, state, batch_id)
     fresh, behind = split(events, cursor, default_us)
     if limit is not None:
         fresh = fresh.orderBy("us", "channel", "seq").limit(limit)
     fresh = fresh.persist()
     try:
-        day_shards(fresh, f"{shards}/batch={batch_id}", mode="overwrite")
+        by_day = fresh.withColumn("local_day", time.local_day(F.col("us"), time.LOCAL_ZONE))
+        versions.add(by_day, shards, _name(batch_id), by_shard)
         if late:
-            behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-        advanced(cursor, cursors(fresh)).write.mode("overwrite").parquet(f"{state}/batch={batch_id}/")
+            versions.add(behind, late, _name(batch_id))
+        versions.add(advanced(cursor, cursors(fresh)), state, _name(batch_id), drop=lambda n: n < _name(max(0, batch_id - KEPT + 1)))
     finally:
         fresh.unpersist()
 
 
+def by_shard(rows: DataFrame, path: str) -> None:
+    """rows (channel, local_day, us, ...) into a new folder, partitioned by channel and day, in the order of time."""
+    rows.repartition("channel", "local_day").sortWithinPartitions("us").write.partitionBy("channel", "local_day").parquet(path)
+
+
+def compact(spark: SparkSession, shards: str, most: int = 128 * 1024 * 1024) -> int:
+    """Brings the small files that many batches have left together, by channel and day; see versions.compact."""
+    return versions.compact(spark, shards, most, by_shard)
+
+
 def index_stream(stream: DataFrame, shards: str, state: str, checkpoint: str, late: str | None = None, default_us: int = time.CUTOVER_US, then: Callable[[int], None] | None = None) -> StreamingQuery:
     """The same as a stream of micro-batches; one that failed is replayed under its number and changes nothing twice."""
 

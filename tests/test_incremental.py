@@ -1,10 +1,11 @@
+from chronolith.sources import versions
 from chronolith.streaming import incremental
 
 SCHEMA = "us long, channel string, seq long"
 
 
 def shards(spark, path):
-    return sorted((r.us, r.channel, r.seq) for r in spark.read.parquet(path).select("us", "channel", "seq").collect())
+    return sorted((r.us, r.channel, r.seq) for r in versions.read(spark, path).select("us", "channel", "seq").collect())
 
 
 def test_cursor_orders_ties_and_sets_late_rows_aside(spark):
@@ -27,7 +28,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     for _ in range(2):
         incremental.index_batch(two, log, state, 1, late=f"{tmp_path}/late", default_us=0)
     assert shards(spark, log) == [(10, "a", 1), (11, "a", 2), (11, "b", 1)]
-    assert spark.read.parquet(f"{tmp_path}/late").count() == 1
+    assert versions.read(spark, f"{tmp_path}/late").count() == 1
 
 
 def test_a_limit_loses_no_tie(spark, tmp_path):

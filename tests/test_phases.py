@@ -4,7 +4,7 @@ import pytest
 
 from chronolith.operators import api, generate, ingest, pairs
 from chronolith.plans import phases
-from chronolith.sources import readers, sinks
+from chronolith.sources import readers, sinks, versions
 
 T0 = 1775600000.5
 
@@ -15,10 +15,11 @@ def test_phases_run_in_order_and_stop_at_a_failure():
     out = phases.run("all", modes)
     assert done == [m for ms in phases.PHASES.values() for m in ms] and {s["status"] for s in out["stages"].values()} == {"done"}
     done.clear()
-    assert set(phases.run("02", modes, dry_run=True)["stages"]) == {"combine", "bridges"} and done == []
+    assert set(phases.run("02", modes, dry_run=True)["stages"]) == {"themes", "combined", "links"} and done == []
     with pytest.raises(ZeroDivisionError):
-        phases.run("all", {**modes, "bangers": lambda: 1 / 0})
-    assert done == ["goals", "combine", "bridges"]
+        phases.run("all", {**modes, "manifest": lambda: 1 / 0})
+    assert done == ["indexing", "intervals", "interval_qa", "themes", "combined", "links", "opportunities"]
+    assert phases.PHASES["05"] == ("seed_qa", "training_rows")  # what is exported is what was made
     for phase, some in (("06", modes), ("01", {})):
         with pytest.raises(ValueError):
             phases.run(phase, some)
@@ -41,7 +42,7 @@ def test_channels_and_transcripts_become_one_log(spark, tmp_path):
     for _ in range(2):  # a batch that is replayed changes nothing
         phases.index_all(spark, logs, f"{tmp_path}/shards", f"{tmp_path}/state", 0, transcripts=str(tmp_path / "audio"))
     phases.index_all(spark, logs, f"{tmp_path}/shards", f"{tmp_path}/state", 1, transcripts=str(tmp_path / "audio"))
-    got = spark.read.parquet(f"{tmp_path}/shards").select("channel", "text").collect()
+    got = versions.read(spark, f"{tmp_path}/shards").select("channel", "text").collect()
     assert sorted(map(tuple, got)) == [("audio", "hello"), ("email", "b"), ("screen", "a")]
     with pytest.raises(ValueError):
         phases.events(spark, {})

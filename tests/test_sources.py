@@ -89,9 +89,7 @@ def test_sinks(spark, tmp_path):
     sinks.day_shards(events, f"{tmp_path}/log")
     got = spark.read.parquet(f"{tmp_path}/log")
     assert {(r.local_day.isoformat() if hasattr(r.local_day, "isoformat") else r.local_day, r.n) for r in got.groupBy("local_day").agg(F.count("*").alias("n")).collect()} == {("2026-04-05", 2), ("2026-04-06", 2)}
-    sinks.sorted_json(events.coalesce(1), f"{tmp_path}/json")
-    line = spark.read.text(f"{tmp_path}/json").first()[0]
+    line = spark.read.text(sinks.sorted_json(events.coalesce(1), f"{tmp_path}/json")).first()[0]
     assert list(json.loads(line)) == ["channel", "text", "us"]
-    sinks.text_lines(events, "text", f"{tmp_path}/txt", "us")
-    assert [r[0] for r in spark.read.text(f"{tmp_path}/txt").collect()] == ["a", "b"]
+    assert [r[0] for r in spark.read.text(sinks.text_lines(events, "text", f"{tmp_path}/txt", "us")).collect()] == ["a", "b"]
     assert time.LOCAL_ZONE
