@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 from chronolith.llm import common
 
 #: What ends a piece, beside its text's end: fixed. Words end there and at blanks and tabs.
-ENDS = b".,;:!?\n\x0b\x0c\r"
-#: A chunk of a language ends with the batch that brings it to so many characters or distinct words.
-CHUNK_CHARS, CHUNK_WORDS = 28_000_000, 1_500_000
+ENDS = r"[.,;:!?\x0A-\x0D]"
+#: What stands for an end among the words: it is in none.
+END = "."
+#: A task's chunks end with the batch that brings them to so many characters together.
+CHUNK_CHARS = 28_000_000
 #: Bits of the bitmap of phrases that may be frequent (8 MB), whatever the input.
 BITS = 26
 #: Bits of a row of the bitmap on its way: those of Spark's bitmap aggregate.
@@ -35,18 +37,17 @@ ROW_BITS = 32_768
 #: What stands for a language that isn't given.
 NO_LANG = "und"
 
-_TO_END = bytes.maketrans(ENDS, b"." * len(ENDS))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(texts: list[str]) -> list[bytes]:
-    """The texts' words in order, with b"." (which is in no word) at every end of a piece and between texts."""
-    joined = ".".join(texts).encode("utf-8", "surrogatepass").lower()
-    return joined.translate(_TO_END).replace(b".", b" . ").split()
+def tokens(texts: pa.Array) -> pa.Array:
+    """The texts' words in order, with END at every end of a piece and of a text."""
+    marked = pc.replace_substring_regex(pc.fill_null(texts, ""), pattern=ENDS, replacement=f" {END} ")
+    return common.ascii_words(pc.binary_join_element_wise(marked, END, " "))[0]
 
 
-def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang.encode())
+def word_hashes(words: list[str], lang: str) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang)
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
@@ -65,47 +66,46 @@ def has_bit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class Chunk:
-    """Words of one language as numbers, in order; 0 is the end of a piece."""
+    """Words of one language in order, and its phrases as rows (lang, phrase, f)."""
 
     def __init__(self, lang: str):
-        self.lang, self.index, self.parts, self.chars = lang, {b".": 0}, [], 0
+        self.lang, self.parts, self.chars = lang, [], 0
 
-    def add(self, texts: list[str]) -> None:
-        get, index = self.index.setdefault, self.index
-        self.parts.append(np.fromiter((get(w, len(index)) for w in tokens(texts)), np.int32))
-        self.parts.append(np.zeros(1, np.int32))
-        self.chars += sum(map(len, texts))
-
-    def full(self) -> bool:
-        return self.chars >= CHUNK_CHARS or len(self.index) >= CHUNK_WORDS
+    def add(self, texts: pa.Array) -> None:
+        self.parts.append(tokens(texts))
+        self.chars += pc.sum(pc.binary_length(texts)).as_py() or 0
 
     def phrases(self, n: int, bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        """Rows (lang, phrase, f) of the phrases of n words whose both parts may be frequent. For n = 1 of all words, and
-        of the empty phrase, which stands for every word."""
-        ids = np.concatenate(self.parts)
-        words = list(self.index)
+        """Those of n words whose both parts may be frequent. For n = 1 all words, and the empty phrase, which stands for
+        every word."""
+        encoded = pa.chunked_array(self.parts).dictionary_encode()
+        self.parts.clear()
+        words = encoded.chunk(0).dictionary
+        ids = np.concatenate([c.indices.to_numpy() for c in encoded.chunks])
+        del encoded
+        end = pc.index(words, END).as_py()
         if n == 1:
             many = np.bincount(ids, minlength=len(words))
-            yield from self.rows(pa.array([b"", *words[1:]], pa.binary()), np.concatenate([[len(ids) - many[0]], many[1:]]))
+            others = np.flatnonzero(np.arange(len(words)) != end)
+            yield from self.rows(pa.concat_arrays([pa.array([""]), words.take(pa.array(others))]), np.concatenate([[many[others].sum()], many[others]]))
+            return
+        at, strings = self.candidates(ids, words, end, n, bitmap), words
+        if not len(at):
             return
-        at, strings, code = self.candidates(ids, words, n, bitmap), pa.array(words, pa.binary()), None
-        base = strings
-        for k in range(n):  # the phrases' first k + 1 words as strings, and which of them stands at each place
-            if k == 0:
-                code = ids[at].astype(np.int64)
-                continue
-            key, code = np.unique(code * len(words) + ids[at + k], return_inverse=True)
-            strings = pc.binary_join_element_wise(strings.take(pa.array(key // len(words))), base.take(pa.array(key % len(words))), pa.scalar(b" ", pa.binary()))
-        if len(at):
-            yield from self.rows(strings, np.bincount(code, minlength=len(strings)))
-
-    def candidates(self, ids: np.ndarray, words: list[bytes], n: int, bitmap: np.ndarray) -> np.ndarray:
+        code = ids[at].astype(np.int64)
+        for k in range(1, n):  # the phrases' first k + 1 words as strings, and which of them stands at each place
+            key = code * len(words) + ids[at + k]
+            key, code = np.unique(key, return_inverse=True) if k < n - 1 else np.unique(key, return_counts=True)
+            strings = pc.binary_join_element_wise(strings.take(pa.array(key // len(words))), words.take(pa.array(key % len(words))), " ")
+        yield from self.rows(strings, code)
+
+    def candidates(self, ids: np.ndarray, words: pa.Array, end: int, n: int, bitmap: np.ndarray) -> np.ndarray:
         """Where a phrase of n words starts whose both parts of n - 1 words, and so on down, have their bits."""
-        of = word_hashes(words, self.lang)
+        of = word_hashes(words.to_pylist(), self.lang)
         ok = has_bit(bitmap, of)
-        ok[0] = False
+        ok[end] = False
         at = np.flatnonzero(ok[ids])
-        hashes = of[ids[at]]
+        hashes = of[ids[at]] if n > 2 else at
         for k in range(2, n + 1):
             both = np.flatnonzero(at[1:] == at[:-1] + 1)  # a part starts here and at the next word
             at = at[both]
@@ -118,7 +118,7 @@ class Chunk:
     def rows(self, phrases: pa.Array, many: np.ndarray) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(phrases), 65_536):
             some = phrases.slice(k, 65_536)
-            yield pa.RecordBatch.from_arrays([pa.array([self.lang] * len(some), pa.string()), some.cast(pa.string()), pa.array(many[k : k + 65_536], pa.int64())], names=["lang", "phrase", "f"])
+            yield pa.RecordBatch.from_arrays([pa.array([self.lang] * len(some), pa.string()), some, pa.array(many[k : k + 65_536], pa.int64())], names=["lang", "phrase", "f"])
 
 
 def counts(documents: DataFrame, n: int, bitmap: np.ndarray | None = None) -> DataFrame:
@@ -128,12 +128,10 @@ def counts(documents: DataFrame, n: int, bitmap: np.ndarray | None = None) -> Da
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Chunk] = {}
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), common.texts_of(batch), strict=True):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                held.setdefault(lang, Chunk(lang)).add(texts)
-            while held and (sum(c.chars for c in held.values()) >= CHUNK_CHARS or any(c.full() for c in held.values())):
+            langs, texts = batch.column("lang"), batch.column("text")
+            for lang in pc.unique(langs).to_pylist():
+                held.setdefault(lang, Chunk(lang)).add(texts.filter(pc.equal(langs, lang)))
+            while sum(c.chars for c in held.values()) >= CHUNK_CHARS:
                 yield from held.pop(max(held, key=lambda x: held[x].chars)).phrases(n, shared.value)
         while held:
             yield from held.popitem()[1].phrases(n, shared.value)
@@ -149,7 +147,7 @@ def bitmap_of(frequent: DataFrame, bits: int = BITS) -> np.ndarray:
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = np.empty(batch.num_rows, np.uint64)
         for k, (lang, phrase) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)):
-            words = word_hashes(phrase.encode("utf-8", "surrogatepass").split(b" "), lang)
+            words = word_hashes(phrase.split(" "), lang)
             h = words[:1]
             for j in range(1, len(words)):
                 h = longer(h, words[j : j + 1])
