@@ -13,7 +13,7 @@ from __future__ import annotations
 import itertools
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -170,13 +170,17 @@ SPLIT = "chunk string, part int, at long, packed binary"
 TOGETHER = 256
 
 
-def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
-    """documents but for text as chunks: SPLIT, then their columns."""
+def split(documents: DataFrame, path: str | None, parts: int, cut: Callable[[str], list[str]] | None = None, pack: Callable[[list[bytes], np.ndarray], bytes] | None = None) -> DataFrame:
+    """documents but for text as chunks: SPLIT, then their columns. cut splits a text (as the tokenizer does, if it isn't
+    given), pack takes a range's words and how often each stands in the chunk."""
     kept = documents.drop("text")
     names, schema = kept.columns, StructType([*StructType.fromDDL(SPLIT).fields, *(StructField(f.name, f.dataType) for f in kept.schema.fields)])  # null where a row is no text
+    cut, pack = cut or (lambda t: words(t, path)), pack or (lambda found, _: packed_words(found))
 
     def made(index: dict[str, int], texts: list[np.ndarray], rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, often = ranked(texts, len(index))
+        many = np.empty(len(index), np.int64)
+        many[number] = np.bincount(np.concatenate([np.zeros(0, np.int64), *texts]), minlength=len(index))
         found = list(index)
         index.clear()
         raw = [found[i].encode("utf-8", "surrogatepass") for i in np.argsort(number)]
@@ -188,7 +192,7 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
         order = np.argsort(part, kind="stable")
         starts = cells.bounds(part[order]) if len(order) else []
         for s, e in zip(starts[:-1], starts[1:], strict=True):
-            yield batch_of([chunk], [int(part[order[s]])], [0], [packed_words([raw[i] for i in order[s:e]])], None)
+            yield batch_of([chunk], [int(part[order[s]])], [0], [pack([raw[i] for i in order[s:e]], many[order[s:e]])], None)
         columns = pa.Table.from_batches(rows).combine_chunks() if names else None
         known = often
         for k in range(0, len(texts), TOGETHER):
@@ -212,7 +216,7 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
             other = batch.select(names) if names else batch
             types[0], first = [f.type for f in other.schema] if names else [], 0
             for k, t in enumerate(common.texts_of(batch)):
-                texts.append(np.fromiter((index.setdefault(w, len(index)) for w in words(t, path)), np.int32))
+                texts.append(np.fromiter((index.setdefault(w, len(index)) for w in cut(t)), np.int32))
                 size += len(t)
                 if size >= CHUNK_CHARS or len(index) >= CHUNK_WORDS:
                     yield from made(index, texts, [*rows, other.slice(first, k + 1 - first)])
@@ -226,17 +230,25 @@ def split(documents: DataFrame, path: str | None, parts: int) -> DataFrame:
 
 
 def encoded_words(table: DataFrame, path: str | None, parts: int) -> DataFrame:
-    """chunk, part and packed ids for rows of words (chunk, part, packed): each distinct word is encoded once."""
+    """chunk, part and packed ids for rows of words (chunk, part, packed): each distinct word is encoded once. A task holds
+    the distinct words of one range, however many chunks have them."""
 
-    def work(rows: pa.Table) -> pa.RecordBatch:
-        lists = [unpacked_words(b) for b in rows.column("packed").to_pylist()]
-        distinct = sorted(set(itertools.chain.from_iterable(lists)))
-        of = dict(zip(distinct, encode_words([w.decode("utf-8", "surrogatepass") for w in distinct], path), strict=True))
-        packed = [packed_ids([of[w] for w in some]) for some in lists]
-        return pa.RecordBatch.from_arrays([rows.column("chunk").combine_chunks(), rows.column("part").combine_chunks(), pa.array(packed, pa.binary())], names=["chunk", "part", "packed"])
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, now = {}, None
+        for batch in batches:
+            packed = []
+            for part, b in zip(batch.column("part").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if part != now:
+                    of.clear()
+                    now = part
+                found = unpacked_words(b)
+                new = [w for w in found if w not in of]
+                of.update(zip(new, encode_words([w.decode("utf-8", "surrogatepass") for w in new], path), strict=True))
+                packed.append(packed_ids([of[w] for w in found]))
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("part"), pa.array(packed, pa.binary())], names=["chunk", "part", "packed"])
 
     dealt = table.repartition(parts, "part").sortWithinPartitions("part")
-    return common.arrow_batches(dealt, "chunk string, part int, packed binary", lambda batches: cells.each_group(batches, work, "part", 1))
+    return common.arrow_batches(dealt, "chunk string, part int, packed binary", each)
 
 
 def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True) -> DataFrame:
@@ -245,15 +257,17 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
 
     As the tokenizer with add_special_tokens=False: special tokens that occur in a text become their ids. Null and empty
     texts have no ids; very long ones are a chunk of their own. Repeated rows each give a row, an empty table none.
-    Columns of these names, and those of SPLIT, are replaced; others pass through.
+    Columns of these names are replaced; others pass through, whatever their names.
     """
     spark = documents.sparkSession
     added = StructType.fromDDL("n_tokens long, " + "ids array<int>, " * keep_ids + "id_list string, decoded string")
-    kept = documents.drop("n_tokens", "ids", "id_list", "decoded", *StructType.fromDDL(SPLIT).names)
+    through = [c for c in documents.columns if c.lower() not in {"text", "n_tokens", "ids", "id_list", "decoded"}]
+    # Other columns travel as one, so that none of them can have a name that is used here.
+    kept = documents.select(F.struct(*([F.col(f"`{c}`") for c in through] or [F.lit(0)])).alias("row"), "text")
     parts = common.partitions(spark)
     corpus = common.written(split(kept, path, parts), "bpe-split")
     ids = encoded_words(corpus.where("part >= 0").select("chunk", "part", "packed"), path, parts)
-    names = [c for c in kept.columns if c != "text"]
+    names = ["row"]
     both = corpus.where("part IS NULL OR part < 0").unionByName(ids, allowMissingColumns=True)
     both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last(), "at")
 
@@ -274,7 +288,7 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
 
         def made(batch: pa.RecordBatch, rows: list[tuple], keep: list[int]) -> pa.RecordBatch:
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            some = batch.select(names).take(pa.array(keep)).columns if names else []
+            some = batch.select(names).take(pa.array(keep)).columns
             rows.clear(), keep.clear()
             return pa.RecordBatch.from_arrays([*some, *columns], names=[*names, *added.names])
 
@@ -315,8 +329,8 @@ def encode(documents: DataFrame, path: str | None = None, keep_ids: bool = True)
                 yield made(batch, rows, keep)
 
     types = [pa.int64(), *([pa.list_(pa.int32())] if keep_ids else []), pa.string(), pa.string()]
-    schema = StructType([*(StructField(f.name, f.dataType) for f in kept.schema.fields if f.name != "text"), *added.fields])
-    return common.arrow_batches(both, schema, each)
+    out = common.arrow_batches(both, StructType([StructField("row", kept.schema["row"].dataType), *added.fields]), each)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in through], *added.names)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

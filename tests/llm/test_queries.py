@@ -27,8 +27,8 @@ def sha(text):
 
 
 def test_names():
-    assert len(registry.queries()) == 10
-    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
+    assert len(registry.queries()) == 13
+    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 14))
     assert [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "bpe"]
 
 
