@@ -162,3 +162,14 @@ def ascii_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     flat = pc.list_flatten(lists)
     some = pc.not_equal(pc.binary_length(flat), 0)
     return flat.filter(some), pc.list_parent_indices(lists).filter(some).to_numpy()
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with as many underscores behind it as make it one that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

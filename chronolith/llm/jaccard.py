@@ -226,14 +226,16 @@ def joined(documents: DataFrame, tenths: int = TENTHS, trees: int = TREES, recal
 def one_of_each(documents: DataFrame, tenths: int = TENTHS, trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """documents with one row of each class of joined(): the one with the smallest doc_id (null last), of such rows the one
     with the smallest hash of its text. Of rows that repeat both id and text one stays; texts without words all stay,
-    but for such repeats. Different texts under one id are different documents."""
+    but for such repeats. Different texts under one id are different documents. Other columns pass through, whatever their
+    names."""
     signed, found = _classes(documents, tenths, trees, recall)
     first = found.groupBy("root").agg(F.min("one").alias("one")).select("one.doc_id", "one.hash")
     keys = common.cut(first.unionByName(signed.where("item IS NULL").select("doc_id", "hash").distinct()))
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
-    rows = documents.withColumn("_own", F.xxhash64("text"))
-    rows = rows.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
+    id_, hash_, own, row = common.free(documents, "_id", "_hash", "_own", "_row")
+    keys = keys.select(F.col("doc_id").alias(id_), F.col("hash").alias(hash_))
+    rows = documents.withColumn(own, F.xxhash64("text"))
+    rows = rows.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)))
     # The window sorts what the join has dealt out; nothing is shuffled again.
-    comparable = [c for c in documents.columns if c not in ("doc_id", "text") and documents.schema[c].dataType.typeName() not in ("map", "variant")]
-    order = Window.partitionBy("_id", "_hash").orderBy(*comparable, F.lit(0))
-    return rows.withColumn("_row", F.row_number().over(order)).where("_row = 1").select(*documents.columns)
+    comparable = [F.col(f"`{c}`") for c in documents.columns if c not in ("doc_id", "text") and documents.schema[c].dataType.typeName() not in ("map", "variant")]
+    order = Window.partitionBy(id_, hash_).orderBy(*comparable, F.lit(0))
+    return rows.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(id_, hash_, own, row)

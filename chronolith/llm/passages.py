@@ -40,9 +40,11 @@ def _with_number(documents: DataFrame) -> DataFrame:
     documents = documents.drop("text_no")
     if texts.isEmpty():
         return documents.withColumn("text_no", F.lit(0))
-    rows = documents.withColumn("_own", F.xxhash64("text"))
-    rows = rows.join(texts, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_own") == F.col("_hash")), "left")
-    return rows.select(*documents.columns, F.coalesce("_no", F.lit(0)).alias("text_no"))
+    id_, hash_, number, own = common.free(documents, "_id", "_hash", "_no", "_own")
+    texts = texts.select(F.col("_id").alias(id_), F.col("_hash").alias(hash_), F.col("_no").alias(number))
+    rows = documents.withColumn(own, F.xxhash64("text"))
+    rows = rows.join(texts, (F.col("doc_id").cast("long") == F.col(id_)) & (F.col(own) == F.col(hash_)), "left")
+    return rows.withColumn("text_no", F.coalesce(number, F.lit(0))).drop(id_, hash_, number, own)
 
 
 def _numbered(documents: DataFrame) -> DataFrame:
@@ -288,16 +290,19 @@ def repeats(documents: DataFrame, tenths: int = TENTHS, hashes: int = HASHES, re
 
 
 def without_repeats(documents: DataFrame, **options) -> DataFrame:
-    """documents with the removed spans cut out of text. Rows without any stay as they are."""
-    gone = repeats(documents, **options).where("removed").groupBy(*TEXT).agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_no").alias("_no"), "cuts")
+    """documents with the removed spans cut out of text. Rows without any stay as they are; other columns pass through,
+    whatever their names, but for text_no."""
+    gone = repeats(documents.select("doc_id", "text"), **options).where("removed").groupBy(*TEXT).agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
+    documents = documents.drop("text_no")
+    id_, number, cuts_ = common.free(documents, "_id", "_no", "cuts")
+    gone = gone.select(F.col("doc_id").alias(id_), F.col("text_no").alias(number), F.col("cuts").alias(cuts_))
     numbered = _with_number(documents)
-    rows = numbered.join(gone, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("text_no") == F.col("_no")), "left").drop("_id", "_no", "text_no")
-    kept = rows.drop("cuts").columns
+    rows = numbered.join(gone, (F.col("doc_id").cast("long") == F.col(id_)) & (F.col("text_no") == F.col(number)), "left").drop(id_, number, "text_no")
+    kept = documents.columns
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for t, cuts in zip(batch.column("text").to_pylist(), batch.column("cuts").to_pylist(), strict=True):
+        for t, cuts in zip(batch.column("text").to_pylist(), batch.column(cuts_).to_pylist(), strict=True):
             at, parts = 0, []
             for c in sorted(cuts or [], key=lambda c: c["start"]):
                 parts.append((t or "")[at : c["start"]])
@@ -305,4 +310,4 @@ def without_repeats(documents: DataFrame, **options) -> DataFrame:
             out.append("".join([*parts, t[at:]]) if parts else t)
         return pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in kept], names=kept)
 
-    return common.arrow_map(rows, documents.schema, each)
+    return common.arrow_map(rows.select(*(F.col(f"`{c}`") for c in kept), cuts_), documents.schema, each)

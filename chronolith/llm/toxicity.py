@@ -47,6 +47,10 @@ AT_ONCE = 1_000_000
 RANGES = 4
 THRESHOLD = 0.3
 CONTEXT = np.uint64((1 << 40) - 1)
+#: Up to 2 to the power of this a word's number and its context fit in 64 bits, which are faster to sort.
+NUMBER_BITS = 24
+#: Pairs and words that are held before they are merged into what a range has so far.
+HELD = 4_000_000
 _DISCOUNT = 0.75
 
 
@@ -182,17 +186,18 @@ def _tallied(word: np.ndarray, before: np.ndarray, n: np.ndarray, of: np.ndarray
     """Sums of equal pairs (word, before, n by class), and of equal words (of: the words; sums: texts and followed)."""
     words, index = np.unique(np.concatenate([of, word]), return_inverse=True)
     both = np.column_stack([np.bincount(index[: len(of)], weights=sums[:, k], minlength=len(words)) for k in range(4)]).astype(np.int64)
-    key = (index[len(of) :].astype(np.uint64) << np.uint64(40)) | before
-    del index
-    order = np.argsort(key)
-    key, n = key[order], n[order]
+    index = index[len(of) :]
+    if len(words) <= 1 << NUMBER_BITS:
+        order = np.argsort((index.astype(np.uint64) << np.uint64(40)) | before)
+    else:
+        order = np.lexsort((before, index))
+    index, before, n = index[order], before[order], n[order]
     del order
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
+    new = np.ones(len(index), bool)
+    new[1:] = (index[1:] != index[:-1]) | (before[1:] != before[:-1])
     starts = np.flatnonzero(new)
     n = np.add.reduceat(n, starts, axis=0, dtype=np.int64) if len(starts) else n.astype(np.int64)
-    key = key[starts]
-    return Tally(words, both[:, :2], both[:, 2:], np.bincount((key >> np.uint64(40)).astype(np.int64), minlength=len(words)), key & CONTEXT, n)
+    return Tally(words, both[:, :2], both[:, 2:], np.bincount(index[starts], minlength=len(words)), before[starts], n)
 
 
 def tally(texts: list[str], labels: list[int | None]) -> Tally:
@@ -365,13 +370,35 @@ def _packed_counts(rows: DataFrame, parts: int) -> DataFrame:
     return common.arrow_batches(rows.select("text", "label"), "part int, packed binary", each)
 
 
+def _merged_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[Tally]:
+    """The tally of each range, from batches (part, packed) that are sorted by part. Tallies are merged as they come: what is
+    held follows from the range's own words and pairs, not from how many tasks have counted them."""
+    now, total, held, size = None, None, [], 0
+
+    def all_of() -> Tally:
+        return merged([*([total] if total is not None else []), *held])
+
+    for batch in batches:
+        for part, packed in zip(batch.column("part").to_pylist(), batch.column("packed"), strict=True):
+            if part != now:
+                if now is not None:
+                    yield all_of()
+                now, total, held, size = part, None, [], 0
+            t = Tally.unpacked(packed.as_py())
+            held.append(t)
+            size += len(t.words) + len(t.before)
+            if size > max(HELD, 2 * (len(total.words) + len(total.before)) if total is not None else 0):
+                total, held, size = all_of(), [], 0
+    if now is not None:
+        yield all_of()
+
+
 def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
     """Counts over all rows (text, label; null: shared only), of which so many have label 0 and 1."""
     spark = rows.sparkSession
     parts = RANGES * common.partitions(spark)
 
-    def merge(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        t = merged([Tally.unpacked(x.as_py()) for x in table.column("packed")])
+    def made_of(t: Tally) -> pa.RecordBatch:
         totals, of_word, shared = _summary(t)
         null = lambda n: np.zeros(n, np.int64)
         made = [[np.full(len(totals), 0), np.arange(len(totals)), null(len(totals)), np.array(totals), *[null(len(totals))] * 6]]
@@ -384,7 +411,7 @@ def counted(rows: DataFrame, learnt: tuple[int, int]) -> Counts:
         return pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in columns[1:])], names=[c.split()[0] for c in _FOUND.split(", ")])
 
     packed = _packed_counts(rows, parts).repartition(common.partitions(spark), "part").sortWithinPartitions("part")
-    found = common.written(common.arrow_batches(packed, _FOUND, lambda batches: cells.each_group(batches, merge, "part", 1)), "toxicity-counts")
+    found = common.written(common.arrow_batches(packed, _FOUND, lambda batches: map(made_of, _merged_ranges(batches))), "toxicity-counts")
     sums = {r.word: r.s for r in found.where("kind = 0").groupBy("word").agg(F.sum("a").alias("s")).collect()}  # one row a name
     totals = {name: float(sums.get(i, 0)) for i, name in enumerate(TOTALS)}
     # Each of these has a share of what its class has: 4 / MASS rows at most.
