@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolith.functions import text as words
 from chronolith.operators import asof, pairs
+from chronolith.operators import zones as near
 from chronolith.operators.order import numbered
 
 #: What the read queries take for a scope, a type and a seed: fixed.
@@ -106,3 +107,8 @@ def logs_window(events: DataFrame, center_us: int, before: int = asof.AROUND, af
     """The events around an instant: side, index and what is available on either side."""
     anchor = events.sparkSession.createDataFrame([(0, center_us)], "anchor_id long, us long")
     return asof.around(events, anchor, before, after).drop("anchor_id")
+
+
+def log_window(spark: SparkSession, log: str, zones: str, center_us: int, before: int = asof.AROUND, after: int = asof.AROUND) -> DataFrame:
+    """The same of a log that is stored in shards with a zone map beside it: only shards near the instant are read."""
+    return near.neighbourhood(spark, log, zones, center_us, before, after)

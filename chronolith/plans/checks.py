@@ -235,6 +235,29 @@ def capped_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.read(spark, shards).groupBy("channel").agg(F.count("*").alias("n"))
 
 
+_CENTERS = (1_703_000_000_000_000, 1_704_070_000_000_000, 1_705_312_800_000_000, 1_706_572_800_000_000, 1_800_000_000_000_000)
+
+
+@query(f"""WITH {_EV}, c AS (SELECT unnest([{", ".join(map(str, _CENTERS))}]) AS center),
+p AS (SELECT center, 'past' AS side, seq, row_number() OVER (PARTITION BY center ORDER BY us DESC, seq DESC) AS r, count(*) OVER (PARTITION BY center) AS k FROM c JOIN ev ON us <= center),
+f AS (SELECT center, 'future' AS side, seq, row_number() OVER (PARTITION BY center ORDER BY us, seq) AS r FROM c JOIN ev ON us > center)
+SELECT x.*, (SELECT count(*) FROM ev WHERE us <= center) AS before_available, (SELECT count(*) FROM ev WHERE us > center) AS after_available
+FROM (SELECT center, side, seq, least(k, 40) - r AS index FROM p WHERE r <= 40 UNION ALL SELECT center, side, seq, r - 1 FROM f WHERE r <= 30) x""")
+def log_window_by_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbourhoods of a few instants in a log of three batches, before, in and after it, by the log's zone map."""
+    e = inputs.events(spark, sf_dir).select("us", "channel", "seq")
+    log, state, zones = (_folder(spark, n) for n in ("log", "cursors", "zones"))
+    for k in range(2):
+        incremental.index_batch(e.where(F.col("us") < 1_704_067_200_000_000 + (k + 1) * 12 * 86_400_000_000), log, state, k, default_us=0)
+    api.log_window(spark, log, zones, _CENTERS[2])  # the zones of what there is so far
+    incremental.index_batch(e, log, state, 2, default_us=0)
+    out = None
+    for center in _CENTERS:
+        rows = api.log_window(spark, log, zones, center, 40, 30).select(F.lit(center).alias("center"), "side", "seq", "index", "before_available", "after_available")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # Fallbacks
 
 @query(f"""WITH {_EV} SELECT seq, CASE seq % 3 WHEN 0 THEN us + 5 WHEN 1 THEN us - us % 1000000 ELSE us - us % 1000000 + 1000000 END AS cutoff FROM ev""")
