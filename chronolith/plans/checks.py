@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chronolith.functions import time
 from chronolith.operators import api, generate, ingest, intervals, opportunities, pairs, themes, validate
+from chronolith.operators.order import positions
 from chronolith.operators.pairs import EVENT, PAIR, THREAD
 from chronolith.plans import inputs
 from chronolith.plans.registered import query
@@ -68,6 +69,19 @@ def event_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.event_log(spark, _event_files(spark, sf_dir), pattern="*.txt").select("us", "channel", "text", "ts_iso")
 
 
+@query(f"""WITH {_EV}, f AS (SELECT seq, channel, us - us % 86400000000 AS day, row_number() OVER (PARTITION BY channel ORDER BY seq) AS line_no FROM ev)
+SELECT seq, 'folder=' || channel AS folder, line_no, day, row_number() OVER (ORDER BY day, channel, line_no) - 1 AS pos FROM f""")
+def event_log_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of a log's scan by instant, file and line: one file a channel, and all events of a day at one instant."""
+    e = inputs.events(spark, sf_dir)
+    day = F.col("us") - F.col("us") % 86_400_000_000
+    line = F.concat(F.lit('{"text": "'), F.col("seq").cast("string"), F.lit('", "ts": '), (day / 1_000_000).cast("decimal(20,6)").cast("string"), F.lit("}"))
+    path = _folder(spark, "event-order")
+    e.select(F.col("channel").alias("folder"), "seq", line.alias("value")).repartition("folder").sortWithinPartitions("folder", "seq").select("folder", "value").write.partitionBy("folder").text(path)
+    rows = positions(readers.event_log(spark, path, pattern="*.txt"), "us", ["path", "line_no"])
+    return rows.select(F.col("text").cast("long").alias("seq"), F.col("channel").alias("folder"), "line_no", F.col("us").alias("day"), "pos")
+
+
 @query("SELECT CASE event_id % 10 WHEN 7 THEN 'malformed' WHEN 8 THEN 'not an object' ELSE 'no instant' END AS reason, count(*) AS n FROM events WHERE event_id % 10 > 6 GROUP BY 1")
 def event_log_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.skipped(spark, _event_files(spark, sf_dir), pattern="*.txt").groupBy("reason").agg(F.count("*").alias("n"))
