@@ -19,8 +19,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -31,8 +29,8 @@ from chronolith.llm import bpe, common
 UNIT = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 #: What the second tokenizer writes for a space: a text that holds it can't be told from one with spaces.
 SPACE = "▁"
-#: A chunk ends with the batch that brings it to so many characters or distinct units.
-CHUNK_CHARS, CHUNK_UNITS = 28_000_000, 800_000
+#: Distinct units that are encoded at once.
+AT_ONCE = 20_000
 
 
 @lru_cache(maxsize=2)
@@ -86,75 +84,63 @@ def encode_first(found: list[str], path: str | None = None) -> list[list[int]]:
 
 def encode_second(found: list[str], path: str | None = None) -> list[list[int]]:
     """The tokenizer puts a space before what it encodes: units bring it along, or it is taken off again."""
-    out = second_tokenizer(path).encode([u[1:] if u[0] == " " else u for u in found], num_threads=1)
-    return [ids if u[0] == " " else ids[1:] for u, ids in zip(found, out, strict=True)]
-
-
-#: Rows of the split corpus beside the documents' row: of each chunk its units (unit, n, at: their number), the places of
-#: all its texts (packed) and its texts (at: their number, row).
-SPLIT = "chunk string, at long, unit string, n long, packed binary"
-
+    t = second_tokenizer(path)
+    out = t.encode([u[1:] if u[0] == " " else u for u in found], num_threads=1)
+    # It puts none before nothing: a space at a text's end is one by itself.
+    return [([t.piece_to_id(SPACE)] if u == " " else ids) if u[0] == " " else ids[1:] for u, ids in zip(found, out, strict=True)]
 
-def split(documents: DataFrame, path: str | None) -> DataFrame:
-    """documents (row, text) as chunks: SPLIT and row."""
-    schema = StructType([*StructType.fromDDL(SPLIT).fields, StructField("row", documents.schema["row"].dataType)])
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, texts, rows, size, ended = {}, [], [], 0, 0
+def packed_counts(found: list[bytes], many: np.ndarray) -> bytes:
+    first = bpe.packed_words(found)
+    return len(first).to_bytes(4, "little") + first + many.astype("<i8").tobytes()
 
-        def made() -> Iterator[pa.RecordBatch]:
-            chunk = f"{TaskContext.get().partitionId()}-{ended}"
-            number, often = bpe.ranked(texts, len(index))
-            many = np.bincount(np.concatenate([np.zeros(0, np.int64), *texts]), minlength=len(index))
-            order = np.argsort(number)
-            found = pa.array(list(index), pa.string()).take(pa.array(order))
-            table = pa.table({"chunk": pa.array([chunk] * len(found), pa.string()), "at": pa.array(range(len(found)), pa.int64()), "unit": found, "n": pa.array(many[order], pa.int64())})
-            yield from whole(table)
-            yield from whole(pa.table({"chunk": [chunk], "packed": pa.array([bpe.packed_places([number[t] for t in texts], often, often)], pa.binary())}))
-            yield from whole(pa.table({"chunk": pa.array([chunk] * len(texts), pa.string()), "at": pa.array(range(len(texts)), pa.int64()), "row": pa.chunked_array(rows)}))
-
-        def whole(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            for name, kind in zip(schema.names, kinds, strict=True):
-                if name not in table.column_names:
-                    table = table.append_column(name, pa.nulls(table.num_rows, kind))
-            yield from table.select(schema.names).combine_chunks().to_batches(65_536)
-
-        kinds: list = []
-        for batch in batches:
-            kinds = kinds or [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), batch.schema.field("row").type]
-            rows.append(batch.column("row"))
-            for t in common.texts_of(batch):
-                texts.append(np.fromiter((index.setdefault(u, len(index)) for u in units(t, path)), np.int32))
-                size += len(t)
-            if size >= CHUNK_CHARS or len(index) >= CHUNK_UNITS:
-                yield from made()
-                index, texts, rows, size, ended = {}, [], [], 0, ended + 1
-        if texts:
-            yield from made()
 
-    return common.arrow_batches(documents.select("row", "text"), schema, each)
+def unpacked_counts(b: bytes) -> tuple[list[bytes], list[int]]:
+    end = 4 + int.from_bytes(b[:4], "little")
+    return bpe.unpacked_words(b[4:end]), np.frombuffer(b, "<i8", offset=end).tolist()
 
 
 TOKENS = "array<struct<id: int, len: int>>"
 
 
-def encoded(table: DataFrame, first: str | None, second: str | None) -> DataFrame:
-    """table (unit, n) with u, its number, and the tokens a and b with their lengths in bytes."""
+def distinct(lists: DataFrame, first: str | None, second: str | None, parts: int) -> DataFrame:
+    """part, unit, n (its occurrences) and its tokens a and b with their lengths in bytes, of the chunks' lists (part, packed).
+    A task holds the distinct units of one range, however many chunks have them."""
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = batch.column("unit").to_pylist()
-        columns = []
+    def tokens(part: int, of: list[tuple[bytes, int]]) -> pa.RecordBatch:
+        found = [u.decode() for u, _ in of]
+        columns = [pa.array([part] * len(of), pa.int32()), pa.array(found, pa.string()), pa.array([n for _, n in of], pa.int64())]
         for ids, piece in ((encode_first(found, first), bpe.pieces(first)), (encode_second(found, second), second_pieces(second))):
-            for u, some in zip(found, ids, strict=True):
-                if b"".join([piece[i] for i in some]) != u.encode():
+            for (u, _), some in zip(of, ids, strict=True):
+                if b"".join([piece[i] for i in some]) != u:
                     raise ValueError(f"the tokens of {u!r} do not hold its bytes")
             flat = np.fromiter((i for some in ids for i in some), np.int32)
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             size = np.fromiter(map(len, piece), np.int32)[flat]
             columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(flat), pa.array(size)], names=["id", "len"])))
-        return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["unit", "n", "a", "b"])
+        return pa.RecordBatch.from_arrays(columns, names=["part", "unit", "n", "a", "b"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: dict[bytes, int] = {}
+        now = None
+
+        def made() -> Iterator[pa.RecordBatch]:
+            held = list(of.items())
+            of.clear()
+            for k in range(0, len(held), AT_ONCE):
+                yield tokens(now, held[k : k + AT_ONCE])
 
-    rows = common.arrow_map(table.select("unit", "n"), f"unit string, n long, a {TOKENS}, b {TOKENS}", each)
+        for batch in batches:
+            for part, b in zip(batch.column("part").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if part != now:
+                    yield from made()
+                    now = part
+                for u, n in zip(*unpacked_counts(b), strict=True):
+                    of[u] = of.get(u, 0) + n
+        yield from made()
+
+    dealt = lists.select("part", "packed").repartition(parts, "part").sortWithinPartitions("part")
+    rows = common.arrow_batches(dealt, f"part int, unit string, n long, a {TOKENS}, b {TOKENS}", each)
     return common.written(rows.withColumn("u", F.monotonically_increasing_id()), "align-units")
 
 
@@ -197,9 +183,47 @@ def pair_counts(units_aligned: DataFrame) -> DataFrame:
     return counts.join(most, "b").select("a", "b", "count", (F.col("count") == F.col("most")).alias("best"))
 
 
+#: What a chunk gets of each of its units beside the groups' text, and what a text gets of all of its units.
+VALUES = ("n_a", "n_b", "n_groups", "n_best", "count_sum")
 RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def handed_back(lists: DataFrame, by_unit: DataFrame, sums: DataFrame, parts: int) -> DataFrame:
+    """chunk, part and packed for each of the chunks' lists: of each of its units, in order, the groups' text and VALUES, from
+    rows by_unit (part, u, unit, n_a, n_b, groups) and sums (part, u, n_groups, n_best, count_sum)."""
+    rows = sums.withColumn("kind", F.lit(0)).unionByName(by_unit.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    rows = rows.unionByName(lists.withColumn("kind", F.lit(2)), allowMissingColumns=True)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, numbers, of = None, {}, {}
+        for batch in batches:
+            out: list[tuple] = []
+            columns = ("part", "kind", "u", "unit", "groups", "n_a", "n_b", "n_groups", "n_best", "count_sum", "chunk", "packed")
+            for part, kind, u, unit, groups, n_a, n_b, n_groups, n_best, count_sum, chunk, packed in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                if part != now:
+                    now, numbers, of = part, {}, {}
+                if kind == 0:
+                    numbers[u] = (n_groups, n_best, count_sum)
+                elif kind == 1:
+                    of[unit.encode()] = (groups.encode(), n_a, n_b, *numbers.pop(u))
+                else:
+                    found = [of[w] for w in unpacked_counts(packed)[0]]
+                    values = np.array([f[1:] for f in found], "<i8").reshape(-1, len(VALUES)).T
+                    out.append((chunk, part, bpe._shut(len(found).to_bytes(4, "little") + values.tobytes() + b"\n".join([f[0] for f in found]))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], names=["chunk", "part", "packed"])
+
+    dealt = rows.repartition(parts, "part").sortWithinPartitions("part", "kind")
+    return common.arrow_batches(dealt, "chunk string, part int, packed binary", each)
+
+
+def unpacked_results(b: bytes) -> tuple[list[bytes], np.ndarray]:
+    raw = bpe._open(b)
+    n = int.from_bytes(raw[:4], "little")
+    end = 4 + 8 * len(VALUES) * n
+    return raw[end:].split(b"\n"), np.frombuffer(raw[4:end], "<i8").reshape(len(VALUES), n).T
+
+
 def compared(documents: DataFrame, first: str | None = None, second: str | None = None, keep_groups: bool = False) -> DataFrame:
     """documents but for text with n_a, n_b (tokens), n_groups, n_links, n_best, count_sum (long), groups_sha256 and, with
     keep_groups, groups: its text. first and second name the tokenizers' files.
@@ -209,41 +233,56 @@ def compared(documents: DataFrame, first: str | None = None, second: str | None
     an empty table gives no rows. Columns of the names above are replaced, others pass through, whatever their names.
     """
     spark = documents.sparkSession
+    parts = common.partitions(spark)
     added = StructType.fromDDL(RESULT + ", groups string" * keep_groups)
     kept = [c for c in documents.columns if c.lower() not in {"text", "groups", *(n.lower() for n in added.names)}]
     # Other columns travel as one, so that none of them can have a name that is used here.
     rows = documents.select(F.struct(*([F.col(f"`{c}`") for c in kept] or [F.lit(0)])).alias("row"), "text")
-    corpus = common.written(split(rows, second), "align-split")
-    found = corpus.where("unit IS NOT NULL").select("chunk", "at", "unit", "n")
-    # A chunk gives a unit once: adding up before the shuffle would only cost.
-    table = encoded(found.select("unit", "n").repartition("unit").groupBy("unit").agg(F.sum("n").alias("n")), first, second)
-    by_unit = _co_partitioned(spark, lambda: aligned(table), "align-groups").join(table.select("u", "unit", "n"), "u")
-    by_unit = common.written(by_unit, "align-aligned")
+    corpus = common.written(bpe.split(rows, None, parts, lambda t: units(t, second), packed_counts), "align-split")
+    lists = corpus.where("part >= 0").select("chunk", "part", "packed")
+    table = distinct(lists, first, second, parts)
+    by_unit = _co_partitioned(spark, lambda: aligned(table).join(table.select("u", "part", "unit", "n").repartition(parts, "u"), "u"), "align-aligned")
     pairs = pair_counts(by_unit)
-    sums = by_unit.select("u", F.explode("links").alias("l")).select("u", "l.a", "l.b").join(F.broadcast(pairs), ["a", "b"])
-    sums = sums.groupBy("u").agg(F.count("*").alias("n_links"), F.sum(F.col("best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
-    results = by_unit.drop("n", "links").join(sums, "u").drop("u")
-    back = found.select("chunk", "at", "unit").join(results, "unit").drop("unit")
-    names = ["n_a", "n_b", "n_links", "n_best", "count_sum"]
-
-    def each(texts: pa.Table, of_units: pa.Table) -> pa.Table:
-        of_units = of_units.sort_by("at")
-        values = np.column_stack([of_units.column(c).to_numpy() for c in names]).reshape(-1, len(names))
-        shown = [s.encode() for s in of_units.column("groups").to_pylist()]
-        packed = texts.filter(pc.is_valid(texts.column("packed"))).column("packed")[0].as_py()
-        texts = texts.filter(pc.is_null(texts.column("packed"))).sort_by("place")
-        sums, digests, strings = [], [], []
-        for places in bpe.unpacked_places(packed):
-            sums.append(values[places].sum(0))
-            joined = b";".join([shown[i] for i in places.tolist()])
-            digests.append(hashlib.sha256(joined).hexdigest() if joined else "")
-            if keep_groups:
-                strings.append(joined.decode())
-        n = np.array(sums, np.int64).reshape(-1, len(names))
-        columns = [pa.array(n[:, i]) for i in (0, 1, 2, 2, 3, 4)] + [pa.array(digests, pa.string())] + ([pa.array(strings, pa.string())] if keep_groups else [])
-        return pa.table([texts.column("row"), *columns], names=["row", *added.names])
-
-    left = corpus.where("unit IS NULL").select(F.col("chunk").alias("of"), F.col("at").alias("place"), "packed", "row")
-    schema = StructType([StructField("row", rows.schema["row"].dataType), *added.fields])
-    out = left.groupBy("of").cogroup(back.groupBy("chunk")).applyInArrow(each, schema)
+    sums = by_unit.select("part", "u", F.explode("links").alias("l")).select("part", "u", "l.a", "l.b").join(F.broadcast(pairs), ["a", "b"])
+    sums = sums.groupBy("part", "u").agg(F.count("*").alias("n_groups"), F.sum(F.col("best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
+    back = handed_back(lists, by_unit.drop("n", "links"), sums, parts)
+    both = corpus.where("part IS NULL OR part < 0").unionByName(back, allowMissingColumns=True)
+    both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last(), "at")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, order, held, shown, values, places = None, None, [], None, None, []
+        for batch in batches:
+            keep, sums, digests, strings = [], [], [], []
+            for k, (chunk, part, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("chunk", "part", "packed")), strict=True)):
+                if chunk != now:
+                    now, held, shown = chunk, [], None
+                if part is not None:
+                    if part < 0:
+                        order = np.argsort(bpe._numbers(bpe._open(packed)), kind="stable")  # the units by part, as they were sent
+                    else:
+                        held.append(unpacked_results(packed))
+                    continue
+                if shown is None:  # the chunk's units are complete
+                    values = np.zeros((len(order), len(VALUES)), np.int64)
+                    shown = [b""] * len(order)
+                    if held:
+                        values[order] = np.concatenate([v for _, v in held])
+                        for i, s in zip(order.tolist(), (s for some, _ in held for s in some), strict=True):
+                            shown[i] = s
+                    held = []
+                if packed is not None:
+                    places = bpe.unpacked_places(packed)[::-1]
+                at = places.pop()
+                sums.append(values[at].sum(0))
+                joined = b";".join([shown[i] for i in at.tolist()])
+                digests.append(hashlib.sha256(joined).hexdigest() if joined else "")
+                if keep_groups:
+                    strings.append(joined.decode())
+                keep.append(k)
+            if keep:
+                n = np.array(sums, np.int64).reshape(-1, len(VALUES))
+                columns = [pa.array(n[:, i]) for i in (0, 1, 2, 2, 3, 4)] + [pa.array(digests, pa.string())] + ([pa.array(strings, pa.string())] if keep_groups else [])
+                yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(keep)), *columns], names=["row", *added.names])
+
+    out = common.arrow_batches(both, StructType([StructField("row", rows.schema["row"].dataType), *added.fields]), each)
     return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *added.names)
