@@ -6,16 +6,20 @@ import json
 import os
 import subprocess
 import tempfile
+import threading
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chronolith.functions import text as words
-from chronolith.sources.sinks import stored
+from chronolith.sources import files
+from chronolith.sources.sinks import shared_folder, stored
 
 Generator = Callable[[str], str]
 RESULT = "output string, status string, error string"
@@ -52,25 +56,87 @@ def todo(items: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
     return items.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def run(rows: DataFrame, generator: Generator, jobs: int | None = None, name: str = "prompt") -> DataFrame:
+def run(rows: DataFrame, generator: Generator, jobs: int | None = None, name: str = "prompt", stop: bool = False) -> DataFrame:
     """rows with output, status (ok or failed) and error, each prompt given to the generator once a row. jobs spreads the
-    calls over so many tasks. Whoever reads the result twice should read it stored."""
+    calls over so many tasks; with stop a task makes no call after one that failed, and returns the rows up to it. Whoever
+    reads the result twice should read it stored."""
     kept = rows.drop("output", "status", "error")
     schema = StructType([*kept.schema.fields, *StructType.fromDDL(RESULT).fields])
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        failed = False
         for frame in frames:
             out = []
             for prompt in frame[name]:
+                if failed and stop:
+                    break
                 try:
                     out.append((generator(prompt), "ok", None))
                 except Exception as e:
                     out.append((None, "failed", f"{type(e).__name__}: {e}"))
+                    failed = True
+            frame = frame.iloc[: len(out)]
             yield frame.assign(**{k: pd.Series([o[i] for o in out], index=frame.index, dtype=object) for i, k in enumerate(("output", "status", "error"))})
 
     return (kept.repartition(jobs) if jobs else kept).mapInPandas(each, schema)
 
 
+def results(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What has been committed at path so far: a row for each call that came to its end."""
+    found = [f"{path}/{n}" for n in files.names(spark, path) if n.startswith("chunk=") and "_SUCCESS" in files.names(spark, f"{path}/{n}")]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def resumed(rows: DataFrame, generator: Generator, path: str, *keys: str, chunk: int = 16, jobs: int = 4, keep_going: bool = False, name: str = "prompt") -> DataFrame:
+    """The results (rows with output) of all rows, each key called until it has one; calls that came to their end in an earlier
+    try, at path, aren't made again.
+
+    Rows are dealt into chunks of about so many, jobs of them are worked on at a time, and each is committed as it ends: a
+    task that is lost repeats the calls of its own chunk. A call that fails ends its chunk, stops all others by their tag
+    and is an error, unless keep_going; what had been committed stays. Failed calls are kept too, and are made again by
+    the next try."""
+    if chunk <= 0 or jobs <= 0:
+        raise ValueError("chunk and jobs must be positive")
+    spark = rows.sparkSession
+    schema = StructType([*rows.drop("output", "status", "error").schema.fields, *StructType.fromDDL(RESULT).fields])
+    done = results(spark, path, schema).where("status = 'ok'")
+    left = todo(rows.select(*(c for c in schema.names if c in rows.columns)), done, *keys)
+    size = left.count()
+    folder, number = f"{shared_folder(spark)}/calls-{uuid.uuid4().hex}", -(-size // chunk)
+    if size:
+        dealt = left.withColumn("_chunk", F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int"))
+        dealt.repartition("_chunk").write.partitionBy("_chunk").parquet(folder)
+    tag, stop, context = f"calls-{uuid.uuid4().hex}", threading.Event(), spark.sparkContext
+
+    def one(at: str) -> str | None:
+        if stop.is_set():
+            return None
+        context.addJobTag(tag)
+        try:
+            part = spark.read.schema(left.schema).parquet(f"{folder}/{at}").coalesce(1)
+            to = f"{path}/chunk={uuid.uuid4().hex}"
+            run(part, generator, name=name, stop=not keep_going).write.parquet(to)
+            bad = None if keep_going else spark.read.schema(schema).parquet(to).where("status <> 'ok'").select("error").first()
+            if bad:
+                stop.set()
+                context.cancelJobsWithTag(tag)
+                return bad.error
+        except Exception:
+            if not stop.is_set():  # else it was stopped
+                stop.set()
+                context.cancelJobsWithTag(tag)
+                raise
+        finally:
+            context.removeJobTag(tag)
+        return None
+
+    with ThreadPoolExecutor(jobs) as pool:
+        errors = [e for e in pool.map(one, [n for n in files.names(spark, folder) if n.startswith("_chunk=")] if size else []) if e]
+    if errors:
+        raise RuntimeError(f"a call failed: {errors[0]}")
+    return results(spark, path, schema).where("status = 'ok'")
+
+
 def run_batches(rows: DataFrame, generator: Generator, text: str, key: str, order: str) -> DataFrame:
     """One call for each group of key (batches of a fixed size): the group's rows, in order, as JSON in the template's {rows};
     key, output, status and error."""

@@ -513,3 +513,22 @@ def previewed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What would be asked, without a call."""
     o = inputs.table(spark, sf_dir, "orders")
     return generate.preview(generate.prompts(o, "order {k}", k="o_orderkey"), size=8).select("o_orderkey", "prompt")
+
+
+def _failing(prompt: str) -> str:
+    if prompt.endswith("42"):
+        raise ValueError("not yet")
+    return prompt.upper()
+
+
+@query("SELECT c_custkey, 'CUSTOMER ' || c_custkey AS output, 1 AS calls FROM customer")
+def calls_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls that stop at a failure, and go on in a second try: each row has one result, and one call that gave it."""
+    rows = inputs.table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("customer "), F.col("c_custkey").cast("string")).alias("prompt"))
+    path, size = _folder(spark, "resumed"), max(1, rows.count() // 8)
+    try:
+        generate.resumed(rows, _failing, path, "c_custkey", chunk=size)
+    except RuntimeError:
+        pass
+    out = generate.resumed(rows, str.upper, path, "c_custkey", chunk=size)
+    return out.groupBy("c_custkey", "output").agg(F.count("*").cast("int").alias("calls"))
