@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
@@ -87,6 +87,29 @@ def event_log_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.skipped(spark, _event_files(spark, sf_dir), pattern="*.txt").groupBy("reason").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT unnest(['lines', 'malformed', 'not an object', 'no instant', 'kept']) AS counted,
+  unnest([count(*), count(*) FILTER (event_id % 10 = 7), count(*) FILTER (event_id % 10 = 8), count(*) FILTER (event_id % 10 = 9), count(*) FILTER (event_id % 10 < 7)]) AS n FROM events""")
+def event_log_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a log's scan keeps and leaves out, counted by the pass that writes the events."""
+    observed = Observation()
+    rows = readers.event_log(spark, _event_files(spark, sf_dir), recursive=True, pattern="*.txt", numbered=False, observed=observed)
+    kept = sinks.stored(rows, "observed").count()
+    return spark.createDataFrame([*observed.get.items(), ("kept", kept)], "counted string, n long")
+
+
+@query("SELECT event_id % 7 = 0 AS hidden, event_type AS channel, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS seqs FROM events WHERE event_id % 10 < 7 AND event_id % 7 <> 0 GROUP BY 1, 2")
+def event_log_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log at several depths, parts of it in a hidden folder, by the reader that keeps what it can."""
+    e = inputs.events(spark, sf_dir)
+    line = F.when(F.col("seq") % 10 == 7, "{bad").when(F.col("seq") % 10 == 8, "[1]").otherwise(F.concat(F.lit('{"text": "'), F.col("seq").cast("string"), F.lit('"'), F.when(F.col("seq") % 10 == 9, "").otherwise(F.concat(F.lit(', "connector": "'), F.col("channel"), F.lit('", "ts": '), (F.col("us") / 1_000_000).cast("decimal(20,6)").cast("string"))), F.lit("}")))
+    path = _folder(spark, "event-depths")
+    for at, some in (("a", "seq % 7 = 1"), ("b/c", "seq % 7 > 1"), (".d", "seq % 7 = 0")):
+        e.where(some).select(line.alias("value")).write.text(f"{path}/{at}")
+    rows = readers.event_log(spark, path, recursive=True, pattern="*.txt")
+    seq = F.col("text").cast("long")
+    return rows.groupBy((seq % 7 == 0).alias("hidden"), "channel").agg(F.count("*").alias("n"), F.sum(seq).alias("seqs"))
+
+
 @query("SELECT c_nationkey AS nation, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS position FROM customer")
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One indented JSON array a file, read whole, a row for each member."""
@@ -158,7 +181,7 @@ def table_after_a_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(versions.read(spark, path), "kept").unionByName(found(first, "older"))
 
 
-@query(f"WITH {_EV} SELECT channel, strftime(make_timestamp(us) AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d') AS local_day, count(*) AS n, sum(seq) AS seqs, 1 AS folders FROM ev GROUP BY 1, 2")
+@query(f"WITH {_EV} SELECT channel, strftime(make_timestamp(us) AT TIME ZONE 'UTC' AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d') AS local_day, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs, 1 AS folders FROM ev GROUP BY 1, 2")
 def shards_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four batches of the log, brought together in one part; then one of them is replayed, which changes nothing."""
     e = inputs.events(spark, sf_dir).select("us", "channel", "seq")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolith.functions import text as words
@@ -41,10 +41,17 @@ def parsed(value: Column, where: Column) -> Column:
     return F.when(doc.isNull(), F.raise_error(F.concat(F.lit("malformed JSON in "), where)).cast("variant")).otherwise(doc)
 
 
-def json_lines(spark: SparkSession, path: str, fail: bool = True, **options) -> DataFrame:
+def unnumbered_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", recursive: bool = False) -> DataFrame:
+    """path and value of every line that isn't blank, line_no null: the files are read once, as nothing is counted first."""
+    rows = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).text(path)
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.lit(None).cast("long").alias("line_no"), F.explode(F.split("value", LINE)).alias("value"))
+    return rows.where(F.trim("value") != "").select("path", "line_no", F.trim("value").alias("value"))
+
+
+def json_lines(spark: SparkSession, path: str, fail: bool = True, numbered: bool = True, **options) -> DataFrame:
     """Lines as variants; a malformed one is an error, or with fail=False its row is kept with doc null."""
-    where = F.concat(F.col("path"), F.lit(", line "), F.col("line_no").cast("string"))
-    return lines(spark, path, **options).withColumn("doc", parsed(F.col("value"), where) if fail else F.try_parse_json("value"))
+    where = F.concat(F.col("path"), F.lit(", line "), F.coalesce(F.col("line_no").cast("string"), F.lit("unknown")))
+    return (lines if numbered else unnumbered_lines)(spark, path, **options).withColumn("doc", parsed(F.col("value"), where) if fail else F.try_parse_json("value"))
 
 
 def is_object(doc: Column) -> Column:
@@ -77,30 +84,46 @@ def rows_with_index(spark: SparkSession, path: str, **options) -> DataFrame:
     return rows.withColumn("interval_index", F.coalesce(F.try_variant_get("doc", "$.interval_index", "bigint"), F.col("line_no")))
 
 
-def event_log(spark: SparkSession, path: str, recursive: bool = False, text_stamps: bool = True, pattern: str = "*.jsonl") -> DataFrame:
+#: Why lines are left out of a log.
+REASONS = ("malformed", "not an object", "no instant")
+
+
+def judged(rows: DataFrame, recursive: bool, text_stamps: bool = True) -> DataFrame:
+    """rows (doc) with us and reason: why the line is no event, null if it is one."""
+    stamp = string(F.col("doc"), "$.ts_iso" if recursive else "$.ts")
+    us = time.parse_event(number(F.col("doc"), "$.ts"), stamp) if recursive else time.parse_window_end(number(F.col("doc"), "$.ts"), stamp if text_stamps else F.lit(None).cast("string"))
+    rows = rows.withColumn("us", F.when(F.col("doc").isNotNull() & is_object(F.col("doc")), us))
+    return rows.withColumn("reason", F.when(F.col("doc").isNull(), REASONS[0]).when(~is_object(F.col("doc")), REASONS[1]).when(F.col("us").isNull(), REASONS[2]))
+
+
+def counts_of(reason: Column) -> list[Column]:
+    """How many lines there are, and by reason how many are left out, as metrics that a pass over the rows can observe."""
+    return [F.count(F.lit(1)).alias("lines"), *(F.count_if(F.coalesce(reason == r, F.lit(False))).alias(r) for r in REASONS)]
+
+
+def event_log(spark: SparkSession, path: str, recursive: bool = False, text_stamps: bool = True, pattern: str = "*.jsonl", numbered: bool = True, observed: Observation | None = None) -> DataFrame:
     """The sharded event log: us, ts_iso, channel, text, path, line_no and seq-free total order (us, path, line_no).
 
     Two levels deep, or at any depth with recursive. Hidden folders, malformed lines, other values than objects and rows
-    without an instant are skipped. channel falls back to the folder's name, text to a text of the payload.
+    without an instant are skipped; observed holds counts_of them as soon as the rows have been read, from the same pass.
+    channel falls back to the folder's name, text to a text of the payload. Without numbers files are read once.
     """
     where = path if recursive else f"{path}/*/{pattern}"
-    rows = json_lines(spark, where, fail=False, recursive=recursive, pattern=pattern).where(F.col("doc").isNotNull() & is_object(F.col("doc")))
-    rows = rows.where(~F.col("path").rlike(r"/\.[^/]+/"))
+    rows = json_lines(spark, where, fail=False, numbered=numbered, recursive=recursive, pattern=pattern).where(~F.col("path").rlike(r"/\.[^/]+/"))
+    rows = judged(rows, recursive, text_stamps)
+    if observed is not None:
+        rows = rows.observe(observed, *counts_of(F.col("reason")))
+    rows = rows.where("reason IS NULL")
     folder = F.element_at(F.split("path", "/"), -2)
-    stamp = string(F.col("doc"), "$.ts_iso" if recursive else "$.ts")
-    us = time.parse_event(number(F.col("doc"), "$.ts"), stamp) if recursive else time.parse_window_end(number(F.col("doc"), "$.ts"), stamp if text_stamps else F.lit(None).cast("string"))
     fallback = F.coalesce(words.json_text(F.try_variant_get("doc", "$.source", "variant"), "summary", "dense_caption", "title", "subject"), F.lit(""))
-    rows = rows.select("path", "line_no", us.alias("us"), words.first_text(string(F.col("doc"), "$.channel"), string(F.col("doc"), "$.connector"), default=folder).alias("channel"), words.first_text(string(F.col("doc"), "$.text"), default=fallback).alias("text"), string(F.col("doc"), "$.ts_iso").alias("ts_iso"))
-    rows = rows.where("us IS NOT NULL")
+    rows = rows.select("path", "line_no", "us", words.first_text(string(F.col("doc"), "$.channel"), string(F.col("doc"), "$.connector"), default=folder).alias("channel"), words.first_text(string(F.col("doc"), "$.text"), default=fallback).alias("text"), string(F.col("doc"), "$.ts_iso").alias("ts_iso"))
     return rows.withColumn("ts_iso", words.first_text(F.col("ts_iso"), default=time.iso_short(F.col("us"))))
 
 
 def skipped(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """path, line_no and reason of the lines that event_log(recursive=True) skips."""
-    rows = json_lines(spark, path, fail=False, recursive=True, pattern=pattern)
-    us = time.parse_event(number(F.col("doc"), "$.ts"), string(F.col("doc"), "$.ts_iso"))
-    reason = F.when(F.col("doc").isNull(), "malformed").when(~is_object(F.col("doc")), "not an object").when(us.isNull(), "no instant")
-    return rows.select("path", "line_no", reason.alias("reason")).where("reason IS NOT NULL")
+    rows = judged(json_lines(spark, path, fail=False, recursive=True, pattern=pattern), recursive=True)
+    return rows.select("path", "line_no", "reason").where("reason IS NOT NULL")
 
 
 def documents(spark: SparkSession, path: str, pattern: str = "*.json", kind: str | None = None) -> DataFrame:

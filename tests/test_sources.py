@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
@@ -93,3 +94,14 @@ def test_sinks(spark, tmp_path):
     assert list(json.loads(line)) == ["channel", "text", "us"]
     assert [r[0] for r in spark.read.text(sinks.text_lines(events, "text", f"{tmp_path}/txt", "us")).collect()] == ["a", "b"]
     assert time.LOCAL_ZONE
+
+
+def test_what_is_left_out_is_counted_by_the_same_pass(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.jsonl").write_text('{"ts": 1, "text": "x"}\n{bad\n[1]\n\n{"text": "no ts"}\n{"ts": 2}\n"text"\n')
+    observed = Observation()
+    rows = readers.event_log(spark, str(tmp_path), recursive=True, numbered=False, observed=observed)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert sorted(r.us for r in rows.collect()) == [1_000_000, 2_000_000]
+    assert observed.get == {"lines": 6, "malformed": 1, "not an object": 2, "no instant": 1}
