@@ -15,7 +15,7 @@ from chronolith.operators.pairs import EVENT, PAIR, THREAD
 from chronolith.plans import inputs
 from chronolith.plans.registered import query
 from chronolith.sources import readers, sinks, versions
-from chronolith.streaming import incremental
+from chronolith.streaming import incremental, tail
 
 _EV = "ev AS (SELECT epoch_us(ts) AS us, event_type AS channel, event_id AS seq, props, user_id, value FROM events)"
 _UTC_SHORT = "strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S')"
@@ -272,6 +272,28 @@ def capped_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.read(spark, shards).groupBy("channel").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {_EV}
+SELECT channel, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs, 'shards' AS found FROM ev WHERE channel <> 'view' OR seq % 11 <> 0 GROUP BY 1
+UNION ALL SELECT channel, count(*), CAST(sum(seq) AS BIGINT), 'late' FROM ev WHERE channel = 'view' AND seq % 11 = 0 AND us < 1705795200000000 GROUP BY 1""")
+def tailed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel logs that grow by files between three triggers of a stream, which is started anew each time; some rows of one
+    channel come two files late. The cursors are the stream's state."""
+    e = inputs.events(spark, sf_dir).withColumn("file", F.when(F.col("us") < 1_704_931_200_000_000, 1).when(F.col("us") < 1_705_795_200_000_000, 2).otherwise(3))
+    held_up = (F.col("channel") == "view") & (F.col("seq") % 11 == 0)
+    e = e.where(~held_up | (F.col("us") < 1_705_795_200_000_000)).withColumn("file", F.when(held_up, 3).otherwise(F.col("file")))
+    line = F.concat(F.lit('{"text": "'), F.col("seq").cast("string"), F.lit('", "timestamp": '), (F.col("us") / 1_000_000).cast("decimal(20,6)").cast("string"), F.lit("}"))
+    rows = sinks.stored(e.select(F.col("channel").alias("folder"), "file", "us", "seq", line.alias("value")), "tailed")
+    log, shards, late, checkpoint = (_folder(spark, n) for n in ("tail", "shards", "late", "state"))
+    for k in (1, 2, 3):
+        rows.where(F.col("file") == k).repartition("folder").sortWithinPartitions("folder", "us", "seq").select("folder", "value").write.mode("append").partitionBy("folder").text(log)
+        tail.index(tail.channel_log(spark, log, pattern="*.txt", cutover_us=0), shards, late, checkpoint, 0).awaitTermination()
+    out = None
+    for found in ("shards", "late"):
+        some = versions.read(spark, shards if found == "shards" else late).groupBy(F.regexp_replace("channel", "folder=", "").alias("channel")).agg(F.count("*").alias("n"), F.sum(F.col("text").cast("long")).alias("seqs")).withColumn("found", F.lit(found))
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
 _CENTERS = (1_703_000_000_000_000, 1_704_070_000_000_000, 1_705_312_800_000_000, 1_706_572_800_000_000, 1_800_000_000_000_000)
 
 
