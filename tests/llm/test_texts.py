@@ -12,7 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, cells, chat, common, merkle, mixing, queries
+from chronolith.llm import bpe, chat, common, jaccard, merkle, mixing, passages, queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -371,3 +371,16 @@ def test_pipeline_stages(spark):
     assert len(last) == kept.count()
     texts = {(r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in kept.collect()}
     assert {(r.doc_id, r.decoded_sha256) for r in last} == texts
+
+
+def test_names_that_are_used_inside_are_kept(spark, library):
+    """Every name that splitting, joining back or numbering rows uses may be a column of the caller's."""
+    names = ["chunk", "part", "at", "packed", "row", "_id", "_hash", "_own", "_row", "_no", "cuts", "id", "n", "item"]
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(i, text, *[i + k for k in range(len(names))]) for i in (1, 2)] + [(2, "other text", *range(len(names)))], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    out = bpe.encode(df, keep_ids=False).collect()
+    assert len(out) == 3 and sorted(tuple(r[n] for n in names) for r in out) == sorted(tuple(r[n] for n in names) for r in df.collect())
+    kept = jaccard.one_of_each(df).collect()
+    assert {r.doc_id: [r[n] for n in names] for r in kept if r.text == text} == {1: [1 + k for k in range(len(names))]} and len(kept) == 2
+    cut = passages.without_repeats(df)
+    assert cut.columns == df.columns and {(r.doc_id, r.text): r.packed for r in cut.collect()} == {(1, text): 4, (2, ""): 5, (2, "other text"): 3}
