@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronolith.functions import time
-from chronolith.operators import api, generate, ingest, intervals, opportunities, pairs, themes, validate
+from chronolith.operators import api, digests, generate, ingest, intervals, opportunities, pairs, themes, validate
 from chronolith.operators.order import positions
 from chronolith.operators.pairs import EVENT, PAIR, THREAD
 from chronolith.plans import inputs
@@ -495,6 +495,15 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.changed(o.where("o_orderkey % 5 <> 0"), after, "o_orderkey")
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 0 THEN 'new' ELSE o_orderstatus END AS status, o_totalprice FROM orders WHERE o_orderkey % 997 = 0 OR o_orderkey % 1999 = 5")
+def changed_rows_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few rows that differ and a few that are new, found by the digests of ranges; those of the older table were kept."""
+    o = inputs.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    after = o.withColumn("status", F.when(F.col("o_orderkey") % 997 == 0, "new").otherwise(F.col("status")))
+    before = o.where("o_orderkey % 1999 <> 5")
+    return digests.changed(before, after, "o_orderkey", known=sinks.stored(digests.leaves(before, "o_orderkey"), "leaves"))
+
+
 @query("""SELECT CAST(o_custkey AS VARCHAR) AS run, o_orderkey FROM orders o WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o_orderstatus = 'O'))""")
 def first_existing_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run's rows in the new layout, else those in the old one."""
