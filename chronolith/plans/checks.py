@@ -294,6 +294,25 @@ def tailed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query(f"""WITH {_EV}, t AS (SELECT channel, seq, us - us % 86400000000 AS us FROM ev), c AS (SELECT channel, max(us) AS us FROM t WHERE seq % 2 = 0 AND us < 1705276800000000 GROUP BY 1),
+m AS (SELECT t.channel, t.us, max(seq) AS seq FROM t JOIN c ON t.channel = c.channel AND t.us = c.us WHERE seq % 2 = 0 GROUP BY 1, 2)
+SELECT t.channel, t.seq, t.us FROM t JOIN m ON t.channel = m.channel WHERE t.us > m.us OR (t.us = m.us AND t.seq > m.seq)""")
+def cursor_among_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is new behind a cursor that stops among many events of one instant: none of those behind it is lost."""
+    e = inputs.events(spark, sf_dir).select("channel", "seq", (F.col("us") - F.col("us") % 86_400_000_000).alias("us"))
+    seen = incremental.cursors(e.where("seq % 2 = 0 AND us < 1705276800000000"))
+    return incremental.split(e, seen)[0].select("channel", "seq", "us")
+
+
+@query(f"""WITH {_EV}, b AS (SELECT min(us) AS lo, max(us) AS hi, greatest(1, CAST(ceil((max(us) - min(us)) / 900000000.0) AS BIGINT)) AS n FROM ev),
+k AS (SELECT channel, least((us - lo) // 900000000, n - 1) AS bucket FROM ev, b)
+SELECT dense_rank() OVER (ORDER BY bucket) - 1 AS interval_index, channel, n FROM (SELECT bucket, channel, count(*) AS n FROM k GROUP BY 1, 2)""")
+def interval_channel_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts by channel that each interval of the activity holds as a map."""
+    rows = intervals.activity(inputs.events(spark, sf_dir))
+    return rows.select("interval_index", F.explode("channel_counts").alias("channel", "n"))
+
+
 _CENTERS = (1_703_000_000_000_000, 1_704_070_000_000_000, 1_705_312_800_000_000, 1_706_572_800_000_000, 1_800_000_000_000_000)
 
 
@@ -399,6 +418,33 @@ def interval_documents_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.interval_documents(rows).select("o_orderkey", F.array_join("violations", ",").alias("violations"))
 
 
+_KINDS = ", ".join(f"'{t}'" for t in (*validate.INTERVAL_TYPES, "nope"))
+
+
+@query(f"""SELECT o_orderkey, ([{_KINDS}])[o_orderkey % {len(validate.INTERVAL_TYPES) + 1} + 1] AS qa_type, """ + _LISTED.format(f"""CASE WHEN o_orderkey % {len(validate.INTERVAL_TYPES) + 1} = {len(validate.INTERVAL_TYPES)} THEN 'qa_type' END,
+  CASE WHEN o_orderkey % 13 > 10 OR (o_orderkey % 13 < 3 AND o_orderkey % {len(validate.INTERVAL_TYPES) + 1} <> {validate.INTERVAL_TYPES.index(validate.SPARSE_TYPES[0])}) THEN 'pair_count' END""") + """ AS violations FROM orders""")
+def interval_types_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of every type and of one that isn't known, of 0 to 12 pairs."""
+    k, kinds = F.col("o_orderkey"), (*validate.INTERVAL_TYPES, "nope")
+    kind = F.element_at(F.array(*(F.lit(t) for t in kinds)), (k % len(kinds) + 1).cast("int"))
+    rows = inputs.table(spark, sf_dir, "orders").select("o_orderkey", kind.alias("qa_type"), F.lit(5).cast("long").alias("cutoff_us"), _context(F.lit(2).cast("long"), F.lit(False)).alias("context"), F.lit(None).cast(f"array<{THREAD}>").alias("threads"), _pairs(k % 13, F.lit(False)).alias("qa_pairs"))
+    return validate.interval_documents(rows).select("o_orderkey", "qa_type", F.array_join("violations", ",").alias("violations"))
+
+
+_SEEDS = ", ".join(f"'{t}'" for t in (*validate.SEED_TYPES, "nope"))
+
+
+@query(f"""WITH d AS (SELECT o_orderkey, ([{_SEEDS}])[o_orderkey % {len(validate.SEED_TYPES) + 1} + 1] AS qa_type FROM orders)
+SELECT o_orderkey, qa_type, """ + _LISTED.format("""CASE WHEN qa_type = 'nope' THEN 'qa_type' END, CASE WHEN CASE WHEN qa_type = 'threaded' THEN o_orderkey % 3 <> 1 ELSE NOT (o_orderkey % 13 BETWEEN 3 AND 10) END THEN 'pair_count' END,
+  CASE WHEN o_orderkey % 4 = 0 AND (qa_type = 'threaded' OR o_orderkey % 13 > 0) THEN 'pair' END""") + """ AS violations FROM d""")
+def seed_types_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of every type and of an unknown one: flat ones of 0 to 12 pairs, threaded ones of two to four threads of three."""
+    k, kinds = F.col("o_orderkey"), (*validate.SEED_TYPES, "nope")
+    kind = F.element_at(F.array(*(F.lit(t) for t in kinds)), (k % len(kinds) + 1).cast("int"))
+    rows = inputs.table(spark, sf_dir, "orders").select("o_orderkey", kind.alias("qa_type"), F.lit(5).cast("long").alias("cutoff_us"), _context(F.lit(2).cast("long"), F.lit(False)).alias("context"), _threads(k % 3 + 2, F.lit(3), F.lit(False), k % 4 == 0).alias("threads"), _pairs(k % 13, k % 4 == 0).alias("qa_pairs"))
+    return validate.seed_documents(rows).select("o_orderkey", "qa_type", F.array_join("violations", ",").alias("violations"))
+
+
 def _threads(count: Column, size: Column, shifted: Column, broken: Column) -> Column:
     """count threads of size pairs, the last numbered one too high where shifted."""
     every = F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chronolith.functions import time
+from chronolith.operators.order import positions
 from chronolith.sources import versions
 
 
@@ -66,7 +67,8 @@ def index_batch(events: DataFrame, shards: str, state: str, batch_id: int, late:
     cursor = cursor_before(spark, state, batch_id)
     fresh, behind = split(events, cursor, default_us)
     if limit is not None:
-        fresh = fresh.orderBy("us", "channel", "seq").limit(limit)
+        names = fresh.columns
+        fresh = positions(fresh, "us", ["channel", "seq"], "_at").where(F.col("_at") < limit).select(*names)
     fresh = fresh.persist()
     try:
         by_day = fresh.withColumn("local_day", time.local_day(F.col("us"), time.LOCAL_ZONE))
