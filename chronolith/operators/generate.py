@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chronolith.functions import text as words
+from chronolith.operators import validate
 from chronolith.sources import files
 from chronolith.sources.sinks import shared_folder, stored
 
@@ -145,6 +146,29 @@ def run_batches(rows: DataFrame, generator: Generator, text: str, key: str, orde
     return run(grouped.select(key, words.fill(text, rows=F.col("rows")).alias("prompt")), generator).drop("prompt")
 
 
+LINKS = "struct<links: array<struct<members: array<bigint>, name: string>>>"
+
+
+def links(themes: DataFrame, generator: Generator, text: str, group: str, key: str) -> DataFrame:
+    """Links between the themes (key, other columns) of each group, by one call for the group: group, position (from 0),
+    members, name and violations. A link needs two members or more, different ones, all of its group's themes; an answer
+    that isn't JSON of LINKS fails its call."""
+    results = published(run_batches(themes, generator, text, group, key))
+    parsed = F.from_json("output", LINKS, {"mode": "PERMISSIVE"})
+    results = results.withColumn("_answer", parsed)
+    shape = F.col("_answer.links").isNotNull()
+    results = results.where(F.when(shape, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("no links in the answer for "), F.col(group).cast("string"))).cast("boolean")))
+    rows = results.select(group, F.posexplode("_answer.links").alias("position", "_link")).select(group, F.col("position").cast("long").alias("position"), "_link.*")
+    # Members are looked up as rows: a group may have any number of themes.
+    known = themes.select(F.col(group), F.col(key).alias("_member"), F.lit(1).alias("_known")).distinct()
+    spread = rows.select(group, "position", F.explode("members").alias("_member")).join(known, [group, "_member"], "left")
+    counted = spread.groupBy(group, "position").agg(F.sum(F.coalesce("_known", F.lit(0))).alias("_there"), F.count_distinct("_member").alias("_apart"))
+    rows = rows.join(counted, [group, "position"], "left")
+    size = F.size("members")
+    checks = (validate.bad(size >= 2, "members"), validate.bad(F.coalesce("_apart", F.lit(0)) == size, "repeated"), validate.bad(F.coalesce("_there", F.lit(0)) == size, "unknown"))
+    return rows.select(group, "position", "members", "name", validate.all_of(*checks).alias("violations"))
+
+
 def published(results: DataFrame, keep_going: bool = False) -> DataFrame:
     """The results if none failed; with keep_going those that didn't. They are stored first: each call is made once, and
     what is returned is what was looked at."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import PySparkException
@@ -632,3 +633,42 @@ def calls_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
         pass
     out = generate.resumed(rows, str.upper, path, "c_custkey", chunk=size)
     return out.groupBy("c_custkey", "output").agg(F.count("*").cast("int").alias("calls"))
+
+
+def _linking(prompt: str) -> str:
+    """Links each theme with the next one; of an owner with five themes or more also the first with one that isn't there, and
+    one with itself."""
+    keys = [t["o_orderkey"] for t in json.loads(prompt.split("\n", 1)[1])]
+    found = [{"members": [a, b], "name": f"{a} to {b}"} for a, b in zip(keys, keys[1:], strict=False)]
+    if len(keys) >= 5:
+        found += [{"members": [keys[0], -1], "name": "odd"}, {"members": [keys[1], keys[1]], "name": "self"}, {"members": [keys[2]], "name": "one"}]
+    return json.dumps({"links": found})
+
+
+@query("""WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER w - 1 AS p, lead(o_orderkey) OVER w AS nxt, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
+SELECT o_custkey, p AS position, o_orderkey || ',' || nxt AS members, o_orderkey || ' to ' || nxt AS name, '' AS violations FROM o WHERE nxt IS NOT NULL
+UNION ALL SELECT o_custkey, n - 1, o_orderkey || ',-1', 'odd', 'unknown' FROM o WHERE p = 0 AND n >= 5
+UNION ALL SELECT o_custkey, n, o_orderkey || ',' || o_orderkey, 'self', 'repeated' FROM o WHERE p = 1 AND n >= 5
+UNION ALL SELECT o_custkey, n + 1, CAST(o_orderkey AS VARCHAR), 'one', 'members' FROM o WHERE p = 2 AND n >= 5""")
+def links_of_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links among each owner's themes by one call, with what is wrong with them."""
+    o = inputs.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderstatus").alias("status"))
+    rows = generate.links(o, _linking, "Link these:\n{rows}", "o_custkey", "o_orderkey")
+    return rows.select("o_custkey", "position", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"), "name", F.array_join("violations", ",").alias("violations"))
+
+
+@query("""WITH k AS (SELECT p_partkey, unnest(['timing', 'value']) AS qa_type FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0),
+s AS (SELECT p_partkey, qa_type, length(CASE qa_type WHEN 'timing' THEN 'When? Seed ' ELSE 'What for? Seed ' END || p_partkey || '.') AS n FROM k WHERE NOT (qa_type = 'value' AND p_partkey % 5 = 0))
+SELECT p_partkey, qa_type, i AS q_id, 'Question ' || i || ' of ' || n || ' characters?' AS question, 'Answer ' || (n + i) || '.' AS answer FROM s, (SELECT unnest([0, 1, 2]) AS i)""")
+def seed_pairs_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds with every type as work, less what has a result already, each by its type's template: three pairs a call."""
+    seeds = inputs.table(spark, sf_dir, "part").where("p_partkey % 3 <> 0 OR p_partkey % 2 = 0").select("p_partkey")
+    work = generate.work_items(seeds, ["timing", "value"])
+    work = generate.todo(work, work.where("qa_type = 'value' AND p_partkey % 5 = 0"), "p_partkey", "qa_type")
+    asked = None
+    for kind, text in (("timing", "When? Seed {k}."), ("value", "What for? Seed {k}.")):
+        some = generate.prompts(work.where(F.col("qa_type") == kind), text, k="p_partkey")
+        asked = some if asked is None else asked.unionByName(some)
+    done = generate.published(generate.run(asked, generate.stub))
+    pairs_ = F.from_json("output", "struct<qa_pairs: array<struct<q_id: bigint, question: string, answer: string>>>")["qa_pairs"]
+    return done.select("p_partkey", "qa_type", F.explode(pairs_).alias("p")).select("p_partkey", "qa_type", "p.*")
