@@ -79,7 +79,8 @@ def event_log_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(F.lit('{"text": "'), F.col("seq").cast("string"), F.lit('", "ts": '), (day / 1_000_000).cast("decimal(20,6)").cast("string"), F.lit("}"))
     path = _folder(spark, "event-order")
     e.select(F.col("channel").alias("folder"), "seq", line.alias("value")).repartition("folder").sortWithinPartitions("folder", "seq").select("folder", "value").write.partitionBy("folder").text(path)
-    rows = positions(readers.event_log(spark, path, pattern="*.txt"), "us", ["path", "line_no"])
+    log = sinks.stored(readers.event_log(spark, path, pattern="*.txt").select("us", "channel", "text", "path", "line_no"), "event-order")
+    rows = positions(log, "us", ["path", "line_no"])
     return rows.select(F.col("text").cast("long").alias("seq"), F.col("channel").alias("folder"), "line_no", F.col("us").alias("day"), "pos")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronolith.functions import text as words
 from chronolith.functions import time
+from chronolith.sources.sinks import stored
 
 #: What ends a line beside line feeds and carriage returns: fixed.
 LINE = "[\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
@@ -14,19 +15,18 @@ LINE = "[\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
 
 def raw_lines(spark: SparkSession, path: str, pattern: str, recursive: bool = False) -> DataFrame:
     """path, name, line_no (from 1) and value of every line. A large file is read in splits: lines are numbered within a
-    split, and the counts of a file's earlier splits are added, so no file needs to fit in a task."""
+    split as they are read, and the counts of a file's earlier splits are added, so no file needs to fit in a task and no
+    line is shuffled or sorted. The files are read once, by this call: the lines are stored with their ids."""
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
     meta = ("file_path", "file_name", "file_block_start")
-    rows = reader.text(path).select(*(F.col(f"_metadata.{m}").alias(m) for m in meta), F.split("value", LINE).alias("parts"))
-    sizes = rows.groupBy("file_path", "file_block_start").agg(F.sum(F.size("parts")).alias("n"))
+    rows = reader.text(path).select(*(F.col(f"_metadata.{m}").alias(m) for m in meta), F.explode(F.split("value", LINE)).alias("value"))
+    # Within a task ids follow the order of reading, and a split is read by one task.
+    rows = stored(rows.withColumn("id", F.monotonically_increasing_id()), "lines")
+    sizes = rows.groupBy("file_path", "file_block_start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
-    sizes = sizes.select(F.col("file_path").alias("_path"), F.col("file_block_start").alias("_start"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    # Within a task ids follow the order of reading.
-    rows = rows.withColumn("id", F.monotonically_increasing_id())
-    earlier = Window.partitionBy("file_path", "file_block_start").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("within", F.coalesce(F.sum(F.size("parts")).over(earlier), F.lit(0)))
-    rows = rows.join(sizes, (F.col("file_path") == F.col("_path")) & (F.col("file_block_start") == F.col("_start")))
-    return rows.select(F.col("file_path").alias("path"), F.col("file_name").alias("name"), "base", "within", F.posexplode("parts").alias("pos", "value")).select("path", "name", (F.col("base") + F.col("within") + F.col("pos") + 1).cast("long").alias("line_no"), "value")
+    sizes = sizes.select("file_path", "file_block_start", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
+    rows = rows.join(F.broadcast(sizes), ["file_path", "file_block_start"])
+    return rows.select(F.col("file_path").alias("path"), F.col("file_name").alias("name"), (F.col("base") + F.col("id") + 1).cast("long").alias("line_no"), "value")
 
 
 def lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", recursive: bool = False) -> DataFrame:

@@ -105,3 +105,23 @@ def test_what_is_left_out_is_counted_by_the_same_pass(spark, tmp_path):
     assert plan.count("FileScan") == 1
     assert sorted(r.us for r in rows.collect()) == [1_000_000, 2_000_000]
     assert observed.get == {"lines": 6, "malformed": 1, "not an object": 2, "no instant": 1}
+
+
+def test_lines_are_numbered_as_they_are_read_once(spark, tmp_path):
+    """Files of many splits, with line ends of several kinds: nothing is read again, and no window runs over lines."""
+    values = {f"{n}.txt": [f"{n}{i}" + ("\u2028more" if i % 7 == 0 else "") for i in range(2000 * (k + 1))] for k, n in enumerate("ab")}
+    for name, lines in values.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    settings = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "100"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = readers.raw_lines(spark, str(tmp_path), "*.txt")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    for name in values:
+        (tmp_path / name).unlink()
+    got = sorted((r.name, r.line_no, r.value) for r in rows.collect())
+    assert got == [(name, i, x) for name in sorted(values) for i, x in enumerate("\n".join(values[name]).replace("\u2028", "\n").split("\n"), 1)]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1  # over splits
