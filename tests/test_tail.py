@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from chronolith.sources import versions
 from chronolith.streaming import incremental, tail
@@ -67,3 +68,20 @@ def test_files_that_come_between_triggers(spark, tmp_path):
     put("email", "day-2.jsonl", {"time": 12})
     with pytest.raises(PySparkException, match="day-2.jsonl, line 1"):
         turn()
+
+
+@pytest.mark.parametrize("last", [11, 12])
+def test_rows_that_are_held_up_come_late_whichever_is_last(spark, tmp_path, last):
+    """The last row of the log before the held-up ones end is itself one of them, or is none."""
+    from chronolith.plans import catalogue
+
+    duckdb = pytest.importorskip("duckdb")
+    seqs = [*range(1, 11), 22, 23, last, 33, 45, 46]
+    days = [*range(1, 11), 12, 13, 20, 22, 23, 28]
+    rows = [(seq, f"2024-01-{day:02d} 12:00:00", 1, "view" if k != 3 else "click", 1.0, "{}") for k, (seq, day) in enumerate(zip(seqs, days, strict=True))]
+    made = spark.createDataFrame(rows, "event_id long, at string, user_id long, event_type string, value double, props string")
+    made.select("event_id", F.col("at").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props").write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(tuple(r) for r in catalogue.queries()["tailed_logs"](spark, str(tmp_path)).select("channel", "n", "seqs", "found").collect())
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        assert got == sorted(c.execute(f"SELECT channel, n, seqs, found FROM ({catalogue.oracle_sql()['tailed_logs']})").fetchall())
